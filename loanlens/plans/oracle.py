@@ -7,6 +7,8 @@ constants with the Spark code.
 
 from __future__ import annotations
 
+import re
+
 from loanlens.functions.columns import (
     CALIBRATION_EDGES, EMP_LENGTH_YEARS, THRESHOLD_GRID, round_ratio_sql,
 )
@@ -88,7 +90,10 @@ def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> st
         add(n)
     parts = [f"{n} as ({CTES[n]})" for n in order if n in wanted]
     parts += [f"{n} as ({q})" for n, q in (extra or {}).items()]
-    return "with " + ",\n".join(parts) + "\n" + body
+    sql = "with " + ",\n".join(parts) + "\n" + body
+    # ``window`` is a keyword in DuckDB: quote it where it is a column name
+    sql = re.sub(r'(?<!")\bwindow\b(?!")', '"window"', sql)
+    return sql.replace('"window" w as', "window w as").replace('over "window"', "over window")
 
 
 def grid_values() -> str:

@@ -300,3 +300,243 @@ select split, min(p) as min_p, max(p) as max_p, {rr("sum(round(p*10000)::hugeint
 def score_distribution(spark, sf_dir):
     """Min, max, mean, median score per split."""
     return ev.score_distribution(scored(spark, sf_dir), by=["split"])
+
+
+# ------------------------------------------------------------------ step 3: quality
+from loanlens.operators import drift as dr  # noqa: E402
+from loanlens.operators import quality as qa  # noqa: E402
+from loanlens.operators.prep import RAW_FIELDS  # noqa: E402
+
+_RAW_NUM = [c for c in RAW_FIELDS if c in NUMERIC_FEATURES]
+_WINDOWS = ["val", "test", "drift_2000", "extra_2001"]
+
+
+def _raw(spark, sf_dir):
+    return resolved_loans(spark, sf_dir).select("split", *RAW_FIELDS)
+
+
+_NULL_SQL = O.with_ctes(" union all ".join(
+    f"select split as window, '{c}' as feature, count_if({c} is null) / count(*) as null_rate, "
+    f"count_if({c} is null) / count(*) > 0.4 as flagged from resolved group by split" for c in RAW_FIELDS), "resolved")
+
+
+@register("null_rates", _NULL_SQL)
+def null_rates(spark, sf_dir):
+    """NULL share per raw field and window (one aggregate for all windows)."""
+    return qa.null_rates(qa.profile(_raw(spark, sf_dir), RAW_FIELDS))
+
+
+_RANGE_SQL = O.with_ctes(" union all ".join(
+    f"select c.window, '{c}' as feature, r.rr as ref_range, c.cr as cur_range, "
+    f"coalesce(r.rr <> 0 and c.cr > r.rr * 10.0, false) as anomalous from "
+    f"(select split as window, max({c}) - min({c}) as cr from resolved where split <> 'train' group by split) c, "
+    f"(select max({c}) - min({c}) as rr from resolved where split = 'train') r" for c in _RAW_NUM), "resolved")
+
+
+@register("range_check", _RANGE_SQL)
+def range_check(spark, sf_dir):
+    """Scale anomaly (range growth > 10×) of every window vs train."""
+    return qa.range_check(qa.profile(_raw(spark, sf_dir), RAW_FIELDS))
+
+
+_DUP_SQL = O.with_ctes(f"""
+select window, cast(sum(c) as bigint) as n, count(*) as n_distinct, 1.0 - count(*) / sum(c) as duplicate_rate,
+ 1.0 - count(*) / sum(c) > 0.2 as is_excessive
+from (select split as window, {", ".join(RAW_FIELDS)}, count(*) as c from resolved group by all) group by window""", "resolved")
+
+
+@register("duplicate_share", _DUP_SQL)
+def duplicate_share(spark, sf_dir):
+    """Share of repeated rows over the 17 application fields, per window."""
+    return qa.duplicate_share(_raw(spark, sf_dir), RAW_FIELDS)
+
+
+_GATE_SQL = O.with_ctes("""
+select d.window, case when coalesce(a.k, 0) > 0 then 'pipeline_bug' else 'clean' end as failure_type,
+ case when coalesce(s.k, 0) > 0 then 'critical' when coalesce(nn.k, 0) > 0 or d.is_excessive then 'warning' else 'none' end as severity,
+ coalesce(a.feats, '') as affected_features, 0 as n_missing, coalesce(s.k, 0)::integer as n_scale,
+ coalesce(nn.k, 0)::integer as n_high_null, '' as extra_columns, d.duplicate_rate, d.is_excessive as duplicates_excessive
+from dup d
+left join (select window, count(*) as k from rng where anomalous group by window) s using (window)
+left join (select window, count(*) as k from nul where flagged group by window) nn using (window)
+left join (select window, count(distinct feature) as k, string_agg(distinct feature, ',' order by feature) as feats
+           from (select window, feature from rng where anomalous union select window, feature from nul where flagged)
+           group by window) a using (window)""", "resolved", extra={
+    "rng": _RANGE_SQL[_RANGE_SQL.index("\nselect c.window") + 1:] if False else
+    " union all ".join(
+        f"select c.window, '{c}' as feature, coalesce(r.rr <> 0 and c.cr > r.rr * 10.0, false) as anomalous from "
+        f"(select split as window, max({c}) - min({c}) as cr from resolved where split <> 'train' group by split) c, "
+        f"(select max({c}) - min({c}) as rr from resolved where split = 'train') r" for c in _RAW_NUM),
+    "nul": " union all ".join(
+        f"select split as window, '{c}' as feature, count_if({c} is null) / count(*) > 0.4 as flagged "
+        f"from resolved group by split" for c in RAW_FIELDS),
+    "dup": f"""select window, 1.0 - count(*) / sum(c) as duplicate_rate, 1.0 - count(*) / sum(c) > 0.2 as is_excessive
+      from (select split as window, {", ".join(RAW_FIELDS)}, count(*) as c from resolved group by all) group by window"""})
+
+
+@register("quality_gate", _GATE_SQL)
+def quality_gate(spark, sf_dir):
+    """Schema → scale → nulls → duplicates verdict for every window in one job."""
+    return qa.quality_gate(_raw(spark, sf_dir), RAW_FIELDS)
+
+
+def _rules_sql() -> str:
+    parts = []
+    for name, col, pred, sev in qa.FIELD_RULES:
+        parts.append(f"select app_id, '{name}' as rule, '{sev}' as severity from apps "
+                     f"where not coalesce({pred}, true)")
+    return O.with_ctes(" union all ".join(parts), "apps")
+
+
+@register("rule_violations", _rules_sql())
+def rule_violations(spark, sf_dir):
+    """B14 + B15: field and business rules on every application → violation rows."""
+    from loanlens.sources.tables import loan_applications
+    return qa.rule_violations(loan_applications(spark, sf_dir))
+
+
+@register("raw_validation", O.with_ctes("""
+select * from (
+ select 'required_columns' as "check", 'ok' as level, 'all present' as message
+ union all select 'issue_date_nulls', case when count_if(issue_d is null) / count(*) > 0.05 then 'warning' else 'ok' end,
+   'null share ' || cast(""" + rr("count_if(issue_d is null)", "count(*)", 3) + """ as varchar) from r
+ union all select 'row_count', case when count(*) < 1000 then 'warning' else 'ok' end, cast(count(*) as varchar) || ' rows' from r
+ union all select 'target_values', case when count_if("default" not in (0, 1)) > 0 then 'error' else 'ok' end,
+   cast(count_if("default" not in (0, 1)) as varchar) || ' rows outside {0,1}' from r)""",
+    "resolved", extra={"r": 'select "default", issue_d from resolved'}))
+def raw_validation(spark, sf_dir):
+    """Required columns, target domain, date NULL share, row count."""
+    from loanlens.operators.prep import RAW_FIELDS as req
+    return qa.raw_validation(resolved_loans(spark, sf_dir), req)
+
+
+# ------------------------------------------------------------------ step 5: drift / monitoring
+def _prep_long_sql() -> str:
+    return " union all ".join(
+        f"select split, '{c}' as feature, cast({c} as double) as value from prepared" for c in _FIXED_FEATURES
+    ) + """ union all select p.split, c.col || '_' || c.cat as feature,
+  cast(coalesce(case c.col when 'home_ownership' then p.home_ownership = c.cat
+    when 'verification_status' then p.verification_status = c.cat else p.purpose = c.cat end, false) as double) as value
+  from prepared p, cats c"""
+
+
+_DRIFT_EXTRA = {
+    "pl": _prep_long_sql(),
+    "counts": "select split as window, feature, value, count(*) as n from pl where value is not null group by all",
+    "ref": "select feature, value, n as n_ref from counts where window = 'train'",
+    "wins": "select distinct window from counts where window <> 'train'",
+    "merged": """select window, feature, value, sum(n_ref) as n_ref, sum(n_cur) as n_cur from (
+        select w.window, r.feature, r.value, r.n_ref, 0 as n_cur from ref r, wins w
+        union all select window, feature, value, 0, n from counts where window <> 'train') group by all""",
+    "rstats": """select r.feature, sum(value * n_ref) / sum(n_ref) as mean_ref, sum(n_ref) as tot_ref, count(*) as k_ref,
+        any_value(e.edges) as edges from ref r join (select feature, quantile_cont(value, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) as edges
+        from pl where split = 'train' and value is not null group by feature) e using (feature) group by r.feature""",
+    "rstd": """select r.feature, sqrt(sum(n_ref * (value - s.mean_ref) ^ 2) / max(s.tot_ref)) as std_ref
+        from ref r join rstats s using (feature) group by r.feature""",
+    "tot": """select c.window, c.feature, sum(c.n) as tot_cur, any_value(s.tot_ref) as tot_ref, any_value(s.k_ref) as k_ref,
+        any_value(s.edges) as edges, any_value(d.std_ref) as std_ref
+        from counts c join rstats s using (feature) join rstd d using (feature) where c.window <> 'train' group by c.window, c.feature""",
+    "pre": """select m.*, t.tot_ref, t.tot_cur,
+        sum(n_ref) over w / t.tot_ref as Fr, sum(n_cur) over w / t.tot_cur as Gc,
+        lead(value) over (partition by m.window, m.feature order by value) as nxt
+        from merged m join tot t using (window, feature)
+        window w as (partition by m.window, m.feature order by value rows between unbounded preceding and current row)""",
+    "per": """select window, feature, max(abs(Fr - Gc)) as ks,
+        sum(case when nxt is not null then abs(Fr - Gc) * (nxt - value) else 0.0 end) as w1,
+        sum(case when n_ref > 0 then n_ref / tot_ref * log2((n_ref / tot_ref) / ((n_ref / tot_ref + n_cur / tot_cur) / 2)) else 0.0 end
+          + case when n_cur > 0 then n_cur / tot_cur * log2((n_cur / tot_cur) / ((n_ref / tot_ref + n_cur / tot_cur) / 2)) else 0.0 end) as js2,
+        sum(case when n_ref > 0 then (n_cur - n_ref / tot_ref * tot_cur) ^ 2 / (n_ref / tot_ref * tot_cur) else 0.0 end) as chi2
+        from pre group by window, feature""",
+    "psi": """select window, feature, sum((pc - pr) * ln(pc / pr)) as psi from (
+        select m.window, m.feature, greatest(sum(m.n_ref) / any_value(t.tot_ref), 1e-6) as pr,
+          greatest(sum(m.n_cur) / any_value(t.tot_cur), 1e-6) as pc
+        from merged m join tot t using (window, feature)
+        group by m.window, m.feature, len(list_filter(t.edges, lambda e: e < m.value))) group by window, feature""",
+    "df": f"""select window, feature, method, round(stat, 6) as statistic,
+        case when method = 'ks' then (sqrt(tot_ref * tot_cur / (tot_ref + tot_cur)) + 0.12 + 0.11 / sqrt(tot_ref * tot_cur / (tot_ref + tot_cur))) * ks > {dr.KS_LAMBDA_CRIT!r}
+             when method = 'chisquare' then coalesce(chi2 > (case k_ref - 1 {" ".join(f"when {d} then {v!r}" for d, v in dr.CHI2_CRIT.items())} end), false)
+             else coalesce(stat >= 0.1, false) end as drift_detected,
+        round(psi, 6) as psi, psi >= 0.25 as psi_flag, cast(tot_ref as bigint) as n_reference, cast(tot_cur as bigint) as n_current
+        from (select *, case when method = 'ks' then ks when method = 'chisquare' then chi2
+               when method = 'wasserstein' then (case when std_ref > 0 then w1 / std_ref end) else sqrt(js2 / 2) end as stat
+              from (select p.*, t.tot_ref, t.tot_cur, t.k_ref, t.std_ref, s.psi,
+                 case when (t.tot_ref <= 1000 or t.tot_cur <= 1000) and t.k_ref > 5 then 'ks'
+                      when t.tot_ref <= 1000 or t.tot_cur <= 1000 then 'chisquare'
+                      when t.k_ref > 5 then 'wasserstein' else 'jensenshannon' end as method
+               from per p join tot t using (window, feature) join psi s using (window, feature)))""",
+}
+
+
+def _drift_sql(body: str, extra: dict | None = None) -> str:
+    return O.with_ctes(body, "prepared", "cats", extra={**_DRIFT_EXTRA, **(extra or {})})
+
+
+def _drift(spark, sf_dir, model=None):
+    model = model or fitted_prep(spark, sf_dir)
+    return dr.drift_features(prepared(spark, sf_dir, model), model.feature_columns, _WINDOWS)
+
+
+@register("drift_features", _drift_sql("select * from df"))
+def drift_features(spark, sf_dir):
+    """Per-feature drift of every window vs train on the prepared features."""
+    return _drift(spark, sf_dir)
+
+
+_VERDICT_SQL_BODY = """select window, count_if(drift_detected) > 0 as drift_detected,
+ case when count_if(drift_detected) = 0 then 'clean' when count_if(drift_detected) < 2 then 'investigate' else 'real_drift' end as failure_type,
+ coalesce(string_agg(case when drift_detected then feature end, ',' order by feature), '') as drifted_features,
+ count_if(drift_detected) as n_drifted, count(*) as n_features,
+ """ + rr("count_if(drift_detected)", "count(*)") + """ as drift_score,
+ case when count_if(drift_detected) = 0 then 'No action needed.'
+      when count_if(drift_detected) < 2 then 'Investigate single feature drift: ' || coalesce(string_agg(case when drift_detected then feature end, ',' order by feature), '')
+      else 'Multiple features drifted (' || cast(count_if(drift_detected) as varchar) || '). Consider retraining.' end as recommended_action
+from df group by window"""
+
+
+@register("drift_verdict", _drift_sql(_VERDICT_SQL_BODY))
+def drift_verdict(spark, sf_dir):
+    """Drifted features, share and clean / investigate / real_drift per window."""
+    return dr.drift_verdict(_drift(spark, sf_dir))
+
+
+def _approval(spark, sf_dir, model=None):
+    from loanlens.functions.columns import round_ratio
+    s = scored(spark, sf_dir, model=model)
+    a = s.groupBy(F.col("split").alias("window")).agg(
+        round_ratio(F.count_if(F.col("p") < T), F.count(F.lit(1)), 4).alias("approval_rate"))
+    base = a.where(F.col("window") == "train").select("approval_rate").scalar()
+    return a.where(F.col("window") != "train").withColumn("baseline_approval_rate", base)
+
+
+_RETRAIN_BODY = """
+select v.window, v.drift_detected, v.failure_type, v.drifted_features, v.drift_score, a.approval_rate,
+ b.approval_rate as baseline_approval_rate,
+ (v.failure_type = 'real_drift' and v.drift_score > 0.25 and v.n_drifted >= 2) or abs(a.approval_rate - b.approval_rate) > 0.1 as should_retrain,
+ case when (v.failure_type = 'real_drift' and v.drift_score > 0.25 and v.n_drifted >= 2) or abs(a.approval_rate - b.approval_rate) > 0.1
+   then 'retrain' else 'none' end as action
+from dv v join appr a using (window), (select approval_rate from appr_all where window = 'train') b"""
+_APPR_EXTRA = {
+    "dv": _VERDICT_SQL_BODY,
+    "appr_all": "select split as window, " + rr("count_if(p < 0.47)", "count(*)") + " as approval_rate from scored group by split",
+    "appr": "select * from appr_all where window <> 'train'",
+}
+
+
+@register("retrain_decision", O.with_ctes(_RETRAIN_BODY, "prepared", "cats", "scored",
+                                          extra={**_DRIFT_EXTRA, **_APPR_EXTRA}))
+def retrain_decision(spark, sf_dir):
+    """Retrain on real drift, approval shift vs the measured train approval."""
+    model = fitted_prep(spark, sf_dir)
+    return dr.retrain_decision(dr.drift_verdict(_drift(spark, sf_dir, model)), _approval(spark, sf_dir, model))
+
+
+@register("multi_window_monitor", O.with_ctes(_RETRAIN_BODY, "prepared", "cats", "scored",
+                                              extra={**_DRIFT_EXTRA, **_APPR_EXTRA}))
+def multi_window_monitor(spark, sf_dir):
+    """J6 + J7: quality gate on the prepared features (short-circuits on a
+    pipeline bug), drift, approval vs baseline, retrain verdict — all windows."""
+    model = fitted_prep(spark, sf_dir)
+    prep = prepared(spark, sf_dir, model).select("split", *[F.col(f"`{c}`") for c in model.feature_columns])
+    gate = qa.quality_gate(prep, model.feature_columns)
+    return dr.retrain_decision(dr.drift_verdict(_drift(spark, sf_dir, model)),
+                               _approval(spark, sf_dir, model), quality=gate)
