@@ -540,3 +540,177 @@ def multi_window_monitor(spark, sf_dir):
     gate = qa.quality_gate(prep, model.feature_columns)
     return dr.retrain_decision(dr.drift_verdict(_drift(spark, sf_dir, model)),
                                _approval(spark, sf_dir, model), quality=gate)
+
+
+# ------------------------------------------------------------------ step 6: experiments
+from loanlens.functions.columns import md5_bucket  # noqa: E402
+from loanlens.operators import experiment as xp  # noqa: E402
+from loanlens.plans.pipeline import CHALLENGER_THRESHOLD, scored_both  # noqa: E402
+
+TC = CHALLENGER_THRESHOLD
+ROUTER_PCT = 0.10
+OFFLINE_SHARE = 0.30
+
+
+def _bucket_sql(x: str) -> str:
+    acc = "0"
+    for i in range(4):
+        acc = f"(({acc}) * 96 + ('0x' || substr(md5({x}), {8 * i + 1}, 8))::bigint) % 100"
+    return f"cast({acc} as integer)"
+
+
+_CF_SQL = f"""select cast(app_id as varchar) as request_id,
+ case when {_bucket_sql('cast(app_id as varchar)')} < {ROUTER_PCT * 100!r} then 'challenger' else 'champion' end as assigned_model,
+ champion_p as champion_probability, case when champion_p >= 0.47 then 'DENY' else 'APPROVE' end as champion_decision,
+ challenger_p as challenger_probability, case when challenger_p >= 0.45 then 'DENY' else 'APPROVE' end as challenger_decision
+from scored_both"""
+_CF_FULL = f"""select *, case when assigned_model = 'challenger' and challenger_decision is not null
+   then challenger_decision else champion_decision end as returned_decision from ({_CF_SQL})"""
+
+
+def _log(spark, sf_dir):
+    return xp.counterfactual(scored_both(spark, sf_dir), "app_id", "champion_p", "challenger_p", T, TC, ROUTER_PCT)
+
+
+@register("ab_assign", O.with_ctes(f"""
+select cast(app_id as varchar) as request_id, {_bucket_sql('cast(app_id as varchar)')} as bucket,
+ case when {_bucket_sql('cast(app_id as varchar)')} < 10.0 then 'challenger' else 'champion' end as assigned_model
+from resolved""", "resolved"))
+def ab_assign(spark, sf_dir):
+    """K1 + H11: md5-bucket assignment of every request id (10 % challenger)."""
+    ids = resolved_loans(spark, sf_dir).select(F.col("app_id").cast("string").alias("request_id"))
+    return ids.select("request_id", md5_bucket(F.col("request_id")).alias("bucket"),
+                      xp.assign(F.col("request_id"), ROUTER_PCT).alias("assigned_model"))
+
+
+@register("ab_counterfactual", O.with_ctes(_CF_FULL, "scored_both"))
+def ab_counterfactual(spark, sf_dir):
+    """K2 + C3: both models score every request; log both decisions and the returned one."""
+    return _log(spark, sf_dir)
+
+
+@register("ab_summary", O.with_ctes(f"""
+select count(*) as total_requests, count_if(assigned_model = 'champion') as champion_requests,
+ count_if(assigned_model <> 'champion') as challenger_requests,
+ {rr("count_if(champion_decision = 'APPROVE')", "count(champion_decision)")} as champion_approval_rate,
+ {rr("count_if(challenger_decision = 'APPROVE')", "count(challenger_decision)")} as challenger_approval_rate,
+ coalesce({rr("sum(round(champion_probability*10000)::hugeint)", "count(champion_probability) * 10000")}, 0.0) as champion_avg_probability,
+ coalesce({rr("sum(round(challenger_probability*10000)::hugeint)", "count(challenger_probability) * 10000")}, 0.0) as challenger_avg_probability,
+ {rr("count_if(champion_decision is not null and challenger_decision is not null and champion_decision = challenger_decision)",
+     "count_if(champion_decision is not null and challenger_decision is not null)")} as agreement_rate
+from cf""", "scored_both", extra={"cf": _CF_FULL}))
+def ab_summary(spark, sf_dir):
+    """Router summary of the counterfactual log."""
+    return xp.summary(_log(spark, sf_dir))
+
+
+@register("ab_analyze", O.with_ctes("""
+select n >= 1000 as sufficient_data, case when n >= 1000 then n else 0 end as total_requests,
+ case when n >= 1000 then n0 else 0 end as champion_requests, case when n >= 1000 then n1 else 0 end as challenger_requests,
+ case when n >= 1000 then round(r0, 4) else 0.0 end as champion_approval_rate,
+ case when n >= 1000 then round(r1, 4) else 0.0 end as challenger_approval_rate,
+ case when n >= 1000 then round(r1 - r0, 4) else 0.0 end as approval_rate_diff,
+ case when n >= 1000 then round(v1 - v0, 4) else 0.0 end as probability_diff,
+ case when n < 1000 then 'insufficient_data' when r1 - r0 > 0.02 and v1 - v0 <= 0.02 then 'promote' else 'keep_champion' end as recommendation
+from (select n, n0, n1, case when n0 > 0 then a0 / n0 else 0.0 end as r0, case when n1 > 0 then a1 / n1 else 0.0 end as r1,
+   case when c0 > 0 then s0 / (c0 * 10000.0) else 0.0 end as v0, case when c1 > 0 then s1 / (c1 * 10000.0) else 0.0 end as v1
+ from (select count(*) as n, count_if(assigned_model = 'champion') as n0, count_if(assigned_model = 'challenger') as n1,
+   count_if(assigned_model = 'champion' and champion_decision = 'APPROVE') as a0,
+   count_if(assigned_model = 'challenger' and challenger_decision = 'APPROVE') as a1,
+   sum(round(champion_probability * 10000)::bigint) as s0, count(champion_probability) as c0,
+   sum(round(challenger_probability * 10000)::bigint) as s1, count(challenger_probability) as c1 from cf))""",
+    "scored_both", extra={"cf": _CF_FULL}))
+def ab_analyze(spark, sf_dir):
+    """D41 + K6: approval by assigned arm, online promotion rule (≥ 1000 requests)."""
+    return xp.analyze(_log(spark, sf_dir))
+
+
+_ARMS_SQL = f"""select app_id as request_id,
+ case when {_bucket_sql('cast(app_id as varchar)')} < {OFFLINE_SHARE * 100!r} then 'challenger' else 'champion' end as assignment,
+ champion_p, challenger_p, "default" as actual_default from scored_both where split = 'test'"""
+_ARMS_FULL = """select request_id, assignment, p as prediction_proba,
+ case when p >= t then 'deny' else 'approve' end as decision, actual_default from (
+ select *, case when assignment = 'champion' then champion_p else challenger_p end as p,
+   case when assignment = 'champion' then 0.47 else 0.45 end as t from arms0)"""
+_STATS_SQL = """select b.assignment, b.n, b.approved, b.approved / b.n as approval_rate,
+ round(b.s / (b.n * 10000.0), 4) as avg_default_probability, round(a.auc, 4) as auc
+from (select assignment, count(*) as n, count_if(decision = 'approve') as approved,
+   sum(round(prediction_proba * 10000)::bigint) as s from arms group by assignment) b
+left join (select assignment, sum(pos * (neg_below * 2 + neg)) / (sum(pos) * sum(neg) * 2.0) as auc from (
+   select assignment, prediction_proba, pos, neg, coalesce(sum(neg) over (partition by assignment order by prediction_proba
+     rows between unbounded preceding and 1 preceding), 0) as neg_below from (
+     select assignment, prediction_proba, sum(actual_default) as pos, sum(1 - actual_default) as neg
+     from arms group by assignment, prediction_proba)) group by assignment) a using (assignment)"""
+_AB_EXTRA = {"arms0": _ARMS_SQL, "arms": _ARMS_FULL, "st": _STATS_SQL,
+             "pv": """select max(case when assignment='champion' then n end) as n_0, max(case when assignment='champion' then approved end) as approved_0,
+   max(case when assignment='champion' then auc end) as auc_0, max(case when assignment='challenger' then n end) as n_1,
+   max(case when assignment='challenger' then approved end) as approved_1, max(case when assignment='challenger' then auc end) as auc_1 from st"""}
+
+
+def _arms(spark, sf_dir):
+    test = scored_both(spark, sf_dir).where(F.col("split") == "test")
+    return xp.offline_arms(test, "app_id", "champion_p", "challenger_p", "default", T, TC, OFFLINE_SHARE)
+
+
+@register("ab_arms", O.with_ctes("select * from st", "scored_both", extra=_AB_EXTRA))
+def ab_arms(spark, sf_dir):
+    """K3 + K4: 70/30 hash split of the test population; per-arm approval, mean p, AUC."""
+    return xp.arm_stats(_arms(spark, sf_dir))
+
+
+_Z_BODY = """select n_0 as n_champion, n_1 as n_challenger, round(p0, 4) as approval_champion, round(p1, 4) as approval_challenger,
+ round(z, 4) as z_statistic, abs(z) > 1.959963984540054 as significant_at_05,
+ round(1.959963984540054 * sqrt(p0 * (1.0 - p0) / n_0), 6) as ci95_champion,
+ round(1.959963984540054 * sqrt(p1 * (1.0 - p1) / n_1), 6) as ci95_challenger
+from (select *, case when se > 0 then (p0 - p1) / se else 0.0 end as z from (
+  select *, sqrt(pool * (1.0 - pool) * (1.0 / n_0 + 1.0 / n_1)) as se from (
+   select *, approved_0 / n_0 as p0, approved_1 / n_1 as p1, (approved_0 + approved_1) / (n_0 + n_1) as pool from pv)))"""
+
+
+@register("ab_ztest", O.with_ctes(_Z_BODY.replace("(approved_0 + approved_1) / (n_0 + n_1)",
+                                                  "(cast(approved_0 as double) + approved_1) / (cast(n_0 as double) + n_1)"),
+                                  "scored_both", extra=_AB_EXTRA))
+def ab_ztest(spark, sf_dir):
+    """D42 + D44: pooled two-proportion z-test on approval and 95 % half-widths."""
+    return xp.ztest(xp.arm_stats(_arms(spark, sf_dir)))
+
+
+def _chi_sql() -> str:
+    cells = [("approved_0", "n_0", "(approved_0 + approved_1)"), ("(n_0 - approved_0)", "n_0", "((n_0 - approved_0) + (n_1 - approved_1))"),
+             ("approved_1", "n_1", "(approved_0 + approved_1)"), ("(n_1 - approved_1)", "n_1", "((n_0 - approved_0) + (n_1 - approved_1))")]
+    terms = []
+    for o, r_, c_ in cells:
+        e = f"(cast({r_} as double) * cast({c_} as double) / cast(n_0 + n_1 as double))"
+        dev = f"greatest(abs(cast({o} as double) - {e}) - 0.5, 0.0)"
+        terms.append(f"{dev} * {dev} / {e}")
+    chi = " + ".join(terms)
+    return f"select round({chi}, 4) as chi2_statistic, 1 as degrees_of_freedom, ({chi}) > 3.841458820694124 as significant_at_05 from pv"
+
+
+@register("ab_chi2", O.with_ctes(_chi_sql(), "scored_both", extra=_AB_EXTRA))
+def ab_chi2(spark, sf_dir):
+    """2×2 chi-square (Yates) of arm × approved."""
+    return xp.chi_square_2x2(xp.arm_stats(_arms(spark, sf_dir)))
+
+
+@register("ab_decision", O.with_ctes("""
+select auc_0 as auc_champion, auc_1 as auc_challenger,
+ case when auc_1 >= auc_0 and approved_1 / n_1 >= approved_0 / n_0 then 'promote_challenger' else 'keep_champion' end as recommendation,
+ case when auc_1 >= auc_0 and approved_1 / n_1 >= approved_0 / n_0 then 'challenger_matches_or_beats'
+      when auc_1 >= auc_0 and (select significant_at_05 from z) then 'approval_differs_significantly'
+      else 'champion_outperforms' end as reason from pv""", "scored_both",
+    extra={**_AB_EXTRA, "z": _Z_BODY.replace("(approved_0 + approved_1) / (n_0 + n_1)",
+                                             "(cast(approved_0 as double) + approved_1) / (cast(n_0 as double) + n_1)")}))
+def ab_decision(spark, sf_dir):
+    """K5: offline promotion rule from per-arm AUC, approval and significance."""
+    return xp.offline_decision(xp.arm_stats(_arms(spark, sf_dir)))
+
+
+@register("ab_significance")
+def ab_significance(spark, sf_dir):
+    """D42 + D43 with p-values (normal and χ²₁ tails on the result rows)."""
+    st = xp.arm_stats(_arms(spark, sf_dir))
+    z = xp.ztest(st, with_p=True).select("z_statistic", F.col("p_value").alias("z_p_value"))
+    c = xp.chi_square_2x2(st, with_p=True).select("chi2_statistic", F.col("p_value").alias("chi2_p_value"))
+    return z.select("*", c.select("chi2_statistic").scalar().alias("chi2_statistic"),
+                    c.select("chi2_p_value").scalar().alias("chi2_p_value"))
