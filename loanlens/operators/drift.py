@@ -51,13 +51,15 @@ def value_counts(df: DataFrame, features: Sequence[str], by: str = "split") -> D
 def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str],
                    by: str = "split", reference: str = "train",
                    threshold: float = DRIFT_THRESHOLD, small: int = SMALL_SAMPLE,
-                   psi_flag: float = PSI_FLAG) -> DataFrame:
+                   psi_flag: float = PSI_FLAG, checkpoint: bool = True) -> DataFrame:
     """One row per (window, feature) with method, statistic, drift flag, PSI.
 
     NULL values are left out of the distributions (their share is the
     quality gate's job).
     """
     counts = value_counts(df.where(F.col(by).isin(reference, *windows)), features, by).where(F.col("value").isNotNull())
+    # reused by five branches: materialise once in the shared checkpoint folder
+    counts = counts.checkpoint(eager=True) if checkpoint else counts
     ref = counts.where(F.col("window") == reference).select("feature", "value", F.col("n").alias("n_ref"))
     cur = counts.where(F.col("window") != reference).select("window", "feature", "value", F.col("n").alias("n_cur"))
     rep = ref.select(F.explode(F.array(*[F.lit(w) for w in windows])).alias("window"), "feature", "value",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loanlens.operators.clean import DRIVER_SPLITS, SplitSpec, clean, temporal_split
 from loanlens.operators.prep import LoanPrep, LoanPrepModel
 from loanlens.operators.scoring import CHAMPION, CHALLENGER, Card
-from loanlens.sources.tables import loan_applications
+from loanlens.sources.tables import staged_loan_applications
 
 CHAMPION_THRESHOLD = 0.47
 CHALLENGER_THRESHOLD = 0.45
@@ -22,12 +22,20 @@ CHALLENGER_THRESHOLD = 0.45
 def resolved_loans(spark: SparkSession, sf_dir: str, spec: SplitSpec = DRIVER_SPLITS,
                    keep_unassigned: bool = False) -> DataFrame:
     """Raw loans → B1 B2 B3 B4 B5 → B6 split column."""
-    return temporal_split(clean(loan_applications(spark, sf_dir)), spec, keep_unassigned)
+    return temporal_split(clean(staged_loan_applications(spark, sf_dir)), spec, keep_unassigned)
+
+
+_FITTED: dict[tuple, LoanPrepModel] = {}
 
 
 def fitted_prep(spark: SparkSession, sf_dir: str, accuracy: int | None = None) -> LoanPrepModel:
-    train = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
-    return LoanPrep(accuracy=accuracy).fit(train)
+    """I1 on the train split, fitted once per session and input (the fitted
+    parameter document is passed along instead of refitting per query)."""
+    key = (spark.sparkContext.applicationId, sf_dir, accuracy)
+    if key not in _FITTED:
+        train = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
+        _FITTED[key] = LoanPrep(accuracy=accuracy).fit(train)
+    return _FITTED[key]
 
 
 def prepared(spark: SparkSession, sf_dir: str, model: LoanPrepModel | None = None,

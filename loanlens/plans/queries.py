@@ -391,8 +391,8 @@ def _rules_sql() -> str:
 @register("rule_violations", _rules_sql())
 def rule_violations(spark, sf_dir):
     """B14 + B15: field and business rules on every application → violation rows."""
-    from loanlens.sources.tables import loan_applications
-    return qa.rule_violations(loan_applications(spark, sf_dir))
+    from loanlens.sources.tables import staged_loan_applications
+    return qa.rule_violations(staged_loan_applications(spark, sf_dir))
 
 
 @register("raw_validation", O.with_ctes("""
