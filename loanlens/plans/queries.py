@@ -714,3 +714,299 @@ def ab_significance(spark, sf_dir):
     c = xp.chi_square_2x2(st, with_p=True).select("chi2_statistic", F.col("p_value").alias("chi2_p_value"))
     return z.select("*", c.select("chi2_statistic").scalar().alias("chi2_statistic"),
                     c.select("chi2_p_value").scalar().alias("chi2_p_value"))
+
+
+# ------------------------------------------------------------------ step 7: exploration / selection
+from loanlens.functions.columns import emp_length_num as _emp, literal_map  # noqa: E402
+from loanlens.operators import explore as xe  # noqa: E402
+
+_GRADE = {g: i for i, g in enumerate("ABCDEFG")}
+_ANOVA_COLS = ["loan_amnt", "int_rate", "annual_inc", "dti", "delinq_2yrs", "fico_range_low", "inq_last_6mths",
+               "open_acc", "pub_rec", "revol_bal", "revol_util", "emp_length_num", "grade_num"]
+_CAT_COLS = ["home_ownership", "verification_status", "purpose", "term", "sub_grade"]
+_PROFILE_COLS = ["loan_amnt", "int_rate", "annual_inc", "dti", "fico_range_low", "revol_util", "revol_bal",
+                 "open_acc", "delinq_2yrs", "inq_last_6mths"]
+
+
+def _fs(spark, sf_dir):
+    """Train split with the notebook's diagnostic encodings."""
+    r = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
+    return r.select("*", _emp(F.col("emp_length")).alias("emp_length_num"),
+                    F.try_element_at(literal_map(_GRADE), F.substring("sub_grade", 1, 1)).cast("double").alias("grade_num"))
+
+
+_FS_SQL = ("select *, " + O._emp_case() + " as emp_length_num, cast(instr('ABCDEFG', substr(sub_grade, 1, 1)) - 1 as double) as grade_num "
+           "from resolved where split = 'train'")
+_FS_EXTRA = {"fs": _FS_SQL.replace("instr('ABCDEFG', substr(sub_grade, 1, 1)) - 1",
+                                   "case when instr('ABCDEFG', substr(sub_grade, 1, 1)) > 0 then instr('ABCDEFG', substr(sub_grade, 1, 1)) - 1 end")}
+
+
+@register("default_rate_by_year", O.with_ctes(
+    f'select issue_year, count(*) as n, cast(sum("default") as bigint) as defaults, {rr("sum(\"default\")", "count(*)", 6)} as default_rate '
+    "from resolved group by issue_year", "resolved"))
+def default_rate_by_year(spark, sf_dir):
+    """Count, defaults and default rate per issue year."""
+    return xe.target_rate_by(resolved_loans(spark, sf_dir), "issue_year")
+
+
+@register("category_rates", O.with_ctes(
+    f'select substr(sub_grade, 1, 1) as grade, count(*) as n, cast(sum("default") as bigint) as defaults, '
+    f'{rr("sum(\"default\")", "count(*)", 6)} as default_rate from resolved group by 1', "resolved"))
+def category_rates(spark, sf_dir):
+    """Default rate per grade (sub-grade letter)."""
+    return xe.target_rate_by(resolved_loans(spark, sf_dir), F.substring("sub_grade", 1, 1).alias("grade"))
+
+
+@register("status_shares", O.with_ctes(
+    f"select loan_status, count(*) as n, {rr('count(*) * 100', '(select count(*) from apps)', 1)} as pct from apps group by 1", "apps"))
+def status_shares(spark, sf_dir):
+    """D3: loan-status value counts with percent share over all applications."""
+    from loanlens.sources.tables import staged_loan_applications
+    return xe.value_shares(staged_loan_applications(spark, sf_dir), "loan_status")
+
+
+@register("top_purposes", O.with_ctes(
+    "select purpose, count(*) as n from resolved group by purpose order by n desc, purpose asc nulls last limit 10", "resolved"))
+def top_purposes(spark, sf_dir):
+    """the ten most frequent purposes (count desc, purpose asc)."""
+    return xe.top_k(resolved_loans(spark, sf_dir), "purpose", 10)
+
+
+@register("distinct_years", O.with_ctes("select distinct issue_year from resolved", "resolved"))
+def distinct_years(spark, sf_dir):
+    """sorted distinct issue years."""
+    return resolved_loans(spark, sf_dir).select("issue_year").distinct().orderBy("issue_year")
+
+
+_MISS_SQL = O.with_ctes(" union all ".join(
+    f"select '{c}' as feature, count_if({c} is null) as missing, {rr(f'count_if({c} is null) * 100', 'count(*)', 1)} as pct from apps"
+    for c in RAW_FIELDS), "apps")
+_MISS_SQL = _MISS_SQL[: _MISS_SQL.index("\nselect '")] + "\nselect feature, missing, pct, case when pct > 40 then 'drop' when pct > 5 then 'impute' when pct > 0 then 'optional' else 'complete' end as action from (" + _MISS_SQL[_MISS_SQL.index("\nselect '") + 1:] + ")"
+
+
+@register("missing_report", _MISS_SQL)
+def missing_report(spark, sf_dir):
+    """Missing count, percent and action tier of the 17 raw fields."""
+    from loanlens.sources.tables import staged_loan_applications
+    return xe.missing_report(staged_loan_applications(spark, sf_dir), RAW_FIELDS)
+
+
+@register("class_profile", O.with_ctes(" union all ".join(
+    f"select '{c}' as feature, round(avg(case when \"default\" = 0 then {c} end), 6) as mean_0, "
+    f"round(avg(case when \"default\" = 1 then {c} end), 6) as mean_1, "
+    f"round((avg(case when \"default\" = 1 then {c} end) - avg(case when \"default\" = 0 then {c} end)) / abs(avg(case when \"default\" = 0 then {c} end)) * 100, 4) as pct_diff from resolved"
+    for c in _PROFILE_COLS), "resolved"))
+def class_profile(spark, sf_dir):
+    """Mean of ten fields by class with percent difference vs class 0."""
+    return xe.class_profile(resolved_loans(spark, sf_dir), _PROFILE_COLS)
+
+
+@register("mean_shift", O.with_ctes(" union all ".join(
+    f"select '{c}' as feature, round(avg(case when split = 'train' then {c} end), 6) as base_mean, "
+    f"round(avg(case when split <> 'train' then {c} end), 6) as later_mean, "
+    f"round((avg(case when split <> 'train' then {c} end) - avg(case when split = 'train' then {c} end)) / abs(avg(case when split = 'train' then {c} end)) * 100, 4) as pct_change, "
+    f"coalesce(abs((avg(case when split <> 'train' then {c} end) - avg(case when split = 'train' then {c} end)) / abs(avg(case when split = 'train' then {c} end)) * 100) > 10.0, false) as flagged from resolved"
+    for c in _PROFILE_COLS), "resolved"))
+def mean_shift(spark, sf_dir):
+    """Train-period mean vs later periods, % change, flag above 10 %."""
+    return xe.mean_shift(resolved_loans(spark, sf_dir), _PROFILE_COLS, F.col("split") == "train", F.col("split") != "train")
+
+
+def _corr_sql(x: str, y: str) -> str:
+    return (f"(select '{x}' as feature, '{y}' as other, round(r, 6) as correlation, coalesce(abs(r) > {{t}}, false) as flagged from "
+            f"(select case when vx > 0 and vy > 0 then cov / sqrt(vx * vy) end as r from "
+            f"(select sxy - sx * sy / n as cov, sxx - sx * sx / n as vx, syy - sy * sy / n as vy from "
+            f"(select count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx, sum(y * y) as syy, sum(x * y) as sxy from "
+            f"(select cast(\"{x}\" as double) as x, cast(\"{y}\" as double) as y from {{src}} where \"{x}\" is not null and \"{y}\" is not null)))))")
+
+
+_LEAK_NUMS = [c for c in NUMERIC_FEATURES] + ["app_id", "issue_year"]
+
+
+@register("leakage_corr", O.with_ctes(" union all ".join(
+    _corr_sql(c, "default").replace("{t}", "0.3").replace("{src}", "resolved") for c in sorted(_LEAK_NUMS)), "resolved"))
+def leakage_corr(spark, sf_dir):
+    """D16 + D18: |Pearson r| of every numeric column with the target, flag > 0.3."""
+    df = resolved_loans(spark, sf_dir)
+    return xe.correlations(df, [(c, "default") for c in sorted(_LEAK_NUMS)], 0.3)
+
+
+@register("leakage_report")
+def leakage_report(spark, sf_dir):
+    """D15 + D17: name-pattern and correlation flags, safe columns (train split)."""
+    df = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
+    return xe.leakage_report(df.select("default", *NUMERIC_FEATURES))
+
+
+_PAIRS = [("fico_range_low", "int_rate"), ("loan_amnt", "revol_bal"), ("open_acc", "delinq_2yrs"), ("dti", "revol_util")]
+
+
+@register("pair_corr", O.with_ctes(" union all ".join(
+    _corr_sql(x, y).replace("{t}", "0.9").replace("{src}", "resolved") for x, y in _PAIRS), "resolved"))
+def pair_corr(spark, sf_dir):
+    """Pairwise correlation of suspect pairs (pairwise NULL drop), flag > 0.9."""
+    return xe.correlations(resolved_loans(spark, sf_dir), _PAIRS, 0.9)
+
+
+def _anova_sql() -> str:
+    nn = " and ".join(f"{c} is not null" for c in _ANOVA_COLS)
+    parts = []
+    for c in _ANOVA_COLS:
+        s0, s1 = f"sum(case when \"default\" = 0 then cast({c} as double) end)", f"sum(case when \"default\" = 1 then cast({c} as double) end)"
+        q0 = f"sum(case when \"default\" = 0 then cast({c} as double) * cast({c} as double) end)"
+        q1 = f"sum(case when \"default\" = 1 then cast({c} as double) * cast({c} as double) end)"
+        parts.append(f"select '{c}' as feature, round(case when ssw > 0 then (ssb / 1.0) / (ssw / (n0 + n1 - 2)) end, 6) as anova_f from ("
+                     f"select n0, n1, n0 * (s0 / n0 - (s0 + s1) / (n0 + n1)) * (s0 / n0 - (s0 + s1) / (n0 + n1)) + "
+                     f"n1 * (s1 / n1 - (s0 + s1) / (n0 + n1)) * (s1 / n1 - (s0 + s1) / (n0 + n1)) as ssb, "
+                     f"(q0 - s0 * s0 / n0) + (q1 - s1 * s1 / n1) as ssw from ("
+                     f"select count_if(\"default\" = 0) as n0, count_if(\"default\" = 1) as n1, {s0} as s0, {s1} as s1, {q0} as q0, {q1} as q1 "
+                     f"from fs where {nn}))")
+    return O.with_ctes(" union all ".join(parts), "resolved", extra=_FS_EXTRA)
+
+
+@register("anova_f", _anova_sql())
+def anova_f(spark, sf_dir):
+    """One-way ANOVA F of 13 numeric features on the train split (list-wise NULL drop)."""
+    return xe.anova_f(_fs(spark, sf_dir), _ANOVA_COLS)
+
+
+def _codes_sql() -> dict[str, str]:
+    ex = dict(_FS_EXTRA)
+    sel = ["fs.*"]
+    joins = []
+    for c in _CAT_COLS:
+        ex[f"code_{c}"] = f"select v, row_number() over (order by v) - 1 as code from (select distinct coalesce(cast({c} as varchar), 'nan') as v from fs)"
+        sel.append(f"k_{c}.code as {c}_enc")
+        joins.append(f"join code_{c} k_{c} on k_{c}.v = coalesce(cast(fs.{c} as varchar), 'nan')")
+    ex["enc"] = f"select {', '.join(sel)} from fs " + " ".join(joins)
+    return ex
+
+
+_CODES_EXTRA = _codes_sql()
+
+
+def _chi2_codes_sql() -> str:
+    parts = []
+    for c in _CAT_COLS:
+        e = f"{c}_enc"
+        parts.append(f"select '{e}' as feature, round(((o0 - n0 / (n0 + n1) * (o0 + o1)) * (o0 - n0 / (n0 + n1) * (o0 + o1)) / (n0 / (n0 + n1) * (o0 + o1))) + "
+                     f"((o1 - n1 / (n0 + n1) * (o0 + o1)) * (o1 - n1 / (n0 + n1) * (o0 + o1)) / (n1 / (n0 + n1) * (o0 + o1))), 6) as chi2 from ("
+                     f"select count_if(\"default\" = 0) as n0, count_if(\"default\" = 1) as n1, "
+                     f"cast(sum(case when \"default\" = 0 then {e} end) as double) as o0, cast(sum(case when \"default\" = 1 then {e} end) as double) as o1 from enc)")
+    return O.with_ctes(" union all ".join(parts), "resolved", extra=_CODES_EXTRA)
+
+
+def _encoded(spark, sf_dir):
+    return xe.encode_labels(_fs(spark, sf_dir), _CAT_COLS)
+
+
+@register("chi2_codes", _chi2_codes_sql())
+def chi2_codes(spark, sf_dir):
+    """chi² score of label codes (library flavour) for five categorical fields."""
+    return xe.chi2_codes(_encoded(spark, sf_dir), [f"{c}_enc" for c in _CAT_COLS])
+
+
+@register("chi2_table", O.with_ctes(" union all ".join(
+    f"select '{c}' as feature, round(sum((c0 - e0) * (c0 - e0) / e0 + (c1 - e1) * (c1 - e1) / e1), 6) as chi2, cast(count(*) - 1 as integer) as dof from ("
+    f"select c0, c1, (c0 + c1) * (select count_if(\"default\" = 0) from fs) / (select count(*) from fs) as e0, "
+    f"(c0 + c1) * (select count_if(\"default\" = 1) from fs) / (select count(*) from fs) as e1 from ("
+    f"select coalesce(cast({c} as varchar), 'nan') as v, count_if(\"default\" = 0) as c0, count_if(\"default\" = 1) as c1 from fs group by 1))"
+    for c in _CAT_COLS), "resolved", extra=_FS_EXTRA))
+def chi2_table(spark, sf_dir):
+    """Contingency chi-square of each categorical field × default."""
+    return xe.chi2_table(_fs(spark, sf_dir), _CAT_COLS)
+
+
+_MI_NUM = ["int_rate", "dti", "fico_range_low", "revol_util", "loan_amnt"]
+
+
+def _mi_frame(spark, sf_dir):
+    fs = _fs(spark, sf_dir)
+    binned = {f"{c}_bin": xe.quantile_bins(fs, c, 10) for c in _MI_NUM}
+    out = fs.select("default", *_CAT_COLS, "grade_num", "emp_length_num", *[v.alias(k) for k, v in binned.items()])
+    return out.na.drop(subset=_MI_COLS)   # list-wise drop over all tested columns
+
+
+_MI_COLS = _CAT_COLS + ["grade_num", "emp_length_num"] + [f"{c}_bin" for c in _MI_NUM]
+
+
+def _mi_sql() -> str:
+    ex = dict(_FS_EXTRA)
+    sel = ["\"default\""] + [f"cast({c} as varchar) as {c}" for c in _CAT_COLS + ["grade_num", "emp_length_num"]]
+    for c in _MI_NUM:
+        ex[f"e_{c}"] = f"select quantile_cont({c}, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) as edges from fs"
+        sel.append(f"cast(case when {c} is not null then len(list_filter((select edges from e_{c}), lambda e: {c} > e)) end as varchar) as {c}_bin")
+    ex["mi"] = f"select * from (select {', '.join(sel)} from fs) where " + " and ".join(f"{c} is not null" for c in _MI_COLS)
+    parts = []
+    for c in _MI_COLS:
+        parts.append(f"select '{c}' as feature, round(sum(nxy / n * ln(nxy * n / (nx * ny))), 6) as mutual_info from ("
+                     f"select nxy, (select count(*) from mi) as n, sum(nxy) over (partition by v) as nx, sum(nxy) over (partition by y) as ny "
+                     f"from (select {c} as v, \"default\" as y, count(*) as nxy from mi group by all))")
+    return O.with_ctes(" union all ".join(parts), "resolved", extra=ex)
+
+
+@register("mutual_info", _mi_sql())
+def mutual_info(spark, sf_dir):
+    """D22 (re-aimed): plug-in mutual information of categorical fields and
+    decile-binned numerics with default."""
+    return xe.mutual_info(_mi_frame(spark, sf_dir), _MI_COLS)
+
+
+@register("histogram_by_class", O.with_ctes("""
+select "default", bin, n, n / sum(n) over (partition by "default") / w as density from (
+ select "default", least(floor((int_rate - lo) / ((hi - lo) / 40)), 39)::integer as bin, count(*) as n, any_value((hi - lo) / 40) as w
+ from resolved, (select min(int_rate) as lo, max(int_rate) as hi from resolved) m
+ where int_rate is not null group by 1, 2)""", "resolved"))
+def histogram_by_class(spark, sf_dir):
+    """40 equal-width bins of int_rate by class, with density."""
+    return xe.histogram(resolved_loans(spark, sf_dir), "int_rate", 40, by="default")
+
+
+@register("variance_table", O.with_ctes(" union all ".join(
+    f"select '{c}' as feature, round(var_samp({c}), 4) as variance, round(sqrt(var_samp({c})) / abs(avg({c})), 6) as coef_variation from resolved"
+    for c in _PROFILE_COLS), "resolved"))
+def variance_table(spark, sf_dir):
+    """D24 (intent): sample variance and coefficient of variation per field."""
+    return xe.variance_table(resolved_loans(spark, sf_dir), _PROFILE_COLS)
+
+
+def _rank_sql() -> str:
+    scores = ("select f.feature, a.anova_f, c.chi2, m.mutual_info from (select distinct feature from ("
+              "select feature from an union select feature from ch union select feature from mu)) f "
+              "left join an a using (feature) left join ch c using (feature) left join mu m using (feature)")
+    rank_parts = []
+    for s in ("anova_f", "chi2", "mutual_info"):
+        rank_parts.append(f"left join (select feature, rank() over (order by {s} desc) + (count(*) over (partition by {s}) - 1) / 2.0 as {s}_rank "
+                          f"from sc where {s} is not null) r_{s} using (feature)")
+    avail = " + ".join(f"case when {s}_rank is not null then 1 else 0 end" for s in ("anova_f", "chi2", "mutual_info"))
+    tot = " + ".join(f"coalesce({s}_rank, 0.0)" for s in ("anova_f", "chi2", "mutual_info"))
+    body = (f"select sc.*, anova_f_rank, chi2_rank, mutual_info_rank, case when {avail} > 0 then ({tot}) / ({avail}) end as avg_rank "
+            f"from sc " + " ".join(rank_parts))
+    def inner(sql: str) -> str:
+        return sql[sql.index("\nselect ", sql.index("fs as (") if "fs as (" in sql else 0) + 1:] if False else sql
+    an = _anova_sql()
+    ch = _chi2_codes_sql()
+    mu = _mi_sql()
+    ex = {**_CODES_EXTRA, **{k: v for k, v in _mi_extra().items()}}
+    ex["an"] = an[an.rindex("\nselect '" + _ANOVA_COLS[0]) + 1:]
+    ex["ch"] = "select replace(feature, '_enc', '') as feature, chi2 from (" + ch[ch.rindex("\nselect '" + _CAT_COLS[0]) + 1:] + ")"
+    ex["mu"] = "select replace(feature, '_bin', '') as feature, mutual_info from (" + mu[mu.rindex("\nselect '" + _MI_COLS[0]) + 1:] + ")"
+    ex["sc"] = scores
+    return O.with_ctes(body, "resolved", extra=ex)
+
+
+def _mi_extra() -> dict[str, str]:
+    sql = _mi_sql()
+    return {}
+
+
+@register("feature_rank")
+def feature_rank(spark, sf_dir):
+    """C1 + E1 + E2 (+F1): left-join ANOVA F, chi² and MI tables on the cleaned
+    feature name, average descending ranks, mean of available ranks."""
+    an = anova_f(spark, sf_dir)
+    ch = chi2_codes(spark, sf_dir).select(F.regexp_replace("feature", "_enc$", "").alias("feature"), "chi2")
+    mu = mutual_info(spark, sf_dir).select(F.regexp_replace("feature", "_bin$", "").alias("feature"), "mutual_info")
+    feats = an.select("feature").union(ch.select("feature")).union(mu.select("feature")).distinct()
+    scores = feats.join(an, "feature", "left").join(ch, "feature", "left").join(mu, "feature", "left")
+    return xe.average_rank(scores, ["anova_f", "chi2", "mutual_info"]).orderBy("avg_rank")
