@@ -1010,3 +1010,59 @@ def feature_rank(spark, sf_dir):
     feats = an.select("feature").union(ch.select("feature")).union(mu.select("feature")).distinct()
     scores = feats.join(an, "feature", "left").join(ch, "feature", "left").join(mu, "feature", "left")
     return xe.average_rank(scores, ["anova_f", "chi2", "mutual_info"]).orderBy("avg_rank")
+
+
+# ------------------------------------------------------------------ step 9: streams
+from loanlens.streaming import jobs as sj  # noqa: E402
+
+_RATE_WIDTH = 86400
+_RATE_LIMIT = 3
+
+
+@register("stream_scores", O.with_ctes('select app_id, split, "default", p from scored', "scored"))
+def stream_scores(spark, sf_dir):
+    """ST1: file stream of raw loan rows → clean → split → prep → score (availableNow)."""
+    from loanlens.sources.tables import staged_loan_applications
+    import os
+    staged = staged_loan_applications(spark, sf_dir)
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0]
+    stream = sj.file_stream(spark, folder.replace("file:", ""), "*.parquet", staged.schema)
+    return sj.run_available_now(sj.scoring_stream(stream, fitted_prep(spark, sf_dir)), "scores")
+
+
+@register("stream_ab_windows", f"""
+select strftime(time_bucket(interval 1 day, ts), '%Y-%m-%d %H:%M:%S') as window_start,
+ strftime(time_bucket(interval 1 day, ts) + interval 1 day, '%Y-%m-%d %H:%M:%S') as window_end,
+ case when {_bucket_sql('cast(user_id as varchar)')} < 10.0 then 'challenger' else 'champion' end as arm,
+ count(*) as n_requests, cast(sum(cast(value as decimal(18,2))) as double) as total_value
+from events where time_bucket(interval 1 day, ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour
+group by all""")
+def stream_ab_windows(spark, sf_dir):
+    """ST2 + ST5: de-duplicated request stream, daily tumbling windows per arm,
+    1 h watermark, append mode (closed windows only)."""
+    from loanlens.sources.tables import read_table
+    schema = read_table(spark, sf_dir, "events").schema
+    ev_stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
+    return sj.run_available_now(sj.ab_window_stream(ev_stream), "ab-windows")
+
+
+@register("request_rate_all", f"""
+select event_id, user_id, count(*) over (partition by user_id order by ts range between interval {_RATE_WIDTH} seconds preceding and current row) as n_in_window,
+ count(*) over (partition by user_id order by ts range between interval {_RATE_WIDTH} seconds preceding and current row) > {_RATE_LIMIT} as over_limit
+from events""")
+def request_rate_all(spark, sf_dir):
+    """ST3 batch 'count all' form: events per client in the trailing day, flag above 3."""
+    from loanlens.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    c = sj.trailing_counts(ev, "user_id", "ts", _RATE_WIDTH)
+    return c.select("event_id", "user_id", "n_in_window", (F.col("n_in_window") > _RATE_LIMIT).alias("over_limit"))
+
+
+@register("request_rate_accepted")
+def request_rate_accepted(spark, sf_dir):
+    """ST3 stateful form: ≤ 3 accepted events per client per trailing day;
+    rejected events are not counted (applyInPandasWithState over the event stream)."""
+    from loanlens.sources.tables import read_table
+    schema = read_table(spark, sf_dir, "events").schema
+    ev_stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
+    return sj.run_available_now(sj.rate_limit_stream(ev_stream, _RATE_LIMIT, _RATE_WIDTH), "rate-limit")
