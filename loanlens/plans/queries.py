@@ -1066,3 +1066,74 @@ def request_rate_accepted(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
     ev_stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
     return sj.run_available_now(sj.rate_limit_stream(ev_stream, _RATE_LIMIT, _RATE_WIDTH), "rate-limit")
+
+
+# ------------------------------------------------------------------ step 8: learners
+from loanlens.operators import learn as ml  # noqa: E402
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _train_frame(spark, sf_dir, splits=("train",)):
+    model = fitted_prep(spark, sf_dir)
+    df = prepared(spark, sf_dir, model).where(F.col("split").isin(*splits))
+    return model, df
+
+
+def _learned(spark, sf_dir, kind: str, splits=("train",)):
+    key = (spark.sparkContext.applicationId, sf_dir, kind, splits)
+    if key not in _MODELS:
+        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if kind == "gbt" else ()))
+        feats = prep.feature_columns
+        if kind == "logistic":
+            d = ml.class_weights(df, mode="balanced")
+            wsum = d.agg(F.sum("w")).first()[0]
+            _MODELS[key] = ml.logistic_pipeline(feats, C=0.5, max_iter=200, weight_sum=wsum).fit(d)
+        else:
+            d = ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val")
+            _MODELS[key] = ml.gbt_pipeline(feats).fit(d)
+    return _MODELS[key]
+
+
+def _split_rows(spark, sf_dir, split):
+    return prepared(spark, sf_dir, fitted_prep(spark, sf_dir)).where(F.col("split") == split)
+
+
+@register("model_compare")
+def model_compare(spark, sf_dir):
+    """I3 + I4 + I6 + D37: weighted logistic regression and boosted trees,
+    validation AUC table sorted, champion flagged."""
+    val = _split_rows(spark, sf_dir, "val")
+    return ml.compare_models({"logistic": ml.score(_learned(spark, sf_dir, "logistic"), val),
+                              "gbt": ml.score(_learned(spark, sf_dir, "gbt"), val)})
+
+
+@register("learned_scores")
+def learned_scores(spark, sf_dir):
+    """I8 with a learned model: probability (4 dp), decision, threshold, version on the test split."""
+    return ml.score(_learned(spark, sf_dir, "logistic"), _split_rows(spark, sf_dir, "test"),
+                    threshold=0.5, version="logistic_v1")
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Boosted-tree feature importances as rows."""
+    return ml.feature_importance(_learned(spark, sf_dir, "gbt"), fitted_prep(spark, sf_dir).feature_columns)
+
+
+@register("perm_importance")
+def perm_importance(spark, sf_dir):
+    """Permutation importance (10 repeats, AUC drop) of the logistic model on validation rows."""
+    feats = fitted_prep(spark, sf_dir).feature_columns
+    return ml.permutation_importance(_learned(spark, sf_dir, "logistic"), _split_rows(spark, sf_dir, "val"), feats)
+
+
+@register("retrain_compare")
+def retrain_compare(spark, sf_dir):
+    """I16 + I17: candidate trained on train+val vs the existing model on the
+    same test split; promote only when better; registry row appended."""
+    test = _split_rows(spark, sf_dir, "test")
+    old = ev.auc(ml.score(_learned(spark, sf_dir, "logistic"), test))
+    new = ev.auc(ml.score(_learned(spark, sf_dir, "logistic", ("train", "val")), test))
+    cmp_ = ml.retrain_compare(new, old)
+    return ml.registry_entries(cmp_, "logistic", 2).drop("registered_at")
