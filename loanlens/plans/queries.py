@@ -1137,3 +1137,46 @@ def retrain_compare(spark, sf_dir):
     new = ev.auc(ml.score(_learned(spark, sf_dir, "logistic", ("train", "val")), test))
     cmp_ = ml.retrain_compare(new, old)
     return ml.registry_entries(cmp_, "logistic", 2).drop("registered_at")
+
+
+# ------------------------------------------------------------------ step 10: attribution
+from loanlens.operators import attribution as at  # noqa: E402
+from loanlens.operators.scoring import CHAMPION  # noqa: E402
+
+
+def _attr_sql(body: str) -> str:
+    means = ", ".join(f"avg({c}) as m_{c}" for c, _, _ in CHAMPION.terms)
+    phis = ", ".join(f"{w!r} * ({c} - m.m_{c}) as phi_{c}" for c, w, _ in CHAMPION.terms)
+    return O.with_ctes(body, "prepared", extra={
+        "m": f"select {means} from prepared where split = 'train'",
+        "ph": f"select p.app_id, p.split, {phis} from prepared p, m"})
+
+
+@register("attribution_global", _attr_sql("select * from (" + " union all ".join(
+    f"select '{c}' as feature, round(avg(abs(phi_{c})), 6) as mean_abs_attribution from ph" for c, _, _ in CHAMPION.terms)
+    + ") order by mean_abs_attribution desc, feature limit 15"))
+def attribution_global(spark, sf_dir):
+    """I9 + F3: exact linear attribution of the champion scorecard over all rows, top 15."""
+    model = fitted_prep(spark, sf_dir)
+    prep = prepared(spark, sf_dir, model)
+    return at.global_attribution(prep, CHAMPION, prep.where(F.col("split") == "train"))
+
+
+@register("attribution_drift", _attr_sql("select feature, period_a, period_b, round(period_b - period_a, 6) as change from (" + " union all ".join(
+    f"select '{c}' as feature, round(avg(case when split = 'train' then abs(phi_{c}) end), 6) as period_a, "
+    f"round(avg(case when split = 'test' then abs(phi_{c}) end), 6) as period_b from ph" for c, _, _ in CHAMPION.terms) + ")"))
+def attribution_drift(spark, sf_dir):
+    """I12 + F4: mean |attribution| train vs test per feature, change, sorted by |change|."""
+    model = fitted_prep(spark, sf_dir)
+    prep = prepared(spark, sf_dir, model)
+    return at.attribution_drift(prep, CHAMPION, prep.where(F.col("split") == "train"), "split", "train", "test")
+
+
+@register("attribution_local")
+def attribution_local(spark, sf_dir):
+    """Per-feature attribution of the lowest test-split application id."""
+    model = fitted_prep(spark, sf_dir)
+    prep = prepared(spark, sf_dir, model)
+    test = prep.where(F.col("split") == "test")
+    first = test.agg(F.min("app_id")).scalar()
+    return at.local_attribution(test.where(F.col("app_id") == first), CHAMPION, prep.where(F.col("split") == "train"))
