@@ -1180,3 +1180,38 @@ def attribution_local(spark, sf_dir):
     test = prep.where(F.col("split") == "test")
     first = test.agg(F.min("app_id")).scalar()
     return at.local_attribution(test.where(F.col("app_id") == first), CHAMPION, prep.where(F.col("split") == "train"))
+
+
+# ------------------------------------------------------------------ sources / sinks round trips
+from loanlens.sources import loans as io  # noqa: E402
+from loanlens.session import scratch_path  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+
+@register("split_sink", O.with_ctes("""
+select split, count(*) as rows, 40 + 0 as width from prepared group by split""".replace("40 + 0", "(26 + (select count(*) from cats) + 4)"),
+    "prepared", "cats"))
+def split_sink(spark, sf_dir):
+    """A9 + A4/A5: prepared features written partitioned by split, per-split
+    shape; the test window is read back through partition pruning."""
+    model = fitted_prep(spark, sf_dir)
+    df = prepared(spark, sf_dir, model)
+    path = scratch_path(spark, f"splits-{_uuid.uuid4().hex[:8]}")
+    shapes = io.write_splits(df, path)
+    back = io.read_window(spark, path, "test", ["app_id"])
+    assert back.count() == df.where(F.col("split") == "test").count()
+    return shapes
+
+
+@register("ab_log_roundtrip", O.with_ctes(f"""
+select count(*) as total_requests, count_if(assigned_model = 'champion') as champion_requests,
+ {rr("count_if(champion_decision = 'APPROVE')", "count(champion_decision)")} as champion_approval_rate,
+ {rr("count_if(challenger_decision = 'APPROVE')", "count(challenger_decision)")} as challenger_approval_rate
+from cf""", "scored_both", extra={"cf": _CF_FULL}))
+def ab_log_roundtrip(spark, sf_dir):
+    """A11 + A6: the counterfactual log appended as JSON lines, read back with
+    the explicit schema in FAILFAST mode, then summarised (D40)."""
+    path = scratch_path(spark, f"ab-log-{_uuid.uuid4().hex[:8]}")
+    io.append_jsonl(_log(spark, sf_dir).withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")), path)
+    s = xp.summary(io.read_counterfactual_log(spark, path, strict=True))
+    return s.select("total_requests", "champion_requests", "champion_approval_rate", "challenger_approval_rate")
