@@ -114,7 +114,8 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     ranked = rows.select("*", F.row_number().over(w_row).alias("pos"))
     donor_val = F.element_at(F.array(*[F.col(f"f{i}") for i in range(len(feats))]), F.col("j") + 1)
     donors = rows.select("j", "r", "b", F.row_number().over(w_perm).alias("pos"), donor_val.alias("donor"))
-    joined = ranked.join(donors, ["j", "r", "b", "pos"])
+    # both sides grow with rows × features × repeats: never broadcast
+    joined = ranked.join(donors.hint("shuffle_merge"), ["j", "r", "b", "pos"])
     vec = F.array(*[F.when(F.col("j") == i, F.col("donor")).otherwise(F.col(f"f{i}")) for i in range(len(feats))])
     perm = joined.select("j", "r", key, label, *[vec[i].alias(c) for i, c in enumerate(feats)])
     scored = model.transform(perm).select("j", "r", label, F.round(vector_to_array("probability")[1], 4).alias("p"))

@@ -18,6 +18,9 @@ def get_spark(master: str | None = None, app: str = "loanlens",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor (ignored if already running)
+            builder = builder.config("spark.driver.memory", os.environ.get("LOANLENS_DRIVER_MEMORY", "16g"))
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
