@@ -255,7 +255,7 @@ def business_metrics(scored: DataFrame, threshold: float, p: str = "p", y: str |
     r = scored.groupBy(*by).agg(*aggs)
     approval = round_ratio(F.col("n_approved"), F.col("n"), 4)
     out = [*by, "n", approval.alias("approval_rate"),
-           (F.lit(1.0) - approval).alias("denial_rate")]
+           round_ratio(F.col("n") - F.col("n_approved"), F.col("n"), 4).alias("denial_rate")]
     if amount:
         # loss units are 1e-6 currency; round half-up to cents in integer math
         cents = round_ratio(F.coalesce(F.col("loss_units").cast("bigint"), F.lit(0)), F.lit(10 ** 4), 0)

@@ -39,7 +39,7 @@ rr = O.rr
 _BM_SQL = O.with_ctes(f"""
 select split, count(*) as n,
  {rr("sum(case when p < 0.47 then 1 else 0 end)", "count(*)")} as approval_rate,
- 1.0 - {rr("sum(case when p < 0.47 then 1 else 0 end)", "count(*)")} as denial_rate,
+ {rr("count(*) - sum(case when p < 0.47 then 1 else 0 end)", "count(*)")} as denial_rate,
  {rr("coalesce(sum(case when p < 0.47 then round(p*10000)::hugeint * round(loan_amnt*100)::hugeint end), 0)", "10000", 0)} / 100.0 as expected_loss,
  {rr('sum(case when p < 0.47 and "default" = 1 then 1 else 0 end)', "sum(case when p < 0.47 then 1 else 0 end)")} as default_rate_on_approved,
  {rr("sum(round(p*10000)::hugeint)", "count(*) * 10000")} as mean_probability,
