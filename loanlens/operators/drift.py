@@ -59,7 +59,10 @@ def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str
     """
     counts = value_counts(df.where(F.col(by).isin(reference, *windows)), features, by).where(F.col("value").isNotNull())
     # reused by five branches: materialise once in the shared checkpoint folder
-    counts = counts.checkpoint(eager=True) if checkpoint else counts
+    if checkpoint:
+        from loanlens.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
     ref = counts.where(F.col("window") == reference).select("feature", "value", F.col("n").alias("n_ref"))
     cur = counts.where(F.col("window") != reference).select("window", "feature", "value", F.col("n").alias("n_cur"))
     rep = ref.select(F.explode(F.array(*[F.lit(w) for w in windows])).alias("window"), "feature", "value",
