@@ -166,6 +166,9 @@ def label_codes(df: DataFrame, col: str, max_values: int = 10000) -> DataFrame:
     """code = position of the value in the sorted distinct values, with
     NULL encoded as the text 'nan' (bounded distinct table, broadcast later)."""
     vals = df.select(F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("v")).distinct()
+    # the code table is ranked in one window and broadcast: keep it bounded
+    if df.agg(F.approx_count_distinct(col)).first()[0] > max_values:
+        raise ValueError(f"{col}: more than {max_values} distinct values for label encoding")
     w = Window.orderBy("v")
     codes = vals.select("v", (F.row_number().over(w) - 1).alias("code"))
     return codes
