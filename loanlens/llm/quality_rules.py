@@ -1,13 +1,14 @@
 """Document quality by weak supervision.
 
 Each rule votes good (1), bad (-1) or abstains (0) on a document.  Expectation
-maximisation over all documents estimates how often each rule is right when
-it votes, and the posterior probability of a good document replaces the
+maximisation over all documents estimates how accurate each rule's votes are
+on good and on bad documents, and the posterior probability of a good document replaces the
 usual demand that every rule passes.
 
 The measures of a text are taken by one Arrow-batched pass.  A document enters
 the estimate only through its vector of votes, so documents are first counted
-by vector: at most 3 ** len(RULES) rows (6561), whatever the input, and exactly
+by vector: at most 3 ** len(RULES) rows (177147, and in practice
+far fewer), whatever the input, and exactly
 what EM over all documents would see.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from loanlens.llm.common import shared_table
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended", "n_letters", "n_upper",
-            "n_distinct"]
+            "n_distinct", "n_plain", "n_symbol_words", "n_marks"]
 _SYMBOLS = b"#*$%&|<>"
 _ENDS = (b".", b"!", b"?", b":", b'"', "…".encode(), "”".encode(), "»".encode())
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -66,12 +67,16 @@ def measures(text: str) -> tuple[int, ...]:
     letters = sum(map(str.isalpha, text)) if not text.isascii() else len(b.translate(None, _NOT_LETTERS))
     upper = len(b) - len(b.translate(None, _UPPER))
     return (len(words), len(text) - white, symbols, len(lines) - len(set(lines)), repeated_words(words), len(lines),
-            sum(x.rstrip().endswith(_ENDS) for x in lines), letters, upper, len(set(words)))
+            sum(x.rstrip().endswith(_ENDS) for x in lines), letters, upper, len(set(words)),
+            len(b.translate(None, _NOT_PLAIN).split()), len(b.translate(None, _NOT_SYMBOLS).split()), b.count(b"!") + b.count(b"?"))
 
 
 _LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NOT_LETTERS = bytes(set(range(256)) - set(_LETTERS))
+_WHITE = b" \t\n\v\f\r"
+_NOT_PLAIN = bytes(set(range(128)) - set(_LETTERS + b"0123456789" + _WHITE))       # leaves words with a letter or digit
+_NOT_SYMBOLS = bytes(set(range(256)) - set(_SYMBOLS + _WHITE))                     # leaves words with a symbol
 
 
 def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -105,38 +110,50 @@ def rules() -> dict[str, Column]:
         "length": _vote(c("n_words") >= 40, c("n_words") < 10),
         "word_length": _vote((c("word_chars") / words).between(3, 9), ~(c("word_chars") / words).between(2, 14)),
         "symbols": _vote(c("n_symbols") / words < 0.02, c("n_symbols") / words > 0.1),
+        "symbol_words": _vote(c("n_symbol_words") / words < 0.02, c("n_symbol_words") / words > 0.1),
         "dup_lines": _vote((c("n_dup_lines") == 0) & (c("n_lines") > 1), c("n_dup_lines") / lines > 0.3),
         "repeats": _vote((c("n_words") >= 10) & (c("n_repeat_words") / words < 0.05), c("n_repeat_words") / words > 0.2),
-        "letters": _vote(c("n_letters") / chars > 0.85, c("n_letters") / chars < 0.6),
+        "letters": _vote(c("n_letters") / chars > 0.9, c("n_letters") / chars < 0.8),
+        "plain": _vote(c("n_plain") / words > 0.95, c("n_plain") / words < 0.8),
         "upper": _vote(c("n_upper") / chars < 0.15, c("n_upper") / chars > 0.5),
+        "marks": _vote(c("n_marks") / words < 0.1, c("n_marks") / words > 0.5),
         "distinct": _vote((c("n_words") >= 10) & (c("n_distinct") / words > 0.3), c("n_distinct") / words < 0.1),
     }
 
 
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[float, np.ndarray]:
-    """EM over vote vectors and how often each occurs: share of good documents, accuracy of each rule.
+def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
+    """EM over vote vectors and how often each occurs.
 
-    Rules are independent given the quality and right with one accuracy each
-    when they vote; accuracies are held in 0.55..0.99, so that "good" keeps its
-    meaning, and the share in 0.05..0.95.  Starts from accuracy 0.8.
+    Returns the share of good documents and, as ``weight[rule, vote + 1]``, the
+    log likelihood ratio of good to bad for each vote.  Given the quality, rules
+    vote independently; each has its own rates of bad, abstaining and good
+    votes on good and on bad documents, so a rule that seldom fires wrongly
+    outweighs many that pass nearly everything.  The first guess is odds of
+    19 to 1 for good without a bad vote, even odds for one, 1 to 19 for two.  A bad vote never counts
+    for a document and a good vote never against it.
     """
-    share, acc = 0.8, np.full(votes.shape[1], 0.8)
-    cast = np.maximum((votes != 0).T @ counts, 1e-9)
+    said = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)      # vector, rule, vote
+    good = 1 / (1 + 19.0 ** ((votes == -1).sum(1) - 1.0))
+    share, weight = 0.9, np.zeros((votes.shape[1], 3))
     for _ in range(rounds):
-        good = posterior(votes, share, acc)
-        right = (votes == 1).T @ (counts * good) + (votes == -1).T @ (counts * (1 - good))
-        new_acc = np.clip((right + 4) / (cast + 5), 0.55, 0.99)
-        new_share = float(np.clip((counts * good).sum() / max(counts.sum(), 1), 0.05, 0.95))
-        done = abs(new_share - share) + np.abs(new_acc - acc).max() < 1e-9
-        share, acc = new_share, new_acc
+        rates = []
+        for q in (good, 1 - good):
+            n = np.einsum("n,nrv->rv", counts * q, said) + 0.5
+            rates.append(n / n.sum(1, keepdims=True))
+        new = np.log(rates[0]) - np.log(rates[1])
+        new[:, 0] = np.minimum(new[:, 0], 0)
+        new[:, 2] = np.maximum(new[:, 2], 0)
+        share = float(np.clip((counts * good).sum() / max(counts.sum(), 1), 0.05, 0.95))
+        done, weight = np.abs(new - weight).max(initial=0) < 1e-9, new
+        good = posterior(votes, share, weight)
         if done:
             break
-    return share, acc
+    return share, weight
 
 
-def posterior(votes: np.ndarray, share: float, acc: np.ndarray) -> np.ndarray:
-    odds = np.log(share / (1 - share)) + votes @ np.log(acc / (1 - acc))
-    return 1 / (1 + np.exp(-odds))
+def posterior(votes: np.ndarray, share: float, weight: np.ndarray) -> np.ndarray:
+    odds = np.log(share / (1 - share)) + sum(weight[r, votes[:, r].astype(int) + 1] for r in range(votes.shape[1]))
+    return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.5) -> DataFrame:
@@ -154,10 +171,10 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keys = [f"vote_{k}" for k in names]
     seen = m.groupBy(*keys).count().collect()          # at most 3 ** len(RULES) rows
     votes = np.array([[r[k] for k in keys] for r in seen], float).reshape(-1, len(keys))
-    share, acc = estimate(votes, np.array([r["count"] for r in seen], float))
+    share, weight = estimate(votes, np.array([r["count"] for r in seen], float))
     odds = F.lit(float(np.log(share / (1 - share))))
-    for k, w in zip(keys, np.log(acc / (1 - acc))):
-        odds = odds + F.col(k) * F.lit(float(w))
+    for k, w in zip(keys, weight.tolist()):
+        odds = odds + F.when(F.col(k) < 0, w[0]).when(F.col(k) > 0, w[2]).otherwise(w[1])
     quality = 1 / (1 + F.exp(-odds))
     return m.withColumnRenamed("__id", id_col).withColumns(
         {"base_failed": base_failed(), "quality": quality, "kept": ~base_failed() & (quality >= keep_at)})
