@@ -78,6 +78,13 @@ def op3(spark, sf_dir):
     return mix(read(spark, sf_dir, "documents"))
 
 
+@register("op7_benchmark_decontamination")
+def op7(spark, sf_dir):
+    """Benchmark items that each document holds, question and answer verified."""
+    from loanlens.llm.decontaminate import contaminated
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @register("op8_simhash_near_dedup")
 def op8(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
@@ -115,3 +122,14 @@ def op10(spark, sf_dir):
     from loanlens.llm.quality_rules import judge_quality
     return judge_quality(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
+
+
+@register("op1_language_id")
+def op1(spark, sf_dir):
+    """Predicted language of every document; learned from those of remainder 0, 1 and 3."""
+    from loanlens.llm.common import crc_mod
+    from loanlens.llm.language_id import identify, train
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)))
+    model = train(docs.filter("not held_out"))
+    return identify(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "bits", F.col("rejected").cast("boolean").alias("rejected"))
