@@ -133,3 +133,12 @@ def op1(spark, sf_dir):
     model = train(docs.filter("not held_out"))
     return identify(docs.select("doc_id", "held_out", "text"), model).select(
         "doc_id", "held_out", "lang_pred", "score", "bits", F.col("rejected").cast("boolean").alias("rejected"))
+
+
+@register("op4_lm_scoring")
+def op4(spark, sf_dir):
+    """Hidden Markov and unigram log10 probability of every document."""
+    from loanlens.llm.common import crc_mod
+    from loanlens.llm.hmm_lm import score_lm
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False)))
+    return score_lm(docs)
