@@ -142,3 +142,14 @@ def op4(spark, sf_dir):
     from loanlens.llm.hmm_lm import score_lm
     docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False)))
     return score_lm(docs)
+
+
+@register("op5_toxicity")
+def op5(spark, sf_dir):
+    """Toxicity score of every document; learned from labels of remainder 1 to 4."""
+    from loanlens.llm.common import crc_mod
+    from loanlens.llm.toxicity import labelled, score_toxicity, train
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False)))
+    model = train(labelled(docs, read(spark, sf_dir, "labels"), "toxic", ~F.col("held_out")))
+    return score_toxicity(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
