@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanlens.session import ensure_checkpoint_dir
@@ -46,3 +46,18 @@ def shared_table(df: DataFrame, tag: str) -> DataFrame:
 def small_or_shuffled(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only when ``df`` (a written table) has at most ``max_rows`` rows."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def numbered(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
+    """``df`` (written to the shared folder) plus ``__number``, its place from 0 in the global order.
+
+    The sort is distributed: rows take their number inside their partition
+    and the partitions' row counts (one row per partition) give the offsets.
+    """
+    placed = shared_table(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), tag)
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return placed.join(F.broadcast(before), "__part").withColumn(
+        "__number", F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at", "__part", "__before")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import WORD, shared_table, small_or_shuffled
+from loanlens.llm.common import WORD, numbered, shared_table, small_or_shuffled
 
 MOST_EPOCHS = 3
 
@@ -36,23 +36,6 @@ def uniform(*cols: Column, seed: int = 0) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def ranked(names: DataFrame, col: str) -> DataFrame:
-    """``names`` plus ``__rank`` from 1 by code point of ``col``, null last.
-
-    The sort is distributed: rows take their number inside their partition
-    and the partitions' row counts give the offsets.
-    """
-    placed = shared_table(names.orderBy(F.col(col).asc_nulls_last()).withColumn(
-        "__at", F.monotonically_increasing_id()), "mix-sources")
-    part, inside = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    placed = placed.withColumns({"__part": part, "__in": inside})
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    return placed.join(before, "__part").withColumn("__rank", F.col("__before") + F.col("__in") + 1).drop(
-        "__at", "__part", "__in", "__before")
-
-
 def source_targets(sizes: DataFrame, cycle: int = 3) -> DataFrame:
     """(source, source_size, weight, target) from (source, source_size).
 
@@ -61,8 +44,8 @@ def source_targets(sizes: DataFrame, cycle: int = 3) -> DataFrame:
     size and the excess is shared again by weight: the share per weight rises
     until no source that is not full is above its limit.
     """
-    s = shared_table(ranked(sizes, "source").select(
-        "source", "source_size", (F.pmod(F.col("__rank") - 1, F.lit(cycle)) + 1).cast("long").alias("weight")), "mix-weights")
+    s = shared_table(numbered(sizes, [F.col("source").asc_nulls_last()], "mix-sources").select(
+        "source", "source_size", (F.pmod(F.col("__number"), F.lit(cycle)) + 1).cast("long").alias("weight")), "mix-weights")
     limit = F.col("source_size") * MOST_EPOCHS
     total = s.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     share, full = 0.0, None

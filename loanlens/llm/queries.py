@@ -153,3 +153,30 @@ def op5(spark, sf_dir):
     model = train(labelled(docs, read(spark, sf_dir, "labels"), "toxic", ~F.col("held_out")))
     return score_toxicity(docs.select("doc_id", "held_out", "text"), model).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def raw_transcripts(conversations):
+    """Stand-in input: turns of ``conversations`` as raw transcript text.
+
+    Each conversation is written in one of four marker styles, one turn in five
+    without a marker, as in logs pasted from various tools.
+    """
+    style = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4))
+    bare = F.pmod(F.crc32(F.concat_ws("-", "conv_id", "turn").cast("binary")), F.lit(5)) == 0
+    user, ai = F.col("role") == "user", F.col("role") == "assistant"
+    mark = (F.when(bare | F.col("role").isNull(), F.lit(""))
+            .when(style == 0, F.concat(F.initcap("role"), F.lit(": ")))
+            .when(style == 1, F.when(user, "Q: ").when(ai, "A: ").otherwise("### System: "))
+            .when(style == 2, F.when(user, "[Human] ").when(ai, "[AI] ").otherwise("[System] "))
+            .otherwise(F.concat(F.lit("<|"), "role", F.lit("|> "))))
+    return conversations.withColumn("text", F.concat(mark, F.coalesce("text", F.lit(""))))
+
+
+@register("op6_chat_formatting")
+def op6(spark, sf_dir):
+    """Every conversation's lines with the roles recovered from raw transcripts; tables from three quarters of them."""
+    from loanlens.llm.chat_format import format_chats, train
+    from loanlens.llm.common import crc_mod
+    raw = raw_transcripts(read(spark, sf_dir, "conversations"))
+    model = train(raw.filter(F.coalesce(crc_mod(F.col("conv_id"), 4) != 2, F.lit(False))))
+    return format_chats(raw.drop("role"), model)

@@ -106,11 +106,12 @@ class Classifier:
 
 
 def fit(rows: list[list[int]], labels: np.ndarray, swaps: list[tuple[int, list[int]]], n: int, penalty: float,
-        l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
+        l2: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
     """Logistic weights by Adam; ``swaps`` pairs a row with a swapped version's features.
 
     Loss: mean log loss + l2 |w|^2 + penalty * mean squared change of the
-    log odds over the swapped versions.
+    log odds over the swapped versions.  The rarer class counts
+    sqrt(frequent / rare) times.
     """
     size = np.array([len(r) for r in rows], int)
     col = np.fromiter((f for r in rows for f in r), int, size.sum())
@@ -124,11 +125,13 @@ def fit(rows: list[list[int]], labels: np.ndarray, swaps: list[tuple[int, list[i
             dval.append(1.0 if f in a else -1.0)
     dat, dcol, dval = np.array(dat, int), np.array(dcol, int), np.array(dval)
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
+    heavy = np.where(labels == (share < 0.5), np.sqrt(max(share, 1 - share) / min(share, 1 - share)), 1.0)
+    heavy /= max(heavy.sum(), 1.0)
     w, bias = np.zeros(n), float(np.log(share / (1 - share)))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for t in range(1, steps + 1) if len(rows) else ():
         z = bias + np.bincount(at, w[col], len(rows))
-        r = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) / len(rows)
+        r = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) * heavy
         g = np.bincount(col, r[at], n) + 2 * l2 * w
         if len(swaps):
             change = np.bincount(dat, dval * w[dcol], len(swaps))
