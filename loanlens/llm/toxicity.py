@@ -1,8 +1,9 @@
 """Toxicity by a counterfactually regularised classifier.
 
 A logistic model over the words of a text and their first four to six bytes
-(stems).  Features are chosen by chi-square from document counts over all
-labelled training texts.  For the fit, identity terms in labelled sentences
+(stems).  Of the features that toxic texts hold more often the most
+telling are chosen by chi-square, from document counts over all labelled
+training texts.  For the fit, identity terms in labelled sentences
 are swapped for others of their group, and the loss adds the squared change of
 the score between a text and each swapped version, so that naming a group by
 itself moves the score little.
@@ -154,7 +155,8 @@ def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_
     p, q, n = F.col("pos").cast("double"), F.col("neg").cast("double"), float(neg + pos)
     num = p * (neg - q) - q * (pos - p)
     chi2 = n * num * num / (float(neg) * pos * (p + q) * (n - p - q + 1))
-    head = counts.filter(F.col("pos") + F.col("neg") >= min_rows).orderBy(chi2.desc(), "feature").limit(max_features).collect()
+    # Only features that toxic texts hold more often: many clean words then never outweigh an insult in a long text.
+    head = counts.filter((p + q >= min_rows) & (p * neg > q * pos)).orderBy(chi2.desc(), "feature").limit(max_features).collect()
     terms = {f for t in _TERMS for f in features([t])}
     names = sorted({bytes(r["feature"]) for r in head} | terms)                # at most max_features and the identity terms
     number = {f: i for i, f in enumerate(names)}
@@ -179,7 +181,11 @@ def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_
 
 
 def score_toxicity(docs: DataFrame, model: Classifier, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` plus the score (0 to 1) of each whole text; a null text is the empty text, which gets the bias alone."""
+    """``docs`` plus the score (0 to 1) of each whole text; a null text is the empty text, which gets the bias alone.
+
+    An input column named like the result is replaced.
+    """
+    docs = docs.drop(out)
     at, shared = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
