@@ -152,15 +152,19 @@ def round_ratio(num: Column, den: Column, decimals: int = 4) -> Column:
     decimal ties).  0 when ``den`` is 0.
     """
     scale = 10 ** decimals
-    n = num.cast("bigint")
-    d = den.cast("bigint")
-    a = n * F.lit(2 * scale) + d
-    b = F.when(d == 0, F.lit(1).cast("bigint")).otherwise(d * F.lit(2))
+    n, d = wide(num), wide(den)
+    a = n * wide(F.lit(2 * scale)) + d
+    b = F.when(d == 0, wide(F.lit(1))).otherwise(d * wide(F.lit(2)))
     # a - pmod(a, b) is an exact multiple of b, so the quotient is an integer
     q = F.round((a - F.pmod(a, b)) / b)
     return F.when(d == 0, F.lit(0.0)).otherwise(q.cast("double") / F.lit(float(scale)))
 
 
+def wide(c: Column) -> Column:
+    """An integer as ``decimal(38,0)``: products of row counts and money units don't overflow."""
+    return c.cast("decimal(38,0)")
+
+
 def round_ratio_sql(num: str, den: str, decimals: int = 4) -> str:
     """SQL twin of :func:`round_ratio` (integer division ``//``)."""
     scale = 10 ** decimals

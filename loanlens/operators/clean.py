@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.plans.prefix import exact_quantiles
+
 from loanlens.functions.columns import names_with_prefix
 
 # Fixed values from the reference's cleaning rules.
@@ -105,15 +107,12 @@ def listwise_drop(df: DataFrame, subset: list[str]) -> DataFrame:
     return df.na.drop(subset=subset)
 
 
-def trim_upper_quantile(df: DataFrame, col: str, q: float = 0.99,
-                        accuracy: int | None = None) -> DataFrame:
+def trim_upper_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
     """Keep rows with ``col`` ≤ its q-quantile.
 
-    The quantile is one scalar aggregate (bounded result) that becomes a
-    literal in the filter, so the filter can still reach the scan.
+    The quantile is exact and one number, which becomes a literal in the
+    filter, so the filter can still reach the scan.  A column without a value
+    keeps no row.
     """
-    agg = F.percentile(col, q) if accuracy is None else F.percentile_approx(col, q, accuracy)
-    cut = df.agg(agg.alias("_cut")).first()["_cut"]
-    if cut is None:
-        return df.limit(0)
-    return df.where(F.col(col) <= F.lit(float(cut)))
+    cut = exact_quantiles(df, {col: F.col(f"`{col}`")}, [q]).get(col)
+    return df.where(F.col(f"`{col}`") <= F.lit(cut[0] if cut else None).cast("double"))

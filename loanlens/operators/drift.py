@@ -2,13 +2,15 @@
 
 Per feature and window, against a reference window:
 
-* numeric with more than 5 distinct reference values: Wasserstein-1 distance
-  ÷ reference (population) std, drift if ≥ 0.1;
-* few-valued features: Jensen–Shannon distance (base 2), drift if ≥ 0.1;
-* either side ≤ 1000 rows: two-sample KS (numeric) or chi-square of current
-  counts against reference shares (few-valued), drift if p < 0.05;
+* ``method="distance"`` (default): Wasserstein-1 distance ÷ reference
+  (population) std for features with more than 5 distinct reference values,
+  Jensen–Shannon distance (base 2) for few-valued ones; drift if ≥ 0.1;
+* ``method="test"``: two-sample KS, or chi-square of current counts against
+  reference shares for few-valued features; drift if p < 0.05;
 * always: PSI on reference deciles (shares floored at 1e-6), flag ≥ 0.25.
 
+The deciding method is the caller's choice and never depends on row counts.
+
 Plan: stack (window, feature, value) and ``groupBy`` with map-side partial
 aggregation → distinct-value counts; the reference counts are replicated to
 each current window (a fixed, small list of windows); ordered statistics use
@@ -24,11 +26,11 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.columns import literal_map, round_ratio
 from loanlens.functions.stats import chi2_critical, kolmogorov_critical
-from loanlens.plans.prefix import prefix_sums
+from loanlens.plans.prefix import prefix_sums, quantiles_of_counts
+from loanlens.session import shared_table
 
 # Fixed test settings (our definition; thresholds are arguments below).
 DRIFT_THRESHOLD = 0.1
-SMALL_SAMPLE = 1000
 ALPHA = 0.05
 PSI_FLOOR = 1e-6
 PSI_FLAG = 0.25
@@ -50,7 +52,7 @@ def value_counts(df: DataFrame, features: Sequence[str], by: str = "split") -> D
 
 def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str],
                    by: str = "split", reference: str = "train",
-                   threshold: float = DRIFT_THRESHOLD, small: int = SMALL_SAMPLE,
+                   threshold: float = DRIFT_THRESHOLD, method: str = "distance",
                    psi_flag: float = PSI_FLAG, checkpoint: bool = True) -> DataFrame:
     """One row per (window, feature) with method, statistic, drift flag, PSI.
 
@@ -58,11 +60,9 @@ def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str
     quality gate's job).
     """
     counts = value_counts(df.where(F.col(by).isin(reference, *windows)), features, by).where(F.col("value").isNotNull())
-    # reused by five branches: materialise once in the shared checkpoint folder
+    # reused by six branches: written once to the shared checkpoint folder
     if checkpoint:
-        from loanlens.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        counts = counts.checkpoint(eager=True)
+        counts = shared_table(counts, "drift-counts")
     ref = counts.where(F.col("window") == reference).select("feature", "value", F.col("n").alias("n_ref"))
     cur = counts.where(F.col("window") != reference).select("window", "feature", "value", F.col("n").alias("n_cur"))
     rep = ref.select(F.explode(F.array(*[F.lit(w) for w in windows])).alias("window"), "feature", "value",
@@ -73,8 +73,9 @@ def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str
 
     # reference moments and deciles: one row per feature (bounded, broadcast)
     rmean = ref.groupBy("feature").agg((F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean_ref"),
-                                       F.sum("n_ref").alias("tot_ref"), F.count(F.lit(1)).alias("k_ref"),
-                                       F.percentile("value", DECILES, F.col("n_ref")).alias("edges"))
+                                       F.sum("n_ref").alias("tot_ref"), F.count(F.lit(1)).alias("k_ref"))
+    edges = quantiles_of_counts(ref, ["feature"], "value", "n_ref", DECILES).withColumnRenamed("quantiles", "edges")
+    rmean = rmean.join(F.broadcast(edges), "feature")           # one row per feature
     rvar = ref.join(F.broadcast(rmean.select("feature", "mean_ref", "tot_ref")), "feature").groupBy("feature").agg(
         F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("mean_ref")) ** 2) / F.first("tot_ref")).alias("std_ref"))
     rstats = rmean.join(rvar, "feature")
@@ -109,9 +110,8 @@ def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str
 
     r = per.join(tot, ["window", "feature"]).join(psi, ["window", "feature"])
     numeric = F.col("k_ref") > FEW_VALUES
-    is_small = (F.col("tot_ref") <= small) | (F.col("tot_cur") <= small)
-    method = (F.when(is_small & numeric, "ks").when(is_small, "chisquare")
-              .when(numeric, "wasserstein").otherwise("jensenshannon"))
+    kinds = {"distance": ("wasserstein", "jensenshannon"), "test": ("ks", "chisquare")}[method]
+    method = F.when(numeric, kinds[0]).otherwise(kinds[1])
     en = F.sqrt(F.col("tot_ref") * F.col("tot_cur") / (F.col("tot_ref") + F.col("tot_cur")))
     lam = (en + F.lit(0.12) + F.lit(0.11) / en) * F.col("ks")
     dof = F.col("k_ref") - 1
@@ -135,9 +135,7 @@ def drift_verdict(features: DataFrame, min_features: int = MIN_DRIFTED_FOR_RETRA
         F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.col("feature")))).alias("drifted"))
     n = F.col("n_drifted")
     ftype = F.when(n == 0, "clean").when(n < min_features, "investigate").otherwise("real_drift")
-    action = (F.when(n == 0, F.lit("No action needed."))
-              .when(n < min_features, F.concat(F.lit("Investigate single feature drift: "), F.concat_ws(",", "drifted")))
-              .otherwise(F.concat(F.lit("Multiple features drifted ("), n.cast("string"), F.lit("). Consider retraining."))))
+    action = F.when(n == 0, "none").when(n < min_features, "review_feature").otherwise("retrain_candidate")
     return r.select("window", (n > 0).alias("drift_detected"), ftype.alias("failure_type"),
                     F.concat_ws(",", "drifted").alias("drifted_features"), "n_drifted", "n_features",
                     round_ratio(n, F.col("n_features"), 4).alias("drift_score"), action.alias("recommended_action"))

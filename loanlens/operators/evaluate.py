@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.columns import (
     CALIBRATION_EDGES, COST_FALSE_NEGATIVE, COST_FALSE_POSITIVE, THRESHOLD_GRID,
-    round_ratio, safe_ratio, threshold_bucket, units,
+    round_ratio, safe_ratio, threshold_bucket, units, wide,
 )
 from loanlens.plans.prefix import prefix_sums
 
@@ -27,7 +27,7 @@ def _i(c: Column) -> Column:
 
 def _mean4(c: Column) -> Column:
     """Exact mean of a 4-dp column, rounded half-up to 4 dp."""
-    return round_ratio(F.sum(units(c)), F.count(c) * F.lit(10000), 4)
+    return round_ratio(F.sum(wide(units(c))), wide(F.count(c)) * wide(F.lit(10000)), 4)
 
 
 # ---------------------------------------------------------------- D27–D30
@@ -175,9 +175,10 @@ def auc(scored: DataFrame, p: str = "p", y: str = "default", by: Sequence[str] =
     """
     by = list(by)
     c = prefix_sums(_score_counts(scored, p, y, by), by, "score", ["neg"])
-    part = F.col("pos") * (F.col("cum_neg") - F.col("neg")) * 2 + F.col("pos") * F.col("neg")
+    pos, neg = wide(F.col("pos")), wide(F.col("neg"))
+    part = pos * (wide(F.col("cum_neg")) * 2 - neg)        # pos * (2 * negatives below + negatives at the score)
     r = c.groupBy(*by).agg(F.sum(part).alias("twice"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return r.select(*by, safe_ratio(F.col("twice"), F.col("P") * F.col("N") * 2, float("nan")).alias("auc"),
+    return r.select(*by, safe_ratio(F.col("twice"), wide(F.col("P")) * wide(F.col("N")) * 2, float("nan")).alias("auc"),
                     F.col("P").alias("positives"), F.col("N").alias("negatives"))
 
 
@@ -185,8 +186,8 @@ def roc_points(scored: DataFrame, p: str = "p", y: str = "default") -> DataFrame
     """(fpr, tpr) at every distinct score used as a threshold (p ≥ s)."""
     counts = _score_counts(scored, p, y, [])
     c = prefix_sums(counts, [], "score", ["pos", "neg"])
-    P = counts.agg(F.sum("pos")).scalar()
-    N = counts.agg(F.sum("neg")).scalar()
+    totals = counts.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()     # one scan for both
+    P, N = totals["P"], totals["N"]
     tp = P - F.col("cum_pos") + F.col("pos")
     fp = N - F.col("cum_neg") + F.col("neg")
     return c.select(F.col("score").alias("threshold"), safe_ratio(fp, N).alias("fpr"),
@@ -232,7 +233,7 @@ def class_report(scored: DataFrame, threshold: float, p: str = "p", y: str = "de
 
 def score_distribution(scored: DataFrame, p: str = "p", by: Sequence[str] = (),
                        accuracy: int | None = None) -> DataFrame:
-    """Min, max, mean, median of the probabilities."""
+    """Min, max, mean, median of the probabilities (4 dp: at most 10,001 values in the median's map)."""
     med = F.percentile(p, 0.5) if accuracy is None else F.percentile_approx(p, 0.5, accuracy)
     return scored.groupBy(*by).agg(F.min(p).alias("min_p"), F.max(p).alias("max_p"),
                                    _mean4(F.col(p)).alias("mean_p"), med.alias("median_p"))
@@ -246,9 +247,9 @@ def business_metrics(scored: DataFrame, threshold: float, p: str = "p", y: str |
     NULL when the amount/label column is not given."""
     appr = F.col(p) < F.lit(threshold)
     aggs = [F.count(F.lit(1)).alias("n"), _i(appr).alias("n_approved"),
-            F.sum(units(F.col(p))).alias("p_units")]
+            F.sum(wide(units(F.col(p)))).alias("p_units")]
     if amount:
-        loss = F.when(appr, units(F.col(p)).cast("decimal(38,0)") * units(F.col(amount), 2).cast("decimal(38,0)"))
+        loss = F.when(appr, wide(units(F.col(p))) * wide(units(F.col(amount), 2)))
         aggs.append(F.sum(loss).alias("loss_units"))
     if y:
         aggs.append(_i(appr & (F.col(y) == 1)).alias("approved_defaults"))
@@ -258,7 +259,7 @@ def business_metrics(scored: DataFrame, threshold: float, p: str = "p", y: str |
            round_ratio(F.col("n") - F.col("n_approved"), F.col("n"), 4).alias("denial_rate")]
     if amount:
         # loss units are 1e-6 currency; round half-up to cents in integer math
-        cents = round_ratio(F.coalesce(F.col("loss_units").cast("bigint"), F.lit(0)), F.lit(10 ** 4), 0)
+        cents = round_ratio(F.coalesce(F.col("loss_units"), wide(F.lit(0))), F.lit(10 ** 4), 0)
         out.append((cents / F.lit(100.0)).alias("expected_loss"))
     else:
         out.append(F.lit(None).cast("double").alias("expected_loss"))
@@ -266,6 +267,6 @@ def business_metrics(scored: DataFrame, threshold: float, p: str = "p", y: str |
         out.append(round_ratio(F.col("approved_defaults"), F.col("n_approved"), 4).alias("default_rate_on_approved"))
     else:
         out.append(F.lit(None).cast("double").alias("default_rate_on_approved"))
-    out += [round_ratio(F.col("p_units"), F.col("n") * F.lit(10000), 4).alias("mean_probability"),
+    out += [round_ratio(F.col("p_units"), wide(F.col("n")) * wide(F.lit(10000)), 4).alias("mean_probability"),
             F.lit(float(threshold)).alias("threshold_used")]
     return r.select(*out)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import round_ratio
+from loanlens.plans.prefix import exact_quantiles
 from loanlens.functions.stats import f_sf_udf, chi2_sf_udf
 
 # Fixed values of the reference's exploration rules.
@@ -216,6 +217,7 @@ def chi2_table(df: DataFrame, cols: Sequence[str], target: str = "default") -> D
     n1 = df.agg(F.count_if(F.col(target) == 1)).scalar()
     n = n0 + n1
     row = F.col("c0") + F.col("c1")
+    row = row.cast("double")             # counts multiplied as doubles: no overflow at billions of rows
     e0, e1 = row * n0 / n, row * n1 / n
     term = (F.col("c0") - e0) * (F.col("c0") - e0) / e0 + (F.col("c1") - e1) * (F.col("c1") - e1) / e1
     r = cells.groupBy("feature").agg(F.sum(term).alias("chi2"), F.count(F.lit(1)).alias("k"))
@@ -233,17 +235,19 @@ def mutual_info(df: DataFrame, cols: Sequence[str], target: str = "default") ->
     px = cells.groupBy("feature", "value").agg(F.sum("nxy").alias("nx"))
     py = df.groupBy(F.col(target).alias("y")).agg(F.count(F.lit(1)).alias("ny"))
     j = cells.join(px, ["feature", "value"]).join(F.broadcast(py), "y")
-    term = F.col("nxy") / F.lit(n) * F.log(F.col("nxy") * F.lit(n) / (F.col("nx") * F.col("ny")))
+    term = F.col("nxy") / n * F.log(F.col("nxy").cast("double") * n / (F.col("nx").cast("double") * F.col("ny")))
     return j.groupBy("feature").agg(F.round(F.sum(term), 6).alias("mutual_info"))
 
 
-def quantile_bins(df: DataFrame, col: str, bins: int = 10, accuracy: int | None = None) -> Column:
-    """Bin index of ``col`` on its own quantile edges (edges: one scalar agg)."""
-    qs = [i / bins for i in range(1, bins)]
-    agg = F.percentile(col, qs) if accuracy is None else F.percentile_approx(col, qs, accuracy)
-    edges = df.agg(agg).first()[0] or []          # bins − 1 numbers (bounded)
-    idx = sum((F.col(col) > F.lit(float(e))).cast("int") for e in edges) if edges else F.lit(0)
-    return F.when(F.col(col).isNotNull(), idx)
+def quantile_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> dict[str, Column]:
+    """Bin index of each column on its own exact quantile edges; the edges of
+    all columns come from one pass (columns × (bins − 1) numbers)."""
+    edges = exact_quantiles(df, {c: F.col(f"`{c}`") for c in cols}, [i / bins for i in range(1, bins)])
+    out = {}
+    for c in cols:
+        idx = sum(((F.col(f"`{c}`") > F.lit(e)).cast("int") for e in edges.get(c, ())), F.lit(0))
+        out[c] = F.when(F.col(f"`{c}`").isNotNull(), idx)
+    return out
 
 
 def variance_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:

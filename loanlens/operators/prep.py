@@ -1,8 +1,9 @@
 """Train-fitted feature preparation (I1, I2, B9–B11, A8) as a Spark ML
 Estimator / Model pair.
 
-``fit`` is one aggregate job over the train split (medians, p99 caps, class
-counts) plus one bounded distinct-category job; the fitted parameters are a
+``fit`` counts (column, value) pairs of the train split, takes exact medians
+and p99 caps from distributed running counts (no task holds a column), and
+one aggregate for categories and class counts; the fitted parameters are a
 small document (bounded by the number of features and categories).
 ``transform`` is a single projection: no shuffle, no Python UDF.
 """
@@ -15,6 +16,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlens.plans.prefix import exact_quantiles
 from loanlens.functions.columns import (
     ORDINAL_FALLBACK, TERM_DEFAULT, as_missing, clip_upper, emp_length_num,
     number_or_zero, one_hot, sub_grade_levels, sub_grade_ordinal, term_months,
@@ -47,23 +49,15 @@ def final_columns(categories: dict[str, list[str]], impute_cols: list[str]) -> l
 class LoanPrep(Estimator):
     """Fit medians, caps, category lists and class counts on train rows.
 
-    ``accuracy=None`` uses exact percentiles (value→count maps, equal to
-    DuckDB ``quantile_cont``); pass an int to use ``percentile_approx`` on
-    very large train splits.  ``max_categories`` guards the category lists.
+    Medians and caps are exact.  ``max_categories`` bounds the categories of a
+    nominal column by an exact count; a wider column raises.
     """
 
-    def __init__(self, accuracy: int | None = None, max_categories: int = 1000,
-                 target: str = "default"):
+    def __init__(self, max_categories: int = 1000, target: str = "default"):
         super().__init__()
-        self.accuracy = accuracy
         self.max_categories = max_categories
         self.target = target
 
-    def _pct(self, c: Column, q: float) -> Column:
-        if self.accuracy is None:
-            return F.percentile(c, q)
-        return F.percentile_approx(c, q, self.accuracy).cast("double")
-
     def _fit(self, df: DataFrame) -> "LoanPrepModel":
         impute_cols = NUMERIC_FEATURES + ["emp_length_num"]
         present = set(df.columns)
@@ -73,25 +67,28 @@ class LoanPrep(Estimator):
                 return emp_length_num(F.col("emp_length")) if "emp_length" in present else F.lit(None).cast("double")
             return as_missing(F.col(c)) if c in present else F.lit(None).cast("double")
 
-        aggs = [self._pct(source(c), 0.5).alias(f"med__{c}") for c in impute_cols]
-        aggs += [self._pct(source(c), CAP_QUANTILE).alias(f"cap__{c}") for c in CAPPED_FROM_QUANTILE]
-        aggs += [F.approx_count_distinct(c).alias(f"ndv__{c}") for c in NOMINAL_FEATURES if c in present]
+        found = exact_quantiles(df, {c: source(c) for c in impute_cols}, [0.5, CAP_QUANTILE])
+        row: dict = {}
         if self.target in present:
-            aggs += [F.count(F.when(F.col(self.target) == 0, 1)).alias("n_neg"),
-                     F.count(F.when(F.col(self.target) == 1, 1)).alias("n_pos")]
-        row = df.agg(*aggs).first().asDict()
+            row = df.agg(F.count(F.when(F.col(self.target) == 0, 1)).alias("n_neg"),
+                         F.count(F.when(F.col(self.target) == 1, 1)).alias("n_pos")).first().asDict()
 
-        too_wide = [c for c in NOMINAL_FEATURES if row.get(f"ndv__{c}", 0) > self.max_categories]
-        if too_wide:
-            raise ValueError(f"category domain above {self.max_categories}: {too_wide}")
         nominal = [c for c in NOMINAL_FEATURES if c in present]
         cats: dict[str, list[str]] = {c: [] for c in NOMINAL_FEATURES}
         if nominal:
-            crow = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in nominal]).first()
-            cats.update({c: list(crow[c]) for c in nominal})
+            pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v"))
+                                                  for i, c in enumerate(nominal)])).alias("s")).select("s.*").where(
+                F.col("v").isNotNull()).distinct()
+            # One row beyond the bound is enough to know that a column exceeds it.
+            for r in pairs.limit(len(nominal) * self.max_categories + 1).collect():
+                cats[nominal[r["i"]]].append(r["v"])
+        too_wide = [c for c in nominal if len(cats[c]) > self.max_categories]
+        if too_wide:
+            raise ValueError(f"more than {self.max_categories} categories: {too_wide}")
+        cats = {c: sorted(v) for c, v in cats.items()}
 
-        medians = {c: (None if row[f"med__{c}"] is None else float(row[f"med__{c}"])) for c in impute_cols}
-        caps = {c: (None if row[f"cap__{c}"] is None else float(row[f"cap__{c}"])) for c in CAPPED_FROM_QUANTILE}
+        medians = {c: (found[c][0] if c in found else None) for c in impute_cols}
+        caps = {c: (found[c][1] if c in found else None) for c in CAPPED_FROM_QUANTILE}
         caps["revol_util"] = REVOL_UTIL_HARD_CAP
         n_neg, n_pos = int(row.get("n_neg", 0) or 0), int(row.get("n_pos", 0) or 0)
         params = {
@@ -100,6 +97,7 @@ class LoanPrep(Estimator):
             "categories": cats,
             "sub_grade_map": {s: i for i, s in enumerate(sub_grade_levels())},
             "final_model_columns": final_columns(cats, impute_cols),
+            "expected_width": len(final_columns(cats, impute_cols)),
             "class_counts": {"negative": n_neg, "positive": n_pos},
             "scale_pos_weight": (n_neg / n_pos) if n_pos > 0 else 1.0,
         }
@@ -160,17 +158,19 @@ class LoanPrepModel(Model):
         return out
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        self.check_width()
         exprs = self.feature_expressions(df.columns)
         cols = self.feature_columns
-        missing = [c for c in cols if c not in exprs]
         # Absent configured columns become 0; every value coerced to double
         select = [number_or_zero(exprs[c] if c in exprs else F.lit(0)).alias(c) for c in cols]
         keep = [c for c in df.columns if c in PASS_THROUGH or c in self.extra_columns]
-        out = df.select(*keep, *select)
-        # Width contract from the fitted parameters
-        if len(cols) != self.width or len(set(cols)) != len(cols):
-            raise ValueError(f"Expected {self.width} columns, got {len(cols)}; missing {missing}")
-        return out
+        return df.select(*keep, *select)
+
+    def check_width(self) -> None:
+        """The column list must have the width that ``fit`` stored beside it."""
+        cols, width = self.feature_columns, self.params_doc.get("expected_width")
+        if width is None or len(cols) != width or len(set(cols)) != len(cols):
+            raise ValueError(f"expected {width} distinct feature columns, the parameter document lists {len(cols)}")
 
     extra_columns: tuple[str, ...] = ("app_id", "split", "loan_amnt_raw")
 
@@ -190,7 +190,9 @@ class LoanPrepModel(Model):
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "LoanPrepModel":
-        return cls(json.loads(spark.read.text(path).first()[0]))
+        model = cls(json.loads(spark.read.text(path).first()[0]))
+        model.check_width()
+        return model
 
     def amend(self, **fields) -> "LoanPrepModel":
         """Return a model whose document carries extra fields (e.g. final shapes)."""

@@ -28,13 +28,13 @@ def resolved_loans(spark: SparkSession, sf_dir: str, spec: SplitSpec = DRIVER_SP
 _FITTED: dict[tuple, LoanPrepModel] = {}
 
 
-def fitted_prep(spark: SparkSession, sf_dir: str, accuracy: int | None = None) -> LoanPrepModel:
+def fitted_prep(spark: SparkSession, sf_dir: str) -> LoanPrepModel:
     """I1 on the train split, fitted once per session and input (the fitted
     parameter document is passed along instead of refitting per query)."""
-    key = (spark.sparkContext.applicationId, sf_dir, accuracy)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         train = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
-        _FITTED[key] = LoanPrep(accuracy=accuracy).fit(train)
+        _FITTED[key] = LoanPrep().fit(train)
     return _FITTED[key]
 
 

@@ -10,19 +10,30 @@ sums are taken inside each (key, block) — each window partition holds about
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_BLOCK = 100_000
+
+
 def prefix_sums(counts: DataFrame, keys: list[str], order: str, cols: list[str],
-                blocks: int = 64, with_next: bool = False,
+                blocks: int | None = None, with_next: bool = False,
                 accuracy: int = 10000) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum over ``order`` within ``keys``).
 
     ``counts`` must hold at most one row per (keys, order).  With
     ``with_next`` a ``next_<order>`` column carries the following distinct
-    value within the key (NULL for the last one).
+    value within the key (NULL for the last one).  ``blocks=None`` sizes the
+    blocks to about ``ROWS_PER_BLOCK`` rows of the largest key, 16 at least
+    (one count of ``counts``; hand in a written table).
     """
+    if blocks is None:
+        sizes = counts.groupBy(*keys).count() if keys else counts.select(F.count(F.lit(1)).alias("count"))
+        largest = sizes.agg(F.max("count")).first()[0] or 0
+        blocks = max(16, -(-largest // ROWS_PER_BLOCK))
     dummy = not keys
     if dummy:
         counts, keys = counts.withColumn("_k", F.lit(0)), ["_k"]
@@ -50,3 +61,38 @@ def prefix_sums(counts: DataFrame, keys: list[str], order: str, cols: list[str],
                      if with_next else []))
     out = out.drop("_blk", "_next_first", *[f"_o_{x}" for x in cols])
     return out.drop("_k") if dummy else out
+
+
+def quantiles_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, probs: Sequence[float]) -> DataFrame:
+    """(keys, ``quantiles``): exact interpolated quantiles of values that occur ``n`` times.
+
+    The value at rank r is the least one whose running count exceeds r; ranks
+    around (N - 1) q are interpolated linearly.  Running counts come from
+    :func:`prefix_sums` and the rest is a grouped minimum, so no task holds a
+    column.  NULL values must be left out by the caller.
+    """
+    totals = counts.groupBy(*keys).agg(F.sum(n).alias("_total"))
+    run = prefix_sums(counts.select(*keys, value, n), keys, value, [n])
+    run = run.join(F.broadcast(totals), keys)                    # one row per key
+    at = [(F.col("_total") - 1) * F.lit(float(q)) for q in probs]
+    low = [F.min(F.when(F.col(f"cum_{n}") > F.floor(r), F.col(value))).alias(f"_lo{i}") for i, r in enumerate(at)]
+    high = [F.min(F.when(F.col(f"cum_{n}") > F.ceil(r), F.col(value))).alias(f"_hi{i}") for i, r in enumerate(at)]
+    got = run.groupBy(*keys).agg(F.max("_total").alias("_total"), *low, *high)
+    return got.select(*keys, F.array(*[
+        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (r - F.floor(r)) for i, r in enumerate(at)]).alias("quantiles"))
+
+
+def exact_quantiles(df: DataFrame, columns: dict[str, object], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles of several numeric expressions in one pass; columns without a value are absent.
+
+    Each row contributes one (column number, value) pair per column, counted
+    with map-side partial aggregation before the shuffle.  The result is
+    columns x probabilities numbers.
+    """
+    from loanlens.session import shared_table
+    names = list(columns)
+    items = [F.struct(F.lit(i).alias("column"), columns[c].cast("double").alias("value")) for i, c in enumerate(names)]
+    counts = df.select(F.explode(F.array(*items)).alias("s")).select("s.*").where(
+        F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = quantiles_of_counts(shared_table(counts, "value-counts"), ["column"], "value", "n", probs).collect()
+    return {names[r["column"]]: [float(x) for x in r["quantiles"]] for r in rows}

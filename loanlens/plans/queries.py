@@ -453,16 +453,11 @@ _DRIFT_EXTRA = {
         from merged m join tot t using (window, feature)
         group by m.window, m.feature, len(list_filter(t.edges, lambda e: e < m.value))) group by window, feature""",
     "df": f"""select window, feature, method, round(stat, 6) as statistic,
-        case when method = 'ks' then (sqrt(tot_ref * tot_cur / (tot_ref + tot_cur)) + 0.12 + 0.11 / sqrt(tot_ref * tot_cur / (tot_ref + tot_cur))) * ks > {dr.KS_LAMBDA_CRIT!r}
-             when method = 'chisquare' then coalesce(chi2 > (case k_ref - 1 {" ".join(f"when {d} then {v!r}" for d, v in dr.CHI2_CRIT.items())} end), false)
-             else coalesce(stat >= 0.1, false) end as drift_detected,
+        coalesce(stat >= 0.1, false) as drift_detected,
         round(psi, 6) as psi, psi >= 0.25 as psi_flag, cast(tot_ref as bigint) as n_reference, cast(tot_cur as bigint) as n_current
-        from (select *, case when method = 'ks' then ks when method = 'chisquare' then chi2
-               when method = 'wasserstein' then (case when std_ref > 0 then w1 / std_ref end) else sqrt(js2 / 2) end as stat
+        from (select *, case when method = 'wasserstein' then (case when std_ref > 0 then w1 / std_ref end) else sqrt(js2 / 2) end as stat
               from (select p.*, t.tot_ref, t.tot_cur, t.k_ref, t.std_ref, s.psi,
-                 case when (t.tot_ref <= 1000 or t.tot_cur <= 1000) and t.k_ref > 5 then 'ks'
-                      when t.tot_ref <= 1000 or t.tot_cur <= 1000 then 'chisquare'
-                      when t.k_ref > 5 then 'wasserstein' else 'jensenshannon' end as method
+                 case when t.k_ref > 5 then 'wasserstein' else 'jensenshannon' end as method
                from per p join tot t using (window, feature) join psi s using (window, feature)))""",
 }
 
@@ -487,9 +482,8 @@ _VERDICT_SQL_BODY = """select window, count_if(drift_detected) > 0 as drift_dete
  coalesce(string_agg(case when drift_detected then feature end, ',' order by feature), '') as drifted_features,
  count_if(drift_detected) as n_drifted, count(*) as n_features,
  """ + rr("count_if(drift_detected)", "count(*)") + """ as drift_score,
- case when count_if(drift_detected) = 0 then 'No action needed.'
-      when count_if(drift_detected) < 2 then 'Investigate single feature drift: ' || coalesce(string_agg(case when drift_detected then feature end, ',' order by feature), '')
-      else 'Multiple features drifted (' || cast(count_if(drift_detected) as varchar) || '). Consider retraining.' end as recommended_action
+ case when count_if(drift_detected) = 0 then 'none' when count_if(drift_detected) < 2 then 'review_feature'
+      else 'retrain_candidate' end as recommended_action
 from df group by window"""
 
 
@@ -922,7 +916,7 @@ _MI_NUM = ["int_rate", "dti", "fico_range_low", "revol_util", "loan_amnt"]
 
 def _mi_frame(spark, sf_dir):
     fs = _fs(spark, sf_dir)
-    binned = {f"{c}_bin": xe.quantile_bins(fs, c, 10) for c in _MI_NUM}
+    binned = {f"{c}_bin": b for c, b in xe.quantile_bins(fs, _MI_NUM, 10).items()}
     out = fs.select("default", *_CAT_COLS, "grade_num", "emp_length_num", *[v.alias(k) for k, v in binned.items()])
     return out.na.drop(subset=_MI_COLS)   # list-wise drop over all tested columns
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "loanlens",
@@ -38,16 +39,40 @@ def get_spark(master: str | None = None, app: str = "loanlens",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset."""
+    """Return the shared checkpoint folder.
+
+    Only a local master may run without ``spark.checkpoint.dir``: a scratch
+    folder is then made.  On a cluster executors would not see it, so a
+    missing setting is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="loanlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
 
+def is_local(master: str) -> bool:
+    """True if the driver's JVM runs all tasks (``local``, ``local[4]``), false for ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
+def shared_table(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Cuts the lineage: a lost executor re-reads the files instead of replaying
+    the plan, and Catalyst learns the real size for its join choice.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{tag}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint root for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "loanlens", name)
