@@ -14,8 +14,13 @@ from loanlens.operators.scoring import Card
 
 
 def _phis(df: DataFrame, card: Card, reference: DataFrame):
-    means = {c: reference.agg(F.avg(F.col(f"`{c}`"))).scalar() for c, _, _ in card.terms}
-    return {c: F.lit(w) * (F.col(f"`{c}`") - means[c]) for c, w, _ in card.terms}
+    means = _means(card, reference)
+    return {c: F.lit(w) * (F.col(f"`{c}`") - means[f"m{i}"]) for i, (c, w, _) in enumerate(card.terms)}
+
+
+def _means(card: Card, reference: DataFrame):
+    """Reference means of all terms from one scan."""
+    return reference.agg(F.struct(*[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, (c, _, _) in enumerate(card.terms)])).scalar()
 
 
 def global_attribution(df: DataFrame, card: Card, reference: DataFrame | None = None, top: int = 15,
@@ -35,8 +40,9 @@ def local_attribution(row: DataFrame, card: Card, reference: DataFrame) -> DataF
     """φ of the given row(s), with base value and margin (Σφ + base = margin)."""
     ph = _phis(row, card, reference)
     base = F.lit(card.intercept)
-    for c, w, ctr in card.terms:
-        base = base + F.lit(w) * (reference.agg(F.avg(F.col(f"`{c}`"))).scalar() - F.lit(ctr))
+    means = _means(card, reference)
+    for i, (c, w, ctr) in enumerate(card.terms):
+        base = base + F.lit(w) * (means[f"m{i}"] - F.lit(ctr))
     items = [F.struct(F.lit(c).alias("feature"), F.round(v, 6).alias("attribution")) for c, v in ph.items()]
     return row.select("app_id", F.round(base, 6).alias("base_value"), F.round(card.margin(), 6).alias("margin"),
                       F.explode(F.array(*items)).alias("s")).select("app_id", "base_value", "margin", "s.*")

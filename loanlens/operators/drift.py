@@ -25,19 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import literal_map, round_ratio
-from loanlens.functions.stats import chi2_critical, kolmogorov_critical
+from loanlens.functions.stats import CHI2_CRITICAL_05, KOLMOGOROV_CRITICAL_05
 from loanlens.plans.prefix import prefix_sums, quantiles_of_counts
 from loanlens.session import shared_table
 
 # Fixed test settings (our definition; thresholds are arguments below).
 DRIFT_THRESHOLD = 0.1
-ALPHA = 0.05
 PSI_FLOOR = 1e-6
 PSI_FLAG = 0.25
 FEW_VALUES = 5
 DECILES = [i / 10 for i in range(1, 10)]
-KS_LAMBDA_CRIT = kolmogorov_critical(ALPHA)
-CHI2_CRIT = {d: chi2_critical(ALPHA, d) for d in range(1, FEW_VALUES)}
+KS_LAMBDA_CRIT = KOLMOGOROV_CRITICAL_05
+CHI2_CRIT = {d: CHI2_CRITICAL_05[d] for d in range(1, FEW_VALUES)}
 MIN_DRIFTED_FOR_RETRAIN = 2
 MAX_DRIFT_SHARE = 0.25
 APPROVAL_DEVIATION = 0.10

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import decision, md5_bucket, round_ratio, units
-from loanlens.functions.stats import normal_two_sided_udf, chi2_sf_udf
+from loanlens.functions.stats import chi2_one_dof_udf, normal_two_sided_udf
 from loanlens.operators.evaluate import auc
 
 MIN_REQUESTS = 1000
@@ -79,7 +79,7 @@ def analyze(log: DataFrame, min_requests: int = MIN_REQUESTS,
                 F.count_if(chall & (F.col("challenger_decision") == "APPROVE")).alias("a1"),
                 F.sum(units(F.col("champion_probability"))).alias("s0"), F.count("champion_probability").alias("c0"),
                 F.sum(units(F.col("challenger_probability"))).alias("s1"), F.count("challenger_probability").alias("c1"))
-    rate0 = F.coalesce(F.col("a0") / F.col("n0"), F.lit(0.0)) if False else F.when(F.col("n0") > 0, F.col("a0") / F.col("n0")).otherwise(0.0)
+    rate0 = F.when(F.col("n0") > 0, F.col("a0") / F.col("n0")).otherwise(0.0)
     rate1 = F.when(F.col("n1") > 0, F.col("a1") / F.col("n1")).otherwise(0.0)
     avg0 = F.when(F.col("c0") > 0, F.col("s0") / (F.col("c0") * F.lit(10000.0))).otherwise(0.0)
     avg1 = F.when(F.col("c1") > 0, F.col("s1") / (F.col("c1") * F.lit(10000.0))).otherwise(0.0)
@@ -165,7 +165,7 @@ def chi_square_2x2(stats: DataFrame, yates: bool = True, with_p: bool = False) -
     out = r.select(F.round(chi, 4).alias("chi2_statistic"), F.lit(1).alias("degrees_of_freedom"),
                    (chi > F.lit(3.841458820694124)).alias("significant_at_05"))
     if with_p:
-        out = out.withColumn("p_value", chi2_sf_udf(F.col("chi2_statistic"), F.col("degrees_of_freedom")))
+        out = out.withColumn("p_value", chi2_one_dof_udf(F.col("chi2_statistic")))
     return out
 
 

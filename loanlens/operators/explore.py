@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import round_ratio
-from loanlens.plans.prefix import exact_quantiles
-from loanlens.functions.stats import f_sf_udf, chi2_sf_udf
+from loanlens.plans.prefix import exact_quantiles, numbered
+from loanlens.session import shared_table
 
 # Fixed values of the reference's exploration rules.
 LEAKAGE_PATTERNS = ["total_pymnt", "recoveries", "total_rec_", "out_prncp", "last_pymnt",
@@ -136,7 +136,7 @@ def leakage_report(df: DataFrame, target: str = "default", threshold: float | No
     return rows
 
 
-def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default", with_p: bool = False) -> DataFrame:
+def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
     """One-way ANOVA F per numeric feature after a list-wise NULL drop,
     from per-class n, Σx, Σx² (one aggregate)."""
     d = df.na.drop(subset=list(cols) + [target])
@@ -157,34 +157,77 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default", with_p:
         fstat = F.when(ssw > 0, (ssb / F.lit(1.0)) / (ssw / (n - 2)))
         items.append(F.struct(F.lit(c).alias("feature"), fstat.alias("f"), (n - 2).alias("df2")))
     long = r.select(F.explode(F.array(*items)).alias("s")).select("s.*")
-    out = long.select("feature", F.round("f", 6).alias("anova_f"), "df2")
-    if with_p:
-        out = out.withColumn("anova_p", f_sf_udf(F.col("anova_f"), F.lit(1.0), F.col("df2").cast("double")))
-    return out.drop("df2") if not with_p else out
-
-
-def label_codes(df: DataFrame, col: str, max_values: int = 10000) -> DataFrame:
-    """code = position of the value in the sorted distinct values, with
-    NULL encoded as the text 'nan' (bounded distinct table, broadcast later)."""
-    vals = df.select(F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("v")).distinct()
-    # the code table is ranked in one window and broadcast: keep it bounded
-    if df.agg(F.approx_count_distinct(col)).first()[0] > max_values:
-        raise ValueError(f"{col}: more than {max_values} distinct values for label encoding")
-    w = Window.orderBy("v")
-    codes = vals.select("v", (F.row_number().over(w) - 1).alias("code"))
-    return codes
-
-
-def encode_labels(df: DataFrame, cols: Sequence[str], max_values: int = 10000) -> DataFrame:
-    out = df
-    for c in cols:
-        codes = label_codes(df, c, max_values).withColumnRenamed("v", f"_v_{c}").withColumnRenamed("code", f"{c}_enc")
-        out = (out.withColumn(f"_v_{c}", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
-                  .join(F.broadcast(codes), f"_v_{c}").drop(f"_v_{c}"))
+    return long.select("feature", F.round("f", 6).alias("anova_f"))
+
+
+def anova_test(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
+    """D20 with p values: Spark ML's one-way ANOVA after a list-wise NULL drop.
+
+    ``org.apache.spark.ml.stat.ANOVATest`` has no Python wrapper, so it is
+    called through the session's JVM gateway.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    named = {f"f{i}": c for i, c in enumerate(cols)}
+    d = df.na.drop(subset=[*cols, target]).select(F.col(target).cast("double").alias("label"),
+                                                  *[F.col(f"`{c}`").cast("double").alias(k) for k, c in named.items()])
+    v = VectorAssembler(inputCols=list(named), outputCol="v").transform(d)
+    spark = df.sparkSession
+    r = DataFrame(spark._jvm.org.apache.spark.ml.stat.ANOVATest.test(v._jdf, "v", "label", True), spark)
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("featureIndex") + 1)
+    return r.select(names.alias("feature"), F.round("fValue", 6).alias("anova_f"), F.col("pValue").alias("anova_p"))
+
+
+def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Variance inflation factor of each column against the others, without
+    an intercept, after a list-wise NULL drop.
+
+    One aggregate gives the matrix of cross products (columns² numbers); the
+    factor is its diagonal times the diagonal of its inverse.  Singular
+    matrices give NULL for all columns.
+    """
+    import numpy as np
+    k, v = len(cols), [F.col(f"`{c}`").cast("double") for c in cols]
+    row = df.na.drop(subset=list(cols)).agg(*[F.sum(v[i] * v[j]).alias(f"_{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    gram = np.array([[row[f"_{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)], float)
+    scale = np.sqrt(np.diag(gram))
+    ok = (scale > 0).all() and np.linalg.matrix_rank(gram / np.outer(scale, scale)) == k
+    vif = np.diag(np.linalg.inv(gram / np.outer(scale, scale))) if ok else [None] * k
+    return df.sparkSession.createDataFrame([(c, None if x is None else float(x)) for c, x in zip(cols, vif)], "feature string, vif double")
+
+
+def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Z-scores by mean and population standard deviation (0 if constant); one aggregate, joined as scalars."""
+    stats = df.agg(F.struct(*[x for i, c in enumerate(cols) for x in
+                              (F.avg(f"`{c}`").alias(f"m{i}"), F.stddev_pop(f"`{c}`").alias(f"s{i}"))])).scalar()
+    z = {c: F.when(stats[f"s{i}"] > 0, (F.col(f"`{c}`") - stats[f"m{i}"]) / stats[f"s{i}"]).otherwise(F.lit(0.0)) for i, c in enumerate(cols)}
+    return df.select(*[z[c].alias(c) if c in z else F.col(f"`{c}`") for c in df.columns])
+
+
+def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, v, code): the place of each value among its column's sorted
+    distinct values, NULL as the text 'nan'; all columns in one pass.
+
+    The distinct pairs are numbered in a distributed global order, so no
+    task holds a column's values.
+    """
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")).alias("v"))
+                                          for i, c in enumerate(cols)])).alias("s")).select("s.*").distinct()
+    placed = numbered(pairs, [F.col("i"), F.col("v")], "label-codes")
+    first = placed.groupBy("i").agg(F.min("_number").alias("_first"))
+    return placed.join(F.broadcast(first), "i").select("i", "v", (F.col("_number") - F.col("_first")).cast("int").alias("code"))
+
+
+def encode_labels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Adds ``<column>_enc`` for each column; the optimiser picks the join by the code table's size."""
+    codes, out = shared_table(label_codes(df, cols), "label-codes"), df
+    for i, c in enumerate(cols):
+        mine = codes.where(F.col("i") == i).select(F.col("v").alias(f"_v_{c}"), F.col("code").alias(f"{c}_enc"))
+        out = (out.withColumn(f"_v_{c}", F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")))
+                  .join(mine, f"_v_{c}").drop(f"_v_{c}"))
     return out
 
 
-def chi2_codes(df: DataFrame, code_cols: Sequence[str], target: str = "default", with_p: bool = False) -> DataFrame:
+def chi2_codes(df: DataFrame, code_cols: Sequence[str], target: str = "default") -> DataFrame:
     """The library's chi² 'score' of non-negative codes: observed_c =
     Σ code in class c, expected_c = P(c)·Σ code (not a contingency test)."""
     aggs = [F.count_if(F.col(target) == k).alias(f"_n{k}") for k in (0, 1)]
@@ -201,10 +244,7 @@ def chi2_codes(df: DataFrame, code_cols: Sequence[str], target: str = "default",
             t = (F.col(f"_o{i}_{k}") - e) * (F.col(f"_o{i}_{k}") - e) / e
             chi = t if chi is None else chi + t
         items.append(F.struct(F.lit(c).alias("feature"), chi.alias("chi2")))
-    long = r.select(F.explode(F.array(*items)).alias("s")).select("s.feature", F.round("s.chi2", 6).alias("chi2"))
-    if with_p:
-        long = long.withColumn("chi2_p", chi2_sf_udf(F.col("chi2"), F.lit(1.0)))
-    return long
+    return r.select(F.explode(F.array(*items)).alias("s")).select("s.feature", F.round("s.chi2", 6).alias("chi2"))
 
 
 def chi2_table(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:

@@ -84,6 +84,20 @@ def duplicate_share(df: DataFrame, cols: Sequence[str], by: str = "split",
                     (rate > max_rate).alias("is_excessive"))
 
 
+def mark_duplicates(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """Rows with ``is_duplicate``, false for the row of least ``key`` among equals.
+
+    The first key of each distinct row comes from a grouped minimum with
+    partial aggregation, so a hot group of equal rows meets the shuffle once
+    per task; it is joined back by the same row hash as in D13.
+    """
+    v = [F.col(f"`{c}`") for c in cols]
+    nulls = F.concat(*[x.isNull().cast("int").cast("string") for x in v])
+    h = df.withColumns({"_h1": F.xxhash64(nulls, *v), "_h2": F.xxhash64(*v[::-1], nulls, F.lit("second"))})
+    first = h.groupBy("_h1", "_h2").agg(F.min(key).alias("_first"))
+    return h.join(first, ["_h1", "_h2"]).withColumn("is_duplicate", F.col(key) != F.col("_first")).drop("_h1", "_h2", "_first")
+
+
 def schema_diff(reference_cols: Sequence[str], current_cols: Sequence[str]) -> tuple[list[str], list[str]]:
     """Sorted missing and extra columns (metadata only)."""
     ref, cur = set(reference_cols), set(current_cols)

@@ -96,3 +96,18 @@ def exact_quantiles(df: DataFrame, columns: dict[str, object], probs: Sequence[f
         F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     rows = quantiles_of_counts(shared_table(counts, "value-counts"), ["column"], "value", "n", probs).collect()
     return {names[r["column"]]: [float(x) for x in r["quantiles"]] for r in rows}
+
+
+def numbered(df: DataFrame, order: list, tag: str) -> DataFrame:
+    """``df`` (written to the shared folder) plus ``_number``, its place from 0 in the global order.
+
+    The sort is distributed: rows take their number inside their partition
+    and the partitions' row counts (one row per partition) give the offsets.
+    """
+    from loanlens.session import shared_table
+    placed = shared_table(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), tag)
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    before = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(before), "_part").withColumn(
+        "_number", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_part", "_before")

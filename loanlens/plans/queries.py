@@ -49,13 +49,7 @@ from scored group by split""", "scored")
 
 @register("approval_by_split", _BM_SQL)
 def approval_by_split(spark, sf_dir):
-    """D26 per split on fixed-scorecard scores of the prepared rows (flagship)."""
-    return ev.business_metrics(scored(spark, sf_dir), T, by=["split"])
-
-
-@register("business_metrics", _BM_SQL)
-def business_metrics(spark, sf_dir):
-    """The reference's business-metrics calculator, per window."""
+    """Business metrics per split on fixed-scorecard scores of the prepared rows (flagship)."""
     return ev.business_metrics(scored(spark, sf_dir), T, by=["split"])
 
 
@@ -362,8 +356,7 @@ left join (select window, count(*) as k from nul where flagged group by window)
 left join (select window, count(distinct feature) as k, string_agg(distinct feature, ',' order by feature) as feats
            from (select window, feature from rng where anomalous union select window, feature from nul where flagged)
            group by window) a using (window)""", "resolved", extra={
-    "rng": _RANGE_SQL[_RANGE_SQL.index("\nselect c.window") + 1:] if False else
-    " union all ".join(
+    "rng": " union all ".join(
         f"select c.window, '{c}' as feature, coalesce(r.rr <> 0 and c.cr > r.rr * 10.0, false) as anomalous from "
         f"(select split as window, max({c}) - min({c}) as cr from resolved where split <> 'train' group by split) c, "
         f"(select max({c}) - min({c}) as rr from resolved where split = 'train') r" for c in _RAW_NUM),
@@ -825,11 +818,22 @@ def leakage_corr(spark, sf_dir):
     return xe.correlations(df, [(c, "default") for c in sorted(_LEAK_NUMS)], 0.3)
 
 
-@register("leakage_report")
+_LEAKY = ["total_pymnt", "total_rec_int", "recoveries", "hardship_amount"]
+_LEAK_SRC = """select "default", """ + ", ".join(NUMERIC_FEATURES) + """, loan_amnt * (1 - "default") + dti as late_fees from resolved where split = 'train'"""
+
+
+@register("leakage_report", O.with_ctes(" union all ".join(
+    [f"select '{c}' as name, 'pattern:{p}' as reason, cast(null as double) as correlation" for c, p in
+     (("total_pymnt", "total_pymnt"), ("total_rec_int", "total_rec_"), ("recoveries", "recoveries"), ("hardship_amount", "hardship_"))]
+    + [f"select '{c}' as name, case when abs(corr({c}, \"default\")) > 0.3 then 'correlation' else 'safe' end as reason, "
+       f"round(corr({c}, \"default\"), 4) as correlation from leak" for c in [*NUMERIC_FEATURES, "late_fees"]]),
+    "resolved", extra={"leak": _LEAK_SRC}))
 def leakage_report(spark, sf_dir):
-    """D15 + D17: name-pattern and correlation flags, safe columns (train split)."""
+    """D15 + D17: name-pattern and correlation flags, safe columns, on a train split
+    with four columns of forbidden names and one that follows the target."""
     df = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
-    return xe.leakage_report(df.select("default", *NUMERIC_FEATURES))
+    late = (F.col("loan_amnt") * (1 - F.col("default")) + F.col("dti")).alias("late_fees")
+    return xe.leakage_report(df.select("default", *NUMERIC_FEATURES, late, *[F.lit(0.0).alias(c) for c in _LEAKY]))
 
 
 _PAIRS = [("fico_range_low", "int_rate"), ("loan_amnt", "revol_bal"), ("open_acc", "delinq_2yrs"), ("dti", "revol_util")]
@@ -976,25 +980,11 @@ def _rank_sql() -> str:
     tot = " + ".join(f"coalesce({s}_rank, 0.0)" for s in ("anova_f", "chi2", "mutual_info"))
     body = (f"select sc.*, anova_f_rank, chi2_rank, mutual_info_rank, case when {avail} > 0 then ({tot}) / ({avail}) end as avg_rank "
             f"from sc " + " ".join(rank_parts))
-    def inner(sql: str) -> str:
-        return sql[sql.index("\nselect ", sql.index("fs as (") if "fs as (" in sql else 0) + 1:] if False else sql
-    an = _anova_sql()
-    ch = _chi2_codes_sql()
-    mu = _mi_sql()
-    ex = {**_CODES_EXTRA, **{k: v for k, v in _mi_extra().items()}}
-    ex["an"] = an[an.rindex("\nselect '" + _ANOVA_COLS[0]) + 1:]
-    ex["ch"] = "select replace(feature, '_enc', '') as feature, chi2 from (" + ch[ch.rindex("\nselect '" + _CAT_COLS[0]) + 1:] + ")"
-    ex["mu"] = "select replace(feature, '_bin', '') as feature, mutual_info from (" + mu[mu.rindex("\nselect '" + _MI_COLS[0]) + 1:] + ")"
-    ex["sc"] = scores
-    return O.with_ctes(body, "resolved", extra=ex)
-
+    return (f"with an as ({_anova_sql()}), ch as (select replace(feature, '_enc', '') as feature, chi2 from ({_chi2_codes_sql()})), "
+            f"mu as (select replace(feature, '_bin', '') as feature, mutual_info from ({_mi_sql()})), sc as ({scores}) {body}")
 
-def _mi_extra() -> dict[str, str]:
-    sql = _mi_sql()
-    return {}
 
-
-@register("feature_rank")
+@register("feature_rank", _rank_sql())
 def feature_rank(spark, sf_dir):
     """C1 + E1 + E2 (+F1): left-join ANOVA F, chi² and MI tables on the cleaned
     feature name, average descending ranks, mean of available ranks."""
@@ -1166,7 +1156,12 @@ def attribution_drift(spark, sf_dir):
     return at.attribution_drift(prep, CHAMPION, prep.where(F.col("split") == "train"), "split", "train", "test")
 
 
-@register("attribution_local")
+@register("attribution_local", _attr_sql("select l.app_id, round(" + repr(CHAMPION.intercept) + " + " + " + ".join(
+    f"{w!r} * (m.m_{c} - {ctr!r})" for c, w, ctr in CHAMPION.terms) + ", 6) as base_value, round(" + " + ".join(
+    f"{w!r} * ({c} - {ctr!r})" for c, w, ctr in CHAMPION.terms) + " + " + repr(CHAMPION.intercept) + ", 6) as margin, f.feature, f.attribution from ("
+    "select * from prepared where split = 'test' and app_id = (select min(app_id) from prepared where split = 'test')) l, m, (" + " union all ".join(
+    f"select '{c}' as feature, round(phi_{c}, 6) as attribution from ph where split = 'test' and app_id = (select min(app_id) from ph where split = 'test')"
+    for c, _, _ in CHAMPION.terms) + ") f"))
 def attribution_local(spark, sf_dir):
     """Per-feature attribution of the lowest test-split application id."""
     model = fitted_prep(spark, sf_dir)
@@ -1177,6 +1172,7 @@ def attribution_local(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ sources / sinks round trips
+from loanlens.operators.clean import DRIVER_SPLITS, temporal_split  # noqa: E402
 from loanlens.sources import loans as io  # noqa: E402
 from loanlens.session import scratch_path  # noqa: E402
 import uuid as _uuid  # noqa: E402
@@ -1186,15 +1182,61 @@ import uuid as _uuid  # noqa: E402
 select split, count(*) as rows, 40 + 0 as width from prepared group by split""".replace("40 + 0", "(26 + (select count(*) from cats) + 4)"),
     "prepared", "cats"))
 def split_sink(spark, sf_dir):
-    """A9 + A4/A5: prepared features written partitioned by split, per-split
-    shape; the test window is read back through partition pruning."""
-    model = fitted_prep(spark, sf_dir)
-    df = prepared(spark, sf_dir, model)
-    path = scratch_path(spark, f"splits-{_uuid.uuid4().hex[:8]}")
-    shapes = io.write_splits(df, path)
-    back = io.read_window(spark, path, "test", ["app_id"])
-    assert back.count() == df.where(F.col("split") == "test").count()
-    return shapes
+    """Prepared features written partitioned by split; the per-split shape of what is read back."""
+    df = prepared(spark, sf_dir, fitted_prep(spark, sf_dir))
+    return io.write_splits(df, scratch_path(spark, f"splits-{_uuid.uuid4().hex[:8]}"))
+
+
+@register("window_read", O.with_ctes("""select app_id, "default" from resolved where split = 'drift_2000'""", "resolved"))
+def window_read(spark, sf_dir):
+    """A4 + A5: a window label opened as its partition of the split dataset, named columns only."""
+    path = scratch_path(spark, f"windows-{_uuid.uuid4().hex[:8]}")
+    io.write_splits(resolved_loans(spark, sf_dir), path)
+    return io.read_window(spark, path, "2000", ["app_id", "default"])
+
+
+def _loan_file(spark, sf_dir):
+    """The raw loan table as wide gzip CSV: droppable columns among the named ones, in another order."""
+    from loanlens.operators.clean import LEAKAGE_COLUMNS, REDUNDANT_COLUMNS
+    from loanlens.sources.tables import staged_loan_applications
+    path = scratch_path(spark, f"loan-file-{_uuid.uuid4().hex[:8]}")
+    raw = staged_loan_applications(spark, sf_dir)
+    more = [c for c in [*LEAKAGE_COLUMNS, *REDUNDANT_COLUMNS, "hardship_flag", "settlement_date"] if c not in raw.columns]
+    wide = raw.select("*", *[F.lit("x").alias(c) for c in more])
+    wide.select(*sorted(wide.columns, reverse=True)).write.option("header", True).option("compression", "gzip").option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+_LOAN_COLS = ", ".join(io.RAW_LOAN_SCHEMA.fieldNames())
+
+
+@register("loan_file", O.with_ctes(f"select {_LOAN_COLS} from apps", "apps"))
+def loan_file(spark, sf_dir):
+    """A1: the named columns of a wide gzip CSV file, by header name, typed."""
+    return io.read_loan_csv(spark, _loan_file(spark, sf_dir))
+
+
+@register("loan_file_train", O.with_ctes(f"""select {_LOAN_COLS} from (select a.*, year(try_strptime(issue_d, '%b-%Y')) as y from apps a)
+ where y in (1995, 1996, 1997)""", "apps"))
+def loan_file_train(spark, sf_dir):
+    """A2: the file's rows of the train years."""
+    df = io.read_train_years(spark, _loan_file(spark, sf_dir), (1995, 1996, 1997))
+    return df.select(*[F.date_format("issue_d", "MMM-yyyy").alias("issue_d") if c == "issue_d" else c for c in io.RAW_LOAN_SCHEMA.fieldNames()])
+
+
+@register("dropped_columns", O.with_ctes("select app_id, 'default' as kept, 'issue_d' as date_kept, 0 as dropped_left from resolved", "resolved"))
+def dropped_columns(spark, sf_dir):
+    """B4 + B5: leakage and redundant columns leave the wide table, all others stay."""
+    from loanlens.operators.clean import LEAKAGE_COLUMNS, REDUNDANT_COLUMNS, clean
+    from loanlens.sources.tables import staged_loan_applications
+    raw = staged_loan_applications(spark, sf_dir)
+    more = [c for c in [*LEAKAGE_COLUMNS, *REDUNDANT_COLUMNS, "hardship_flag", "settlement_date"] if c not in raw.columns]
+    out = temporal_split(clean(raw.select("*", *[F.lit(1).alias(c) for c in more])), DRIVER_SPLITS)
+    left = [c for c in out.columns if c in more]
+    names = {c: c in out.columns for c in ("default", "issue_d")}
+    return out.select("app_id", F.lit("default" if names["default"] else None).alias("kept"),
+                      F.lit("issue_d" if names["issue_d"] else None).alias("date_kept"), F.lit(len(left)).alias("dropped_left"))
 
 
 @register("ab_log_roundtrip", O.with_ctes(f"""

@@ -1,7 +1,9 @@
 """Loan-file readers and log readers/writers.
 
-Explicit schemas everywhere (no inference).  Sinks are Spark writers with
-atomic commits; logs are append-only tables instead of rewritten JSON arrays.
+No schema inference: CSV columns are found by their header names and read as
+text, then cast; other sources carry explicit schemas.  Sinks are Spark writers
+with atomic commits; logs are append-only tables instead of rewritten JSON
+arrays.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 NUMERIC_RAW = ["dti", "fico_range_low", "revol_util", "annual_inc", "loan_amnt", "int_rate",
                "delinq_2yrs", "inq_last_6mths", "open_acc", "pub_rec", "revol_bal"]
@@ -37,14 +40,41 @@ MONITORING_SCHEMA = T.StructType([
 
 
 def read_loan_csv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """A1: header CSV (gzip allowed) with the explicit raw schema; only the
-    named columns are read.  Gzip is not splittable, so the single input
-    partition is spread out once right after the scan."""
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").schema(RAW_LOAN_SCHEMA).csv(path)
-          .select(*RAW_LOAN_SCHEMA.fieldNames()))
+    """A1: header CSV files (gzip allowed); the named raw columns wherever they
+    stand, of the raw types.
+
+    A column missing from the header raises ValueError, a missing path
+    Spark's path error.  Numbers that don't parse become NULL;
+    :func:`failed_casts` counts them.  Gzip is not splittable, so with
+    ``partitions`` the rows of each file are spread out after the scan.
+    """
+    text = read_loan_text(spark, path)
+    df = text.select(*[F.expr(f"try_cast(trim(`{c}`) as double)").alias(c) if c in NUMERIC_RAW else F.col(f"`{c}`")
+                       for c in RAW_LOAN_SCHEMA.fieldNames()])
     return df.repartition(partitions) if partitions else df
 
 
+def read_loan_text(spark: SparkSession, path: str) -> DataFrame:
+    """The named raw columns as text; the header is the only part read here."""
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
+    absent = [c for c in RAW_LOAN_SCHEMA.fieldNames() if c not in df.columns]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)}")
+    return df.select(*[F.col(f"`{c}`") for c in RAW_LOAN_SCHEMA.fieldNames()])
+
+
+def failed_casts(spark: SparkSession, path: str) -> DataFrame:
+    """(column, n): values of each numeric column that are present but no number, one pass."""
+    text = read_loan_text(spark, path)
+    bad = text.agg(*[F.count_if(F.expr(f"`{c}` is not null and try_cast(trim(`{c}`) as double) is null")).alias(c) for c in NUMERIC_RAW])
+    return bad.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in NUMERIC_RAW])).alias("s")).select("s.*")
+
+
+def sample_rows(df: DataFrame, fraction: float = 0.15, seed: int = 42) -> DataFrame:
+    """A3: Bernoulli sample of the rows at load."""
+    return df.sample(fraction=fraction, seed=seed)
+
+
 def read_train_years(spark: SparkSession, path: str, years=(2013, 2014, 2015)) -> DataFrame:
     """A2: scan, parse the issue date, keep train years only."""
     from loanlens.operators.clean import parse_issue_date
@@ -53,10 +83,11 @@ def read_train_years(spark: SparkSession, path: str, years=(2013, 2014, 2015)) -
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> DataFrame:
     """One parquet dataset partitioned by split (empty splits simply have
-    no folder); returns [rows, width] per split."""
+    no folder); returns [rows, width] per split as read back."""
     df.write.mode("overwrite").partitionBy(split_col).parquet(path)
-    width = len([c for c in df.columns if c != split_col])
-    return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("rows")).withColumn("width", F.lit(width))
+    back = df.sparkSession.read.parquet(path)
+    width = len([c for c in back.columns if c != split_col])
+    return back.groupBy(split_col).agg(F.count(F.lit(1)).alias("rows")).withColumn("width", F.lit(width))
 
 
 WINDOW_SPLITS = {"2018": "drift_2018", "2017": "test", "2016": "val", "train": "train"}
@@ -66,14 +97,16 @@ def read_window(spark: SparkSession, path: str, label: str, columns: list[str] |
                 split_col: str = "split") -> DataFrame:
     """A4 + A5: window label → split partition (pruned at the scan), feature
     columns only; unknown labels try ``label`` then ``drift_<label>``."""
-    df = spark.read.parquet(path)
-    available = [r[0] for r in df.select(split_col).distinct().collect()]   # partition values only
     candidates = [WINDOW_SPLITS.get(label, label), f"drift_{label}"]
     for c in candidates:
-        if c in available:
-            out = df.where(F.col(split_col) == c)
-            return out.select(*columns) if columns else out
-    raise FileNotFoundError(f"no data for window {label!r}; available: {sorted(available)}")
+        try:        # opens this partition's folder only
+            out = spark.read.option("basePath", path).parquet(f"{path}/{split_col}={c}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        return out.select(*columns) if columns else out
+    raise FileNotFoundError(f"no data for window {label!r}; tried {candidates}")
 
 
 def read_counterfactual_log(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
