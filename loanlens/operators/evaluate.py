@@ -173,8 +173,13 @@ def auc(scored: DataFrame, p: str = "p", y: str = "default", by: Sequence[str] =
     sums) → Σ pos·(neg_below + neg/2) / (P·N).  Equals
     ``BinaryClassificationEvaluator(numBins=0)``.
     """
+    return auc_of_counts(_score_counts(scored, p, y, by), by)
+
+
+def auc_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """D33 from (by, score, pos, neg) counts."""
     by = list(by)
-    c = prefix_sums(_score_counts(scored, p, y, by), by, "score", ["neg"])
+    c = prefix_sums(counts, by, "score", ["neg"], blocks=64)
     pos, neg = wide(F.col("pos")), wide(F.col("neg"))
     part = pos * (wide(F.col("cum_neg")) * 2 - neg)        # pos * (2 * negatives below + negatives at the score)
     r = c.groupBy(*by).agg(F.sum(part).alias("twice"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))

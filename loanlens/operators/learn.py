@@ -3,24 +3,30 @@ I13, I14, I16, I17, D37).
 
 Training is Spark ML (distributed).  Class weights are a ``weightCol``; the
 reference's early stopping on a validation set maps to
-``validationIndicatorCol``.  Permutation importance scores every
-(feature, repeat) permutation in ONE distributed pass: permuted values come
-from a deterministic hash order joined back by rank, and AUC is grouped by
-(feature, repeat).
+``validationIndicatorCol``.  Permutation importance pairs every row with one
+donor row per repeat (one distributed sort for all repeats), and swaps the
+features one at a time inside the map stage; only counts by (feature, repeat,
+score) are shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import math
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanlens.operators.evaluate import auc
+from loanlens.operators.evaluate import auc, auc_of_counts
+from loanlens.plans.prefix import numbered
+from loanlens.session import shared_table
 
 
 def _q(c: str) -> str:
@@ -29,8 +35,8 @@ def _q(c: str) -> str:
 
 def class_weights(df: DataFrame, label: str = "default", mode: str = "balanced") -> DataFrame:
     """Adds ``w``: balanced n/(2·n_c) (logistic) or n_neg/n_pos on positives (trees)."""
-    n0 = df.agg(F.count_if(F.col(label) == 0)).scalar()
-    n1 = df.agg(F.count_if(F.col(label) == 1)).scalar()
+    c = df.agg(F.struct(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))).scalar()
+    n0, n1 = c["n0"], c["n1"]
     n = n0 + n1
     if mode == "balanced":
         w = F.when(F.col(label) == 1, n / (F.lit(2.0) * n1)).otherwise(n / (F.lit(2.0) * n0))
@@ -51,16 +57,61 @@ def logistic_pipeline(features: Sequence[str], label: str = "default", C: float
                            regParam=reg, elasticNetParam=0.0, standardization=False)])
 
 
-def gbt_pipeline(features: Sequence[str], label: str = "default", max_iter: int = 60, depth: int = 5,
-                 step: float = 0.1, subsample: float = 0.75, feature_fraction: str = "0.75",
-                 min_instances: int = 5, seed: int = 42) -> Pipeline:
-    """Boosted trees with row/column subsampling and validation-based early stop."""
+def gbt_pipeline(features: Sequence[str], label: str = "default", max_iter: int = 800, depth: int = 7,
+                 step: float = 0.03, subsample: float = 0.75, feature_fraction: str = "0.75",
+                 min_instances: int = 5, seed: int = 42, tolerance: float = 1e-3) -> Pipeline:
+    """I4: boosted trees with row/column subsampling, up to ``max_iter`` rounds.
+
+    Boosting stops once a round lowers the loss on the ``is_val`` rows by
+    less than ``tolerance`` of it.
+    """
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         GBTClassifier(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter, maxDepth=depth,
                       stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_fraction,
                       minInstancesPerNode=min_instances, validationIndicatorCol="is_val",
-                      validationTol=1e-4, seed=seed)])
+                      validationTol=tolerance, seed=seed)])
+
+
+def second_gbt_pipeline(features: Sequence[str], label: str = "default", max_iter: int = 600, step: float = 0.03) -> Pipeline:
+    """The second boosted learner: fewer and smaller trees (64 leaves at most, 40 rows a leaf)."""
+    return gbt_pipeline(features, label, max_iter, depth=6, step=step, min_instances=40, seed=43)
+
+
+def stratified_split(df: DataFrame, key: str, label: str = "default", share: float = 0.2, seed: int = 42) -> DataFrame:
+    """``df`` plus ``part``: the first floor(share * n) rows of each class by
+    md5 of the key are ``val``, the others ``train``.
+
+    Rows are ranked by one distributed sort; a class's offset is the least
+    place of its rows.
+    """
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    placed = numbered(df.withColumn("_h", h), [F.col(label), F.col("_h"), F.col(key)], "stratified")
+    first = placed.groupBy(label).agg(F.min("_number").alias("_first"), F.count(F.lit(1)).alias("_n"))       # a row per class
+    in_val = F.col("_number") - F.col("_first") < F.floor(F.col("_n") * F.lit(share))
+    return placed.join(F.broadcast(first), label).withColumn("part", F.when(in_val, "val").otherwise("train")).select(*df.columns, "part")
+
+
+def parameter_search(train: DataFrame, val: DataFrame, features: Sequence[str], trials: int = 50, seed: int = 42,
+                     label: str = "default", max_iter: int = 500, space: dict | None = None) -> tuple[dict, list[dict]]:
+    """Seeded random search of the boosted learner's parameters by validation AUC.
+
+    Returns the best parameters and all trials; each trial is one Spark ML
+    fit.  ``train`` and ``val`` carry ``w``.
+    """
+    import random
+    r = random.Random(seed)
+    space = {"depth": (3, 10), "step": (0.01, 0.3), "subsample": (0.6, 1.0), "feature_fraction": (0.6, 1.0),
+             "min_instances": (1, 10)} | (space or {})
+    both = train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
+    found = []
+    for _ in range(trials):
+        p = {"depth": r.randint(*space["depth"]), "step": math.exp(r.uniform(*map(math.log, space["step"]))),
+             "subsample": r.uniform(*space["subsample"]), "feature_fraction": str(round(r.uniform(*space["feature_fraction"]), 4)),
+             "min_instances": r.randint(*space["min_instances"])}
+        model = gbt_pipeline(features, label, max_iter, seed=seed, **p).fit(both)
+        found.append({**p, "auc": auc(score(model, val, keep=(label,)), y=label).first()["auc"]})
+    return max(found, key=lambda x: x["auc"]), found
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("app_id", "split", "default"),
@@ -93,41 +144,54 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
     return spark.createDataFrame(list(zip(features, [float(x) for x in imp])), "feature string, importance double")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], key: str = "app_id",
-                           label: str = "default", repeats: int = 10, seed: int = 42,
-                           block_rows: int = 200_000) -> DataFrame:
-    """AUC drop when one feature's values are permuted, mean and std over
-    repeats.  One pass: rows × features × repeats are scored together."""
-    spark = df.sparkSession
+def with_donors(df: DataFrame, key: str, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """Each row ``repeats`` times with ``r`` and ``donor``, the features of another row.
+
+    Rows stand in the order of md5(key); in repeat r a row's donor is the row
+    a hash-drawn number of places further on, round the end.  One global sort
+    serves all repeats.
+    """
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    placed = shared_table(numbered(df.withColumn("_h", h), [F.col("_h"), F.col(key)], "permutation").drop("_h"), "permuted-rows")
+    n = placed.count()
+    if not n:
+        return placed.drop("_number").withColumns({"r": F.lit(0), "donor": F.array(*[F.col(_q(c)) for c in features])})
+    shifts = [1 + int(hashlib.md5(f"{seed}|{r}".encode()).hexdigest()[:12], 16) % max(1, n - 1) for r in range(repeats)]
+    moved = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), ((F.col("_number") - s + n) % n).alias("to")) for r, s in enumerate(shifts)]))
+    donors = placed.select(F.array(*[F.col(_q(c)).cast("double") for c in features]).alias("donor"), moved.alias("m")).select(
+        "donor", "m.r", F.col("m.to").alias("_number"))
+    return placed.join(donors, "_number").drop("_number")
+
+
+def permutation_importance(margins, df: DataFrame, features: Sequence[str], key: str = "app_id",
+                           label: str = "default", repeats: int = 10, seed: int = 42) -> DataFrame:
+    """AUC drop when one feature takes another row's values, mean and std over repeats.
+
+    ``margins(rows)`` adds ``p`` to rows with the feature columns: a fitted
+    pipeline's probability or a scorecard's expression.
+    """
     feats = list(features)
-    base = df.select(key, label, *[F.col(_q(c)).alias(f"f{i}") for i, c in enumerate(feats)])
-    grid = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(r).alias("r"))
-                               for j in range(len(feats)) for r in range(repeats)]))
-    rows = base.select("*", grid.alias("g")).select("*", "g.j", "g.r").drop("g")
-    # rows are first spread over random blocks of about ``block_rows`` rows;
-    # the permutation is drawn inside each (feature, repeat, block), so no
-    # window partition grows with the table
-    n_blocks = max(1, int(df.count() // block_rows))
-    rows = rows.withColumn("b", F.pmod(F.xxhash64(key, "j", "r", F.lit(seed), F.lit("block")), F.lit(n_blocks)))
-    w_row = Window.partitionBy("j", "r", "b").orderBy(key)
-    w_perm = Window.partitionBy("j", "r", "b").orderBy(F.xxhash64(key, "j", "r", F.lit(seed)), key)
-    ranked = rows.select("*", F.row_number().over(w_row).alias("pos"))
-    donor_val = F.element_at(F.array(*[F.col(f"f{i}") for i in range(len(feats))]), F.col("j") + 1)
-    donors = rows.select("j", "r", "b", F.row_number().over(w_perm).alias("pos"), donor_val.alias("donor"))
-    # both sides grow with rows × features × repeats: never broadcast
-    joined = ranked.join(donors.hint("shuffle_merge"), ["j", "r", "b", "pos"])
-    vec = F.array(*[F.when(F.col("j") == i, F.col("donor")).otherwise(F.col(f"f{i}")) for i in range(len(feats))])
-    perm = joined.select("j", "r", key, label, *[vec[i].alias(c) for i, c in enumerate(feats)])
-    scored = model.transform(perm).select("j", "r", label, F.round(vector_to_array("probability")[1], 4).alias("p"))
-    a = auc(scored, y=label, by=["j", "r"])
-    base_auc = auc(model.transform(df).select(label, F.round(vector_to_array("probability")[1], 4).alias("p")), y=label)
-    b = base_auc.select("auc").scalar()
+    base = df.select(key, label, *[F.col(_q(c)) for c in feats])
+    rows = with_donors(base, key, feats, repeats, seed)
+    # one variant per feature, made and scored where the row stands
+    variant = rows.withColumn("j", F.explode(F.array(*[F.lit(j) for j in range(len(feats))])))
+    swapped = variant.select("j", "r", label, *[F.when(F.col("j") == j, F.col("donor")[j]).otherwise(F.col(_q(c)).cast("double")).alias(c)
+                                                for j, c in enumerate(feats)])
+    counts = margins(swapped).groupBy("j", "r", F.col("p").alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    a = auc_of_counts(shared_table(counts, "permutation-scores"), ["j", "r"])
+    b = auc(margins(base), y=label).select("auc").scalar()
     names = F.element_at(F.array(*[F.lit(c) for c in feats]), F.col("j") + 1)
     drops = a.select(names.alias("feature"), (b - F.col("auc")).alias("drop"))
     return drops.groupBy("feature").agg(F.round(F.avg("drop"), 6).alias("perm_importance_mean"),
                                         F.round(F.stddev_pop("drop"), 6).alias("perm_importance_std"))
 
 
+def pipeline_probability(model: PipelineModel):
+    """A fitted pipeline as the scoring function of :func:`permutation_importance`."""
+    return lambda rows: model.transform(rows).withColumn("p", F.round(vector_to_array("probability")[1], 4))
+
+
 def retrain_compare(new_auc: DataFrame, old_auc: DataFrame) -> DataFrame:
     """I16: promote the candidate iff its AUC on the SAME split is higher."""
     n = new_auc.select("auc").scalar()
@@ -136,9 +200,46 @@ def retrain_compare(new_auc: DataFrame, old_auc: DataFrame) -> DataFrame:
                           F.when(n > o, "promoted").otherwise("kept_existing").alias("decision"))
 
 
-def registry_entries(compare: DataFrame, name: str, version: int) -> DataFrame:
-    """I17 (re-aimed): append-only registry rows; the champion flag follows
-    the latest promotion, never an in-place overwrite."""
-    return compare.select(F.lit(name).alias("model_name"), F.lit(version).alias("version"),
-                          F.when(F.col("decision") == "promoted", "champion").otherwise("candidate").alias("stage"),
-                          "new_auc", "old_auc", F.current_timestamp().alias("registered_at"))
+# ---------------------------------------------------------------- A13, I17
+def save_model(model: PipelineModel, path: str, metadata: dict) -> None:
+    """The fitted pipeline and its metadata document (columns, threshold, metrics) side by side."""
+    spark = SparkSession.getActiveSession()
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "doc string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+    return PipelineModel.load(f"{path}/model"), json.loads(spark.read.text(f"{path}/metadata").first()[0])
+
+
+REGISTRY_SCHEMA = "model_name string, version int, decision string, new_auc double, old_auc double, path string"
+
+
+def register_candidate(spark: SparkSession, registry: str, name: str, new_auc: float, path: str) -> str:
+    """I16 + I17: append a candidate to the registry table; it is promoted iff its AUC beats the champion's.
+
+    Rows are only appended; the champion is the latest promoted version.  The
+    first version meets an AUC of 0.
+    """
+    log = read_registry(spark, registry).where(F.col("model_name") == name)
+    old = champion(log).select("new_auc").first()
+    old_auc = old[0] if old else 0.0
+    version = (log.agg(F.max("version")).first()[0] or 0) + 1
+    decision = "promoted" if new_auc > old_auc else "kept_existing"
+    spark.createDataFrame([(name, version, decision, float(new_auc), float(old_auc), path)], REGISTRY_SCHEMA).write.mode("append").parquet(registry)
+    return decision
+
+
+def read_registry(spark: SparkSession, registry: str) -> DataFrame:
+    try:
+        return spark.read.schema(REGISTRY_SCHEMA).parquet(registry)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REGISTRY_SCHEMA)
+
+
+def champion(registry: DataFrame) -> DataFrame:
+    """The latest promoted version of each model name."""
+    return registry.where(F.col("decision") == "promoted").groupBy("model_name").agg(
+        F.max_by(F.struct("version", "new_auc", "path"), "version").alias("c")).select("model_name", "c.*")

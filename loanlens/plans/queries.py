@@ -1053,7 +1053,9 @@ def request_rate_accepted(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 8: learners
+import uuid as _uuid  # noqa: E402
 from loanlens.operators import learn as ml  # noqa: E402
+from loanlens.session import scratch_path, shared_table  # noqa: E402
 
 _MODELS: dict[tuple, object] = {}
 
@@ -1067,15 +1069,16 @@ def _train_frame(spark, sf_dir, splits=("train",)):
 def _learned(spark, sf_dir, kind: str, splits=("train",)):
     key = (spark.sparkContext.applicationId, sf_dir, kind, splits)
     if key not in _MODELS:
-        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if kind == "gbt" else ()))
+        boosted = kind != "logistic"
+        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if boosted else ()))
         feats = prep.feature_columns
-        if kind == "logistic":
-            d = ml.class_weights(df, mode="balanced")
-            wsum = d.agg(F.sum("w")).first()[0]
-            _MODELS[key] = ml.logistic_pipeline(feats, C=0.5, max_iter=200, weight_sum=wsum).fit(d)
-        else:
-            d = ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val")
-            _MODELS[key] = ml.gbt_pipeline(feats).fit(d)
+        # Prepared once in the shared folder: fitting passes over it many times.
+        df = shared_table(df.select("split", "default", *[F.col(f"`{c}`") for c in feats]), "train-rows")
+        if boosted:
+            make = {"gbt": ml.gbt_pipeline, "gbt2": ml.second_gbt_pipeline}[kind]
+            _MODELS[key] = make(feats).fit(ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val"))
+        else:       # balanced weights sum to the row count
+            _MODELS[key] = ml.logistic_pipeline(feats, weight_sum=df.count()).fit(ml.class_weights(df, mode="balanced"))
     return _MODELS[key]
 
 
@@ -1085,11 +1088,10 @@ def _split_rows(spark, sf_dir, split):
 
 @register("model_compare")
 def model_compare(spark, sf_dir):
-    """I3 + I4 + I6 + D37: weighted logistic regression and boosted trees,
-    validation AUC table sorted, champion flagged."""
+    """I3 + I4 + I5 + I6 + D37: weighted logistic regression and two boosted
+    learners, validation AUC table sorted, champion flagged."""
     val = _split_rows(spark, sf_dir, "val")
-    return ml.compare_models({"logistic": ml.score(_learned(spark, sf_dir, "logistic"), val),
-                              "gbt": ml.score(_learned(spark, sf_dir, "gbt"), val)})
+    return ml.compare_models({k: ml.score(_learned(spark, sf_dir, k), val) for k in ("logistic", "gbt", "gbt2")})
 
 
 @register("learned_scores")
@@ -1109,18 +1111,24 @@ def feature_importance(spark, sf_dir):
 def perm_importance(spark, sf_dir):
     """Permutation importance (10 repeats, AUC drop) of the logistic model on validation rows."""
     feats = fitted_prep(spark, sf_dir).feature_columns
-    return ml.permutation_importance(_learned(spark, sf_dir, "logistic"), _split_rows(spark, sf_dir, "val"), feats)
+    return ml.permutation_importance(ml.pipeline_probability(_learned(spark, sf_dir, "logistic")), _split_rows(spark, sf_dir, "val"), feats)
 
 
 @register("retrain_compare")
 def retrain_compare(spark, sf_dir):
-    """I16 + I17: candidate trained on train+val vs the existing model on the
-    same test split; promote only when better; registry row appended."""
+    """A13 + I16 + I17: the existing model and a candidate trained on train + val,
+    both saved, reloaded, scored on the test split and put in a registry
+    table; the candidate is promoted only if it is better."""
     test = _split_rows(spark, sf_dir, "test")
-    old = ev.auc(ml.score(_learned(spark, sf_dir, "logistic"), test))
-    new = ev.auc(ml.score(_learned(spark, sf_dir, "logistic", ("train", "val")), test))
-    cmp_ = ml.retrain_compare(new, old)
-    return ml.registry_entries(cmp_, "logistic", 2).drop("registered_at")
+    base = scratch_path(spark, f"models-{_uuid.uuid4().hex}")
+    feats = fitted_prep(spark, sf_dir).feature_columns
+    for i, splits in enumerate((("train",), ("train", "val"))):
+        path = f"{base}/{i}"
+        ml.save_model(_learned(spark, sf_dir, "logistic", splits), path, {"columns": feats, "threshold": 0.5, "trained_on": list(splits)})
+        model, meta = ml.load_model(spark, path)
+        ml.register_candidate(spark, f"{base}/registry", "logistic", ev.auc(ml.score(model, test)).first()["auc"], "+".join(meta["trained_on"]))
+    return ml.read_registry(spark, f"{base}/registry").select("model_name", "version", "decision", F.round("new_auc", 6).alias("new_auc"),
+                                                             F.round("old_auc", 6).alias("old_auc"), "path")
 
 
 # ------------------------------------------------------------------ step 10: attribution

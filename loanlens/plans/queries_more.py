@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from loanlens.operators import clean as cl
+from loanlens.operators import evaluate as ev
 from loanlens.operators import explore as xe
+from loanlens.operators import learn as ml
 from loanlens.operators import quality as qa
 from loanlens.operators.prep import NUMERIC_FEATURES, RAW_FIELDS
 from loanlens.operators.scoring import CHAMPION, ScorecardModel
 from loanlens.plans import oracle as O
-from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans
+from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored_both
 from loanlens.plans.queries import _ANOVA_COLS, _fs, register
 from loanlens.session import scratch_path
 from loanlens.sources import loans as io
@@ -146,3 +148,67 @@ def schema_report(spark, sf_dir):
     df = resolved_loans(spark, sf_dir).select("app_id", *NUMERIC_FEATURES).withColumn("surplus", F.lit(1))
     missing, extra = qa.schema_diff(["app_id", *NUMERIC_FEATURES, "gone"], df.columns)
     return spark.createDataFrame([(c, "missing") for c in missing] + [(c, "extra") for c in extra], "name string, state string")
+
+
+# ------------------------------------------------------------------ learners, on fixed scorecards where SQL can follow
+@register("stratified_split", O.with_ctes("""select app_id, "default", case when rn <= floor(n * 0.2::double) then 'val' else 'train' end as part from (
+ select app_id, "default", row_number() over (partition by "default" order by md5(app_id::varchar || '|42'), app_id) as rn,
+  count(*) over (partition by "default") as n from resolved where split = 'train')""", "resolved"))
+def stratified_split(spark, sf_dir):
+    """80/20 split of the train rows, equal in both classes."""
+    train = resolved_loans(spark, sf_dir).where(F.col("split") == "train").select("app_id", "default")
+    return ml.stratified_split(train, "app_id")
+
+
+_CARD_FEATS = [c for c, _, _ in CHAMPION.terms]
+_REPEATS, _SEED = 10, 42
+
+
+def _shift_sql(r: int) -> str:
+    import hashlib
+    return f"1 + {int(hashlib.md5(f'{_SEED}|{r}'.encode()).hexdigest()[:12], 16)} % greatest(1, n - 1)"
+
+
+def _perm_sql() -> str:
+    score = CHAMPION.sql()
+    swapped = " union all ".join(
+        f"select '{f}' as feature, r, y, {score} as p from (select a.r, a.y, " + ", ".join(
+            f"{'b' if g == f else 'a'}.{g} as {g}" for g in _CARD_FEATS) + " from moved a join v b on b.i = a.j)" for f in _CARD_FEATS)
+    return O.with_ctes(f"""select feature, round(avg(b.auc - s.auc), 6) as perm_importance_mean, round(stddev_pop(b.auc - s.auc), 6) as perm_importance_std
+ from per s, base b group by feature""", "prepared", extra={
+        "v": f"""select row_number() over (order by md5(app_id::varchar || '|{_SEED}'), app_id) - 1 as i, count(*) over () as n, "default" as y,
+          {', '.join(_CARD_FEATS)} from prepared where split = 'val'""",
+        "moved": " union all ".join(f"select v.*, {r} as r, (i + {_shift_sql(r)}) % n as j from v" for r in range(_REPEATS)),
+        "sw": swapped,
+        "per": """select feature, r, sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)) as auc from (
+          select feature, r, pos, neg, coalesce(sum(neg) over (partition by feature, r order by p rows between unbounded preceding and 1 preceding), 0) as below
+          from (select feature, r, p, count_if(y = 1) as pos, count_if(y = 0) as neg from sw group by all)) group by all""",
+        "base": f"""select sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)) as auc from (
+          select pos, neg, coalesce(sum(neg) over (order by p rows between unbounded preceding and 1 preceding), 0) as below
+          from (select {score} as p, count_if(y = 1) as pos, count_if(y = 0) as neg from v group by all))"""})
+
+
+@register("perm_importance_card", _perm_sql())
+def perm_importance_card(spark, sf_dir):
+    """I14 on the fixed scorecard: AUC drop of each of its fields, ten repeats."""
+    val = prepared(spark, sf_dir).where(F.col("split") == "val")
+    return ml.permutation_importance(lambda rows: rows.withColumn("p", CHAMPION.probability()), val, _CARD_FEATS, repeats=_REPEATS, seed=_SEED)
+
+
+@register("model_registry", O.with_ctes("""select 'scorecard' as model_name, version, case when auc > old then 'promoted' else 'kept_existing' end as decision,
+ round(auc, 6) as new_auc, round(old, 6) as old_auc, path from (
+ select 1 as version, champion_auc as auc, 0.0 as old, 'champion' as path from au
+ union all select 2, challenger_auc, champion_auc, 'challenger' from au
+ union all select 3, champion_auc, greatest(champion_auc, challenger_auc), 'champion again' from au)""", "scored_both", extra={
+    "lab": "select s.*, coalesce(\"default\", 0) as y from scored_both s where split = 'test'",
+    **{f"{k}_c": f"select {k}_p as p, count_if(y = 1) as pos, count_if(y = 0) as neg from lab group by all" for k in ("champion", "challenger")},
+    "au": "select " + ", ".join(f"(select sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)) from (select pos, neg, coalesce(sum(neg) over "
+                                f"(order by p rows between unbounded preceding and 1 preceding), 0) as below from {k}_c)) as {k}_auc" for k in ("champion", "challenger"))}))
+def model_registry(spark, sf_dir):
+    """I16 + I17: three candidates registered in turn; each is promoted only if it beats the champion of that time."""
+    test = scored_both(spark, sf_dir).where(F.col("split") == "test")
+    path = f"{scratch_path(spark, f'registry-{uuid.uuid4().hex}')}/table"
+    for col, label in (("champion_p", "champion"), ("challenger_p", "challenger"), ("champion_p", "champion again")):
+        ml.register_candidate(spark, path, "scorecard", ev.auc(test, p=col).first()["auc"], label)
+    return ml.read_registry(spark, path).select("model_name", "version", "decision", F.round("new_auc", 6).alias("new_auc"),
+                                               F.round("old_auc", 6).alias("old_auc"), "path")
