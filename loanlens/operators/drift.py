@@ -11,10 +11,10 @@ Per feature and window, against a reference window:
 
 The deciding method is the caller's choice and never depends on row counts.
 
-Plan: stack (window, feature, value) and ``groupBy`` with map-side partial
-aggregation → distinct-value counts; the reference counts are replicated to
-each current window (a fixed, small list of windows); ordered statistics use
-the two-level prefix-sum plan, so no task ever holds a whole feature.
+Plan: one table of counts by (feature number, value) with a column per window;
+0/1 columns need no stacking.  Deciles and ordered statistics use the two-level
+prefix-sum plan, so no task ever holds a whole feature, and all windows share
+one pass over it.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.columns import literal_map, round_ratio
 from loanlens.functions.stats import CHI2_CRITICAL_05, KOLMOGOROV_CRITICAL_05
+from loanlens.operators.quality import quality_gate
 from loanlens.plans.prefix import prefix_sums, quantiles_of_counts
 from loanlens.session import shared_table
 
@@ -42,86 +43,103 @@ MAX_DRIFT_SHARE = 0.25
 APPROVAL_DEVIATION = 0.10
 
 
-def value_counts(df: DataFrame, features: Sequence[str], by: str = "split") -> DataFrame:
-    """(window, feature, value, n) — stacked inside the map stage, then aggregated."""
-    items = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("value")) for f in features]
-    return (df.select(F.col(by).alias("window"), F.explode(F.array(*items)).alias("s"))
-              .groupBy("window", "s.feature", "s.value").agg(F.count(F.lit(1)).alias("n")))
+def value_counts(df: DataFrame, features: Sequence[str], windows: Sequence[str], by: str, reference: str,
+                 binary: Sequence[str] = ()) -> DataFrame:
+    """(feature number, value, n_ref, n_0, n_1, ...): how often each value occurs in the reference and each window.
+
+    Columns listed as ``binary`` hold 0 and 1 only (anything else raises), so
+    their counts come from one aggregate without any stacking; the other
+    columns are stacked inside the map stage and aggregated by (number, value).
+    """
+    names = [reference, *windows]
+    cols = ["n_ref", *[f"n_{i}" for i in range(len(windows))]]
+    number = {f: i for i, f in enumerate(features)}
+    flags = [f for f in features if f in set(binary)]
+    rest = [f for f in features if f not in set(binary)]
+    df = df.where(F.col(by).isin(*names))
+    parts = []
+    if rest:
+        items = [F.struct(F.lit(number[f]).alias("feature"), F.col(f"`{f}`").cast("double").alias("value")) for f in rest]
+        parts.append(df.select(F.col(by).alias("w"), F.explode(F.array(*items)).alias("s")).where(F.col("s.value").isNotNull())
+                     .groupBy("s.feature", "s.value").agg(*[F.count_if(F.col("w") == w).alias(c) for w, c in zip(names, cols)]))
+    if flags:
+        v = {f: F.col(f"`{f}`").cast("double") for f in flags}
+        one = df.agg(*[F.count_if((F.col(by) == w) & (v[f] == x)).alias(f"_{number[f]}_{x}_{i}")
+                       for f in flags for x in (0, 1) for i, w in enumerate(names)],
+                     *[F.count_if(~v[f].isin(0.0, 1.0)).alias(f"_bad{number[f]}") for f in flags])
+        check = {f: F.when(F.col(f"_bad{number[f]}") > 0, F.raise_error(F.lit(f"{f} holds other values than 0 and 1"))) for f in flags}
+        rows = [F.struct(F.lit(number[f]).alias("feature"), F.coalesce(check[f].cast("double"), F.lit(float(x))).alias("value"),
+                         *[F.col(f"_{number[f]}_{x}_{i}").alias(c) for i, c in enumerate(cols)]) for f in flags for x in (0, 1)]
+        parts.append(one.select(F.explode(F.array(*rows)).alias("s")).select("s.*").where(" + ".join(cols) + " > 0"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str],
                    by: str = "split", reference: str = "train",
                    threshold: float = DRIFT_THRESHOLD, method: str = "distance",
-                   psi_flag: float = PSI_FLAG, checkpoint: bool = True) -> DataFrame:
+                   psi_flag: float = PSI_FLAG, binary: Sequence[str] = ()) -> DataFrame:
     """One row per (window, feature) with method, statistic, drift flag, PSI.
 
     NULL values are left out of the distributions (their share is the
-    quality gate's job).
+    quality gate's job).  All windows share one value grid per feature: the
+    distribution functions only step at their own values, so the distances
+    are the same as on the two windows' own values.
     """
-    counts = value_counts(df.where(F.col(by).isin(reference, *windows)), features, by).where(F.col("value").isNotNull())
-    # reused by six branches: written once to the shared checkpoint folder
-    if checkpoint:
-        counts = shared_table(counts, "drift-counts")
-    ref = counts.where(F.col("window") == reference).select("feature", "value", F.col("n").alias("n_ref"))
-    cur = counts.where(F.col("window") != reference).select("window", "feature", "value", F.col("n").alias("n_cur"))
-    rep = ref.select(F.explode(F.array(*[F.lit(w) for w in windows])).alias("window"), "feature", "value",
-                     "n_ref", F.lit(0).cast("bigint").alias("n_cur"))
-    merged = (cur.select("window", "feature", "value", F.lit(0).cast("bigint").alias("n_ref"), "n_cur")
-              .unionByName(rep).groupBy("window", "feature", "value")
-              .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
-
-    # reference moments and deciles: one row per feature (bounded, broadcast)
-    rmean = ref.groupBy("feature").agg((F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean_ref"),
-                                       F.sum("n_ref").alias("tot_ref"), F.count(F.lit(1)).alias("k_ref"))
+    features, windows = list(features), list(windows)
+    cur = range(len(windows))
+    cols = ["n_ref", *[f"n_{i}" for i in cur]]
+    counts = shared_table(value_counts(df, features, windows, by, reference, binary), "drift-counts")
+
+    # one row per feature
+    ref = counts.where("n_ref > 0")
+    totals = counts.groupBy("feature").agg(*[F.sum(c).alias(f"t{c[1:]}") for c in cols],
+                                           F.count_if(F.col("n_ref") > 0).alias("k_ref"),
+                                           (F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean_ref"))
     edges = quantiles_of_counts(ref, ["feature"], "value", "n_ref", DECILES).withColumnRenamed("quantiles", "edges")
-    rmean = rmean.join(F.broadcast(edges), "feature")           # one row per feature
-    rvar = ref.join(F.broadcast(rmean.select("feature", "mean_ref", "tot_ref")), "feature").groupBy("feature").agg(
-        F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("mean_ref")) ** 2) / F.first("tot_ref")).alias("std_ref"))
-    rstats = rmean.join(rvar, "feature")
-    ncur = cur.groupBy("window", "feature").agg(F.sum("n_cur").alias("tot_cur"))
-    tot = ncur.join(F.broadcast(rstats), "feature")          # windows × features rows
-
-    m = merged.join(F.broadcast(tot.select("window", "feature", "tot_ref", "tot_cur")), ["window", "feature"])
-    pre = prefix_sums(m, ["window", "feature"], "value", ["n_ref", "n_cur"], with_next=True)
-    Fr = F.col("cum_n_ref") / F.col("tot_ref")
-    Gc = F.col("cum_n_cur") / F.col("tot_cur")
-    gap = F.abs(Fr - Gc)
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
-    mid = (p + q) / 2
-    js_term = (F.when(p > 0, p * F.log2(p / mid)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / mid)).otherwise(0.0))
-    expct = p * F.col("tot_cur")
-    chi_term = F.when(p > 0, (F.col("n_cur") - expct) ** 2 / expct).otherwise(0.0)
-    per = pre.groupBy("window", "feature").agg(
-        F.max(gap).alias("ks"),
-        F.sum(F.when(F.col("next_value").isNotNull(), gap * (F.col("next_value") - F.col("value"))).otherwise(0.0)).alias("w1"),
-        F.sum(js_term).alias("js2"), F.sum(chi_term).alias("chi2"))
-
-    # PSI on reference deciles: value → decile bin (≤ 10 bins per feature)
-    mb = merged.join(F.broadcast(rstats.select("feature", "edges")), "feature")
+    stats = shared_table(totals.join(edges, "feature"), "drift-totals")
+    grid = prefix_sums(counts, ["feature"], "value", cols, with_next=True).join(F.broadcast(stats), "feature")
+
+    p = F.col("n_ref") / F.col("t_ref")
+    aggs = [F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("mean_ref")) ** 2) / F.first("t_ref")).alias("std_ref")]
+    for i in cur:
+        total = F.nullif(F.col(f"t_{i}"), F.lit(0))
+        gap = F.abs(F.col("cum_n_ref") / F.col("t_ref") - F.col(f"cum_n_{i}") / total)
+        q = F.col(f"n_{i}") / total
+        mid = (p + q) / 2
+        js = F.when(p > 0, p * F.log2(p / mid)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / mid)).otherwise(0.0)
+        expect = p * total
+        aggs += [F.max(gap).alias(f"ks{i}"),
+                 F.sum(F.when(F.col("next_value").isNotNull(), gap * (F.col("next_value") - F.col("value"))).otherwise(0.0)).alias(f"w1{i}"),
+                 F.sum(js).alias(f"js{i}"),
+                 F.sum(F.when(p > 0, (F.col(f"n_{i}") - expect) ** 2 / expect).otherwise(0.0)).alias(f"chi{i}")]
+    per = grid.groupBy("feature").agg(*aggs)
+
+    # PSI on reference deciles: at most ten bins per feature
     b = F.aggregate(F.col("edges"), F.lit(0), lambda acc, e: acc + (F.col("value") > e).cast("int"))
-    bins = (mb.groupBy("window", "feature", b.alias("bin"))
-              .agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"))
-              .join(F.broadcast(tot.select("window", "feature", "tot_ref", "tot_cur")), ["window", "feature"]))
-    pr = F.greatest(F.col("r") / F.col("tot_ref"), F.lit(PSI_FLOOR))
-    pc = F.greatest(F.col("c") / F.col("tot_cur"), F.lit(PSI_FLOOR))
-    psi = bins.groupBy("window", "feature").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi"))
-
-    r = per.join(tot, ["window", "feature"]).join(psi, ["window", "feature"])
-    numeric = F.col("k_ref") > FEW_VALUES
+    bins = counts.join(F.broadcast(stats), "feature").groupBy("feature", b.alias("bin")).agg(
+        *[F.sum(c).alias(c) for c in cols], *[F.first(f"t{c[1:]}").alias(f"t{c[1:]}") for c in cols])
+    pr = F.greatest(F.col("n_ref") / F.col("t_ref"), F.lit(PSI_FLOOR))
+    shares = [F.greatest(F.col(f"n_{i}") / F.nullif(F.col(f"t_{i}"), F.lit(0)), F.lit(PSI_FLOOR)) for i in cur]
+    psi = bins.groupBy("feature").agg(*[F.sum((s - pr) * F.log(s / pr)).alias(f"psi{i}") for i, s in enumerate(shares)])
+
+    rows = [F.struct(F.lit(w).alias("window"), F.col(f"t_{i}").alias("tot_cur"), *[F.col(f"{x}{i}").alias(x) for x in ("ks", "w1", "js", "chi", "psi")])
+            for i, w in enumerate(windows)]
+    r = per.join(stats, "feature").join(psi, "feature").withColumn("s", F.explode(F.array(*rows)))
+    r = r.select("feature", "k_ref", "std_ref", F.col("t_ref").alias("tot_ref"), "s.*").where("tot_cur > 0")
+
     kinds = {"distance": ("wasserstein", "jensenshannon"), "test": ("ks", "chisquare")}[method]
-    method = F.when(numeric, kinds[0]).otherwise(kinds[1])
+    kind = F.when(F.col("k_ref") > FEW_VALUES, kinds[0]).otherwise(kinds[1])
     en = F.sqrt(F.col("tot_ref") * F.col("tot_cur") / (F.col("tot_ref") + F.col("tot_cur")))
     lam = (en + F.lit(0.12) + F.lit(0.11) / en) * F.col("ks")
-    dof = F.col("k_ref") - 1
-    crit = F.try_element_at(literal_map(CHI2_CRIT), dof.cast("int"))
+    crit = F.try_element_at(literal_map(CHI2_CRIT), (F.col("k_ref") - 1).cast("int"))
     wnorm = F.when(F.col("std_ref") > 0, F.col("w1") / F.col("std_ref"))
-    stat = (F.when(method == "ks", F.col("ks")).when(method == "chisquare", F.col("chi2"))
-            .when(method == "wasserstein", wnorm).otherwise(F.sqrt(F.col("js2") / 2)))
-    drift = (F.when(method == "ks", lam > F.lit(KS_LAMBDA_CRIT))
-             .when(method == "chisquare", F.coalesce(F.col("chi2") > crit, F.lit(False)))
+    stat = (F.when(kind == "ks", F.col("ks")).when(kind == "chisquare", F.col("chi"))
+            .when(kind == "wasserstein", wnorm).otherwise(F.sqrt(F.col("js") / 2)))
+    drift = (F.when(kind == "ks", lam > F.lit(KS_LAMBDA_CRIT))
+             .when(kind == "chisquare", F.coalesce(F.col("chi") > crit, F.lit(False)))
              .otherwise(F.coalesce(stat >= F.lit(threshold), F.lit(False))))
-    return r.select("window", "feature", method.alias("method"), F.round(stat, 6).alias("statistic"),
+    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
+    return r.select("window", name.alias("feature"), kind.alias("method"), F.round(stat, 6).alias("statistic"),
                     drift.alias("drift_detected"), F.round(F.col("psi"), 6).alias("psi"),
                     (F.col("psi") >= F.lit(psi_flag)).alias("psi_flag"),
                     F.col("tot_ref").alias("n_reference"), F.col("tot_cur").alias("n_current"))
@@ -151,10 +169,9 @@ def retrain_decision(verdict: DataFrame, approval: DataFrame, quality: DataFrame
     ``approval``: (window, approval_rate[, baseline_approval_rate]).
     ``baseline=None`` uses the ``baseline_approval_rate`` column.
     """
-    v = verdict.join(approval, "window", "left")
+    v = approval.join(verdict, "window", "left")
     if quality is not None:
-        v = v.join(quality.select("window", F.col("failure_type").alias("q_type"), "severity",
-                                  "affected_features"), "window", "left")
+        v = v.join(quality.select("window", F.col("failure_type").alias("q_type"), "severity"), "window", "left")
         bug = F.coalesce(F.col("q_type") == "pipeline_bug", F.lit(False))
         critical = F.coalesce(F.col("severity") == "critical", F.lit(False))
     else:
@@ -163,18 +180,35 @@ def retrain_decision(verdict: DataFrame, approval: DataFrame, quality: DataFrame
     drift_rule = ((F.col("failure_type") == "real_drift") & (F.col("drift_score") > max_share)
                   & (F.col("n_drifted") >= min_features))
     appr_rule = F.coalesce(F.abs(F.col("approval_rate") - base) > deviation, F.lit(False))
+    drift_rule = F.coalesce(drift_rule, F.lit(False))
     retrain = F.when(bug, critical).otherwise(drift_rule | appr_rule | critical)
     return v.select(
         "window",
-        F.when(bug, F.lit(False)).otherwise(F.col("drift_detected")).alias("drift_detected"),
-        F.when(bug, F.lit("pipeline_bug")).otherwise(F.col("failure_type")).alias("failure_type"),
-        F.when(bug, F.lit("")).otherwise(F.col("drifted_features")).alias("drifted_features"),
-        F.when(bug, F.lit(0.0)).otherwise(F.col("drift_score")).alias("drift_score"),
+        F.when(bug, F.lit(False)).otherwise(F.coalesce("drift_detected", F.lit(False))).alias("drift_detected"),
+        F.when(bug, F.lit("pipeline_bug")).otherwise(F.coalesce("failure_type", F.lit("clean"))).alias("failure_type"),
+        F.when(bug, F.lit("")).otherwise(F.coalesce("drifted_features", F.lit(""))).alias("drifted_features"),
+        F.when(bug, F.lit(0.0)).otherwise(F.coalesce("drift_score", F.lit(0.0))).alias("drift_score"),
         "approval_rate", base.alias("baseline_approval_rate"),
         retrain.alias("should_retrain"),
         F.when(bug, F.lit("fix_data")).when(retrain, F.lit("retrain")).otherwise(F.lit("none")).alias("action"))
 
 
+def monitor(df: DataFrame, features: Sequence[str], windows: Sequence[str], approval: DataFrame, by: str = "split",
+            reference: str = "train", binary: Sequence[str] = ()) -> DataFrame:
+    """Quality gate, then drift of the windows that pass it, then the retrain verdict of all.
+
+    The gate's result (a row per window) is taken first; windows with a
+    pipeline bug never enter the drift job.
+    """
+    gate = shared_table(quality_gate(df, features, by, reference), "quality-gate")
+    bugged = {r["window"] for r in gate.where(F.col("failure_type") == "pipeline_bug").collect()}
+    sound = [w for w in windows if w not in bugged]
+    verdict = (drift_verdict(drift_features(df, features, sound, by, reference, binary=binary)) if sound else
+               df.sparkSession.createDataFrame([], "window string, drift_detected boolean, failure_type string, drifted_features string, "
+                                                   "n_drifted long, n_features long, drift_score double, recommended_action string"))
+    return retrain_decision(verdict, approval.where(F.col("window").isin(*windows)), quality=gate)
+
+
 def latest_entry(log: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Newest monitoring entry with its approval delta vs the baseline."""
     r = log.agg(F.max_by(F.struct(*log.columns), F.col(ts)).alias("e")).select("e.*")

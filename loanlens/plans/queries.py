@@ -17,6 +17,7 @@ from loanlens.plans import oracle as O
 from loanlens.plans.pipeline import (
     CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored,
 )
+from loanlens.operators.clean import DRIVER_SPLITS, temporal_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -302,7 +303,7 @@ from loanlens.operators import quality as qa  # noqa: E402
 from loanlens.operators.prep import RAW_FIELDS  # noqa: E402
 
 _RAW_NUM = [c for c in RAW_FIELDS if c in NUMERIC_FEATURES]
-_WINDOWS = ["val", "test", "drift_2000", "extra_2001"]
+_WINDOWS = [label for label, _ in DRIVER_SPLITS.labelled_years() if label != "train"]
 
 
 def _raw(spark, sf_dir):
@@ -461,7 +462,13 @@ def _drift_sql(body: str, extra: dict | None = None) -> str:
 
 def _drift(spark, sf_dir, model=None):
     model = model or fitted_prep(spark, sf_dir)
-    return dr.drift_features(prepared(spark, sf_dir, model), model.feature_columns, _WINDOWS)
+    return dr.drift_features(prepared(spark, sf_dir, model), model.feature_columns, _WINDOWS, binary=_binary(model))
+
+
+def _binary(model):
+    """The prepared columns that are 0 or 1: indicators and was-missing flags."""
+    return [f"{c}_{v}" for c, vals in model.params_doc["categories"].items() for v in vals] + [
+        c for c in model.feature_columns if c.endswith("_was_missing")]
 
 
 @register("drift_features", _drift_sql("select * from df"))
@@ -517,16 +524,37 @@ def retrain_decision(spark, sf_dir):
     return dr.retrain_decision(dr.drift_verdict(_drift(spark, sf_dir, model)), _approval(spark, sf_dir, model))
 
 
-@register("multi_window_monitor", O.with_ctes(_RETRAIN_BODY, "prepared", "cats", "scored",
-                                              extra={**_DRIFT_EXTRA, **_APPR_EXTRA}))
+_BUG_EXTRA = {
+    "rngs": """select split as window, feature, max(v) - min(v) as r from (
+      select split, feature, case when feature = 'loan_amnt' and split = 'test' then value * 1000 else value end as v from pl) group by all""",
+    "bugs": """select distinct c.window from rngs c join rngs t on t.window = 'train' and t.feature = c.feature
+      where c.window <> 'train' and t.r <> 0 and c.r > t.r * 10""",
+}
+_MONITOR_BODY = """
+select a.window, case when g.window is not null then false else v.drift_detected end as drift_detected,
+ case when g.window is not null then 'pipeline_bug' else v.failure_type end as failure_type,
+ case when g.window is not null then '' else v.drifted_features end as drifted_features,
+ case when g.window is not null then 0.0 else v.drift_score end as drift_score, a.approval_rate, b.approval_rate as baseline_approval_rate,
+ g.window is not null or (v.failure_type = 'real_drift' and v.drift_score > 0.25 and v.n_drifted >= 2) or abs(a.approval_rate - b.approval_rate) > 0.1 as should_retrain,
+ case when g.window is not null then 'fix_data'
+   when (v.failure_type = 'real_drift' and v.drift_score > 0.25 and v.n_drifted >= 2) or abs(a.approval_rate - b.approval_rate) > 0.1 then 'retrain' else 'none' end as action
+from appr a left join dv v using (window) left join bugs g using (window), (select approval_rate from appr_all where window = 'train') b"""
+_MONITOR_EXTRA = {**_DRIFT_EXTRA, **_APPR_EXTRA, **_BUG_EXTRA}
+
+
+def _faulty(spark, sf_dir, model):
+    """Prepared features of which one window's amounts came in the wrong unit."""
+    prep = prepared(spark, sf_dir, model).select("split", *[F.col(f"`{c}`") for c in model.feature_columns])
+    return prep.withColumn("loan_amnt", F.col("loan_amnt") * F.when(F.col("split") == "test", 1000.0).otherwise(1.0))
+
+
+@register("multi_window_monitor", O.with_ctes(_MONITOR_BODY, "prepared", "cats", "scored", extra=_MONITOR_EXTRA))
 def multi_window_monitor(spark, sf_dir):
-    """J6 + J7: quality gate on the prepared features (short-circuits on a
-    pipeline bug), drift, approval vs baseline, retrain verdict — all windows."""
+    """J5 + J6 + J7: quality gate on the prepared features of all windows, of
+    which one is broken and skips the drift job; drift, approval against the
+    baseline and retrain verdict of the others."""
     model = fitted_prep(spark, sf_dir)
-    prep = prepared(spark, sf_dir, model).select("split", *[F.col(f"`{c}`") for c in model.feature_columns])
-    gate = qa.quality_gate(prep, model.feature_columns)
-    return dr.retrain_decision(dr.drift_verdict(_drift(spark, sf_dir, model)),
-                               _approval(spark, sf_dir, model), quality=gate)
+    return dr.monitor(_faulty(spark, sf_dir, model), model.feature_columns, _WINDOWS, _approval(spark, sf_dir, model), binary=_binary(model))
 
 
 # ------------------------------------------------------------------ step 6: experiments
@@ -997,6 +1025,8 @@ def feature_rank(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 9: streams
+import uuid as _uuid  # noqa: E402
+from loanlens.session import scratch_path, shared_table  # noqa: E402
 from loanlens.streaming import jobs as sj  # noqa: E402
 
 _RATE_WIDTH = 86400
@@ -1006,28 +1036,33 @@ _RATE_LIMIT = 3
 @register("stream_scores", O.with_ctes('select app_id, split, "default", p from scored', "scored"))
 def stream_scores(spark, sf_dir):
     """ST1: file stream of raw loan rows → clean → split → prep → score (availableNow)."""
-    from loanlens.sources.tables import staged_loan_applications
-    import os
-    staged = staged_loan_applications(spark, sf_dir)
-    folder = staged.inputFiles()[0].rsplit("/", 1)[0]
-    stream = sj.file_stream(spark, folder.replace("file:", ""), "*.parquet", staged.schema)
+    from loanlens.sources.tables import staged_loan_applications, staged_path
+    schema = staged_loan_applications(spark, sf_dir).schema
+    stream = sj.file_stream(spark, staged_path(spark, sf_dir), "*.parquet", schema)
     return sj.run_available_now(sj.scoring_stream(stream, fitted_prep(spark, sf_dir)), "scores")
 
 
+def _repeated_requests(spark, sf_dir):
+    """The event table as a folder of request files in which one request in seven was sent twice."""
+    from loanlens.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events")
+    path = scratch_path(spark, f"requests-{_uuid.uuid4().hex}")
+    ev.unionByName(ev.where(F.col("event_id") % 7 == 0)).write.parquet(path)
+    return path, ev.schema
+
+
 @register("stream_ab_windows", f"""
 select strftime(time_bucket(interval 1 day, ts), '%Y-%m-%d %H:%M:%S') as window_start,
  strftime(time_bucket(interval 1 day, ts) + interval 1 day, '%Y-%m-%d %H:%M:%S') as window_end,
  case when {_bucket_sql('cast(user_id as varchar)')} < 10.0 then 'challenger' else 'champion' end as arm,
  count(*) as n_requests, cast(sum(cast(value as decimal(18,2))) as double) as total_value
-from events where time_bucket(interval 1 day, ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour
-group by all""")
+from events group by all""")
 def stream_ab_windows(spark, sf_dir):
-    """ST2 + ST5: de-duplicated request stream, daily tumbling windows per arm,
-    1 h watermark, append mode (closed windows only)."""
-    from loanlens.sources.tables import read_table
-    schema = read_table(spark, sf_dir, "events").schema
-    ev_stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
-    return sj.run_available_now(sj.ab_window_stream(ev_stream), "ab-windows")
+    """ST2 + ST5: request stream with repeated ids, de-duplicated; daily windows
+    per arm in update mode, so the open window is there too."""
+    path, schema = _repeated_requests(spark, sf_dir)
+    stream = sj.file_stream(spark, path, "*.parquet", schema)
+    return sj.run_updates(sj.ab_window_stream(stream), "ab-windows", ["window_start", "window_end", "arm"])
 
 
 @register("request_rate_all", f"""
@@ -1042,14 +1077,23 @@ def request_rate_all(spark, sf_dir):
     return c.select("event_id", "user_id", "n_in_window", (F.col("n_in_window") > _RATE_LIMIT).alias("over_limit"))
 
 
-@register("request_rate_accepted")
+_RATE_STEP = f"list_filter(r.acc, lambda a: a > o.us - {_RATE_WIDTH * 10 ** 6})"
+
+
+@register("request_rate_accepted", f"""
+with recursive o as (select event_id, user_id, epoch_us(ts) as us, row_number() over (partition by user_id order by ts, event_id) as rn from events),
+r as (select event_id, user_id, rn, 'accepted' as status, [us] as acc from o where rn = 1
+ union all select o.event_id, o.user_id, o.rn, case when len({_RATE_STEP}) < {_RATE_LIMIT} then 'accepted' else 'rejected' end,
+  case when len({_RATE_STEP}) < {_RATE_LIMIT} then list_append({_RATE_STEP}, o.us) else {_RATE_STEP} end
+ from r join o on o.user_id = r.user_id and o.rn = r.rn + 1)
+select event_id, user_id, status from r""")
 def request_rate_accepted(spark, sf_dir):
-    """ST3 stateful form: ≤ 3 accepted events per client per trailing day;
-    rejected events are not counted (applyInPandasWithState over the event stream)."""
+    """ST3 stateful form: at most 3 accepted events per client in the trailing
+    day; rejected events are not counted; late events have a status of their own."""
     from loanlens.sources.tables import read_table
     schema = read_table(spark, sf_dir, "events").schema
-    ev_stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
-    return sj.run_available_now(sj.rate_limit_stream(ev_stream, _RATE_LIMIT, _RATE_WIDTH), "rate-limit")
+    stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
+    return sj.rate_limit_job(stream, _RATE_LIMIT, _RATE_WIDTH).select("event_id", "user_id", "status")
 
 
 # ------------------------------------------------------------------ step 8: learners
@@ -1180,7 +1224,6 @@ def attribution_local(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ sources / sinks round trips
-from loanlens.operators.clean import DRIVER_SPLITS, temporal_split  # noqa: E402
 from loanlens.sources import loans as io  # noqa: E402
 from loanlens.session import scratch_path  # noqa: E402
 import uuid as _uuid  # noqa: E402

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from loanlens.operators import clean as cl
+from loanlens.operators import drift as dr
 from loanlens.operators import evaluate as ev
 from loanlens.operators import explore as xe
 from loanlens.operators import learn as ml
@@ -15,10 +16,13 @@ from loanlens.operators.prep import NUMERIC_FEATURES, RAW_FIELDS
 from loanlens.operators.scoring import CHAMPION, ScorecardModel
 from loanlens.plans import oracle as O
 from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored_both
-from loanlens.plans.queries import _ANOVA_COLS, _fs, register
+from loanlens.plans.queries import (
+    _ANOVA_COLS, _MONITOR_BODY, _MONITOR_EXTRA, _WINDOWS, _approval, _binary, _faulty, _fs, register,
+)
 from loanlens.session import scratch_path
 from loanlens.sources import loans as io
 from loanlens.sources.tables import staged_loan_applications
+from loanlens.streaming import jobs as sj
 
 
 # ------------------------------------------------------------------ rows and columns
@@ -212,3 +216,37 @@ def model_registry(spark, sf_dir):
         ml.register_candidate(spark, path, "scorecard", ev.auc(test, p=col).first()["auc"], label)
     return ml.read_registry(spark, path).select("model_name", "version", "decision", F.round("new_auc", 6).alias("new_auc"),
                                                F.round("old_auc", 6).alias("old_auc"), "path")
+
+
+# ------------------------------------------------------------------ scheduled monitoring and its log
+def _monitored(spark, sf_dir):
+    """ST4: the windows arrive as a stream of labels; each is judged and logged.  The log as written."""
+    model = fitted_prep(spark, sf_dir)
+    df, binary, approval = _faulty(spark, sf_dir, model), _binary(model), _approval(spark, sf_dir, model)
+    ends = resolved_loans(spark, sf_dir).groupBy(F.col("split").alias("window")).agg(F.max("issue_d").alias("timestamp"))
+    arrived = scratch_path(spark, f"arrivals-{uuid.uuid4().hex}")
+    spark.createDataFrame([(w,) for w in _WINDOWS], "window string").repartition(len(_WINDOWS), "window").write.parquet(arrived)
+    log = scratch_path(spark, f"monitoring-{uuid.uuid4().hex}")
+
+    def judge(windows):
+        return dr.monitor(df, model.feature_columns, windows, approval, binary=binary).join(ends, "window")
+
+    sj.monitoring_job(sj.file_stream(spark, arrived, "*.parquet", "window string"), judge, log)
+    return io.read_monitoring_log(spark, log)
+
+
+_LOGGED = {**_MONITOR_EXTRA, "mon": _MONITOR_BODY, "ends": "select split as window, max(issue_d) as timestamp from resolved group by split"}
+
+
+@register("monitoring_log", O.with_ctes("""select strftime(timestamp, '%Y-%m-%d') as timestamp, window, failure_type, drift_score, approval_rate, should_retrain
+ from mon join ends using (window)""", "prepared", "cats", "scored", extra=_LOGGED))
+def monitoring_log(spark, sf_dir):
+    """ST4 + J6 + A10 + E5: the monitoring history that the scheduled job has written."""
+    return dr.history(_monitored(spark, sf_dir)).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd"))
+
+
+@register("monitoring_latest", O.with_ctes("""select window, failure_type, should_retrain, round(approval_rate - baseline_approval_rate, 6) as approval_delta
+ from mon join ends using (window) order by timestamp desc limit 1""", "prepared", "cats", "scored", extra=_LOGGED))
+def monitoring_latest(spark, sf_dir):
+    """The newest entry of the monitoring log and its approval change."""
+    return dr.latest_entry(_monitored(spark, sf_dir)).select("window", "failure_type", "should_retrain", F.round("approval_delta", 6).alias("approval_delta"))

@@ -26,17 +26,12 @@ COUNTERFACTUAL_SCHEMA = T.StructType([
     T.StructField("champion_decision", T.StringType()), T.StructField("challenger_probability", T.DoubleType()),
     T.StructField("challenger_decision", T.StringType()), T.StructField("returned_decision", T.StringType())])
 
-SIMULATION_SCHEMA = T.StructType([
-    T.StructField("model_version", T.StringType()), T.StructField("loan_amnt", T.DoubleType()),
-    T.StructField("int_rate", T.DoubleType()), T.StructField("fico_range_low", T.DoubleType()),
-    T.StructField("prediction_proba", T.DoubleType()), T.StructField("decision", T.StringType()),
-    T.StructField("timestamp", T.StringType())])
-
 MONITORING_SCHEMA = T.StructType([
-    T.StructField("window", T.StringType()), T.StructField("failure_type", T.StringType()),
-    T.StructField("drift_score", T.DoubleType()), T.StructField("drifted_features", T.StringType()),
-    T.StructField("approval_rate", T.DoubleType()), T.StructField("baseline_approval_rate", T.DoubleType()),
-    T.StructField("should_retrain", T.BooleanType()), T.StructField("timestamp", T.TimestampType())])
+    T.StructField("window", T.StringType()), T.StructField("drift_detected", T.BooleanType()),
+    T.StructField("failure_type", T.StringType()), T.StructField("drifted_features", T.StringType()),
+    T.StructField("drift_score", T.DoubleType()), T.StructField("approval_rate", T.DoubleType()),
+    T.StructField("baseline_approval_rate", T.DoubleType()), T.StructField("should_retrain", T.BooleanType()),
+    T.StructField("action", T.StringType()), T.StructField("timestamp", T.DateType())])
 
 
 def read_loan_csv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -123,9 +118,9 @@ def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """A10: append-only monitoring/retraining log table (no read-modify-write)."""
-    df.write.mode("append").parquet(path)
+def read_monitoring_log(spark: SparkSession, path: str) -> DataFrame:
+    """A10: the append-only monitoring log; every run has written a folder of its own."""
+    return spark.read.schema(MONITORING_SCHEMA).parquet(path)
 
 
 def write_evidence_csv(df: DataFrame, path: str) -> None:

@@ -11,7 +11,6 @@ same input value for value.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,12 +85,17 @@ def staged_loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters; the written table also cuts lineage, so a lost executor never
     forces the adapter joins to run again.
     """
+    return spark.read.parquet(staged_path(spark, sf_dir))
+
+
+def staged_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the staged table; written on first use in the session."""
     from loanlens.session import scratch_path
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir)
     path = _STAGED.get(key)
     if path is None:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
         path = scratch_path(spark, f"loans-{tag}")
         loan_applications(spark, sf_dir).write.mode("overwrite").parquet(path)
         _STAGED[key] = path
-    return spark.read.parquet(path)
+    return path

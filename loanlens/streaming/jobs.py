@@ -10,12 +10,12 @@ table for inspection.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loanlens.operators.clean import DRIVER_SPLITS, clean, temporal_split
 from loanlens.operators.experiment import assign
@@ -45,6 +45,25 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", partition_
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
 
+def run_updates(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Drain an update-mode stream; the last state of each key.
+
+    Every micro-batch overwrites a folder of its own, so a repeated batch
+    leaves one copy; readers take a key's row from the latest batch.
+    """
+    spark = df.sparkSession
+    base = scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/data/batch={batch_id}")
+
+    df.writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(StructType([*df.schema.fields, StructField("batch", LongType())])).parquet(f"{base}/data")
+    rest = [c for c in df.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
+
+
 # ---------------------------------------------------------------- ST1
 def scoring_stream(raw_stream: DataFrame, model: LoanPrepModel, card: Card = CHAMPION) -> DataFrame:
     """ST1: raw loan applications → clean → split → I2 transform → scorecard.
@@ -58,7 +77,8 @@ def ab_window_stream(events: DataFrame, challenger_pct: float = 0.10, window: st
                      watermark: str = "1 hour") -> DataFrame:
     """ST2 with ST5: retry-stable de-duplication of request ids within the
     watermark, hash assignment by client id, and per-window/arm traffic.
-    Append mode emits a window once the watermark has passed its end."""
+    Run it in update mode (:func:`run_updates`) to see windows before the
+    watermark closes them."""
     e = (events.select(F.col("event_id").cast("string").alias("request_id"),
                        F.col("ts").cast("timestamp").alias("ts"),
                        F.col("user_id").cast("string").alias("client_id"), "value")
@@ -93,33 +113,93 @@ def trailing_counts(events: DataFrame, key: str, ts: str, width_s: int, block_s:
 
 
 def _limiter(limit: int, width_us: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        accepted: list[int] = list(state.get[0]) if state.exists else []
-        frames = [p for p in pdfs]
-        pdf = pd.concat(frames).sort_values(["ts_us", "event_id"]) if frames else None
-        if pdf is None or pdf.empty:
-            return
-        ok = []
-        for t in pdf["ts_us"].tolist():
-            accepted = [a for a in accepted if a > t - width_us]
-            if len(accepted) >= limit:
-                ok.append(False)
-            else:
-                accepted.append(t)
-                ok.append(True)
-        state.update((accepted,))
-        yield pd.DataFrame({"event_id": pdf["event_id"].values, "user_id": pdf["user_id"].values, "accepted": ok})
-    return fn
-
-
-def rate_limit_stream(events: DataFrame, limit: int = 100, width_s: int = 60, watermark: str = "1 hour") -> DataFrame:
-    """ST3 stateful form: at most ``limit`` ACCEPTED events per client in the
-    trailing ``width_s`` seconds; rejected events do not count.  State per
-    client is the accepted timestamps inside the window (≤ ``limit`` values).
-    Events behind the watermark are dropped (documented late-data rule)."""
-    e = (events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-         .withWatermark("ts", watermark)
-         .select("event_id", "user_id", "ts", F.unix_micros("ts").alias("ts_us")))
-    return e.groupBy("user_id").applyInPandasWithState(
-        _limiter(limit, width_s * 10 ** 6), "event_id long, user_id long, accepted boolean",
-        "accepted array<long>", "append", GroupStateTimeout.NoTimeout)
+    """Arrow rows sorted by (client, time): decide events in order; holds one client's accepted times (at most ``limit``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client, accepted = None, []
+        out: list[tuple] = []
+
+        def flush():
+            cols = list(zip(*out)) if out else [[], [], [], []]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
+                                               pa.array(cols[3], pa.list_(pa.int64()))], ["event_id", "user_id", "status", "accepted"])
+
+        for b in batches:
+            for event, user, us, kind in zip(*[c.to_pylist() for c in b.columns]):
+                if user != client:
+                    if accepted:
+                        out.append((None, client, "state", accepted))
+                    client, accepted = user, []
+                if kind == 0:                       # remembered from earlier batches
+                    accepted.append(us)
+                    continue
+                accepted = [a for a in accepted if a > us - width_us]
+                ok = len(accepted) < limit
+                if ok:
+                    accepted.append(us)
+                out.append((event, user, "accepted" if ok else "rejected", None))
+            yield flush()
+        if accepted:
+            out.append((None, client, "state", accepted))
+        yield flush()
+    return run
+
+
+def rate_limit_job(events: DataFrame, limit: int = 100, width_s: int = 60, late_s: int = 3600) -> DataFrame:
+    """ST3 stateful form: at most ``limit`` accepted events per client in the
+    trailing ``width_s`` seconds; rejected events do not count.
+
+    Each micro-batch is sorted by (client, time) together with the client's
+    remembered accepted times and decided in one ordered pass, so no client's
+    events are held at once.  Remembered times are written per batch to the
+    shared folder; clients idle for longer than the width are forgotten.
+    Events more than ``late_s`` behind the newest time of earlier batches are
+    not decided but kept with status ``late``.  Null clients are one client.
+    Returns (event_id, user_id, status, batch).
+    """
+    spark = events.sparkSession
+    base = scratch_path(spark, f"stream-rate-limit-{uuid.uuid4().hex[:8]}")
+    width_us = width_s * 10 ** 6
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = "event_id long, user_id long, status string, accepted array<long>"
+
+    def decide(batch: DataFrame, batch_id: int) -> None:
+        e = batch.select(F.col("event_id").cast("long").alias("event_id"), F.col("user_id").cast("long").alias("user_id"),
+                         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+        before = None
+        if batch_id:
+            state = spark.read.schema("user_id long, us long").parquet(f"{base}/state/batch={batch_id - 1}")
+            before = spark.read.schema("high long").parquet(f"{base}/high/batch={batch_id - 1}").first()[0]
+        late = F.coalesce(F.col("us") < F.lit(before) - late_s * 10 ** 6, F.lit(False)) if before is not None else F.lit(False)
+        rows = e.where(~late).select("event_id", "user_id", "us", F.lit(1).alias("kind"))
+        if batch_id:
+            rows = rows.unionByName(state.select(F.lit(None).cast("long").alias("event_id"), "user_id", "us", F.lit(0).alias("kind")))
+        decided = rows.repartition(parts, "user_id").sortWithinPartitions("user_id", "us", "kind", "event_id").mapInArrow(_limiter(limit, width_us), schema)
+        decided.write.mode("overwrite").parquet(f"{base}/decided/batch={batch_id}")
+        done = spark.read.schema(schema).parquet(f"{base}/decided/batch={batch_id}")
+        e.where(late).select("event_id", "user_id", F.lit("late").alias("status")).write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
+        high = max(x for x in (before, e.agg(F.max("us")).first()[0], 0) if x is not None)
+        spark.createDataFrame([(high,)], "high long").write.mode("overwrite").parquet(f"{base}/high/batch={batch_id}")
+        done.where("status = 'state'").select("user_id", F.explode("accepted").alias("us")).where(
+            F.col("us") > high - width_us - late_s * 10 ** 6).write.mode("overwrite").parquet(f"{base}/state/batch={batch_id}")
+
+    events.writeStream.foreachBatch(decide).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = "event_id long, user_id long, status string, batch long"
+    return spark.read.schema(out).parquet(f"{base}/decided").where("status <> 'state'").unionByName(spark.read.schema(out).parquet(f"{base}/late"))
+
+
+# ---------------------------------------------------------------- ST4
+def monitoring_job(arrivals: DataFrame, judge: Callable[[list[str]], DataFrame], log: str) -> None:
+    """ST4 + J6: for each micro-batch of arrived window labels run the monitoring
+    of those windows and append its verdict rows to the log (A10).
+
+    ``arrivals`` is a stream of (window); ``judge`` returns a verdict per
+    window.  A batch writes a folder of its own, so a retried batch leaves one
+    copy of its rows.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        windows = sorted(r["window"] for r in batch.select("window").distinct().collect())       # labels of one batch
+        if windows:
+            judge(windows).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+
+    arrivals.writeStream.foreachBatch(run).option("checkpointLocation", f"{log}-checkpoint").trigger(availableNow=True).start().awaitTermination()

@@ -53,16 +53,16 @@ def test_duplicates_warn_but_clean(spark):
 def test_drift_identical_is_clean_and_psi_zero(spark):
     rows = [(w, float(i % 50), float(i % 3)) for w in ("train", "cur") for i in range(2000)]
     df = frame(spark, rows)
-    f = dr.drift_features(df, ["a", "b"], ["cur"], checkpoint=False).collect()
+    f = dr.drift_features(df, ["a", "b"], ["cur"]).collect()
     assert all(not r["drift_detected"] and abs(r["psi"]) < 1e-12 for r in f)
-    v = dr.drift_verdict(dr.drift_features(df, ["a", "b"], ["cur"], checkpoint=False)).first()
+    v = dr.drift_verdict(dr.drift_features(df, ["a", "b"], ["cur"])).first()
     assert v["failure_type"] == "clean" and v["drift_score"] == 0.0
 
 
 def test_drift_shift_detected(spark):
     rows = [("train", float(i % 50), float(i % 3)) for i in range(2000)]
     rows += [("cur", float(i % 50) + 30, float(i % 3)) for i in range(2000)]
-    f = {r["feature"]: r for r in dr.drift_features(frame(spark, rows), ["a", "b"], ["cur"], checkpoint=False).collect()}
+    f = {r["feature"]: r for r in dr.drift_features(frame(spark, rows), ["a", "b"], ["cur"]).collect()}
     assert f["a"]["method"] == "wasserstein" and f["a"]["drift_detected"]
     assert f["b"]["method"] == "jensenshannon" and not f["b"]["drift_detected"]
 

@@ -1,6 +1,7 @@
 """Stateful rate limiter vs a brute-force replay; stream = batch for scoring."""
 
 import datetime as dt
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -21,22 +22,54 @@ def brute(events, limit, width_us):
     return out
 
 
+def write(spark, rows, folder, mode="append"):
+    pdf = pd.DataFrame(rows, columns=["event_id", "user_id", "ts"])
+    spark.createDataFrame(pdf, "event_id long, user_id long, ts timestamp").coalesce(1).write.mode(mode).parquet(folder)
+
+
 def test_rate_limiter_matches_replay(spark, tmp_path):
     base = dt.datetime(2024, 1, 1)
-    rows = []
-    for i in range(400):
-        uid = i % 3
-        t = base + dt.timedelta(seconds=(i * 7) % 997 + i // 3)
-        rows.append((i, uid, t))
-    pdf = pd.DataFrame(rows, columns=["event_id", "user_id", "ts"])
-    folder = str(tmp_path / "ev")
-    spark.createDataFrame(pdf, "event_id long, user_id long, ts timestamp").coalesce(1).write.parquet(folder)
-    schema = spark.read.parquet(folder).schema
-    stream = sj.file_stream(spark, folder, "*.parquet", schema)
-    got = {r["event_id"]: r["accepted"] for r in sj.run_available_now(sj.rate_limit_stream(stream, 5, 60), "t-rate").collect()}
+    rows = [(i, i % 3, base + dt.timedelta(seconds=(i * 7) % 997 + i // 3)) for i in range(400)]
     us = {i: int(t.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6) for i, _, t in rows}
     want = brute([(i, u, us[i]) for i, u, _ in rows], 5, 60 * 10 ** 6)
-    assert got == want
+    ordered = sorted(rows, key=lambda r: (r[2], r[0]))
+    for name, cuts in (("one", [0, 400]), ("three", [0, 130, 131, 400])):      # whole input at once, and over three batches
+        folder = str(tmp_path / name)
+        for a, b in zip(cuts, cuts[1:]):
+            write(spark, ordered[a:b], folder)
+            time.sleep(0.05)
+        schema = spark.read.parquet(folder).schema
+        stream = sj.file_stream(spark, folder, "*.parquet", schema, max_files=None if name == "one" else 1)
+        got = {r["event_id"]: r["status"] == "accepted" for r in sj.rate_limit_job(stream, 5, 60).collect()}
+        assert got == want
+
+
+def test_late_events_are_kept_apart(spark, tmp_path):
+    base = dt.datetime(2024, 1, 1)
+    folder = str(tmp_path / "late")
+    write(spark, [(1, 1, base), (2, 1, base + dt.timedelta(hours=5))], folder)
+    time.sleep(0.05)
+    write(spark, [(3, 1, base + dt.timedelta(hours=1)), (4, 2, base + dt.timedelta(hours=4, minutes=30)), (5, 1, base + dt.timedelta(hours=5))], folder)
+    stream = sj.file_stream(spark, folder, "*.parquet", spark.read.parquet(folder).schema, max_files=1)
+    got = {r["event_id"]: r["status"] for r in sj.rate_limit_job(stream, 1, 60, late_s=3600).collect()}
+    assert got == {1: "accepted", 2: "accepted", 3: "late", 4: "accepted", 5: "rejected"}
+
+
+def test_update_stream_equals_batch(spark, tmp_path):
+    base = dt.datetime(2024, 1, 1)
+    folder = str(tmp_path / "ev")
+    rows = [(i, i % 5, base + dt.timedelta(minutes=11 * i)) for i in range(500)]
+    write(spark, rows[:300] + rows[:20], folder)
+    time.sleep(0.05)
+    write(spark, rows[300:] + rows[290:300], folder)
+    events = spark.read.parquet(folder).withColumn("value", F.lit(1.0))
+    stream = sj.file_stream(spark, folder, "*.parquet", spark.read.parquet(folder).schema, max_files=1).withColumn("value", F.lit(1.0))
+    got = sj.run_updates(sj.ab_window_stream(stream), "t-ab", ["window_start", "window_end", "arm"]).collect()
+    want = events.dropDuplicates(["event_id"]).groupBy(F.date_format("ts", "yyyy-MM-dd 00:00:00").alias("d")).count().collect()
+    by_day = {}
+    for r in got:
+        by_day[r["window_start"]] = by_day.get(r["window_start"], 0) + r["n_requests"]
+    assert by_day == {r["d"]: r["count"] for r in want}
 
 
 def test_trailing_counts_block_split_equals_plain_window(spark):
