@@ -34,13 +34,12 @@ def prefix_sums(counts: DataFrame, keys: list[str], order: str, cols: list[str],
         sizes = counts.groupBy(*keys).count() if keys else counts.select(F.count(F.lit(1)).alias("count"))
         largest = sizes.agg(F.max("count")).first()[0] or 0
         blocks = max(16, -(-largest // ROWS_PER_BLOCK))
-    dummy = not keys
-    if dummy:
-        counts, keys = counts.withColumn("_k", F.lit(0)), ["_k"]
     fractions = [i / blocks for i in range(1, blocks)]
-    edges = counts.groupBy(*keys).agg(
-        F.percentile_approx(F.col(order).cast("double"), fractions, accuracy).alias("_edges"))
-    c = counts.join(F.broadcast(edges), keys, "left")
+    edges = F.percentile_approx(F.col(order).cast("double"), fractions, accuracy)
+    if keys:
+        c = counts.join(F.broadcast(counts.groupBy(*keys).agg(edges.alias("_edges"))), keys, "left")
+    else:       # one row: a scalar subquery, not a join
+        c = counts.withColumn("_edges", counts.agg(edges).scalar())
     c = c.withColumn("_blk", F.size(F.filter(F.col("_edges"), lambda e: e < F.col(order))))
     c = c.drop("_edges")
 
@@ -53,14 +52,13 @@ def prefix_sums(counts: DataFrame, keys: list[str], order: str, cols: list[str],
         *[F.coalesce(F.sum(f"_t_{x}").over(before), F.lit(0)).alias(f"_o_{x}") for x in cols],
         F.lead("_first").over(wb).alias("_next_first"))
 
-    c = c.join(F.broadcast(offsets), keys + ["_blk"], "inner")
+    c = c.join(F.broadcast(offsets), [*keys, "_blk"], "inner")
     w = Window.partitionBy(*keys, "_blk").orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = c.select("*", *[(F.sum(x).over(run) + F.col(f"_o_{x}")).alias(f"cum_{x}") for x in cols],
                    *([F.coalesce(F.lead(order).over(w), F.col("_next_first")).alias(f"next_{order}")]
                      if with_next else []))
-    out = out.drop("_blk", "_next_first", *[f"_o_{x}" for x in cols])
-    return out.drop("_k") if dummy else out
+    return out.drop("_blk", "_next_first", *[f"_o_{x}" for x in cols])
 
 
 def quantiles_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, probs: Sequence[float]) -> DataFrame:

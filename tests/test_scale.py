@@ -84,3 +84,11 @@ def test_no_scratch_folder_off_local_mode(monkeypatch):
     assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_no_nested_loop_without_keys(spark):
+    df = spark.range(1000).selectExpr("round(id / 1000, 4) as p", "int(id % 3 = 0) as `default`")
+    for q in (ev.roc_points(df), ev.auc(df)):
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert ev.auc(df).first()["auc"] == pytest.approx(0.5, abs=0.02)
