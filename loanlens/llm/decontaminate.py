@@ -38,7 +38,8 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 K1, B = 1.2, 0.75
 SHINGLE = 5
 ITEM_BLOCK = 32
-CELLS = 4_000_000       # most cells of one scoring array
+CELLS = 500_000         # most cells of one scoring array
+TOKENS = 200_000        # words of the texts matched at once
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _MATCHES = "array<struct<item_id:bigint,bm25:double,question_overlap:double,answer_overlap:double>>"
 
@@ -150,7 +151,7 @@ def match_documents(index: ItemIndex, texts: list[str], threshold: float, min_ov
     at, size = 0, 0
     group: list[list[bytes]] = []
     for i, t in enumerate([*texts, None]):
-        if t is None or size > 1_000_000:
+        if t is None or size > TOKENS:
             for k, hits in enumerate(_match_group(index, group, threshold, min_overlap)):
                 found[at + k] = hits
             at, size, group = i, 0, []
