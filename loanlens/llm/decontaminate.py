@@ -12,9 +12,10 @@ training document is a query.  Block-max WAND in array form:
    whose bound stays under the threshold are skipped;
 3. the items of the remaining blocks get their exact scores.
 
-All items at or above the threshold are verified: the five-word shingles of
-the item's question and of its answer must each occur in the passage, to the
-share ``min_overlap`` or more.
+All items at or above the threshold are verified: of the item's five-word
+shingles the share ``min_overlap`` must occur in the passage, and of its
+question's and of its answer's words half each, so that an item of which the
+answer is missing does not count.
 
 Passages are windows of twice the longest item (64 words at least) that
 advance by half their length, so that any item lies whole in one of them.  The
@@ -37,11 +38,12 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
+MIN_WORDS = 0.5         # share of the question's, and of the answer's, words
 ITEM_BLOCK = 32
 CELLS = 500_000         # most cells of one scoring array
 TOKENS = 200_000        # words of the texts matched at once
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_MATCHES = "array<struct<item_id:bigint,bm25:double,question_overlap:double,answer_overlap:double>>"
+_MATCHES = "array<struct<item_id:bigint,bm25:double,overlap:double,question_overlap:double,answer_overlap:double>>"
 
 
 def words(text: str) -> list[bytes]:
@@ -94,11 +96,9 @@ class ItemIndex:
         self.block_start = np.searchsorted(key[first] // self.blocks, np.arange(len(df) + 1))
         self.top = np.maximum.reduceat(self.impact, self.start[:-1]) if n else self.impact
         self.common = np.array([c > max(4, n / 20) for c in df.values()], bool)
-        self.question, self.answer = [], []
-        for _, t, _ in kept:
-            q, a = question_answer(t)
-            self.question.append(shingles(words(q)))
-            self.answer.append(shingles(words(a)))
+        self.shingles = [shingles(w) for _, _, w in kept]
+        parts = [question_answer(t) for _, t, _ in kept]
+        self.question, self.answer = [set(words(q)) for q, _ in parts], [set(words(a)) for _, a in parts]
 
     def retrieve(self, passage: np.ndarray, term: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, ...]:
         """(passage, item, score) of all items at or above the threshold; (passage, term) pairs are distinct and sorted."""
@@ -134,13 +134,16 @@ def _expand(p: np.ndarray, t: np.ndarray, start: np.ndarray) -> tuple[np.ndarray
     return np.repeat(p, size), rows
 
 
-def _overlap(wanted: set[tuple[bytes, ...]], passage: list[bytes]) -> float:
-    """Share of the wanted shingles that occur in the passage (none wanted: 1)."""
-    if not wanted:
-        return 1.0
-    k = len(next(iter(wanted)))
+def _share(wanted: set, there: set) -> float:
+    """Share of the wanted shingles or words that are there (none wanted: 1)."""
+    return len(wanted & there) / len(wanted) if wanted else 1.0
+
+
+def overlaps(index: ItemIndex, j: int, passage: list[bytes]) -> tuple[float, float, float]:
+    """Shares of the item's shingles, its question's words and its answer's words in the passage."""
+    k = len(next(iter(index.shingles[j])))
     there = {tuple(passage[i:i + k]) for i in range(len(passage) - k + 1)}
-    return len(wanted & there) / len(wanted)
+    return _share(index.shingles[j], there), _share(index.question[j], set(passage)), _share(index.answer[j], set(passage))
 
 
 def match_documents(index: ItemIndex, texts: list[str], threshold: float, min_overlap: float) -> list[list[dict]]:
@@ -183,11 +186,11 @@ def _match_group(index: ItemIndex, docs: list[list[bytes]], threshold: float, mi
     for q, d, j, x in zip(p.tolist(), owner.tolist(), item.tolist(), score.tolist()):
         at = (q - int(base[d])) * s
         passage = docs[d][at:at + 2 * s]
-        asked, answered = _overlap(index.question[j], passage), _overlap(index.answer[j], passage)
-        if asked >= min_overlap and answered >= min_overlap and found[d].get(j, (0.0,))[0] < x:
-            found[d][j] = (x, asked, answered)
-    return [[{"item_id": index.ids[j], "bm25": x, "question_overlap": a, "answer_overlap": b}
-             for j, (x, a, b) in sorted(f.items())] for f in found]
+        whole, asked, answered = overlaps(index, j, passage)
+        if whole >= min_overlap and min(asked, answered) >= MIN_WORDS and found[d].get(j, (0.0,))[0] < x:
+            found[d][j] = (x, whole, asked, answered)
+    return [[{"item_id": index.ids[j], "bm25": x, "overlap": w, "question_overlap": a, "answer_overlap": b}
+             for j, (x, w, a, b) in sorted(f.items())] for f in found]
 
 
 def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -207,8 +210,7 @@ def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == shard).collect()     # about max_items rows
         index = spark.sparkContext.broadcast(ItemIndex(sorted(((r["i"], r["t"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))))
         schema = StructType([*result.schema.fields, StructField(f"{out}{shard}", _parse_datatype_string(_MATCHES))])
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("bm25", pa.float64()), ("question_overlap", pa.float64()),
-                                   ("answer_overlap", pa.float64())]))
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), *[(c, pa.float64()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")]]))
 
         def run(batches: Iterator[pa.RecordBatch], index=index, name=f"{out}{shard}", kind=kind) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -221,7 +223,7 @@ def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(id, item_id, bm25, question_overlap, answer_overlap): one row per row of ``docs`` and verified item."""
+    """(id, item_id, bm25, overlap, question_overlap, answer_overlap): one row per row of ``docs`` and verified item."""
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     return with_matches(slim, items, "__text", **options).select(F.col("__id").alias(id_col), F.explode("__matches").alias("m")).select(
         id_col, "m.*")

@@ -47,6 +47,9 @@ def test_operator(spark):
         got = sorted((str(r["doc_id"]), r["item_id"]) for r in D.contaminated(df, bench, max_items=per).collect())
         want = [(str(i), i) for i in range(30)] + [("8", 92), ("53", 3), ("53", 3), ("None", 4), ("55", 6), ("55", 7)]
         assert got == sorted(want)
+    w = its[40][1].split()                                               # one word in ten changed: still the item
+    near = docs(spark, [(70, filler + " " + " ".join("other" if i in (9, len(w) - 1) else x for i, x in enumerate(w)) + " " + filler)])
+    assert [r["item_id"] for r in D.contaminated(near, bench).collect()] == [40]
     kept = D.drop_contaminated(df, bench)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [50, 51, 52, 54]
     assert D.drop_contaminated(df, bench.limit(0)).count() == len(data)
