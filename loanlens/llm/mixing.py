@@ -7,7 +7,8 @@ first; the remaining words come from its documents in key order, up to the
 point where the running sum of words meets the rest.
 
 Built-in DataFrame functions only.  The running sum never orders a whole
-source in one task: words are summed per (source, key interval), the
+source in one task: words are summed per (source, key interval), with as many
+intervals as rows in each (the square root of the source's rows), the
 interval in which the sum meets the rest is found from those totals, and only
 the documents of that interval are ordered.  The rest of the choice is a
 comparison of keys.
@@ -61,7 +62,7 @@ def source_targets(sizes: DataFrame, cycle: int = 3) -> DataFrame:
 
 
 def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
-        rows_per_interval: int = 20_000, max_broadcast: int = 100_000, seed: int = 0) -> DataFrame:
+        max_broadcast: int = 100_000, seed: int = 0) -> DataFrame:
     """(id, size, source_size, target, taken) of every row.
 
     ``size`` counts the words of the text (null: 0).  ``taken`` is the words
@@ -83,7 +84,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     epochs = F.when(F.col("source_size") > 0, F.least(F.lit(MOST_EPOCHS), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0))
     plan = plan.select(
         F.col("source").alias("s"), "source_size", "target", epochs.cast("long").alias("epochs"),
-        F.ceil(F.col("rows") / rows_per_interval).cast("long").alias("intervals")).withColumn(
+        F.ceil(F.sqrt("rows")).cast("long").alias("intervals")).withColumn(
         "rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     plan = shared_table(plan, "mix-plan")
     sources = small_or_shuffled(plan, max_broadcast)

@@ -35,22 +35,21 @@ def test_targets_meet_brute_force(spark):
 def test_mix(spark):
     data = rows()
     df = docs(spark, data)
-    for per in (20, 20_000):
-        got = mix(df, rows_per_interval=per).collect()
-        assert len(got) == len(data)
-        size = {}
-        for _, t, _, s in data:
-            size[s] = size.get(s, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-        want = targets(size)
-        taken, longest = {}, max(r["size"] for r in got)
-        by_target = {}
-        for r in got:
-            assert r["taken"] <= 3 * r["size"] and r["taken"] % max(r["size"], 1) == 0
-            by_target.setdefault((r["source_size"], round(r["target"], 6)), []).append(r["taken"])
-        for s, n in size.items():
-            t = sum(by_target[(n, round(want[s], 6))])
-            assert abs(t - want[s]) <= longest * 30       # the tied copies go together
-    again = mix(df.repartition(7), rows_per_interval=50).collect()
+    got = mix(df).collect()
+    assert len(got) == len(data)
+    size = {}
+    for _, t, _, s in data:
+        size[s] = size.get(s, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    want = targets(size)
+    longest = max(r["size"] for r in got)
+    by_target = {}
+    for r in got:
+        assert r["taken"] <= 3 * r["size"] and r["taken"] % max(r["size"], 1) == 0
+        by_target.setdefault((r["source_size"], round(r["target"], 6)), []).append(r["taken"])
+    for s, n in size.items():
+        t = sum(by_target[(n, round(want[s], 6))])
+        assert abs(t - want[s]) <= longest * 30       # the tied copies go together
+    again = mix(df.repartition(7)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
