@@ -48,6 +48,27 @@ def small_or_shuffled(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def top_rows(df: DataFrame, score: Column, n: int) -> DataFrame:
+    """Rows of the highest scores, at most ``n``.
+
+    Scores are counted in buckets of a 32nd of a power of two; the lowest
+    bucket that still fits whole is the cut, so only the bucket counts reach
+    the driver.  (``orderBy().limit(n)`` would send it ``n`` rows of every
+    task.)  Rows without a positive score are left out; if the highest bucket
+    alone holds more than ``n`` rows, any ``n`` of it are taken.
+    """
+    bucket = F.floor(F.log2(score) * 32)
+    df = df.withColumn("__bucket", F.when(score > 0, bucket)).filter("__bucket is not null")
+    cut, held = None, 0
+    for r in sorted(df.groupBy("__bucket").count().collect(), key=lambda r: -r["__bucket"]):      # some thousands at most
+        if held + r["count"] > n:
+            if cut is None:
+                return df.filter(F.col("__bucket") == r["__bucket"]).drop("__bucket").limit(n)
+            break
+        cut, held = r["__bucket"], held + r["count"]
+    return df.filter(F.col("__bucket") >= F.lit(cut)).drop("__bucket")
+
+
 def numbered(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
     """``df`` (written to the shared folder) plus ``__number``, its place from 0 in the global order.
 

@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import shared_table
+from loanlens.llm.common import shared_table, top_rows
 
 CLASSES = 128
 TAIL = 3                # bytes of a word that decide its class
-TOKENS = 400_000        # tokens of one numpy pass
+TOKENS = 200_000        # tokens of one numpy pass
+ROWS = 1000             # texts split into words at once
 
 
 def word_class(word: bytes) -> int:
@@ -53,7 +54,7 @@ class Vocabulary:
         return self.top + CLASSES + 1
 
 
-def count_words(docs: DataFrame, text_col: str, flush: int = 500_000) -> DataFrame:
+def count_words(docs: DataFrame, text_col: str, flush: int = 200_000) -> DataFrame:
     """(word, c) over all rows; tasks sum their own counts and flush at ``flush`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +82,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         get = v.index.get
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             symbols, sums, rare, times = [], [], [], []
             for t in b.column(3).to_pylist():
                 words = (t or "").encode().lower().split()
@@ -242,7 +243,7 @@ def score_lm(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id"
     words = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n, v = words["n"] + ends, words["v"] + (ends > 0)
     floor = n + 0.5 * (v + 1)
-    head = counts.orderBy(F.desc("c"), "word").limit(listed).collect()           # at most ``listed`` rows
+    head = sorted(top_rows(counts, F.col("c"), listed).collect(), key=lambda r: (-r["c"], r["word"]))      # at most ``listed`` rows
     names, freq = [bytes(r["word"]) for r in head], np.array([r["c"] for r in head], float)
     top = min(top, len(names))
 
