@@ -20,6 +20,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
             symbols, sums, rare, times = [], [], [], []
             for t in b.column(3).to_pylist():
                 words = (t or "").encode().lower().split()
-                at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                at = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
                 listed = at[at >= 0]
                 s = np.empty(len(words) + 1, np.int32)
                 s[:-1][at >= 0] = v.symbol[listed]
