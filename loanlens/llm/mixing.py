@@ -4,7 +4,8 @@ Every document draws an exponential key, ``-ln(u) / quality``, from a hash of
 its id and text, so that better documents tend to come first and reruns agree.
 A source whose target is several times its size goes through whole epochs
 first; the remaining words come from its documents in key order, up to the
-point where the running sum of words meets the rest.
+point where the running sum of words meets the rest; the document in which it
+does is cut there.
 
 Built-in DataFrame functions only.  The running sum never orders a whole
 source in one task: words are summed per (source, key interval), with as many
@@ -68,8 +69,9 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     ``size`` counts the words of the text (null: 0).  ``taken`` is the words
     the mix takes from the row: its size for each whole epoch of its source,
     once more if it is among the fractional choice.  The document in which the
-    running sum meets the rest is taken if that brings the sum nearer.  Rows
-    with equal id and text have equal keys and are taken together.  A source
+    running sum meets the rest gives only the words up to there.  Rows with
+    equal id and text have equal keys; if the sum meets the rest among them,
+    each gives the same share of its words, rounded down.  A source
     without words has target 0.  An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -95,7 +97,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     totals = rows.groupBy("s", "interval").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("s").orderBy("interval").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     meets = totals.withColumn("after", F.sum("words").over(upto)).join(
-        plan.select(F.col("s").alias("p"), "rest"), F.col("s").eqNullSafe(F.col("p"))).filter("after >= rest")
+        plan.select(F.col("s").alias("p"), "rest"), F.col("s").eqNullSafe(F.col("p"))).filter("after > rest")
     meets = meets.groupBy("s").agg(F.min(F.struct("interval", (F.col("after") - F.col("words")).alias("before"))).alias("m")).select(
         F.col("s").alias("p"), "m.interval", "m.before")
     meets = small_or_shuffled(shared_table(meets, "mix-meets"), max_broadcast)
@@ -103,13 +105,15 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     ties = last.groupBy("s", "key").agg(F.sum("size").alias("words"), F.max("before").alias("before"), F.max("rest").alias("rest"))
     run = Window.partitionBy("s").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     ties = ties.withColumn("sum", F.col("before") + F.coalesce(F.sum("words").over(run), F.lit(0)))
-    bound = ties.filter(F.col("sum") + F.col("words") / 2 <= F.col("rest")).groupBy("s").agg(F.max("key").alias("last"))
-    bound = meets.join(bound.withColumnRenamed("s", "b"), F.col("p").eqNullSafe(F.col("b")), "left").drop("b")
+    bound = ties.filter(F.col("sum") + F.col("words") > F.col("rest")).groupBy("s").agg(
+        F.min(F.struct("key", ((F.col("rest") - F.col("sum")) / F.col("words")).alias("share"))).alias("c"))
+    bound = meets.join(bound.withColumnRenamed("s", "b"), F.col("p").eqNullSafe(F.col("b"))).select("p", "interval", "c.key", "c.share")
     bound = small_or_shuffled(shared_table(bound, "mix-bounds"), max_broadcast)
 
-    chosen = (F.col("interval") < F.col("at")) | ((F.col("interval") == F.col("at")) & (F.col("key") <= F.col("last")))
-    out = rows.join(bound.withColumnRenamed("interval", "at"), F.col("s").eqNullSafe(F.col("p")), "left")
+    out = rows.join(bound.withColumnRenamed("interval", "at").withColumnRenamed("key", "cut"), F.col("s").eqNullSafe(F.col("p")), "left")
+    before = (F.col("interval") < F.col("at")) | ((F.col("interval") == F.col("at")) & (F.col("key") < F.col("cut")))
+    more = F.when(before, F.col("size")).when(
+        (F.col("interval") == F.col("at")) & (F.col("key") == F.col("cut")), F.floor(F.col("size") * F.col("share"))).otherwise(0)
     return out.select(
         F.col("id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * (F.col("epochs") + F.when((F.col("rest") > 0) & F.coalesce(chosen, F.lit(False)), 1).otherwise(0)))
-        .cast("long").alias("taken"))
+        (F.col("size") * F.col("epochs") + more).cast("long").alias("taken"))

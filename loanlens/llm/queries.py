@@ -62,11 +62,11 @@ first_l as (select share from c where share * weight <= cap order by i limit 1),
 p as (select source, source_size, least(cap::double, (select share from first_l) * weight) as target from o),
 e as (select *, case when source_size > 0 then least(3, floor(target / source_size))::bigint else 0 end as epochs from p),
 g as (select source, key, sum(size) as words from k group by source, key),
-cum as (select source, key, coalesce(sum(words) over (partition by source order by key rows between unbounded preceding and 1 preceding), 0) + words / 2 as mid from g),
-b as (select cum.source, max(key) as last from cum join e on cum.source is not distinct from e.source
-  where target - epochs * source_size > 0 and mid <= target - epochs * source_size group by cum.source)
+cum as (select source, key, words, coalesce(sum(words) over (partition by source order by key rows between unbounded preceding and 1 preceding), 0)::bigint as before from g),
+b as (select cum.source, min(key) as cut, arg_min((target - epochs * source_size - before) / words::double, key) as share
+  from cum join e on cum.source is not distinct from e.source where before + words > target - epochs * source_size group by cum.source)
 select k.doc_id, k.size, e.source_size, e.target,
-  (k.size * (e.epochs + case when b.last is not null and k.key <= b.last then 1 else 0 end))::bigint as taken
+  (k.size * e.epochs + case when k.key < b.cut then k.size when k.key = b.cut then floor(k.size * b.share) else 0 end)::bigint as taken
 from k join e on k.source is not distinct from e.source left join b on k.source is not distinct from b.source
 """
 

@@ -41,14 +41,13 @@ def test_mix(spark):
     for _, t, _, s in data:
         size[s] = size.get(s, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     want = targets(size)
-    longest = max(r["size"] for r in got)
     by_target = {}
     for r in got:
-        assert r["taken"] <= 3 * r["size"] and r["taken"] % max(r["size"], 1) == 0
+        assert 0 <= r["taken"] <= 3 * r["size"]
         by_target.setdefault((r["source_size"], round(r["target"], 6)), []).append(r["taken"])
     for s, n in size.items():
         t = sum(by_target[(n, round(want[s], 6))])
-        assert abs(t - want[s]) <= longest * 30       # the tied copies go together
+        assert want[s] - 32 <= t <= want[s] + 1e-6       # each of up to 31 tied rows rounds down
     again = mix(df.repartition(7)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
 
