@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from loanlens.llm.common import shared_table, small_or_shuffled
+from loanlens.llm.common import shared_table, small_or_shuffled, top_rows
 
 #: Groups of identity terms; a term is swapped for the others of its group.
 IDENTITY_GROUPS = (
@@ -156,7 +156,7 @@ def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_
     num = p * (neg - q) - q * (pos - p)
     chi2 = n * num * num / (float(neg) * pos * (p + q) * (n - p - q + 1))
     # Only features that toxic texts hold more often: many clean words then never outweigh an insult in a long text.
-    head = counts.filter((p + q >= min_rows) & (p * neg > q * pos)).orderBy(chi2.desc(), "feature").limit(max_features).collect()
+    head = top_rows(counts.filter((p + q >= min_rows) & (p * neg > q * pos)), chi2, max_features).collect()
     terms = {f for t in _TERMS for f in features([t])}
     names = sorted({bytes(r["feature"]) for r in head} | terms)                # at most max_features and the identity terms
     number = {f: i for i, f in enumerate(names)}
