@@ -183,8 +183,3 @@ def offline_decision(stats: DataFrame) -> DataFrame:
               .when(better & sig, "approval_differs_significantly").otherwise("champion_outperforms"))
     return r.select(F.col("auc_0").alias("auc_champion"), F.col("auc_1").alias("auc_challenger"),
                     rec.alias("recommendation"), reason.alias("reason"))
-
-
-def proportion_halfwidth(p: float, n: int, z: float = Z_CRITICAL_05) -> float:
-    """D44 for a single proportion (driver-side helper)."""
-    return z * math.sqrt(p * (1 - p) / n) if n else float("nan")

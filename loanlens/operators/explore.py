@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import round_ratio
+from loanlens.operators.clean import listwise_drop
 from loanlens.plans.prefix import exact_quantiles, numbered
 from loanlens.session import shared_table
 
@@ -139,7 +140,7 @@ def leakage_report(df: DataFrame, target: str = "default", threshold: float | No
 def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
     """One-way ANOVA F per numeric feature after a list-wise NULL drop,
     from per-class n, Σx, Σx² (one aggregate)."""
-    d = df.na.drop(subset=list(cols) + [target])
+    d = listwise_drop(df, [*cols, target])
     aggs = [F.count_if(F.col(target) == k).alias(f"_n{k}") for k in (0, 1)]
     for i, c in enumerate(cols):
         for k in (0, 1):
@@ -168,7 +169,7 @@ def anova_test(df: DataFrame, cols: Sequence[str], target: str = "default") -> D
     """
     from pyspark.ml.feature import VectorAssembler
     named = {f"f{i}": c for i, c in enumerate(cols)}
-    d = df.na.drop(subset=[*cols, target]).select(F.col(target).cast("double").alias("label"),
+    d = listwise_drop(df, [*cols, target]).select(F.col(target).cast("double").alias("label"),
                                                   *[F.col(f"`{c}`").cast("double").alias(k) for k, c in named.items()])
     v = VectorAssembler(inputCols=list(named), outputCol="v").transform(d)
     spark = df.sparkSession
@@ -187,7 +188,7 @@ def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     import numpy as np
     k, v = len(cols), [F.col(f"`{c}`").cast("double") for c in cols]
-    row = df.na.drop(subset=list(cols)).agg(*[F.sum(v[i] * v[j]).alias(f"_{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    row = listwise_drop(df, list(cols)).agg(*[F.sum(v[i] * v[j]).alias(f"_{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     gram = np.array([[row[f"_{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)], float)
     scale = np.sqrt(np.diag(gram))
     ok = (scale > 0).all() and np.linalg.matrix_rank(gram / np.outer(scale, scale)) == k

@@ -192,14 +192,6 @@ def pipeline_probability(model: PipelineModel):
     return lambda rows: model.transform(rows).withColumn("p", F.round(vector_to_array("probability")[1], 4))
 
 
-def retrain_compare(new_auc: DataFrame, old_auc: DataFrame) -> DataFrame:
-    """I16: promote the candidate iff its AUC on the SAME split is higher."""
-    n = new_auc.select("auc").scalar()
-    o = old_auc.select("auc").scalar()
-    return new_auc.select(F.round(n, 6).alias("new_auc"), F.round(o, 6).alias("old_auc"),
-                          F.when(n > o, "promoted").otherwise("kept_existing").alias("decision"))
-
-
 # ---------------------------------------------------------------- A13, I17
 def save_model(model: PipelineModel, path: str, metadata: dict) -> None:
     """The fitted pipeline and its metadata document (columns, threshold, metrics) side by side."""

@@ -1,6 +1,5 @@
 """Constructed quality-gate and drift cases (the reference has none)."""
 
-from pyspark.sql import functions as F
 
 from loanlens.operators import drift as dr
 from loanlens.operators import quality as qa
