@@ -144,24 +144,27 @@ def border_states(m: TurnModel, parts: list[np.ndarray]) -> list[tuple[int, int]
     return out[::-1]
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-    """Whole segments, one frame each, from batches sorted by (conv, block); holds one batch and one open segment."""
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Tables of whole segments and each one's rows, from batches sorted by (conv, block); holds one batch and one open segment."""
     held = None
     for b in batches:
-        f = b.to_pandas()
-        f = f if held is None else pd.concat([held, f], ignore_index=True)
-        if not len(f):
+        t = pa.Table.from_batches([b])
+        t = (t if held is None else pa.concat_tables([held, t])).combine_chunks()
+        if not t.num_rows:
             continue
-        change = np.zeros(len(f), bool)
-        conv, block = f["conv"].to_numpy(), f["block"].to_numpy()
-        same = (conv[1:] == conv[:-1]) | (pd.isna(conv[1:]) & pd.isna(conv[:-1]))
-        change[1:] = ~same | (block[1:] != block[:-1])
-        cuts = [0, *np.nonzero(change)[0].tolist()]
-        for s, e in zip(cuts, cuts[1:]):
-            yield f.iloc[s:e]
-        held = f.iloc[cuts[-1]:]
-    if held is not None and len(held):
-        yield held
+        cuts = _starts(t)
+        if len(cuts) > 1:
+            yield t.slice(0, cuts[-1]), list(zip(cuts, cuts[1:]))
+        held = t.slice(cuts[-1])
+    if held is not None:
+        yield held, [(0, held.num_rows)]
+
+
+def _starts(t: pa.Table) -> list[int]:
+    conv = t["conv"].combine_chunks().dictionary_encode()
+    conv = (conv.combine_chunks() if isinstance(conv, pa.ChunkedArray) else conv).indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    block = t["block"].to_numpy()
+    return [0, *(np.nonzero((conv[1:] != conv[:-1]) | (block[1:] != block[:-1]))[0] + 1).tolist()]
 
 
 def format_chats(turns: DataFrame, model: TurnModel, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
@@ -185,12 +188,12 @@ def format_chats(turns: DataFrame, model: TurnModel, conv: str = "conv_id", turn
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for f in _segments(batches):
-            s = summary(m, m.scores({x: f[x].to_numpy() for x in seen}))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({"conv": f["conv"].iloc[:1], "block": f["block"].iloc[:1], "s": [s.ravel().tolist()]}),
-                                             schema=summary_schema, preserve_index=False)
+        for t, bounds in _segments(batches):
+            e = m.scores({x: t[x].to_numpy() for x in seen})
+            first = t.take([i for i, _ in bounds])
+            yield from pa.table({"conv": first["conv"], "block": first["block"], "s": pa.array(
+                [summary(m, e[i:j]).ravel().tolist() for i, j in bounds], pa.list_(pa.float64()))}).to_batches()
 
-    summary_schema = pa.schema([("conv", pa.int64() if kind == "bigint" else pa.string()), ("block", pa.int64()), ("s", pa.list_(pa.float64()))])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     split = lines.join(many, F.col("conv").eqNullSafe(F.col("c")), "left_semi").select("conv", "block", "__number", *seen)
     sums = split.repartition(parts, "conv", "block").sortWithinPartitions("conv", "block", "__number").mapInArrow(
@@ -208,15 +211,14 @@ def format_chats(turns: DataFrame, model: TurnModel, conv: str = "conv_id", turn
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for f in _segments(batches):
-            e = m.scores({x: f[x].to_numpy() for x in seen})
-            free = pd.isna(f["entry"].iloc[0])
-            path = viterbi(m, e) if free else viterbi(m, e, int(f["entry"].iloc[0]), int(f["last"].iloc[0]))
-            yield pa.RecordBatch.from_pandas(f[["conv", "turn", "line_no", "body"]].assign(state=path.astype("int32")), schema=out_schema,
-                                             preserve_index=False)
-
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    out_schema = pa.schema([("conv", arrow[kind]), ("turn", arrow[turn_kind]), ("line_no", pa.int32()), ("body", pa.string()), ("state", pa.int32())])
+        for t, bounds in _segments(batches):
+            e = m.scores({x: t[x].to_numpy() for x in seen})
+            path = np.empty(t.num_rows, np.int32)
+            entry, last = (t.take([i for i, _ in bounds])[c].to_pylist() for c in ("entry", "last"))
+            for (i, j), a, z in zip(bounds, entry, last):
+                path[i:j] = viterbi(m, e[i:j], a, z)
+            yield from t.select(["conv", "turn", "line_no", "body"]).append_column("state", pa.array(path)).to_batches()
+
     done = todo.repartition(parts, "conv", "block").sortWithinPartitions("conv", "block", "__number").mapInArrow(
         decode, f"conv {kind}, turn {turn_kind}, line_no int, body string, state int")
     role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), F.floor(F.col("state") / 2).cast("int") + 1)
