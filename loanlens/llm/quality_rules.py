@@ -156,12 +156,13 @@ def posterior(votes: np.ndarray, share: float, weight: np.ndarray) -> np.ndarray
     return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.5) -> DataFrame:
+def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.1) -> DataFrame:
     """Per input row: id, measures, votes, ``base_failed``, ``quality`` and ``kept``.
 
     ``quality`` is the posterior probability of a good document; ``kept`` is
     false for rows that fail the base rule and otherwise tells whether
-    ``quality`` is at least ``keep_at``.  Null and empty texts have no words
+    ``quality`` is at least ``keep_at``: by default a document goes only when
+    the odds are 9 to 1 or more that it is bad.  Null and empty texts have no words
     and fail the base rule.  Repeated rows each count and keep their row; an
     empty table gives an empty result.  Other columns are not read.
     """
