@@ -69,6 +69,25 @@ def top_rows(df: DataFrame, score: Column, n: int) -> DataFrame:
     return df.filter(F.col("__bucket") >= F.lit(cut)).drop("__bucket")
 
 
+def even_sample(rows: DataFrame, text_col: str, label_col: str, max_rows: int, tag: str) -> DataFrame:
+    """Distinct (text, label) of ``rows`` plus ``copies``, which sum to about ``max_rows`` at most (all rows if there are fewer).
+
+    Of the copies of a text every ``one_in``-th is taken, the remainder by
+    hash, so that a text has the share of the sample that it has of the rows
+    and not all or nothing.  No row keys: the sample is the same however the
+    rows are dealt.  Only keys and counts are shuffled, and of the chosen
+    texts one row of each task.
+    """
+    key = F.xxhash64(text_col)
+    one_in = max(1, -(-rows.count() // max_rows))
+    taken = F.floor((F.col("n") + F.pmod(F.xxhash64("__key", F.lit(1)), F.lit(one_in))) / one_in)
+    chosen = shared_table(rows.groupBy(key.alias("__key"), F.col(label_col).alias("__label")).agg(F.count("*").alias("n")).select(
+        "__key", "__label", taken.cast("long").alias("copies")).filter("copies > 0"), f"{tag}-chosen")
+    chosen = small_or_shuffled(chosen, 2 * max_rows)
+    found = rows.select(text_col, F.col(label_col).alias("__label"), key.alias("__key")).join(chosen, ["__key", "__label"])
+    return shared_table(found.dropDuplicates(["__key", "__label"]).select(text_col, F.col("__label").alias(label_col), "copies"), f"{tag}-sample")
+
+
 def numbered(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
     """``df`` (written to the shared folder) plus ``__number``, its place from 0 in the global order.
 

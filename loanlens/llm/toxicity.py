@@ -8,8 +8,8 @@ are swapped for others of their group, and the loss adds the squared change of
 the score between a text and each swapped version, so that naming a group by
 itself moves the score little.
 
-The weights are fitted on at most ``max_fit_rows`` labelled rows, taken by
-hash of the text, of which only feature numbers reach the driver.  Feature
+The weights are fitted on at most ``max_fit_rows`` labelled rows, of which
+copies of a text have their share and only feature numbers reach the driver.  Feature
 counts and scores cover all rows and whole texts.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from loanlens.llm.common import shared_table, small_or_shuffled, top_rows
+from loanlens.llm.common import even_sample, shared_table, small_or_shuffled, top_rows
 
 #: Groups of identity terms; a term is swapped for the others of its group.
 IDENTITY_GROUPS = (
@@ -169,12 +169,12 @@ def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_
             texts = [t or "" for t in b.column(0).to_pylist()]
             own = [sorted(num[f] for f in known & features(_words(t))) for t in texts]
             swaps = [[sorted(num[f] for f in known & s) for s in swapped(t)] for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))],
-                                             ["label", "own", "swaps"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(own, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))],
+                                             ["label", "copies", "own", "swaps"])
 
-    one_in = max(1, -(-(neg + pos) // max_fit_rows))
-    sample = rows.filter(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(one_in)) == 0)
-    got = sample.mapInArrow(run, "label int, own array<int>, swaps array<array<int>>").toPandas()        # about max_fit_rows rows
+    sample = even_sample(rows.withColumn("text", F.coalesce("text", F.lit(""))), "text", "label", max_fit_rows, "toxicity")
+    got = sample.mapInArrow(run, "label int, copies long, own array<int>, swaps array<array<int>>").toPandas()        # about max_fit_rows rows
+    got = got.loc[got.index.repeat(got["copies"])]
     w, bias = fit([list(x) for x in got["own"]], got["label"].to_numpy(float),
                   [(i, list(s)) for i, ss in enumerate(got["swaps"]) for s in ss], len(names), penalty)
     return Classifier({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9}, float(bias))

@@ -57,3 +57,14 @@ def test_without_labels(spark):
     model = T.train(spark.createDataFrame([], "text string, label int"))
     assert T.score_toxicity(df, model).first()["score"] < 0.5
     assert T.score_toxicity(docs(spark, [], parts=1), model).count() == 0
+
+
+def test_copies_have_their_share_of_the_sample(spark):
+    from loanlens.llm.common import even_sample
+    for hot in range(12):                                                 # by hash of the text one of twelve or none would be whole
+        rows = [(f"copied {hot}", 1)] * 400 + [(f"own {hot} {i}", i % 2) for i in range(800)]
+        got = even_sample(spark.createDataFrame(rows, "text string, label int").repartition(3), "text", "label", 100, "t").collect()
+        n = {(r["text"], r["label"]): r["copies"] for r in got}
+        assert len(n) == len(got) and n[(f"copied {hot}", 1)] in (33, 34) and 70 <= sum(n.values()) <= 135
+    few = even_sample(spark.createDataFrame(rows, "text string, label int"), "text", "label", 5000, "t").collect()
+    assert sum(r["copies"] for r in few) == 1200
