@@ -1,9 +1,9 @@
 """Toxicity by a counterfactually regularised classifier.
 
 A logistic model over the words of a text and their first four to six bytes
-(stems).  Of the features that toxic texts hold more often the most
-telling are chosen by chi-square, from document counts over all labelled
-training texts.  For the fit, identity terms in labelled sentences
+(stems).  Every feature that toxic texts hold more often, by document counts
+over all labelled training texts, takes part; those that no row of the fit
+holds get no weight.  For the fit, identity terms in labelled sentences
 are swapped for others of their group, and the loss adds the squared change of
 the score between a text and each swapped version, so that naming a group by
 itself moves the score little.
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from loanlens.llm.common import even_sample, shared_table, small_or_shuffled, top_rows
+from loanlens.llm.common import even_sample, shared_table, small_or_shuffled
 
 #: Groups of identity terms; a term is swapped for the others of its group.
 IDENTITY_GROUPS = (
@@ -106,7 +106,7 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(self.bias + sum(get(f, 0.0) for f in features(_words(text))), -500, 500))))
 
 
-def fit(rows: list[list[int]], labels: np.ndarray, swaps: list[tuple[int, list[int]]], n: int, penalty: float,
+def fit(rows: list, labels: np.ndarray, swaps: list[tuple[int, list[int]]], n: int, penalty: float,
         l2: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
     """Logistic weights by Adam; ``swaps`` pairs a row with a swapped version's features.
 
@@ -115,11 +115,11 @@ def fit(rows: list[list[int]], labels: np.ndarray, swaps: list[tuple[int, list[i
     sqrt(frequent / rare) times.
     """
     size = np.array([len(r) for r in rows], int)
-    col = np.fromiter((f for r in rows for f in r), int, size.sum())
+    col = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) else np.empty(0, np.int32)
     at = np.repeat(np.arange(len(rows)), size)
     dat, dcol, dval = [], [], []
     for k, (i, other) in enumerate(swaps):
-        a, b = set(rows[i]), set(other)
+        a, b = set(map(int, rows[i])), set(map(int, other))
         for f in a ^ b:
             dat.append(k)
             dcol.append(f)
@@ -144,7 +144,7 @@ def fit(rows: list[list[int]], labels: np.ndarray, swaps: list[tuple[int, list[i
     return w, bias
 
 
-def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_rows: int = 10_000, penalty: float = 1.0) -> Classifier:
+def train(rows: DataFrame, min_rows: int = 3, max_fit_rows: int = 10_000, penalty: float = 1.0) -> Classifier:
     """Classifier from labelled rows (text, label 0/1); rows with a null label are left out, null texts are empty."""
     rows = rows.select("text", F.col("label").cast("int").alias("label")).filter("label in (0, 1)")
     total = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -152,13 +152,13 @@ def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_
     if not neg or not pos:
         return Classifier({}, 5.0 if pos else -5.0)
     counts = shared_table(count_features(rows), "toxicity-features")
-    p, q, n = F.col("pos").cast("double"), F.col("neg").cast("double"), float(neg + pos)
-    num = p * (neg - q) - q * (pos - p)
-    chi2 = n * num * num / (float(neg) * pos * (p + q) * (n - p - q + 1))
+    sample = even_sample(rows.withColumn("text", F.coalesce("text", F.lit(""))), "text", "label", max_fit_rows, "toxicity")
+    p, q = F.col("pos").cast("double"), F.col("neg").cast("double")
     # Only features that toxic texts hold more often: many clean words then never outweigh an insult in a long text.
-    head = top_rows(counts.filter((p + q >= min_rows) & (p * neg > q * pos)), chi2, max_features).collect()
+    head = counts.filter((p + q >= min_rows) & (p * neg > q * pos)).select("feature").join(
+        count_features(sample).select("feature"), "feature", "left_semi").collect()
     terms = {f for t in _TERMS for f in features([t])}
-    names = sorted({bytes(r["feature"]) for r in head} | terms)                # at most max_features and the identity terms
+    names = sorted({bytes(r["feature"]) for r in head} | terms)                # of about max_fit_rows rows, and the identity terms
     number = {f: i for i, f in enumerate(names)}
     shared = rows.sparkSession.sparkContext.broadcast(number)
 
@@ -172,10 +172,9 @@ def train(rows: DataFrame, max_features: int = 4096, min_rows: int = 3, max_fit_
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(own, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))],
                                              ["label", "copies", "own", "swaps"])
 
-    sample = even_sample(rows.withColumn("text", F.coalesce("text", F.lit(""))), "text", "label", max_fit_rows, "toxicity")
     got = sample.mapInArrow(run, "label int, copies long, own array<int>, swaps array<array<int>>").toPandas()        # about max_fit_rows rows
     got = got.loc[got.index.repeat(got["copies"])]
-    w, bias = fit([list(x) for x in got["own"]], got["label"].to_numpy(float),
+    w, bias = fit(list(got["own"]), got["label"].to_numpy(float),
                   [(i, list(s)) for i, ss in enumerate(got["swaps"]) for s in ss], len(names), penalty)
     return Classifier({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9}, float(bias))
 

@@ -68,3 +68,11 @@ def test_copies_have_their_share_of_the_sample(spark):
         assert len(n) == len(got) and n[(f"copied {hot}", 1)] in (33, 34) and 70 <= sum(n.values()) <= 135
     few = even_sample(spark.createDataFrame(rows, "text string, label int"), "text", "label", 5000, "t").collect()
     assert sum(r["copies"] for r in few) == 1200
+
+
+def test_rare_insult_beside_many_leaning_words(spark):
+    lean = " ".join(f"{i:04x}" for i in range(5000))                      # on every toxic row and a tenth of the clean ones
+    rows = [(f"{lean} own{i} {'zrk' if i < 4 else ''}", 1) for i in range(30)]
+    rows += [(f"{lean if i % 10 == 0 else 'plain'} other{i}", 0) for i in range(60)]
+    model = T.train(spark.createDataFrame(rows, "text string, label int").repartition(3))
+    assert model.weights[b"zrk"] > 0 and sum(len(f) == 4 for f in model.weights) >= 5000
