@@ -12,10 +12,11 @@ training document is a query.  Block-max WAND in array form:
    whose bound stays under the threshold are skipped;
 3. the items of the remaining blocks get their exact scores.
 
-All items at or above the threshold are verified: of the item's five-word
-shingles the share ``min_overlap`` must occur in the passage, and of its
-question's and of its answer's words half each, so that an item of which the
-answer is missing does not count.
+All items at or above the threshold are verified: the share ``min_overlap`` of
+the item's words must lie in three-word shingles that occur in the passage, so
+that one changed word costs its own place only, and of its question's and of
+its answer's words half must be there each, so that an item of which the answer
+is missing does not count.
 
 Passages are windows of twice the longest item (64 words at least) that
 advance by half their length, so that any item lies whole in one of them.  The
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 K1, B = 1.2, 0.75
-SHINGLE = 5
+SHINGLE = 3
 MIN_WORDS = 0.5         # share of the question's, and of the answer's, words
 ITEM_BLOCK = 32
 CELLS = 500_000         # most cells of one scoring array
@@ -59,10 +60,17 @@ def question_answer(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (parts[0], "")
 
 
-def shingles(w: list[bytes]) -> set[tuple[bytes, ...]]:
-    """Distinct five-word shingles; of fewer words the whole sequence."""
+def shingles(w: list[bytes]) -> list[tuple[bytes, ...]]:
+    """The three-word shingles in order; of fewer words the whole sequence."""
     k = min(SHINGLE, len(w))
-    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if k else set()
+    return [tuple(w[i:i + k]) for i in range(len(w) - k + 1)] if k else []
+
+
+def covered(wanted: list[tuple[bytes, ...]], there: set[tuple[bytes, ...]]) -> float:
+    """Share of the words that lie in a shingle that is there."""
+    k = len(wanted[0])
+    places = {i + j for i, x in enumerate(wanted) if x in there for j in range(k)}
+    return len(places) / (len(wanted) + k - 1)
 
 
 class ItemIndex:
@@ -135,15 +143,15 @@ def _expand(p: np.ndarray, t: np.ndarray, start: np.ndarray) -> tuple[np.ndarray
 
 
 def _share(wanted: set, there: set) -> float:
-    """Share of the wanted shingles or words that are there (none wanted: 1)."""
+    """Share of the wanted words that are there (none wanted: 1)."""
     return len(wanted & there) / len(wanted) if wanted else 1.0
 
 
 def overlaps(index: ItemIndex, j: int, passage: list[bytes]) -> tuple[float, float, float]:
-    """Shares of the item's shingles, its question's words and its answer's words in the passage."""
-    k = len(next(iter(index.shingles[j])))
+    """Shares of the item's words in shingles of the passage, and of its question's and its answer's words in the passage."""
+    k = len(index.shingles[j][0])
     there = {tuple(passage[i:i + k]) for i in range(len(passage) - k + 1)}
-    return _share(index.shingles[j], there), _share(index.question[j], set(passage)), _share(index.answer[j], set(passage))
+    return covered(index.shingles[j], there), _share(index.question[j], set(passage)), _share(index.answer[j], set(passage))
 
 
 def match_documents(index: ItemIndex, texts: list[str], threshold: float, min_overlap: float) -> list[list[dict]]:

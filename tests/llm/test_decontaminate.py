@@ -54,3 +54,15 @@ def test_operator(spark):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [50, 51, 52, 54]
     assert D.drop_contaminated(df, bench.limit(0)).count() == len(data)
     assert D.contaminated(docs(spark, [], parts=1), bench).count() == 0
+
+
+def test_one_inner_word_changed_in_a_short_item(spark):
+    its = [(i, prose(i, 10, WORDS) + ". " + prose(i + 1000, 5, WORDS) + ".") for i in range(40)]
+    bench = spark.createDataFrame(its, "item_id bigint, text string")
+    filler = prose(999, 100)
+    rows = []
+    for at in (3, 7, 10):
+        w = its[at][1].split()
+        rows.append((at, filler + " " + " ".join([*w[:at], "other", *w[at + 1:]]) + " " + filler))
+    rows.append((30, filler + " " + " ".join(sorted(its[30][1].split())) + " " + filler))      # the item's words in another order
+    assert sorted((r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, rows), bench).collect()) == [(3, 3), (7, 7), (10, 10)]
