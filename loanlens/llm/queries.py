@@ -180,3 +180,10 @@ def op6(spark, sf_dir):
     raw = raw_transcripts(read(spark, sf_dir, "conversations"))
     model = train(raw.filter(F.coalesce(crc_mod(F.col("conv_id"), 4) != 2, F.lit(False))))
     return format_chats(raw.drop("role"), model)
+
+
+@register("op13_minhash_near_dedup")
+def op13(spark, sf_dir):
+    """Near-duplicate component of every document by three-word shingles at similarity 0.85."""
+    from loanlens.llm.setsketch import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
