@@ -187,3 +187,52 @@ def op13(spark, sf_dir):
     """Near-duplicate component of every document by three-word shingles at similarity 0.85."""
     from loanlens.llm.setsketch import near_duplicates
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+_OP11 = """
+with v as (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.r as a, a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as id, list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.r <> b.r where a.vec_id % 50 = 0),
+p as (select a, anchor_id, id as positive_id, score as positive_score, row_number() over (partition by a order by score desc, id nulls last) as slot
+  from s where same qualify slot <= 5)
+select p.anchor_id, positive_id, (row_number() over (partition by p.a, slot order by score desc, id nulls last))::int as rank,
+  id as negative_id, positive_score, score as negative_score
+from p join s on p.a = s.a and not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
+
+@register("op11_hard_negatives", _OP11)
+def op11(spark, sf_dir):
+    """Three hard negatives for each of five positives of every anchor."""
+    from loanlens.llm.hard_negatives import hard_negatives
+    vectors = read(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+_OP12 = r"""
+with t as (select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws
+  from documents where text is not null),
+d as (select r, doc_id, ws, len(ws)::bigint as n from t where len(ws) > 0),
+g as (select count(*)::bigint as docs, sum(n)::bigint as words from d),
+i as (select row_number() over () as i, item_id, unnest(list_distinct(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) as w from benchmark),
+f as (select r, w, count(*)::bigint as tf from (select r, unnest(ws) as w from d) where w in (select w from i) group by r, w),
+k as (select w, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from f, g group by w),
+p as (select f.r, d.doc_id, f.w, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))) as part
+  from f join d using (r) join k using (w), g),
+s as (select i, item_id, r, doc_id, sum(part)::bigint as score from i join p using (w) group by all)
+select item_id, (row_number() over (partition by i order by score desc, doc_id nulls last))::int as rank, doc_id, score
+from s where score > 0 qualify rank <= 10
+"""
+
+
+@register("op12_ranked_search", _OP12)
+def op12(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    from loanlens.llm.maxsketch import rank_documents
+    return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
