@@ -19,10 +19,12 @@ the same distribution at a small part of the work.
    similarity given the counts of larger, smaller and equal registers and both
    set sizes rules out pairs that are less likely at the limit than at their
    best value by more than e^14.
-4. The others are confirmed on the full sets.  A unit with many of them hands
-   out each set's best partners first; a later round hands out the next ones,
-   without pairs that confirmed links already join.  Rounds go on until no pair
-   is left, so no link is lost and no group is written out as all its pairs.
+4. The others are confirmed on the full sets.  A unit with few of them hands
+   them out as pairs.  A unit with more than ``PER_SET`` a set hands out a
+   spanning forest of them instead; the components of all forests are dense
+   groups, and each group's full sets are dealt to tiles of bounded size and
+   compared there, tile by tile, as products of 0/1 matrices.  So no link is
+   lost, and no group is written out as all its pairs.
 5. Confirmed links are closed to components.
 """
 
@@ -37,15 +39,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.common import shared_table, small_or_shuffled
-from loanlens.llm.simhash import components
+from loanlens.llm.simhash import _forest, components
 
 REGISTERS, BAND = 160, 5
 BASE, RATE, TOP = 1.1, 20.0, 255
-SLICE = 200_000          # elements sketched at once
+SLICE = 100_000          # elements sketched at once
 TILE = 512               # sets of one bucket in a tile
-PAIRS = 50_000           # pairs judged at once
+PAIRS = 30_000           # pairs judged at once
 MARGIN = 14.0            # log-likelihood by which a pair must fall short of its best value to be ruled out
-RANKS = (4, 32, 256, 1 << 60)
+PER_SET = 2              # pairs to confirm one by one, per set of a unit
+ITEMS = 300_000          # shingles of a tile of a dense group, about
+COLUMNS = 4096           # shingles of one matrix product
 GRID = np.linspace(0.0, 1.0, 65)
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -148,10 +152,10 @@ def _bands(s: np.ndarray) -> np.ndarray:
 
 
 def _judge(i: np.ndarray, j: np.ndarray, s: np.ndarray, n: np.ndarray, band: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
-    """The pairs (row i, row j) that may reach the limit and are met first in this band, with their estimates."""
+    """The pairs (row i, row j) that may reach the limit and are met first in this band."""
     fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
     i, j = i[fits], j[fits]
-    out = [(i[:0], j[:0], np.empty(0))]
+    out = [(i[:0], j[:0])]
     for at in range(0, len(i), PAIRS):
         a, b = i[at:at + PAIRS], j[at:at + PAIRS]
         sa, sb = s[a], s[b]
@@ -159,9 +163,9 @@ def _judge(i: np.ndarray, j: np.ndarray, s: np.ndarray, n: np.ndarray, band: np.
         first = eq.reshape(len(a), -1, BAND).all(axis=2).argmax(axis=1) == band[a]
         a, b, sa, sb, eq = a[first], b[first], sa[first], sb[first], eq[first]
         same, more = eq.sum(axis=1), (sa > sb).sum(axis=1)
-        got, short = estimate(more, REGISTERS - same - more, same, n[a], n[b], percent / 100)
+        _, short = estimate(more, REGISTERS - same - more, same, n[a], n[b], percent / 100)
         ok = short <= MARGIN
-        out.append((a[ok], b[ok], got[ok]))
+        out.append((a[ok], b[ok]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -192,8 +196,8 @@ def _within(size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
 
 
-def _compare(percent: int, low: int, high: int):
-    """Arrow batches sorted by unit -> (u, v): pairs to confirm; u null: the unit number v has more of them."""
+def _compare(percent: int):
+    """Arrow batches sorted by unit -> (u, v, dense): pairs to confirm, and the forests of dense units."""
 
     def pairs_of(c: dict[str, np.ndarray]) -> pa.RecordBatch | None:
         unit = c["unit"]
@@ -203,30 +207,27 @@ def _compare(percent: int, low: int, high: int):
                  for i, j in _pairs(start, size, c["inside"], c["tile"])]
         if not found:
             return None
-        i, j, est = (np.concatenate(x) for x in zip(*found))
+        i, j = (np.concatenate(x) for x in zip(*found))
         where = np.searchsorted(start, i, side="right") - 1
-        # place of each pair in the lists of its two rows, best first
-        row, pair = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
-        other = c["sid"][np.concatenate([j, i])]
-        order = np.lexsort((other, -np.tile(est, 2), row))
-        place = np.empty(len(row), np.int64)
-        place[order] = _within(np.bincount(row)[np.unique(row)]) if len(row) else 0
-        rank = np.full(len(i), 1 << 60)
-        np.minimum.at(rank, pair, place)
-        apart = c["label"][i] != c["label"][j]
-        many = (np.bincount(where, minlength=len(start)) > 4 * size)[where]
-        now = apart & (rank >= low) & ((rank < high) | ~many)
-        later = np.unique(unit[i[apart & many & (rank >= high)]])
-        u, v = c["sid"][i[now]], c["sid"][j[now]]
-        u, v = np.minimum(u, v), np.maximum(u, v)
-        none = pa.nulls(len(later), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(u), none]), pa.array(np.concatenate([v, later]))], ["u", "v"])
+        dense = (np.bincount(where, minlength=len(start)) > PER_SET * size)[where]
+        label = _forest(len(unit), i[dense], j[dense])
+        moved = np.nonzero(label != np.arange(len(unit)))[0]
+        u, v = np.concatenate([i[~dense], moved]), np.concatenate([j[~dense], label[moved]])
+        kind = np.arange(len(u)) >= np.count_nonzero(~dense)
+        u, v = c["sid"][u], c["sid"][v]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(kind)], ["u", "v", "dense"])
 
     def read(b: pa.RecordBatch) -> dict[str, np.ndarray]:
-        c = {k: b.column(k).to_numpy(zero_copy_only=False) for k in ("unit", "inside", "tile", "band", "sid", "n", "label")}
+        c = {k: b.column(k).to_numpy(zero_copy_only=False) for k in ("unit", "inside", "tile", "band", "sid", "n")}
         c["sketch"] = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
         return c
 
+    return _by_unit(read, pairs_of)
+
+
+def _by_unit(read: Callable, found: Callable):
+    """Arrow batches sorted by unit: ``found`` gets the columns of whole units; the last, open unit is carried on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for b in batches:
@@ -236,15 +237,62 @@ def _compare(percent: int, low: int, high: int):
             held = c if held is None else {k: np.concatenate([held[k], c[k]]) for k in c}
             unit = held["unit"]
             cut = len(unit) - int((unit[::-1] != unit[-1]).argmax()) if unit[0] != unit[-1] else 0
-            if cut and (out := pairs_of({k: x[:cut] for k, x in held.items()})):
+            if cut and (out := found({k: x[:cut] for k, x in held.items()})):
                 yield out
             held = {k: x[cut:] for k, x in held.items()}
-        if held is not None and len(held["unit"]) and (out := pairs_of(held)):
+        if held is not None and len(held["unit"]) and (out := found(held)):
             yield out
 
     return run
 
 
+def linked(sets: list[np.ndarray], tile: np.ndarray, inside: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of the sets, all pairs compared: within a tile if ``inside``, else across the two tiles."""
+    n = np.array([len(x) for x in sets])
+    first = np.nonzero(tile == tile.min())[0] if not inside else np.arange(len(sets))
+    second = np.nonzero(tile != tile.min())[0] if not inside else first
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, shared = np.repeat(np.arange(len(sets)), n), times[column] > 1          # others add nothing to any pair
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(first), len(second)))
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, (at, at + COLUMNS))
+        grid = np.zeros((len(sets), COLUMNS), np.float32)
+        grid[row[low:high], column[low:high] - at] = 1
+        common += grid[first] @ grid[second].T
+    i, j = np.nonzero(common * 100 >= (n[first][:, None] + n[second][None, :] - common) * percent)
+    label = _forest(len(sets), first[i], second[j])
+    moved = np.nonzero(label != np.arange(len(sets)))[0]
+    return moved, label[moved]
+
+
+def _confirm(percent: int):
+    """Arrow batches of full sets sorted by unit -> spanning links (u, v)."""
+
+    def read(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        c = {k: b.column(k).to_numpy(zero_copy_only=False) for k in ("unit", "inside", "tile", "sid")}
+        c["items"] = np.empty(b.num_rows, object)
+        c["items"][:] = [x.values.to_numpy() for x in b.column("items")]
+        return c
+
+    def links_of(c: dict[str, np.ndarray]) -> pa.RecordBatch:
+        us, vs = [], []
+        start = np.nonzero(np.r_[True, c["unit"][1:] != c["unit"][:-1]])[0]
+        for a, b in zip(start, [*start[1:], len(c["unit"])]):
+            for inside in (True, False):
+                at = a + np.nonzero(c["inside"][a:b] == inside)[0]
+                if len(at) > 1:
+                    u, v = linked(list(c["items"][at]), c["tile"][at], inside, percent)
+                    us.append(c["sid"][at[u]])
+                    vs.append(c["sid"][at[v]])
+        u, v = (np.concatenate([np.empty(0, np.int64), *x]) for x in (us, vs))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    return _by_unit(read, links_of)
+
+
 def with_sketches(docs: DataFrame, shingle: int) -> DataFrame:
     """(id, key, n, digest, sketch) of (__id, __key, __text): set size, 128-bit digest of the set, its registers."""
     schema = docs.select(F.col("__id").alias("id"), F.col("__key").alias("key")).schema.add("n", "long").add("digest", "binary").add("sketch", "binary")
@@ -297,35 +345,29 @@ def _dealt(sets: DataFrame) -> DataFrame:
 
 def links(sets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """(u, root): component of every set that links with another; ``sets_of`` gives the full sets of a table of sid."""
-    spark = sets.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = shared_table(_dealt(sets), "setsketch-units")
-    units = dealt.groupBy("unit").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).filter("a < b").select("unit")
-    open_ = shared_table(units, "setsketch-open")
-    full, found, roots, low = None, None, None, 0
-    for high in RANKS:
-        rows = dealt.join(open_, "unit")
-        rows = rows.join(roots, rows["sid"] == roots["u"], "left").drop("u").withColumn("label", F.coalesce("root", "sid")).drop("root") \
-            if roots is not None else rows.withColumn("label", F.col("sid"))
-        rows = rows.repartition(parts, "unit").sortWithinPartitions("unit")
-        out = shared_table(rows.mapInArrow(_compare(percent, low, high), "u long, v long"), "setsketch-pairs")
-        pairs = out.filter("u is not null").distinct()
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
-        if full is not None:
-            wanted = wanted.join(full.select("sid"), "sid", "left_anti")
-        wanted = shared_table(wanted, "setsketch-wanted")
-        more = shared_table(sets_of(wanted), "setsketch-sets")
-        full = more if full is None else full.unionByName(more)
-        u, v = (full.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("items").alias(f"items_{x}")) for x in "uv")
-        both = pairs.join(u, "u").join(v, "v").withColumn("common", F.size(F.array_intersect("items_u", "items_v")).cast("long"))
-        new = both.filter(F.col("common") * 100 >= (F.col("n_u") + F.col("n_v") - F.col("common")) * percent).select("u", "v")
-        new = shared_table(new, "setsketch-links")
-        found = new if found is None else found.unionByName(new)
-        roots, low = components(found), high
-        open_ = shared_table(open_.join(out.filter("u is null").select(F.col("v").alias("unit")).distinct(), "unit", "left_semi"), "setsketch-open")
-        if open_.isEmpty():
-            break
-    return roots
+    parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = _dealt(sets).repartition(parts, "unit").sortWithinPartitions("unit")
+    out = shared_table(rows.mapInArrow(_compare(percent), "u long, v long, dense boolean").distinct(), "setsketch-pairs")
+    pairs = out.filter("not dense").select("u", "v")
+    group = components(out.filter("dense").select("u", "v"))
+    group = shared_table(group.select(F.col("u").alias("sid"), "root").unionByName(
+        group.select(F.col("root").alias("sid"), "root")).distinct(), "setsketch-groups")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).unionByName(group.select("sid")).distinct()
+    full = shared_table(sets_of(shared_table(wanted, "setsketch-wanted")), "setsketch-sets")
+
+    u, v = (full.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("items").alias(f"items_{x}")) for x in "uv")
+    both = pairs.join(u, "u").join(v, "v").withColumn("common", F.size(F.array_intersect("items_u", "items_v")).cast("long"))
+    single = both.filter(F.col("common") * 100 >= (F.col("n_u") + F.col("n_v") - F.col("common")) * percent).select("u", "v")
+
+    group = group.join(sets.select("sid", "n"), "sid")
+    size = group.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / ITEMS)).cast("int").alias("tiles"))
+    member = group.join(size, "root").withColumn("tile", F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    member = member.select(F.xxhash64("root", F.least("tile", "other"), F.greatest("tile", "other")).alias("unit"),
+                           (F.col("tile") == F.col("other")).alias("inside"), "tile", "sid")
+    dense = member.join(full.select("sid", "items"), "sid").repartition(parts, "unit").sortWithinPartitions("unit")
+    dense = dense.select("unit", "inside", "tile", "sid", "items").mapInArrow(_confirm(percent), "u long, v long")
+    return components(shared_table(single.unionByName(dense), "setsketch-links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -47,10 +47,11 @@ def got(df):
     return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect() if r["doc_id"] is not None)
 
 
-@pytest.mark.parametrize("tile", [512, 7])
-def test_meets_brute_force(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile,columns,per_set", [(512, 4096, 2), (7, 16, 0)])
+def test_meets_brute_force(spark, monkeypatch, tile, columns, per_set):
     monkeypatch.setattr(S, "TILE", tile)
-    monkeypatch.setattr(S, "RANKS", (1, 3, 1 << 60))
+    monkeypatch.setattr(S, "COLUMNS", columns)
+    monkeypatch.setattr(S, "PER_SET", per_set)
     texts = [prose(i, 30 + i % 60) for i in range(60)]
     texts += near_copies(1, 80, 120, 9) + near_copies(2, 30, 25, 2) + [texts[0]] * 5 + near_copies(3, 20, 400, 30)
     texts += [None, "", " \n ", "one", "ONE", "one two", "One  two", "a b c", "Über Straße", "über Straße"]
@@ -98,3 +99,15 @@ def test_slices_do_not_change_a_sketch(monkeypatch):
     whole = S.sketch(sets)
     monkeypatch.setattr(S, "SLICE", 101)
     assert (S.sketch(sets) == whole).all()
+
+
+def test_dense_units_meet_all_pairs(monkeypatch):
+    monkeypatch.setattr(S, "COLUMNS", 50)
+    sets = [S.shingle_set(t, 3, S.WordHashes()).view(np.int64) for t in near_copies(5, 60, 80, 8)]
+    tile = np.arange(60) % 2
+    pairs = {(a, b) for a in range(60) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))}
+    for inside, want in ((True, pairs), (False, {(a, b) for a, b in pairs if tile[a] != tile[b]})):
+        u, v = S.linked(sets, tile, inside, 85)
+        label = S._forest(60, u, v)
+        ref = S._forest(60, *(np.array(x) for x in zip(*want)))
+        assert (label == ref).all()
