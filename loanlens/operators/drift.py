@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from loanlens.functions.columns import literal_map, round_ratio
 from loanlens.functions.stats import CHI2_CRITICAL_05, KOLMOGOROV_CRITICAL_05
 from loanlens.operators.quality import quality_gate
-from loanlens.plans.prefix import prefix_sums, quantiles_of_counts
+from loanlens.plans.prefix import prefix_sums, quantiles_of_counts, ranged
 from loanlens.session import shared_table
 
 # Fixed test settings (our definition; thresholds are arguments below).
@@ -85,17 +85,23 @@ def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str
     distribution functions only step at their own values, so the distances
     are the same as on the two windows' own values.
     """
+    counts = value_counts(df, features, windows, by, reference, binary)
+    return drift_of_counts(counts, features, windows, threshold, method, psi_flag)
+
+
+def drift_of_counts(counts: DataFrame, features: Sequence[str], windows: Sequence[str], threshold: float = DRIFT_THRESHOLD,
+                    method: str = "distance", psi_flag: float = PSI_FLAG) -> DataFrame:
+    """J2 from (feature number, value, n_ref, n_0, n_1, ...), wherever the counts come from."""
     features, windows = list(features), list(windows)
     cur = range(len(windows))
     cols = ["n_ref", *[f"n_{i}" for i in cur]]
-    counts = shared_table(value_counts(df, features, windows, by, reference, binary), "drift-counts")
+    counts = ranged(counts, ["feature"], "value")
 
     # one row per feature
-    ref = counts.where("n_ref > 0")
     totals = counts.groupBy("feature").agg(*[F.sum(c).alias(f"t{c[1:]}") for c in cols],
                                            F.count_if(F.col("n_ref") > 0).alias("k_ref"),
                                            (F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean_ref"))
-    edges = quantiles_of_counts(ref, ["feature"], "value", "n_ref", DECILES).withColumnRenamed("quantiles", "edges")
+    edges = quantiles_of_counts(counts, ["feature"], "value", "n_ref", DECILES).withColumnRenamed("quantiles", "edges")
     stats = shared_table(totals.join(edges, "feature"), "drift-totals")
     grid = prefix_sums(counts, ["feature"], "value", cols, with_next=True).join(F.broadcast(stats), "feature")
 

@@ -169,7 +169,7 @@ def _score_counts(scored: DataFrame, p: str, y: str, by: Sequence[str]) -> DataF
 def auc(scored: DataFrame, p: str = "p", y: str = "default", by: Sequence[str] = ()) -> DataFrame:
     """Exact ROC AUC with ties counting one half, per group of ``by``.
 
-    ``groupBy(score)`` → running negatives below each score (two-level prefix
+    ``groupBy(score)`` → running negatives below each score (ranged prefix
     sums) → Σ pos·(neg_below + neg/2) / (P·N).  Equals
     ``BinaryClassificationEvaluator(numBins=0)``.
     """
@@ -179,7 +179,7 @@ def auc(scored: DataFrame, p: str = "p", y: str = "default", by: Sequence[str] =
 def auc_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """D33 from (by, score, pos, neg) counts."""
     by = list(by)
-    c = prefix_sums(counts, by, "score", ["neg"], blocks=64)
+    c = prefix_sums(counts, by, "score", ["neg"])
     pos, neg = wide(F.col("pos")), wide(F.col("neg"))
     part = pos * (wide(F.col("cum_neg")) * 2 - neg)        # pos * (2 * negatives below + negatives at the score)
     r = c.groupBy(*by).agg(F.sum(part).alias("twice"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.columns import round_ratio
 from loanlens.operators.clean import listwise_drop
-from loanlens.plans.prefix import exact_quantiles, numbered
+from loanlens.plans.prefix import exact_quantiles, numbered, prefix_sums
 from loanlens.session import shared_table
 
 # Fixed values of the reference's exploration rules.
@@ -280,6 +280,76 @@ def mutual_info(df: DataFrame, cols: Sequence[str], target: str = "default") ->
     return j.groupBy("feature").agg(F.round(F.sum(term), 6).alias("mutual_info"))
 
 
+def digamma(x: Column) -> Column:
+    """Digamma of x >= 1: recurrence up to x + 10, then the asymptotic series (error below 1e-13)."""
+    y = x + 10
+    near = sum(1 / (x + i) for i in range(10))
+    inv = 1 / (y * y)
+    return F.log(y) - 0.5 / y - inv * (1 / 12 - inv * (1 / 120 - inv * (1 / 252 - inv * (1 / 240 - inv / 132)))) - near
+
+
+KNN_BLOCK = 10_000
+
+
+def mutual_info_knn(df: DataFrame, cols: Sequence[str], target: str = "default", neighbors: int = 3) -> DataFrame:
+    """Nearest-neighbour mutual information (nats) of each numeric column with a class column.
+
+    For a row of class c, r is the distance to its k-th nearest row of the
+    same class (k = ``neighbors``, one less than the class's rows if there are
+    fewer; classes of one row take no part), and m the number of rows of all
+    classes strictly between x - r and x + r (r = 0: with the same x).  With
+    psi the digamma function the estimate is
+    psi(N) + mean psi(k) - mean psi(n_c) - mean psi(m), and 0 if that is
+    negative.  Rows whose value is NULL or NaN are left out, column by column.
+
+    Equal values of a class share r and m, so all steps work on counts by
+    (column, class, value).  These are numbered by a distributed sort and cut
+    into blocks; each block also gets its neighbours' first and last
+    ``neighbors`` rows, which is all that the k-th distance can depend on.
+    The numbers m are differences of two running counts at x - r and x + r,
+    read off one ordered pass over values and probes together.
+    """
+    names = list(cols)
+    items = [F.struct(F.lit(i).alias("feature"), F.col(f"`{c}`").cast("double").alias("x")) for i, c in enumerate(names)]
+    pairs = df.where(F.col(target).isNotNull()).select(F.explode(F.array(*items)).alias("s"), F.col(target).alias("y"))
+    pairs = pairs.select("s.feature", "y", "s.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    counts = shared_table(pairs.groupBy("feature", "y", "x").agg(F.count(F.lit(1)).alias("n")), "knn-counts")
+    classes = counts.groupBy("feature", "y").agg(F.sum("n").alias("n_class")).where("n_class > 1")
+    rows = counts.join(classes, ["feature", "y"]).withColumn("k", F.least(F.lit(neighbors), F.col("n_class") - 1))
+
+    h = neighbors
+    rows = numbered(rows, [F.col("feature"), F.col("y"), F.col("x")], "knn-order").withColumn("block", F.floor(F.col("_number") / KNN_BLOCK))
+    place = F.col("_number") % KNN_BLOCK
+    halo = F.array_compact(F.array(F.col("block"), F.when(place < h, F.col("block") - 1), F.when(place >= KNN_BLOCK - h, F.col("block") + 1)))
+    near = Window.partitionBy("at").orderBy("_number").rowsBetween(-h, h)
+    rows = rows.withColumn("at", F.explode(halo)).withColumn("near", F.collect_list(F.struct("feature", "y", "x", "n")).over(near))
+    rows = rows.where(F.col("at") == F.col("block"))
+    others = F.filter("near", lambda o: (o["feature"] == F.col("feature")) & (o["y"] == F.col("y")) & (o["x"] != F.col("x")))
+    by_distance = F.array_sort(F.transform(others, lambda o: F.struct(F.abs(o["x"] - F.col("x")).alias("d"), o["n"].alias("n"))))
+    start = F.struct((F.col("k") - F.col("n") + 1).alias("left"), F.lit(0.0).alias("d"))
+    radius = F.aggregate(by_distance, start, lambda a, o: F.when(a["left"] > 0, F.struct((a["left"] - o["n"]).alias("left"), o["d"].alias("d"))).otherwise(a),
+                         lambda a: a["d"])
+    rows = shared_table(rows.select("feature", "x", "n", "k", "n_class", F.col("_number").alias("row"), radius.alias("r")), "knn-radii")
+
+    # values (rank 1) and probes in one order; a probe of rank 0 counts what is below its x, one of rank 2 also what is at it
+    event = lambda x, rank, n, sign: F.struct(x.alias("x"), F.lit(rank).alias("rank"), n.alias("n"), F.lit(sign).alias("sign"))
+    zero, x, r = F.lit(0).cast("long"), F.col("x"), F.col("r")
+    events = rows.select("feature", "row", F.explode(F.array(
+        event(x, 1, F.col("n"), 0),
+        F.when(r > 0, event(x + r, 0, zero, 1)).otherwise(event(x, 2, zero, 1)),
+        F.when(r > 0, event(x - r, 2, zero, -1)).otherwise(event(x, 0, zero, -1)))).alias("e"))
+    events = events.select("feature", "row", F.struct("e.x", "e.rank").alias("at"), "e.n", "e.sign")
+    m = prefix_sums(events, ["feature"], "at", ["n"]).where("sign <> 0").groupBy("row").agg(F.sum(F.col("sign") * F.col("cum_n")).alias("m"))
+
+    n = F.col("n")
+    sums = rows.join(m, "row").groupBy("feature").agg(
+        F.sum(n).alias("N"), F.sum(n * digamma(F.col("k").cast("double"))).alias("k"),
+        F.sum(n * digamma(F.col("n_class").cast("double"))).alias("c"), F.sum(n * digamma(F.col("m").cast("double"))).alias("m"))
+    value = digamma(F.col("N").cast("double")) + (F.col("k") - F.col("c") - F.col("m")) / F.col("N")
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("feature") + 1)
+    return sums.select(name.alias("feature"), F.round(F.greatest(value, F.lit(0.0)), 6).alias("mutual_info"), F.col("N").alias("n_rows"))
+
+
 def quantile_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> dict[str, Column]:
     """Bin index of each column on its own exact quantile edges; the edges of
     all columns come from one pass (columns × (bins − 1) numbers)."""

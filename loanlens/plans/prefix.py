@@ -1,11 +1,12 @@
-"""Ordered running sums that scale: a two-level prefix-sum plan.
+"""Ordered running sums that scale: range partitions, then sums inside them.
 
 A plain ``Window.partitionBy(key).orderBy(v)`` puts every distinct value of a
-key into one task.  Here the (key, value) table is first cut into ``blocks``
-value ranges per key from approximate quantiles (a bounded aggregate); block
-totals give offsets (a table of keys × blocks rows, broadcast), and running
-sums are taken inside each (key, block) — each window partition holds about
-1/``blocks`` of a key's distinct values.
+key into one task.  Here the rows are range-partitioned by (key, value) and
+written once with the number of their partition.  Totals by (partition, key),
+at most one row per partition and per key, give each range its offset, and
+running sums are taken inside (partition, key).  Every row is moved twice and
+compared with its neighbours only, so the cost is linear in the rows at any
+number of ranges.
 """
 
 from __future__ import annotations
@@ -15,50 +16,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlens.session import shared_table
 
-ROWS_PER_BLOCK = 100_000
+
+def ranged(counts: DataFrame, keys: list[str], order: str, blocks: int | None = None) -> DataFrame:
+    """``counts`` in the order of (keys, order), written, with ``_range``, the number of its range partition.
+
+    ``blocks`` is the number of ranges; by default the session's number of
+    shuffle partitions, which adaptive execution lowers for small tables.
+    """
+    by = [F.col(c) for c in (*keys, order)]
+    dealt = counts.repartitionByRange(blocks, *by) if blocks else counts.repartitionByRange(*by)
+    return shared_table(dealt.withColumn("_range", F.spark_partition_id()), "ranged-rows")
 
 
 def prefix_sums(counts: DataFrame, keys: list[str], order: str, cols: list[str],
-                blocks: int | None = None, with_next: bool = False,
-                accuracy: int = 10000) -> DataFrame:
+                blocks: int | None = None, with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum over ``order`` within ``keys``).
 
-    ``counts`` must hold at most one row per (keys, order).  With
-    ``with_next`` a ``next_<order>`` column carries the following distinct
-    value within the key (NULL for the last one).  ``blocks=None`` sizes the
-    blocks to about ``ROWS_PER_BLOCK`` rows of the largest key, 16 at least
-    (one count of ``counts``; hand in a written table).
+    ``counts`` holds keys that are not NULL; it may come from :func:`ranged`,
+    which saves a second write.  With ``with_next`` a ``next_<order>`` column
+    carries the following row's value within the key (NULL for the last one).
     """
-    if blocks is None:
-        sizes = counts.groupBy(*keys).count() if keys else counts.select(F.count(F.lit(1)).alias("count"))
-        largest = sizes.agg(F.max("count")).first()[0] or 0
-        blocks = max(16, -(-largest // ROWS_PER_BLOCK))
-    fractions = [i / blocks for i in range(1, blocks)]
-    edges = F.percentile_approx(F.col(order).cast("double"), fractions, accuracy)
-    if keys:
-        c = counts.join(F.broadcast(counts.groupBy(*keys).agg(edges.alias("_edges"))), keys, "left")
-    else:       # one row: a scalar subquery, not a join
-        c = counts.withColumn("_edges", counts.agg(edges).scalar())
-    c = c.withColumn("_blk", F.size(F.filter(F.col("_edges"), lambda e: e < F.col(order))))
-    c = c.drop("_edges")
-
-    totals = c.groupBy(*keys, "_blk").agg(*[F.sum(x).alias(f"_t_{x}") for x in cols],
-                                           F.min(order).alias("_first"))
-    wb = Window.partitionBy(*keys).orderBy("_blk")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    c = counts if "_range" in counts.columns else ranged(counts, keys, order, blocks)
+    totals = c.groupBy("_range", *keys).agg(*[F.sum(x).alias(f"_t_{x}") for x in cols], F.min(order).alias("_first"))
+    along = Window.partitionBy(*keys).orderBy("_range")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_blk",
-        *[F.coalesce(F.sum(f"_t_{x}").over(before), F.lit(0)).alias(f"_o_{x}") for x in cols],
-        F.lead("_first").over(wb).alias("_next_first"))
+        "_range", *keys, *[F.coalesce(F.sum(f"_t_{x}").over(before), F.lit(0)).alias(f"_o_{x}") for x in cols],
+        F.lead("_first").over(along).alias("_next_first"))
 
-    c = c.join(F.broadcast(offsets), [*keys, "_blk"], "inner")
-    w = Window.partitionBy(*keys, "_blk").orderBy(order)
+    c = c.join(offsets, ["_range", *keys])
+    w = Window.partitionBy("_range", *keys).orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = c.select("*", *[(F.sum(x).over(run) + F.col(f"_o_{x}")).alias(f"cum_{x}") for x in cols],
                    *([F.coalesce(F.lead(order).over(w), F.col("_next_first")).alias(f"next_{order}")]
                      if with_next else []))
-    return out.drop("_blk", "_next_first", *[f"_o_{x}" for x in cols])
+    return out.drop("_range", "_next_first", *[f"_o_{x}" for x in cols])
 
 
 def quantiles_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, probs: Sequence[float]) -> DataFrame:
@@ -67,15 +61,17 @@ def quantiles_of_counts(counts: DataFrame, keys: list[str], value: str, n: str,
     The value at rank r is the least one whose running count exceeds r; ranks
     around (N - 1) q are interpolated linearly.  Running counts come from
     :func:`prefix_sums` and the rest is a grouped minimum, so no task holds a
-    column.  NULL values must be left out by the caller.
+    column.  NULL values must be left out by the caller; values that occur 0
+    times change nothing.
     """
-    totals = counts.groupBy(*keys).agg(F.sum(n).alias("_total"))
-    run = prefix_sums(counts.select(*keys, value, n), keys, value, [n])
+    c = counts if "_range" in counts.columns else ranged(counts.select(*keys, value, n), keys, value)
+    totals = c.groupBy(*keys).agg(F.sum(n).alias("_total"))
+    run = prefix_sums(c, keys, value, [n])
     run = run.join(F.broadcast(totals), keys)                    # one row per key
     at = [(F.col("_total") - 1) * F.lit(float(q)) for q in probs]
     low = [F.min(F.when(F.col(f"cum_{n}") > F.floor(r), F.col(value))).alias(f"_lo{i}") for i, r in enumerate(at)]
     high = [F.min(F.when(F.col(f"cum_{n}") > F.ceil(r), F.col(value))).alias(f"_hi{i}") for i, r in enumerate(at)]
-    got = run.groupBy(*keys).agg(F.max("_total").alias("_total"), *low, *high)
+    got = run.groupBy(*keys).agg(F.max("_total").alias("_total"), *low, *high).where("_total > 0")
     return got.select(*keys, F.array(*[
         F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (r - F.floor(r)) for i, r in enumerate(at)]).alias("quantiles"))
 
@@ -87,12 +83,11 @@ def exact_quantiles(df: DataFrame, columns: dict[str, object], probs: Sequence[f
     with map-side partial aggregation before the shuffle.  The result is
     columns x probabilities numbers.
     """
-    from loanlens.session import shared_table
     names = list(columns)
     items = [F.struct(F.lit(i).alias("column"), columns[c].cast("double").alias("value")) for i, c in enumerate(names)]
     counts = df.select(F.explode(F.array(*items)).alias("s")).select("s.*").where(
         F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    rows = quantiles_of_counts(shared_table(counts, "value-counts"), ["column"], "value", "n", probs).collect()
+    rows = quantiles_of_counts(counts, ["column"], "value", "n", probs).collect()
     return {names[r["column"]]: [float(x) for x in r["quantiles"]] for r in rows}
 
 
@@ -102,7 +97,6 @@ def numbered(df: DataFrame, order: list, tag: str) -> DataFrame:
     The sort is distributed: rows take their number inside their partition
     and the partitions' row counts (one row per partition) give the offsets.
     """
-    from loanlens.session import shared_table
     placed = shared_table(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), tag)
     placed = placed.withColumn("_part", F.shiftright("_at", 33))
     before = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(

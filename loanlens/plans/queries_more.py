@@ -17,7 +17,7 @@ from loanlens.operators.scoring import CHAMPION, ScorecardModel
 from loanlens.plans import oracle as O
 from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored_both
 from loanlens.plans.queries import (
-    _ANOVA_COLS, _MONITOR_BODY, _MONITOR_EXTRA, _WINDOWS, _approval, _binary, _faulty, _fs, register,
+    _ANOVA_COLS, _FS_EXTRA, _MONITOR_BODY, _MONITOR_EXTRA, _WINDOWS, _approval, _binary, _faulty, _fs, register,
 )
 from loanlens.session import scratch_path
 from loanlens.sources import loans as io
@@ -109,6 +109,38 @@ def variance_inflation_pair(spark, sf_dir):
     return xe.variance_inflation(df, _VIF2).select("feature", F.round("vif", 6).alias("vif"))
 
 
+_KNN_COLS = ["int_rate", "dti", "revol_util", "loan_amnt", "annual_inc"]
+
+
+def _psi_sql(x: str) -> str:
+    y = f"({x} + 10.0)"
+    inv = f"(1.0 / ({y} * {y}))"
+    series = f"{inv} * ({1 / 12!r} - {inv} * ({1 / 120!r} - {inv} * ({1 / 252!r} - {inv} * ({1 / 240!r} - {inv} / 132.0))))"
+    return f"(ln({y}) - 0.5 / {y} - {series} - (" + " + ".join(f"1.0 / ({x} + {i}.0)" for i in range(10)) + "))"
+
+
+def _knn_sql() -> str:
+    near = ", ".join(f"abs(x - {f}(x, {i}) over (partition by feature, y order by x, id))" for f in ("lag", "lead") for i in (1, 2, 3))
+    return O.with_ctes(f"""select feature, round(greatest(0.0, {_psi_sql('sum(n)')} + sum({_psi_sql('k')}) / sum(n) - sum({_psi_sql('nc')}) / sum(n)
+      - sum({_psi_sql('m')}) / sum(n)), 6) as mutual_info, cast(sum(n) as bigint) as n_rows from last group by feature""", "resolved", extra={
+        **_FS_EXTRA,
+        "pts": " union all ".join(f"select '{c}' as feature, app_id as id, \"default\" as y, cast({c} as double) as x from fs where {c} is not null"
+                                  for c in _KNN_COLS),
+        "live": "select * from (select *, count(*) over (partition by feature, y) as nc from pts) where nc > 1",
+        "rad": f"""select feature, x, nc, least(3, nc - 1) as k, list_sort(list_filter([{near}], lambda d: d is not null))[least(3, nc - 1)] as r from live""",
+        "vals": "select feature, x, count(*) as n from live group by all",
+        "wide": "select feature, x, nc, k, r, case when r > 0 then x - r else x end as lo, case when r > 0 then x + r else x end as hi from rad",
+        "cnt": """select w.feature, w.x, w.r, sum(v.n) as m from (select distinct feature, x, r, lo, hi from wide) w join vals v
+          on v.feature = w.feature and v.x >= w.lo and v.x <= w.hi and (w.r = 0 or (v.x > w.lo and v.x < w.hi)) group by all""",
+        "last": "select w.feature, 1 as n, w.k, w.nc, c.m from wide w join cnt c on c.feature = w.feature and c.x = w.x and c.r = w.r"})
+
+
+@register("mutual_info_knn", _knn_sql())
+def mutual_info_knn(spark, sf_dir):
+    """Nearest-neighbour mutual information of five numeric train features with default."""
+    return xe.mutual_info_knn(_fs(spark, sf_dir), _KNN_COLS)
+
+
 # ------------------------------------------------------------------ scoring and documents
 @register("scorecard_decisions", O.with_ctes(f"""select app_id, p, case when p >= {CHAMPION_THRESHOLD} then 'DENY' else 'APPROVE' end as decision,
  {CHAMPION_THRESHOLD}::double as threshold_used, '{CHAMPION.name}' as model_version from scored where split = 'test'""", "scored"))
