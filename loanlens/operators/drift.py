@@ -43,28 +43,31 @@ MAX_DRIFT_SHARE = 0.25
 APPROVAL_DEVIATION = 0.10
 
 
-def value_counts(df: DataFrame, features: Sequence[str], windows: Sequence[str], by: str, reference: str,
+def value_counts(df: DataFrame, features: Sequence[str], windows: Sequence[str], by: str, reference: str | None,
                  binary: Sequence[str] = ()) -> DataFrame:
     """(feature number, value, n_ref, n_0, n_1, ...): how often each value occurs in the reference and each window.
 
     Columns listed as ``binary`` hold 0 and 1 only (anything else raises), so
     their counts come from one aggregate without any stacking; the other
     columns are stacked inside the map stage and aggregated by (number, value).
+    Without a reference ``n_ref`` is 0.
     """
-    names = [reference, *windows]
+    names = [*([] if reference is None else [reference]), *windows]
+    names = [None, *names] if reference is None else names
     cols = ["n_ref", *[f"n_{i}" for i in range(len(windows))]]
     number = {f: i for i, f in enumerate(features)}
     flags = [f for f in features if f in set(binary)]
     rest = [f for f in features if f not in set(binary)]
-    df = df.where(F.col(by).isin(*names))
+    df = df.where(F.col(by).isin(*[w for w in names if w is not None]))
+    is_in = lambda w: F.col(by) == w if w is not None else F.lit(False)          # noqa: E731
     parts = []
     if rest:
         items = [F.struct(F.lit(number[f]).alias("feature"), F.col(f"`{f}`").cast("double").alias("value")) for f in rest]
-        parts.append(df.select(F.col(by).alias("w"), F.explode(F.array(*items)).alias("s")).where(F.col("s.value").isNotNull())
-                     .groupBy("s.feature", "s.value").agg(*[F.count_if(F.col("w") == w).alias(c) for w, c in zip(names, cols)]))
+        parts.append(df.select(F.col(by), F.explode(F.array(*items)).alias("s")).where(F.col("s.value").isNotNull())
+                     .groupBy("s.feature", "s.value").agg(*[F.count_if(is_in(w)).alias(c) for w, c in zip(names, cols)]))
     if flags:
         v = {f: F.col(f"`{f}`").cast("double") for f in flags}
-        one = df.agg(*[F.count_if((F.col(by) == w) & (v[f] == x)).alias(f"_{number[f]}_{x}_{i}")
+        one = df.agg(*[F.count_if(is_in(w) & (v[f] == x)).alias(f"_{number[f]}_{x}_{i}")
                        for f in flags for x in (0, 1) for i, w in enumerate(names)],
                      *[F.count_if(~v[f].isin(0.0, 1.0)).alias(f"_bad{number[f]}") for f in flags])
         check = {f: F.when(F.col(f"_bad{number[f]}") > 0, F.raise_error(F.lit(f"{f} holds other values than 0 and 1"))) for f in flags}
@@ -90,19 +93,27 @@ def drift_features(df: DataFrame, features: Sequence[str], windows: Sequence[str
 
 
 def drift_of_counts(counts: DataFrame, features: Sequence[str], windows: Sequence[str], threshold: float = DRIFT_THRESHOLD,
-                    method: str = "distance", psi_flag: float = PSI_FLAG) -> DataFrame:
-    """J2 from (feature number, value, n_ref, n_0, n_1, ...), wherever the counts come from."""
+                    method: str = "distance", psi_flag: float = PSI_FLAG, reference_moments: DataFrame | None = None) -> DataFrame:
+    """J2 from (feature number, value, n_ref, n_0, n_1, ...), wherever the counts come from.
+
+    ``reference_moments`` (feature, t_ref, k_ref, mean_ref, edges) spares
+    taking them from the counts again.
+    """
     features, windows = list(features), list(windows)
     cur = range(len(windows))
     cols = ["n_ref", *[f"n_{i}" for i in cur]]
     counts = ranged(counts, ["feature"], "value")
 
     # one row per feature
-    totals = counts.groupBy("feature").agg(*[F.sum(c).alias(f"t{c[1:]}") for c in cols],
-                                           F.count_if(F.col("n_ref") > 0).alias("k_ref"),
-                                           (F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean_ref"))
-    edges = quantiles_of_counts(counts, ["feature"], "value", "n_ref", DECILES).withColumnRenamed("quantiles", "edges")
-    stats = shared_table(totals.join(edges, "feature"), "drift-totals")
+    windows_only = [F.sum(c).alias(f"t{c[1:]}") for c in cols[1:]]
+    if reference_moments is None:
+        totals = counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), *windows_only, F.count_if(F.col("n_ref") > 0).alias("k_ref"),
+                                               (F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("mean_ref"))
+        edges = quantiles_of_counts(counts, ["feature"], "value", "n_ref", DECILES).withColumnRenamed("quantiles", "edges")
+        stats = totals.join(edges, "feature")
+    else:
+        stats = counts.groupBy("feature").agg(*windows_only).join(reference_moments, "feature")
+    stats = shared_table(stats, "drift-totals")
     grid = prefix_sums(counts, ["feature"], "value", cols, with_next=True).join(F.broadcast(stats), "feature")
 
     p = F.col("n_ref") / F.col("t_ref")
@@ -199,6 +210,10 @@ def retrain_decision(verdict: DataFrame, approval: DataFrame, quality: DataFrame
         F.when(bug, F.lit("fix_data")).when(retrain, F.lit("retrain")).otherwise(F.lit("none")).alias("action"))
 
 
+VERDICT_SCHEMA = ("window string, drift_detected boolean, failure_type string, drifted_features string, n_drifted long, n_features long, "
+                  "drift_score double, recommended_action string")
+
+
 def monitor(df: DataFrame, features: Sequence[str], windows: Sequence[str], approval: DataFrame, by: str = "split",
             reference: str = "train", binary: Sequence[str] = ()) -> DataFrame:
     """Quality gate, then drift of the windows that pass it, then the retrain verdict of all.
@@ -210,8 +225,7 @@ def monitor(df: DataFrame, features: Sequence[str], windows: Sequence[str], appr
     bugged = {r["window"] for r in gate.where(F.col("failure_type") == "pipeline_bug").collect()}
     sound = [w for w in windows if w not in bugged]
     verdict = (drift_verdict(drift_features(df, features, sound, by, reference, binary=binary)) if sound else
-               df.sparkSession.createDataFrame([], "window string, drift_detected boolean, failure_type string, drifted_features string, "
-                                                   "n_drifted long, n_features long, drift_score double, recommended_action string"))
+               df.sparkSession.createDataFrame([], VERDICT_SCHEMA))
     return retrain_decision(verdict, approval.where(F.col("window").isin(*windows)), quality=gate)
 
 

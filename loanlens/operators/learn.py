@@ -1,9 +1,9 @@
 """Learners, champion choice, scoring with learned models, importances (I3–I8,
 I13, I14, I16, I17, D37).
 
-Training is Spark ML (distributed).  Class weights are a ``weightCol``; the
-reference's early stopping on a validation set maps to
-``validationIndicatorCol``.  Permutation importance pairs every row with one
+Training is Spark ML (distributed).  Class weights are a ``weightCol``; boosted
+trees with patience on the validation AUC are in
+:mod:`loanlens.operators.boosting`.  Permutation importance pairs every row with one
 donor row per repeat (one distributed sort for all repeats), and swaps the
 features one at a time inside the map stage; only counts by (feature, repeat,
 score) are shuffled.
@@ -13,20 +13,20 @@ from __future__ import annotations
 
 import hashlib
 import json
-import math
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loanlens.operators.boosting import BoostedModel, boosting_rows, halving_search
 from loanlens.operators.evaluate import auc, auc_of_counts
 from loanlens.plans.prefix import numbered
-from loanlens.session import shared_table
+from loanlens.session import create_exclusive, shared_table
 
 
 def _q(c: str) -> str:
@@ -57,28 +57,6 @@ def logistic_pipeline(features: Sequence[str], label: str = "default", C: float
                            regParam=reg, elasticNetParam=0.0, standardization=False)])
 
 
-def gbt_pipeline(features: Sequence[str], label: str = "default", max_iter: int = 800, depth: int = 7,
-                 step: float = 0.03, subsample: float = 0.75, feature_fraction: str = "0.75",
-                 min_instances: int = 5, seed: int = 42, tolerance: float = 0.0) -> Pipeline:
-    """I4: boosted trees with row/column subsampling, up to ``max_iter`` rounds.
-
-    Boosting stops at the first round that does not lower the loss on the
-    ``is_val`` rows (by more than ``tolerance`` of it): Spark ML has no
-    patience window.
-    """
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
-        GBTClassifier(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter, maxDepth=depth,
-                      stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_fraction,
-                      minInstancesPerNode=min_instances, validationIndicatorCol="is_val",
-                      validationTol=tolerance, seed=seed)])
-
-
-def second_gbt_pipeline(features: Sequence[str], label: str = "default", max_iter: int = 600, step: float = 0.03) -> Pipeline:
-    """The second boosted learner: fewer and smaller trees (64 leaves at most, 40 rows a leaf)."""
-    return gbt_pipeline(features, label, max_iter, depth=6, step=step, min_instances=40, seed=43)
-
-
 def stratified_split(df: DataFrame, key: str, label: str = "default", share: float = 0.2, seed: int = 42) -> DataFrame:
     """``df`` plus ``part``: the first floor(share * n) rows of each class by
     md5 of the key are ``val``, the others ``train``.
@@ -94,32 +72,26 @@ def stratified_split(df: DataFrame, key: str, label: str = "default", share: flo
 
 
 def parameter_search(train: DataFrame, val: DataFrame, features: Sequence[str], trials: int = 50, seed: int = 42,
-                     label: str = "default", max_iter: int = 500, space: dict | None = None) -> tuple[dict, list[dict]]:
-    """Seeded random search of the boosted learner's parameters by validation AUC.
+                     label: str = "default", max_iter: int = 500, space: dict | None = None, threads: int = 4) -> tuple[dict, list[dict]]:
+    """Seeded search of the boosted learner's eight parameters by validation AUC; the best trial and all trials.
 
-    Returns the best parameters and all trials; each trial is one Spark ML
-    fit.  ``train`` and ``val`` carry ``w``.
+    ``train`` and ``val`` carry ``w``.  Half of the trials go on after an
+    eighth, a quarter and half of ``max_iter`` rounds each (see
+    :func:`loanlens.operators.boosting.halving_search`).
     """
-    import random
-    r = random.Random(seed)
-    space = {"depth": (3, 10), "step": (0.01, 0.3), "subsample": (0.6, 1.0), "feature_fraction": (0.6, 1.0),
-             "min_instances": (1, 10)} | (space or {})
     both = train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
-    found = []
-    for _ in range(trials):
-        p = {"depth": r.randint(*space["depth"]), "step": math.exp(r.uniform(*map(math.log, space["step"]))),
-             "subsample": r.uniform(*space["subsample"]), "feature_fraction": str(round(r.uniform(*space["feature_fraction"]), 4)),
-             "min_instances": r.randint(*space["min_instances"])}
-        model = gbt_pipeline(features, label, max_iter, seed=seed, **p).fit(both)
-        found.append({**p, "auc": auc(score(model, val, keep=(label,)), y=label).first()["auc"]})
+    rungs = sorted({max(1, max_iter // k) for k in (8, 4, 2, 1)})
+    _, found = halving_search(boosting_rows(both, features, label), features, trials=trials, rungs=rungs, threads=threads, seed=seed, space=space)
     return max(found, key=lambda x: x["auc"]), found
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("app_id", "split", "default"),
+def score(model: PipelineModel | BoostedModel, df: DataFrame, keep: Sequence[str] = ("app_id", "split", "default"),
           threshold: float = 0.5, version: str = "model") -> DataFrame:
-    """I8: probability of class 1 (4 dp), decision, threshold and version."""
-    out = model.transform(df)
-    p = F.round(vector_to_array("probability")[1], 4)
+    """I8: probability of class 1 (4 dp), decision, threshold and version, of a fitted pipeline or a boosted model."""
+    if isinstance(model, BoostedModel):
+        out, p = model.with_margin(df, "_margin"), F.round(1 / (1 + F.exp(-F.col("_margin"))), 4)
+    else:
+        out, p = model.transform(df), F.round(vector_to_array("probability")[1], 4)
     return out.select(*keep, p.alias("p"), F.when(p >= threshold, "DENY").otherwise("APPROVE").alias("decision"),
                       F.lit(float(threshold)).alias("threshold_used"), F.lit(version).alias("model_version"))
 
@@ -137,12 +109,9 @@ def compare_models(scored: dict[str, DataFrame], label: str = "default") -> Data
                     (F.row_number().over(best) == 1).alias("is_champion")).orderBy(F.col("val_auc").desc())
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """The tree ensemble's normalised importances as rows (driver-bounded by features)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(list(zip(features, [float(x) for x in imp])), "feature string, importance double")
+def feature_importance(spark: SparkSession, model: BoostedModel) -> DataFrame:
+    """Each feature's share of the boosted trees' split gains, as rows (one per feature)."""
+    return spark.createDataFrame(model.importance(), "feature string, importance double")
 
 
 def with_donors(df: DataFrame, key: str, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
@@ -194,38 +163,54 @@ def pipeline_probability(model: PipelineModel):
 
 
 # ---------------------------------------------------------------- A13, I17
-def save_model(model: PipelineModel, path: str, metadata: dict) -> None:
-    """The fitted pipeline and its metadata document (columns, threshold, metrics) side by side."""
+def save_model(model: PipelineModel | BoostedModel, path: str, metadata: dict) -> None:
+    """The fitted model and its metadata document (kind, columns, threshold, metrics) side by side."""
     spark = SparkSession.getActiveSession()
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model, BoostedModel):
+        model.save(f"{path}/model")
+        metadata = {**metadata, "kind": "boosted"}
+    else:
+        model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "doc string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    return PipelineModel.load(f"{path}/model"), json.loads(spark.read.text(f"{path}/metadata").first()[0])
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel | BoostedModel, dict]:
+    meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    boosted = meta.get("kind") == "boosted"
+    return (BoostedModel.load(spark, f"{path}/model") if boosted else PipelineModel.load(f"{path}/model")), meta
 
 
-REGISTRY_SCHEMA = "model_name string, version int, decision string, new_auc double, old_auc double, path string"
+REGISTRY_SCHEMA = "model_name string, version int, decision string, new_auc double, old_auc double, path string, run_id string"
 
 
-def register_candidate(spark: SparkSession, registry: str, name: str, new_auc: float, path: str) -> str:
-    """I16 + I17: append a candidate to the registry table; it is promoted iff its AUC beats the champion's.
+def register_candidate(spark: SparkSession, registry: str, name: str, new_auc: float, path: str, run_id: str | None = None) -> str:
+    """I16 + I17: put a candidate into the registry; it is promoted iff its AUC beats the champion's.
 
-    Rows are only appended; the champion is the latest promoted version.  The
-    first version meets an AUC of 0.
+    Every version is a file of its own that can be created only once.  A
+    writer whose version number was taken meanwhile reads the registry again,
+    so two writers get two versions and each meets the champion before it.
+    The first version meets an AUC of 0.  A ``run_id`` that is registered
+    already adds nothing and returns its decision.
     """
-    log = read_registry(spark, registry).where(F.col("model_name") == name)
-    old = champion(log).select("new_auc").first()
-    old_auc = old[0] if old else 0.0
-    version = (log.agg(F.max("version")).first()[0] or 0) + 1
-    decision = "promoted" if new_auc > old_auc else "kept_existing"
-    spark.createDataFrame([(name, version, decision, float(new_auc), float(old_auc), path)], REGISTRY_SCHEMA).write.mode("append").parquet(registry)
-    return decision
+    while True:
+        log = read_registry(spark, registry).where(F.col("model_name") == name)
+        known = log.where(F.col("run_id") == run_id).select("decision").first() if run_id is not None else None
+        if known:
+            return known[0]
+        old = champion(log).select("new_auc").first()
+        old_auc = old[0] if old else 0.0
+        version = (log.agg(F.max("version")).first()[0] or 0) + 1
+        decision = "promoted" if new_auc > old_auc else "kept_existing"
+        entry = {"model_name": name, "version": version, "decision": decision, "new_auc": float(new_auc), "old_auc": float(old_auc),
+                 "path": path, "run_id": run_id}
+        if create_exclusive(spark, f"{registry}/{name}-{version:09d}.json", json.dumps(entry) + "\n"):
+            return decision
 
 
 def read_registry(spark: SparkSession, registry: str) -> DataFrame:
+    """All versions; a file that its writer has not filled yet has no row."""
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(registry)
+        return spark.read.schema(REGISTRY_SCHEMA).json(registry).where("version is not null")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

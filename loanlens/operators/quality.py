@@ -107,11 +107,12 @@ def schema_diff(reference_cols: Sequence[str], current_cols: Sequence[str]) -> t
 def quality_gate(current: DataFrame, reference_cols: Sequence[str], by: str = "split",
                  reference: str = "train", multiplier: float = SCALE_MULTIPLIER,
                  max_null_rate: float = MAX_NULL_RATE, max_dup_rate: float = MAX_DUPLICATE_RATE,
-                 reference_frame: DataFrame | None = None) -> DataFrame:
+                 reference_frame: DataFrame | None = None, reference_ranges: DataFrame | None = None) -> DataFrame:
     """J1 for every window at once: schema → scale → nulls → duplicates.
 
     ``current`` holds all windows (``by`` column) including the reference
-    window unless ``reference_frame`` supplies it.  Missing columns and scale
+    window unless ``reference_frame`` supplies it, or ``reference_ranges``
+    (feature, n, n_null, min, max) of a stored profile.  Missing columns and scale
     anomalies are critical; high NULL share is a warning; excess duplicates
     are a warning that never makes a ``pipeline_bug``.
     """
@@ -120,6 +121,8 @@ def quality_gate(current: DataFrame, reference_cols: Sequence[str], by: str = "s
     quoted = [F.col(f"`{c}`") for c in shared]
     base = current if reference_frame is None else current.unionByName(reference_frame, allowMissingColumns=True)
     prof = profile(base.select(by, *quoted), shared, by)
+    if reference_ranges is not None:
+        prof = prof.unionByName(reference_ranges.where(F.col("feature").isin(*shared)).withColumn("window", F.lit(reference)))
     rng = range_check(prof, reference, multiplier).where("anomalous").select("window", "feature")
     nul = null_rates(prof, max_null_rate).where("flagged").select("window", "feature")
     dup = duplicate_share(current.select(by, *quoted), shared, by, max_dup_rate)

@@ -1098,12 +1098,18 @@ def request_rate_accepted(spark, sf_dir):
 
 # ------------------------------------------------------------------ step 8: learners
 import uuid as _uuid  # noqa: E402
+from dataclasses import replace  # noqa: E402
+from loanlens.operators import boosting as bo  # noqa: E402
 from loanlens.operators import learn as ml  # noqa: E402
 from loanlens.session import scratch_path, shared_table  # noqa: E402
 
 _MODELS: dict[tuple, object] = {}
 
 
+#: The driver labels carry no signal: few rounds and little patience, all else as by default.
+_BOOSTED = {k: replace(p, max_rounds=12, patience=4, block=6) for k, p in (("gbt", bo.BoostParams()), ("gbt2", bo.SECOND))}
+
+
 def _train_frame(spark, sf_dir, splits=("train",)):
     model = fitted_prep(spark, sf_dir)
     df = prepared(spark, sf_dir, model).where(F.col("split").isin(*splits))
@@ -1119,8 +1125,8 @@ def _learned(spark, sf_dir, kind: str, splits=("train",)):
         # Prepared once in the shared folder: fitting passes over it many times.
         df = shared_table(df.select("split", "default", *[F.col(f"`{c}`") for c in feats]), "train-rows")
         if boosted:
-            make = {"gbt": ml.gbt_pipeline, "gbt2": ml.second_gbt_pipeline}[kind]
-            _MODELS[key] = make(feats).fit(ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val"))
+            rows = ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val")
+            _MODELS[key] = bo.boost(rows, feats, _BOOSTED[kind])
         else:       # balanced weights sum to the row count
             _MODELS[key] = ml.logistic_pipeline(feats, weight_sum=df.count()).fit(ml.class_weights(df, mode="balanced"))
     return _MODELS[key]
@@ -1138,6 +1144,24 @@ def model_compare(spark, sf_dir):
     return ml.compare_models({k: ml.score(_learned(spark, sf_dir, k), val) for k in ("logistic", "gbt", "gbt2")})
 
 
+@register("boosting_rounds")
+def boosting_rounds(spark, sf_dir):
+    """I4 + I5: validation AUC of every boosting round, also of those after the best one, which the model leaves out."""
+    rows = [(k, i + 1, a, i < len(m.trees)) for k in ("gbt", "gbt2") for m in [_learned(spark, sf_dir, k)] for i, a in enumerate(m.history)]
+    return spark.createDataFrame(rows, "model string, round int, val_auc double, kept boolean")
+
+
+@register("search_trials")
+def search_trials(spark, sf_dir):
+    """Four trials side by side; the better two go on after two rounds."""
+    prep, df = _train_frame(spark, sf_dir, ("train", "val"))
+    feats = prep.feature_columns
+    df = ml.class_weights(df.select("split", "default", *[F.col(f"`{c}`") for c in feats]), mode="ratio").withColumn("is_val", F.col("split") == "val")
+    _, found = bo.halving_search(bo.boosting_rows(df, feats), feats, trials=4, rungs=(2, 4), space={"depth": (2, 4)})
+    return spark.createDataFrame([(i, *[float(t[c]) for c in bo.SPACE], t["auc"], t["rounds"]) for i, t in enumerate(found)],
+                                 "trial int, " + ", ".join(f"{c} double" for c in bo.SPACE) + ", val_auc double, rounds int")
+
+
 @register("learned_scores")
 def learned_scores(spark, sf_dir):
     """I8 with a learned model: probability (4 dp), decision, threshold, version on the test split."""
@@ -1148,7 +1172,7 @@ def learned_scores(spark, sf_dir):
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """Boosted-tree feature importances as rows."""
-    return ml.feature_importance(_learned(spark, sf_dir, "gbt"), fitted_prep(spark, sf_dir).feature_columns)
+    return ml.feature_importance(spark, _learned(spark, sf_dir, "gbt"))
 
 
 @register("perm_importance")

@@ -25,6 +25,7 @@ def get_spark(master: str | None = None, app: str = "loanlens",
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.scheduler.mode", "FAIR")      # one pool unless a caller names others
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -76,3 +77,38 @@ def shared_table(df: DataFrame, tag: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint root for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "loanlens", name)
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it is there; false if it is.  Of several writers exactly one gets true.
+
+    Local and mounted folders: a finished file is linked to its name, which
+    fails if the name is taken.  Other stores: the file system's own create
+    without overwrite, which Spark's Python API does not offer, so this branch
+    goes through the driver's JVM and needs a classic session.
+    """
+    scheme, _, rest = path.partition("://") if "://" in path else ("file", "", path.removeprefix("file:"))
+    if scheme == "file":
+        os.makedirs(os.path.dirname(rest), exist_ok=True)
+        part = f"{os.path.dirname(rest)}/_{uuid.uuid4().hex}"
+        with open(part, "w") as f:
+            f.write(text)
+        try:
+            os.link(part, rest)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(part)
+    from py4j.protocol import Py4JJavaError
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = store.create(name, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True

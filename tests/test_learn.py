@@ -2,10 +2,16 @@
 
 import hashlib
 import json
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from loanlens.operators import boosting as bo
+
 from loanlens.operators import evaluate as ev
 from loanlens.operators import explore as xe
 from loanlens.operators import learn as ml
@@ -22,37 +28,88 @@ def planted(spark):
 FEATS = ["x_a", "x_b", "x_c"]
 
 
+SMALL = bo.BoostParams(max_rounds=6, depth=3, step=0.3, min_gain=0.0, leaf_l1=0.0, block=4)
+
+
+def flagged(df):
+    return ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val")
+
+
 def test_learners_find_the_signal(spark, planted, tmp_path):
     train, val = planted.where("split = 'train'"), planted.where("split = 'val'")
     lr = ml.logistic_pipeline(FEATS, weight_sum=train.count()).fit(ml.class_weights(train))
-    both = ml.class_weights(planted, mode="ratio").withColumn("is_val", F.col("split") == "val")
-    gbt = ml.gbt_pipeline(FEATS, max_iter=8, step=0.3).fit(both)
-    second = ml.second_gbt_pipeline(FEATS, max_iter=8, step=0.3).fit(both)
+    gbt = bo.boost(flagged(planted), FEATS, SMALL)
+    second = bo.boost(flagged(planted), FEATS, replace(SMALL, min_instances=40, max_leaves=5))
+    assert all(len(t.leaves()) <= 5 for t in second.trees) and any(len(t.leaves()) > 5 for t in gbt.trees)
+    assert min(c for t in second.trees for c in t.cover) >= 40
     table = ml.compare_models({"logistic": ml.score(lr, val), "gbt": ml.score(gbt, val), "gbt2": ml.score(second, val)}).collect()
     assert all(r["val_auc"] > 0.9 for r in table) and sum(r["is_champion"] for r in table) == 1
-    imp = {r["feature"]: r["importance"] for r in ml.feature_importance(gbt, FEATS).collect()}
-    assert imp["x_a"] > imp["x_b"] > imp["x_c"]
-    path = str(tmp_path / "model")
-    ml.save_model(lr, path, {"columns": FEATS, "threshold": 0.5})
-    again, meta = ml.load_model(spark, path)
-    assert meta == {"columns": FEATS, "threshold": 0.5} and ml.score(again, val).exceptAll(ml.score(lr, val)).count() == 0
-
-
-def test_reference_settings_are_the_defaults():
-    g = ml.gbt_pipeline(FEATS).getStages()[-1]
-    assert (g.getMaxIter(), g.getMaxDepth(), g.getStepSize(), g.getSubsamplingRate()) == (800, 7, 0.03, 0.75)
-    g = ml.second_gbt_pipeline(FEATS).getStages()[-1]
-    assert (g.getMaxIter(), g.getStepSize(), g.getMinInstancesPerNode()) == (600, 0.03, 40)
+    imp = {r["feature"]: r["importance"] for r in ml.feature_importance(spark, gbt).collect()}
+    assert imp["x_a"] > imp["x_b"] > imp["x_c"] and sum(imp.values()) == pytest.approx(1)
+    for kind, model in (("lr", lr), ("gbt", gbt)):
+        path = str(tmp_path / kind)
+        ml.save_model(model, path, {"columns": FEATS, "threshold": 0.5})
+        again, meta = ml.load_model(spark, path)
+        assert meta["columns"] == FEATS and ml.score(again, val).exceptAll(ml.score(model, val)).count() == 0
+
+
+def test_reference_settings_are_the_defaults(spark):
+    p = bo.BoostParams()
+    assert (p.max_rounds, p.depth, p.step, p.subsample, p.feature_fraction, p.patience) == (800, 7, 0.03, 0.75, 0.75, 40)
+    assert (p.min_child_weight, p.min_gain, p.leaf_l1, p.leaf_l2) == (5, 0.1, 0.1, 1)
+    assert (bo.SECOND.max_rounds, bo.SECOND.step, bo.SECOND.min_instances, bo.SECOND.max_leaves) == (600, 0.03, 40, 63)
     assert ml.logistic_pipeline(FEATS).getStages()[-1].getMaxIter() == 2000
 
 
-def test_search_is_seeded(planted):
+def test_margins_of_the_model_are_those_of_the_fit(planted):
+    b = bo.Booster(bo.boosting_rows(flagged(planted), FEATS), FEATS, replace(SMALL, min_gain=2.0, leaf_l1=0.5)).advance(6)
+    m = replace(b.model(), trees=tuple(b.trees))
+    rows = b.state.select("_m", vector_to_array("_x").alias("x")).collect()
+    assert m.margins(np.array([r["x"] for r in rows])) == pytest.approx(np.array([r["_m"] for r in rows]), abs=1e-9)
+    assert m.with_margin(planted.limit(0)).count() == 0
+
+
+def test_patience_beats_the_first_round_without_gain(spark):
+    u = lambda s: F.conv(F.substring(F.md5(F.concat("id", F.lit(s))), 1, 8), 16, 10).cast("double") / (1 << 32)     # noqa: E731
+    df = spark.range(4000).select(*[u(c).alias(f"x{c}") for c in "abcdef"], u("y").alias("n"), "id")
+    odd = ((F.col("xa") > 0.5).cast("int") + (F.col("xb") > 0.5).cast("int")) % 2 == 0           # no feature tells anything alone
+    df = df.withColumn("default", (F.col("n") < F.when(odd, 0.8).otherwise(0.2)).cast("int"))
+    df = ml.class_weights(df.withColumn("split", F.when(F.col("id") % 2 == 0, "val").otherwise("train"))).withColumn("is_val", F.col("split") == "val")
+    params = bo.BoostParams(max_rounds=30, depth=2, step=0.3, feature_fraction=0.5, patience=10, block=10)
+    m = bo.boost(df, [f"x{c}" for c in "abcdef"], params)
+    first = next(i for i in range(1, len(m.history)) if m.history[i] <= m.history[i - 1])
+    best = max(range(len(m.history)), key=lambda i: m.history[i])
+    assert len(m.trees) == best + 1 > first and m.history[best] > m.history[first - 1] + 0.02
+    assert len(m.history) == min(30, best + 1 + 10)
+
+
+def test_boosting_without_validation_keeps_all_rounds(planted):
+    rows = flagged(planted.where("split = 'train'"))
+    assert len(bo.boost(rows, FEATS, replace(SMALL, max_rounds=2)).trees) == 2
+
+
+def test_a_tree_by_hand():
+    debug = "Tree: x\n  If (feature 0 <= 0.5)\n   If (feature 1 <= 2.0)\n    Predict: 0\n   Else (feature 1 > 2.0)\n    Predict: 0\n  Else (feature 0 > 0.5)\n   Predict: 0\n"
+    p = bo.BoostParams(leaf_l1=1.0, leaf_l2=1.0, min_gain=0.0)
+    sums = {0: (4.0, 2.0, 5), 1: (3.0, 1.0, 3), 2: (-6.0, 4.0, 9)}
+    t, values = bo.build_tree(debug, [3, 5], sums, replace(p, min_gain=-9.0))
+    assert t.feature == (3, 5, -1, -1, -1) and values == [1.0, 1.0, -1.0] and t.cover == (17, 8, 5, 3, 9)
+    assert t.gain[1] == pytest.approx((9 / 3 + 4 / 2 - 36 / 4) / 2) and t.gain[1] < 0
+    t, values = bo.build_tree(debug, [3, 5], sums, p)
+    assert values == [6 / 4, 6 / 4, -1.0] and t.left == (1, -1, -1)             # the split that gains less is gone
+    t, values = bo.build_tree(debug, [3, 5], sums, replace(p, min_gain=-9.0, max_leaves=1))
+    assert t.left == (-1,) and values == [0.0] * 3
+
+
+def test_search_is_seeded_and_halves(planted):
     w = ml.class_weights(planted, mode="ratio")
     args = (w.where("split = 'train'"), w.where("split = 'val'"), FEATS)
-    small = {"depth": (2, 3), "step": (0.1, 0.3)}
-    best, found = ml.parameter_search(*args, trials=2, max_iter=3, space=small)
-    assert len(found) == 2 and best["auc"] == max(f["auc"] for f in found)
-    assert [f["depth"] for f in ml.parameter_search(*args, trials=2, max_iter=1, space=small)[1]] == [f["depth"] for f in found]
+    small = {"depth": (2, 3), "step": (0.1, 0.3), "min_gain": (0.0, 1.0)}
+    best, found = ml.parameter_search(*args, trials=4, max_iter=4, space=small)
+    assert len(found) == 4 and best["auc"] == max(f["auc"] for f in found) and set(bo.SPACE) <= set(best)
+    assert sorted(f["rounds"] for f in found) == [1, 1, 2, 4]                    # half stop at each rung
+    again = ml.parameter_search(*args, trials=4, max_iter=4, space=small, threads=1)[1]
+    assert [f["depth"] for f in again] == [f["depth"] for f in found] and [f["auc"] for f in again] == pytest.approx([f["auc"] for f in found])
 
 
 def test_permutation_importance_meets_brute_force(planted):
@@ -97,6 +154,21 @@ def test_registry_promotes_only_better(spark, tmp_path):
     assert (top["version"], top["new_auc"], top["path"]) == (3, 0.75, "v2") and log.count() == 4
 
 
+def test_two_writers_get_two_versions(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda i: ml.register_candidate(spark, path, "m", 0.5 + i / 100, f"v{i}", f"run{i}"), range(8)))
+    log = ml.read_registry(spark, path).orderBy("version").collect()
+    assert [r["version"] for r in log] == list(range(1, 9)) and sum(d == "promoted" for d in made) == sum(r["decision"] == "promoted" for r in log)
+    best = 0.0
+    for r in log:                                                               # every version met the champion before it
+        assert r["old_auc"] == best and r["decision"] == ("promoted" if r["new_auc"] > best else "kept_existing")
+        best = max(best, r["new_auc"])
+    assert ml.champion(ml.read_registry(spark, path)).first()["new_auc"] == pytest.approx(0.57)
+    assert ml.register_candidate(spark, path, "m", 0.99, "again", "run3") == next(r["decision"] for r in log if r["run_id"] == "run3")
+    assert ml.read_registry(spark, path).count() == 8
+
+
 def test_stratified_split(planted):
     out = ml.stratified_split(planted.where("split = 'train'"), "app_id").groupBy("default").pivot("part").count().collect()
     assert all(r["val"] == (r["val"] + r["train"]) // 5 for r in out)
