@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions.columns import round_ratio
+from loanlens.functions.stats import f_upper_udf
 from loanlens.operators.clean import listwise_drop
 from loanlens.plans.prefix import exact_quantiles, numbered, prefix_sums
 from loanlens.session import shared_table
@@ -137,14 +138,13 @@ def leakage_report(df: DataFrame, target: str = "default", threshold: float | No
     return rows
 
 
-def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
-    """One-way ANOVA F per numeric feature after a list-wise NULL drop,
-    from per-class n, Σx, Σx² (one aggregate)."""
+def _anova(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """(feature, f, df2) from per-class n, Σx, Σx² after a list-wise NULL drop (one aggregate)."""
     d = listwise_drop(df, [*cols, target])
     aggs = [F.count_if(F.col(target) == k).alias(f"_n{k}") for k in (0, 1)]
     for i, c in enumerate(cols):
         for k in (0, 1):
-            x = F.when(F.col(target) == k, F.col(c).cast("double"))
+            x = F.when(F.col(target) == k, F.col(f"`{c}`").cast("double"))
             aggs += [F.sum(x).alias(f"_s{i}_{k}"), F.sum(x * x).alias(f"_q{i}_{k}")]
     r = d.agg(*aggs)
     items = []
@@ -157,25 +157,18 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default") -> Data
         ssw = (q0 - s0 * s0 / n0) + (q1 - s1 * s1 / n1)
         fstat = F.when(ssw > 0, (ssb / F.lit(1.0)) / (ssw / (n - 2)))
         items.append(F.struct(F.lit(c).alias("feature"), fstat.alias("f"), (n - 2).alias("df2")))
-    long = r.select(F.explode(F.array(*items)).alias("s")).select("s.*")
-    return long.select("feature", F.round("f", 6).alias("anova_f"))
+    return r.select(F.explode(F.array(*items)).alias("s")).select("s.*")
 
 
-def anova_test(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
-    """D20 with p values: Spark ML's one-way ANOVA after a list-wise NULL drop.
+def anova_f(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
+    """One-way ANOVA F per numeric feature."""
+    return _anova(df, cols, target).select("feature", F.round("f", 6).alias("anova_f"))
 
-    ``org.apache.spark.ml.stat.ANOVATest`` has no Python wrapper, so it is
-    called through the session's JVM gateway.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    named = {f"f{i}": c for i, c in enumerate(cols)}
-    d = listwise_drop(df, [*cols, target]).select(F.col(target).cast("double").alias("label"),
-                                                  *[F.col(f"`{c}`").cast("double").alias(k) for k, c in named.items()])
-    v = VectorAssembler(inputCols=list(named), outputCol="v").transform(d)
-    spark = df.sparkSession
-    r = DataFrame(spark._jvm.org.apache.spark.ml.stat.ANOVATest.test(v._jdf, "v", "label", True), spark)
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("featureIndex") + 1)
-    return r.select(names.alias("feature"), F.round("fValue", 6).alias("anova_f"), F.col("pValue").alias("anova_p"))
+
+def anova_test(df: DataFrame, cols: Sequence[str], target: str = "default") -> DataFrame:
+    """D20 with p values: the upper tail of F with (1, n - 2) degrees of freedom, on the result rows."""
+    r = _anova(df, cols, target)
+    return r.select("feature", F.round("f", 6).alias("anova_f"), f_upper_udf(F.col("f"), F.lit(1.0), F.col("df2").cast("double")).alias("anova_p"))
 
 
 def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -183,17 +176,21 @@ def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     an intercept, after a list-wise NULL drop.
 
     One aggregate gives the matrix of cross products (columns² numbers); the
-    factor is its diagonal times the diagonal of its inverse.  Singular
-    matrices give NULL for all columns.
+    factor is 1 / (1 - R²) of the column on the others.  A column that the
+    others give exactly has an infinite factor, a column of zeros none.
     """
     import numpy as np
     k, v = len(cols), [F.col(f"`{c}`").cast("double") for c in cols]
     row = listwise_drop(df, list(cols)).agg(*[F.sum(v[i] * v[j]).alias(f"_{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     gram = np.array([[row[f"_{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)], float)
     scale = np.sqrt(np.diag(gram))
-    ok = (scale > 0).all() and np.linalg.matrix_rank(gram / np.outer(scale, scale)) == k
-    vif = np.diag(np.linalg.inv(gram / np.outer(scale, scale))) if ok else [None] * k
-    return df.sparkSession.createDataFrame([(c, None if x is None else float(x)) for c, x in zip(cols, vif)], "feature string, vif double")
+    unit = gram / np.outer(np.where(scale > 0, scale, 1), np.where(scale > 0, scale, 1))
+    rows = []
+    for i, c in enumerate(cols):
+        others = [j for j in range(k) if j != i]
+        left = 1 - unit[i, others] @ np.linalg.pinv(unit[np.ix_(others, others)], rcond=1e-12, hermitian=True) @ unit[others, i]
+        rows.append((c, None if not scale[i] else float(1 / left) if left > 1e-10 else float("inf")))
+    return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
 
 def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:

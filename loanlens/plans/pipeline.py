@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loanlens.operators.clean import DRIVER_SPLITS, SplitSpec, clean, temporal_split
 from loanlens.operators.prep import LoanPrep, LoanPrepModel
 from loanlens.operators.scoring import CHAMPION, CHALLENGER, Card
-from loanlens.sources.tables import staged_loan_applications
+from loanlens.sources.tables import input_key, staged_loan_applications
 
 CHAMPION_THRESHOLD = 0.47
 CHALLENGER_THRESHOLD = 0.45
@@ -31,7 +31,7 @@ _FITTED: dict[tuple, LoanPrepModel] = {}
 def fitted_prep(spark: SparkSession, sf_dir: str) -> LoanPrepModel:
     """I1 on the train split, fitted once per session and input (the fitted
     parameter document is passed along instead of refitting per query)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _FITTED:
         train = resolved_loans(spark, sf_dir).where(F.col("split") == "train")
         _FITTED[key] = LoanPrep().fit(train)

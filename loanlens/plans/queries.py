@@ -128,7 +128,7 @@ def prep_features(spark, sf_dir):
 
 
 @register("prep_checks", O.with_ctes(f"""
-select cast(0 as bigint) as total_nulls, max(annual_inc_capped) as max_annual_inc_capped,
+select cast({" + ".join(f"count(*) - count({c})" for c in _FIXED_FEATURES)} as bigint) as total_nulls, max(annual_inc_capped) as max_annual_inc_capped,
  max(revol_bal_capped) as max_revol_bal_capped, max(revol_util_capped) as max_revol_util_capped,
  max(dti_capped) as max_dti_capped, cast(26 + (select count(*) from cats) as bigint) as feature_count,
  cast(count(*) as bigint) as n from prepared""", "prepared", "cats"))
@@ -1088,12 +1088,59 @@ r as (select event_id, user_id, rn, 'accepted' as status, [us] as acc from o whe
  from r join o on o.user_id = r.user_id and o.rn = r.rn + 1)
 select event_id, user_id, status from r""")
 def request_rate_accepted(spark, sf_dir):
-    """ST3 stateful form: at most 3 accepted events per client in the trailing
-    day; rejected events are not counted; late events have a status of their own."""
+    """ST3 in the state store: at most 3 accepted events per client in the
+    trailing day; rejected events are not counted.  The requests come as files
+    in the order of time, a micro-batch each, so later batches meet the state
+    of earlier ones."""
+    path, schema = _request_files(spark, sf_dir)
+    stream = sj.file_stream(spark, path, "*.parquet", schema, max_files=1)
+    with sj.rocks_state(spark):
+        return sj.run_available_now(sj.rate_limit_stream(stream, _RATE_LIMIT, _RATE_WIDTH), "rate-limit")
+
+
+def _request_files(spark, sf_dir, files: int = 4):
+    """The event table as ``files`` files that follow each other in time."""
     from loanlens.sources.tables import read_table
-    schema = read_table(spark, sf_dir, "events").schema
-    stream = sj.file_stream(spark, sf_dir, "events.parquet", schema)
-    return sj.rate_limit_job(stream, _RATE_LIMIT, _RATE_WIDTH).select("event_id", "user_id", "status")
+    ev = read_table(spark, sf_dir, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = ev.agg(F.min(us), F.max(us)).first()
+    path = scratch_path(spark, f"requests-{_uuid.uuid4().hex}")
+    place = F.least(F.floor((us - low) * files / (high - low + 1)), F.lit(files - 1))
+    for i in range(files):
+        ev.where(place == i).coalesce(1).write.mode("append").parquet(path)
+    return path, ev.schema
+
+
+_CHECK_FIELDS = NUMERIC_FEATURES
+_BATCH_SQL = O.with_ctes("""select w.split as "window", any_value(w.n) as n,
+ case when count_if(scale) > 0 then 'critical' when count_if(empty) > 0 then 'warning' else 'ok' end as status,
+ coalesce(string_agg(case when scale or empty then w.feature end, ',' order by w.feature), '') as fields
+from (select c.*, c.r > t.r * 10 and t.r <> 0 as scale, c.z / c.n > 0.4 as empty from rg c join rg t on t.split = 'train' and t.feature = c.feature
+  where c.split <> 'train') w group by w.split""", "apps", extra={
+    "raw": """select a.*, case when y in (1995, 1996, 1997) then 'train' when y = 1998 then 'val' when y = 1999 then 'test' when y = 2000 then 'drift_2000'
+      else 'extra_2001' end as split from (select *, year(try_strptime(issue_d, '%b-%Y')) as y from apps) a where y between 1995 and 2001""",
+    "rg": " union all ".join(f"select split, '{c}' as feature, count(*) as n, count(*) - count({c}) as z, max({v}) - min({v}) as r from raw group by split"
+                             for c in _CHECK_FIELDS for v in [f"case when split = 'test' then {c} * 1000 else {c} end" if c == "loan_amnt" else c])})
+
+
+@register("stream_batch_checks", _BATCH_SQL)
+def stream_batch_checks(spark, sf_dir):
+    """ST1 + J1: raw loans of one window a micro-batch, one window in the wrong
+    unit; every batch is scored and judged in one read of its rows."""
+    from loanlens.sources.tables import staged_loan_applications
+    raw = staged_loan_applications(spark, sf_dir).withColumn("_y", F.substring("issue_d", 5, 4).cast("int"))
+    folder = scratch_path(spark, f"loan-batches-{_uuid.uuid4().hex}")
+    years = DRIVER_SPLITS.labelled_years()
+    for label, ys in years:
+        if label != "train":
+            amount = F.col("loan_amnt") * (1000.0 if label == "test" else 1.0)
+            raw.where(F.col("_y").isin(*ys)).withColumn("loan_amnt", amount).drop("_y").coalesce(1).write.mode("append").parquet(folder)
+    train = qa.profile(raw.where(F.col("_y").isin(*dict(years)["train"])).withColumn("split", F.lit("train")), _CHECK_FIELDS)
+    ranges = {r["feature"]: r["max"] - r["min"] for r in train.where("min is not null").collect()}          # a row per field
+    stream = sj.file_stream(spark, folder, "*.parquet", raw.drop("_y").schema, max_files=1)
+    marks = sj.scoring_job(stream, fitted_prep(spark, sf_dir), scratch_path(spark, f"scoring-{_uuid.uuid4().hex}"), _CHECK_FIELDS, ranges)
+    label = F.element_at(F.array(*[F.lit(w) for w in _WINDOWS]), (F.col("batch") + 1).cast("int"))
+    return marks.select(label.alias("window"), "n", "status", "fields")
 
 
 # ------------------------------------------------------------------ step 8: learners
@@ -1108,6 +1155,7 @@ _MODELS: dict[tuple, object] = {}
 
 #: The driver labels carry no signal: few rounds and little patience, all else as by default.
 _BOOSTED = {k: replace(p, max_rounds=12, patience=4, block=6) for k, p in (("gbt", bo.BoostParams()), ("gbt2", bo.SECOND))}
+_BOOSTED["gbt_small"] = bo.BoostParams(max_rounds=6, depth=3, step=0.3, min_gain=0.0, block=6)           # without validation rows: all six trees
 
 
 def _train_frame(spark, sf_dir, splits=("train",)):
@@ -1117,10 +1165,11 @@ def _train_frame(spark, sf_dir, splits=("train",)):
 
 
 def _learned(spark, sf_dir, kind: str, splits=("train",)):
-    key = (spark.sparkContext.applicationId, sf_dir, kind, splits)
+    from loanlens.sources.tables import input_key
+    key = (*input_key(spark, sf_dir), kind, splits)
     if key not in _MODELS:
         boosted = kind != "logistic"
-        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if boosted else ()))
+        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if kind in ("gbt", "gbt2") else ()))
         feats = prep.feature_columns
         # Prepared once in the shared folder: fitting passes over it many times.
         df = shared_table(df.select("split", "default", *[F.col(f"`{c}`") for c in feats]), "train-rows")
@@ -1201,6 +1250,7 @@ def retrain_compare(spark, sf_dir):
 
 # ------------------------------------------------------------------ step 10: attribution
 from loanlens.operators import attribution as at  # noqa: E402
+from loanlens.operators import tree_attribution as ta  # noqa: E402
 from loanlens.operators.scoring import CHAMPION  # noqa: E402
 
 
@@ -1247,6 +1297,29 @@ def attribution_local(spark, sf_dir):
     return at.local_attribution(test.where(F.col("app_id") == first), CHAMPION, prep.where(F.col("split") == "train"))
 
 
+@register("attribution_trees")
+def attribution_trees(spark, sf_dir):
+    """I11 + I9 + F3: exact attribution of boosted trees over all test rows, mean absolute part per feature."""
+    return ta.global_tree_attribution(_split_rows(spark, sf_dir, "test"), _learned(spark, sf_dir, "gbt_small"))
+
+
+@register("attribution_trees_drift")
+def attribution_trees_drift(spark, sf_dir):
+    """I12 for trees: mean absolute parts of two windows and their change."""
+    rows = prepared(spark, sf_dir, fitted_prep(spark, sf_dir))
+    return ta.tree_attribution_drift(rows, _learned(spark, sf_dir, "gbt_small"), "split", "val", "test")
+
+
+@register("attribution_trees_sum")
+def attribution_trees_sum(spark, sf_dir):
+    """I10 + I11: of every test row the base value, the sum of its parts and the model's margin."""
+    model, rows = _learned(spark, sf_dir, "gbt_small"), _split_rows(spark, sf_dir, "test")
+    parts = ta.tree_attribution(rows, model).groupBy("app_id").agg(F.sum("phi").alias("parts"))
+    margins = model.with_margin(rows.select("app_id", *[F.col(f"`{c}`") for c in model.features])).select("app_id", "margin")
+    return margins.join(parts, "app_id", "left").select(
+        "app_id", F.lit(ta.base_value(model)).alias("base_value"), F.coalesce("parts", F.lit(0.0)).alias("parts"), "margin")
+
+
 # ------------------------------------------------------------------ sources / sinks round trips
 from loanlens.sources import loans as io  # noqa: E402
 from loanlens.session import scratch_path  # noqa: E402
@@ -1300,18 +1373,22 @@ def loan_file_train(spark, sf_dir):
     return df.select(*[F.date_format("issue_d", "MMM-yyyy").alias("issue_d") if c == "issue_d" else c for c in io.RAW_LOAN_SCHEMA.fieldNames()])
 
 
-@register("dropped_columns", O.with_ctes("select app_id, 'default' as kept, 'issue_d' as date_kept, 0 as dropped_left from resolved", "resolved"))
+_KEPT = ["app_id", "loan_status", *NUMERIC_FEATURES, "sub_grade", "term", "emp_length", "home_ownership", "verification_status", "purpose",
+         "default", "issue_d", "issue_year", "split"]
+
+
+@register("dropped_columns", O.with_ctes(" union all ".join(
+    f"select '{c}' as column_name, count(\"{c}\") as n_present from resolved" for c in _KEPT), "resolved"))
 def dropped_columns(spark, sf_dir):
-    """B4 + B5: leakage and redundant columns leave the wide table, all others stay."""
+    """B4 + B5: leakage and redundant columns leave the wide table; every column that is left, with its values counted."""
     from loanlens.operators.clean import LEAKAGE_COLUMNS, REDUNDANT_COLUMNS, clean
     from loanlens.sources.tables import staged_loan_applications
     raw = staged_loan_applications(spark, sf_dir)
     more = [c for c in [*LEAKAGE_COLUMNS, *REDUNDANT_COLUMNS, "hardship_flag", "settlement_date"] if c not in raw.columns]
     out = temporal_split(clean(raw.select("*", *[F.lit(1).alias(c) for c in more])), DRIVER_SPLITS)
-    left = [c for c in out.columns if c in more]
-    names = {c: c in out.columns for c in ("default", "issue_d")}
-    return out.select("app_id", F.lit("default" if names["default"] else None).alias("kept"),
-                      F.lit("issue_d" if names["issue_d"] else None).alias("date_kept"), F.lit(len(left)).alias("dropped_left"))
+    counts = out.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(out.columns)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_present"))
+                                             for i, c in enumerate(out.columns)])).alias("s")).select("s.*")
 
 
 @register("ab_log_roundtrip", O.with_ctes(f"""

@@ -6,22 +6,25 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from loanlens.functions.columns import round_ratio
+
 from loanlens.operators import clean as cl
 from loanlens.operators import drift as dr
 from loanlens.operators import evaluate as ev
 from loanlens.operators import explore as xe
 from loanlens.operators import learn as ml
+from loanlens.operators import profile as pr
 from loanlens.operators import quality as qa
 from loanlens.operators.prep import NUMERIC_FEATURES, RAW_FIELDS
 from loanlens.operators.scoring import CHAMPION, ScorecardModel
 from loanlens.plans import oracle as O
-from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored_both
+from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored, scored_both
 from loanlens.plans.queries import (
-    _ANOVA_COLS, _FS_EXTRA, _MONITOR_BODY, _MONITOR_EXTRA, _WINDOWS, _approval, _binary, _faulty, _fs, register,
+    _ANOVA_COLS, _FIXED_FEATURES, _FS_EXTRA, _MONITOR_BODY, _MONITOR_EXTRA, _WINDOWS, _binary, _faulty, _fs, _learned, register,
 )
 from loanlens.session import scratch_path
 from loanlens.sources import loans as io
-from loanlens.sources.tables import staged_loan_applications
+from loanlens.sources.tables import input_key, staged_loan_applications
 from loanlens.streaming import jobs as sj
 
 
@@ -87,7 +90,7 @@ def standard_scores(spark, sf_dir):
 # ------------------------------------------------------------------ tests and redundancy
 @register("anova_p")
 def anova_p(spark, sf_dir):
-    """D20 with p values (Spark ML's ANOVA; F equals ``anova_f``)."""
+    """D20 with p values."""
     return xe.anova_test(_fs(spark, sf_dir), _ANOVA_COLS)
 
 
@@ -160,14 +163,18 @@ def application_document(spark, sf_dir):
     return prep.select(CHAMPION.probability().alias("p"))
 
 
-@register("prep_document", O.with_ctes("select 'kept' as state, count(*) as n from prepared", "prepared"))
+@register("prep_document", O.with_ctes(" union all ".join(
+    f"select '{c}' as feature, round(avg({c}), 6) as mean, min({c})::double as low, max({c})::double as high from prepared" for c in _FIXED_FEATURES), "prepared"))
 def prep_document(spark, sf_dir):
-    """A8 + B10: the parameter document written, amended, reloaded and applied; width is checked on load."""
+    """A8 + B10: the parameter document written, amended, reloaded and applied
+    (width is checked on load); mean and range of every feature it makes."""
     from loanlens.operators.prep import LoanPrepModel
     path = scratch_path(spark, f"prep-{uuid.uuid4().hex}")
     fitted_prep(spark, sf_dir).amend(final_shapes={"written": True}).save(spark, path)
     out = LoanPrepModel.load(spark, path).transform(resolved_loans(spark, sf_dir))
-    return out.groupBy(F.lit("kept").alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    made = out.agg(*[x for i, c in enumerate(_FIXED_FEATURES) for x in (F.avg(c).alias(f"m{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"))])
+    return made.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.round(f"m{i}", 6).alias("mean"), F.col(f"l{i}").alias("low"),
+                                                    F.col(f"h{i}").alias("high")) for i, c in enumerate(_FIXED_FEATURES)])).alias("s")).select("s.*")
 
 
 @register("evidence_file", O.with_ctes("select round(corr(int_rate, \"default\"), 6) as correlation, 'int_rate' as feature from resolved", "resolved"))
@@ -178,12 +185,22 @@ def evidence_file(spark, sf_dir):
     return spark.read.option("header", True).schema("feature string, correlation double").csv(path)
 
 
-@register("schema_report", "select * from (values ('gone', 'missing'), ('surplus', 'extra')) t(name, state)")
+@register("schema_report", O.with_ctes("""select split as "window", case when split = 'val' then 'dti' else '' end as missing,
+ case when split = 'val' then 'surplus' else '' end as extra, count(*) as n from resolved group by split""", "resolved"))
 def schema_report(spark, sf_dir):
-    """Columns that a loan table lacks or has beyond the expected list."""
-    df = resolved_loans(spark, sf_dir).select("app_id", *NUMERIC_FEATURES).withColumn("surplus", F.lit(1))
-    missing, extra = qa.schema_diff(["app_id", *NUMERIC_FEATURES, "gone"], df.columns)
-    return spark.createDataFrame([(c, "missing") for c in missing] + [(c, "extra") for c in extra], "name string, state string")
+    """Every window stored by itself, one without a column and with another
+    too many; what each lacks and has beyond the expected list, and its rows."""
+    expected, loans, found = ["app_id", *NUMERIC_FEATURES], resolved_loans(spark, sf_dir), None
+    folder = scratch_path(spark, f"stored-windows-{uuid.uuid4().hex}")
+    for w in ["train", *_WINDOWS]:
+        rows = loans.where(F.col("split") == w).select(*expected)
+        (rows.drop("dti").withColumn("surplus", F.lit(1)) if w == "val" else rows).write.parquet(f"{folder}/{w}")
+        stored = spark.read.parquet(f"{folder}/{w}")
+        missing, extra = qa.schema_diff(expected, stored.columns)
+        row = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(w).alias("window"), F.lit(",".join(missing)).alias("missing"),
+                                                              F.lit(",".join(extra)).alias("extra"), "n")
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 # ------------------------------------------------------------------ learners, on fixed scorecards where SQL can follow
@@ -251,22 +268,58 @@ def model_registry(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ scheduled monitoring and its log
+_PROFILES: dict[tuple, str] = {}
+
+
+def _profile(spark, sf_dir, model):
+    """The train window's stored profile; made once per session and input, with the measured approval as baseline."""
+    key = input_key(spark, sf_dir)
+    if key not in _PROFILES:
+        path = scratch_path(spark, f"profile-{uuid.uuid4().hex}")
+        base = _window_approval(spark, sf_dir, model, ["train"]).first()["approval_rate"]
+        rows = prepared(spark, sf_dir, model).where(F.col("split") == "train")
+        pr.save_profile(spark, pr.reference_profile(rows, model.feature_columns, _binary(model), base), path)
+        _PROFILES[key] = path
+    return pr.load_profile(spark, _PROFILES[key])
+
+
+def _window_approval(spark, sf_dir, model, windows):
+    s = scored(spark, sf_dir, model=model).where(F.col("split").isin(*windows))
+    return s.groupBy(F.col("split").alias("window")).agg(
+        round_ratio(F.count_if(F.col("p") < CHAMPION_THRESHOLD), F.count(F.lit(1)), 4).alias("approval_rate"))
+
+
 def _monitored(spark, sf_dir):
-    """ST4: the windows arrive as a stream of labels; each is judged and logged.  The log as written."""
+    """ST4: the windows arrive as a stream of labels; each is judged against the
+    stored profile, from its own rows alone, and logged.  The log as written."""
     model = fitted_prep(spark, sf_dir)
-    df, binary, approval = _faulty(spark, sf_dir, model), _binary(model), _approval(spark, sf_dir, model)
-    ends = resolved_loans(spark, sf_dir).groupBy(F.col("split").alias("window")).agg(F.max("issue_d").alias("timestamp"))
+    df, binary, stored = _faulty(spark, sf_dir, model), _binary(model), _profile(spark, sf_dir, model)
     arrived = scratch_path(spark, f"arrivals-{uuid.uuid4().hex}")
     spark.createDataFrame([(w,) for w in _WINDOWS], "window string").repartition(len(_WINDOWS), "window").write.parquet(arrived)
     log = scratch_path(spark, f"monitoring-{uuid.uuid4().hex}")
 
     def judge(windows):
-        return dr.monitor(df, model.feature_columns, windows, approval, binary=binary).join(ends, "window")
+        ends = resolved_loans(spark, sf_dir).where(F.col("split").isin(*windows)).groupBy(F.col("split").alias("window")).agg(F.max("issue_d").alias("timestamp"))
+        approval = _window_approval(spark, sf_dir, model, windows)
+        return pr.monitor_against(df, stored, windows, approval, binary=binary).join(ends, "window")
 
     sj.monitoring_job(sj.file_stream(spark, arrived, "*.parquet", "window string"), judge, log)
     return io.read_monitoring_log(spark, log)
 
 
+@register("retrain_loop")
+def retrain_loop(spark, sf_dir):
+    """I16: the windows' verdict against the stored profile, and if one asks for it a
+    candidate trained with those windows, tested and registered; the steps done."""
+    from loanlens.operators.retrain import retrain
+    model, base = fitted_prep(spark, sf_dir), scratch_path(spark, f"retraining-{uuid.uuid4().hex}")
+    verdict = pr.monitor_against(_faulty(spark, sf_dir, model), _profile(spark, sf_dir, model), _WINDOWS,
+                                 _window_approval(spark, sf_dir, model, _WINDOWS), binary=_binary(model))
+    val = prepared(spark, sf_dir, model).where(F.col("split") == "val")
+    return retrain(spark, base, "run", verdict, lambda windows: _learned(spark, sf_dir, "logistic", ("train", *windows)),
+                   lambda m: ev.auc(ml.score(m, val)).first()["auc"], f"{base}/registry", "logistic")
+
+
 _LOGGED = {**_MONITOR_EXTRA, "mon": _MONITOR_BODY, "ends": "select split as window, max(issue_d) as timestamp from resolved group by split"}
 
 

@@ -128,6 +128,23 @@ def write_evidence_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def application_from_json(spark: SparkSession, path: str) -> DataFrame:
-    """One application JSON document (multi-line) as a one-row DataFrame."""
-    return spark.read.schema(RAW_LOAN_SCHEMA).option("multiLine", True).json(path)
+#: One made-up application: what is scored when no document is given.
+SAMPLE_APPLICATION = {
+    "dti": 17.5, "fico_range_low": 705.0, "revol_util": 38.2, "annual_inc": 64000.0, "loan_amnt": 9600.0, "int_rate": 12.1, "delinq_2yrs": 0.0,
+    "inq_last_6mths": 1.0, "open_acc": 9.0, "pub_rec": 0.0, "revol_bal": 11800.0, "sub_grade": "B4", "term": " 36 months", "emp_length": "4 years",
+    "home_ownership": "RENT", "verification_status": "Verified", "purpose": "debt_consolidation"}
+
+
+def application_from_json(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """One application JSON document (multi-line) as a one-row DataFrame; without a path the sample application.
+
+    A path that is not there raises ``FileNotFoundError``.
+    """
+    if path is None:
+        return spark.createDataFrame([[SAMPLE_APPLICATION.get(f.name) for f in RAW_LOAN_SCHEMA.fields]], RAW_LOAN_SCHEMA)
+    try:
+        return spark.read.schema(RAW_LOAN_SCHEMA).option("multiLine", True).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no application document at {path}") from None

@@ -11,6 +11,7 @@ same input value for value.
 from __future__ import annotations
 
 import hashlib
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,18 @@ def loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apps.select(*cols, F.date_format("issue_ts", "MMM-yyyy").alias("issue_d"))
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+def input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """What a session's kept tables and models depend on: the application, the folder, and on a local
+    path the newest change of its base tables (other stores: the folder alone)."""
+    newest = 0
+    for name in _BASE:
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        files = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs] if os.path.isdir(path) else [path]
+        newest = max([newest, *(os.stat(f).st_mtime_ns for f in files if os.path.exists(f))])
+    return spark.sparkContext.applicationId, sf_dir, newest
+
+
+_STAGED: dict[tuple, str] = {}
 
 
 def staged_loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +103,7 @@ def staged_loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the staged table; written on first use in the session."""
     from loanlens.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     path = _STAGED.get(key)
     if path is None:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]

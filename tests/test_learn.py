@@ -186,7 +186,10 @@ def test_variance_inflation(spark):
         fit = rest @ np.linalg.lstsq(rest, x[:, i], rcond=None)[0]
         assert got[c] == pytest.approx((x[:, i] ** 2).sum() / ((x[:, i] - fit) ** 2).sum(), rel=1e-6)
     same = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0)], "a double, b double")
-    assert [r["vif"] for r in xe.variance_inflation(same, ["a", "b"]).collect()] == [None, None]
+    assert [r["vif"] for r in xe.variance_inflation(same, ["a", "b"]).collect()] == [float("inf")] * 2
+    mixed = df.na.drop().withColumn("twice", F.col("a") * 2).withColumn("zero", F.lit(0.0))
+    out = {r["feature"]: r["vif"] for r in xe.variance_inflation(mixed, ["a", "twice", "b", "zero"]).collect()}
+    assert out["a"] == out["twice"] == float("inf") and 1 < out["b"] < 100 and out["zero"] is None
 
 
 def test_anova_p(spark):
@@ -196,6 +199,13 @@ def test_anova_p(spark):
     assert got["x"]["anova_p"] > 0.5 > 1e-6 > got["y"]["anova_p"] and got["y"]["anova_f"] == pytest.approx(plain["y"])
 
 
+def test_f_tail():
+    from loanlens.functions.stats import f_upper, normal_two_sided
+    assert f_upper(1.0, 1, 1) == pytest.approx(0.5) and f_upper(4.0, 2, 2) == pytest.approx(1 / 5) and f_upper(0.0, 3, 4) == 1
+    assert f_upper(3.0, 2, 10) == pytest.approx((1 + 2 * 3 / 10) ** -5)                # closed form for two degrees above
+    assert f_upper(1.96 ** 2, 1, 10 ** 8) == pytest.approx(normal_two_sided(1.96), rel=1e-6)
+
+
 def test_score_is_a_probability(planted):
     train = planted.where("split = 'train'")
     s = ml.score(ml.logistic_pipeline(FEATS, max_iter=20, weight_sum=train.count()).fit(ml.class_weights(train)), train)
