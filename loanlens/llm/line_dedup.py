@@ -47,14 +47,12 @@ def _worded(line: Column) -> Column:
 
 
 def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = 0.1,
-                     min_pages: int = 5, max_dropped: float = 0.5, max_broadcast: int = 10_000) -> DataFrame:
+                     min_pages: int = 5, max_broadcast: int = 10_000) -> DataFrame:
     """All rows and columns, the text without its host's boilerplate lines, plus ``n_lines`` and ``n_dropped``.
 
     A line is dropped when over ``max_ratio`` of its host's pages, and at
-    least ``min_pages`` of them, hold it.  Lines without a word stay.  A page
-    of which over ``max_dropped`` of the characters would go is left whole: it
-    is a copy of other pages rather than content in a frame, and a matter for
-    near-duplicate removal.  Null hosts are one host.  A null text stays null
+    least ``min_pages`` of them, hold it, on every page, also where that leaves
+    an empty text.  Lines without a word stay.  Null hosts are one host.  A null text stays null
     with zero lines.  Repeated rows count as pages of their own.  Input
     columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
@@ -65,9 +63,6 @@ def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str =
     lines = _lines(F.col(text_col))
     stay = F.filter(lines, lambda x: ~(_worded(x) & F.array_contains(F.col("__keys"), _key(x))))
     j = j.withColumn("__stay", F.when(F.col("__keys").isNull(), lines).otherwise(stay))
-    joined = F.array_join("__stay", "\n")
-    j = j.withColumn("__stay", F.when(
-        F.length(joined) >= F.length(text_col) * (1 - max_dropped), F.col("__stay")).otherwise(lines))
     return j.select(
         *[F.array_join("__stay", "\n").alias(c) if c == text_col else F.col(c) for c in p.columns],
         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),

@@ -100,9 +100,8 @@ t as (select source, count(*) as pages from d group by source),
 b as (select x.source, l from x join t on x.source is not distinct from t.source
   group by x.source, l, pages having count(*) >= 5 and count(*) > pages * 0.1::double),
 k as (select source, list(l) as bl from b group by source),
-j as (select d.*, list_filter(ls, lambda z: not (bl is not null and list_contains(bl, regexp_replace(z, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')))) as stay
-  from d left join k on d.source is not distinct from k.source),
-m as (select *, case when length(array_to_string(stay, chr(10))) >= length(text) * 0.5::double then stay else ls end as fin from j)
+m as (select d.*, list_filter(ls, lambda z: not (bl is not null and list_contains(bl, regexp_replace(z, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')))) as fin
+  from d left join k on d.source is not distinct from k.source)
 select doc_id, case when text is null then null else array_to_string(fin, chr(10)) end as text,
   coalesce(len(ls), 0)::bigint as n_lines, coalesce(len(ls) - len(fin), 0)::bigint as n_dropped from m
 """
@@ -121,7 +120,7 @@ def op10(spark, sf_dir):
     """Quality measures and verdict of every document."""
     from loanlens.llm.quality_rules import judge_quality
     return judge_quality(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
 @register("op1_language_id")
