@@ -10,8 +10,8 @@ probes in key order: the last rule start at or before a probe carries the stack
 of rules nested around it; the innermost one whose interval has not ended fits.
 
 Built-in DataFrame functions only.  Sweeps run per host suffix; a suffix with
-many urls (such as ``com.``) is cut by path hash into sweeps of about
-``rows_per_sweep`` urls, with its rules repeated in each.
+many urls (such as ``com.``) is cut by a hash of host and path into sweeps of
+about ``rows_per_sweep`` urls, with its rules repeated in each.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default
     cuts = probes.groupBy("suffix").agg(F.ceil(F.count("*") / rows_per_sweep).cast("int").alias("cuts"))
     cuts = small_or_shuffled(cuts, max_broadcast)
     probes = probes.join(cuts, "suffix").select(
-        "suffix", F.pmod(F.xxhash64("path"), F.col("cuts")).cast("int").alias("cut"), "path", "host",
+        "suffix", F.pmod(F.xxhash64("host", "path"), F.col("cuts")).cast("int").alias("cut"), "path", "host",
         F.lit(1).alias("kind"), F.lit(None).cast(around.schema["stack"].dataType).alias("stack"))
     starts = around.join(cuts, "suffix").withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).select(
         "suffix", "cut", "path", F.lit(None).cast("string").alias("host"), F.lit(0).alias("kind"), "stack")

@@ -59,3 +59,12 @@ def test_no_python_in_plan(spark):
     df = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
     plan = filter_urls(df, rules)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_one_path_on_many_hosts(spark):
+    """Hosts under one suffix that all have the same path go to several sweeps."""
+    rows = [(i, f"https://h{i}.net/") for i in range(400)] + [(900, "https://h1.net/"), (901, "https://example.net/en/x")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow")], "host string, path string, verdict string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(df, rules, rows_per_sweep=10).collect()}
+    assert got.pop(901) == "allow" and set(got.values()) == {"block"} and len(got) == 401
