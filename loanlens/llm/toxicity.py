@@ -16,6 +16,7 @@ counts and scores cover all rows and whole texts.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,15 +58,20 @@ def features(words) -> set[bytes]:
     return out
 
 
-def swapped(text: str) -> list[set[bytes]]:
-    """Features of the text with the identity terms of each sentence swapped: one version per sentence and term."""
+def swapped(text: str) -> list[tuple[set[bytes], set[bytes]]]:
+    """What each swapped version changes: the features it loses and gains, one version per sentence and identity term.
+
+    Features are counted by sentence, so a version costs its sentence's length and not the text's.
+    """
     found = []
     sentences = [_words(s) for s in _SENTENCE.split(text)]
-    for i, s in enumerate(sentences):
+    held = [features(s) for s in sentences]
+    times = Counter(f for h in held for f in h)
+    for s, own in zip(sentences, held):
         for term in sorted(_TERMS.keys() & set(s)):
             for other in _TERMS[term]:
-                changed = [other if w == term else w for w in s]
-                found.append(features(w for j, t in enumerate(sentences) for w in (changed if j == i else t)))
+                new = features(other if w == term else w for w in s)
+                found.append(({f for f in own - new if times[f] == 1}, {f for f in new - own if f not in times}))
     return found
 
 
@@ -106,9 +112,9 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(self.bias + sum(get(f, 0.0) for f in features(_words(text))), -500, 500))))
 
 
-def fit(rows: list, labels: np.ndarray, swaps: list[tuple[int, list[int]]], n: int, penalty: float,
+def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]], n: int, penalty: float,
         l2: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
-    """Logistic weights by Adam; ``swaps`` pairs a row with a swapped version's features.
+    """Logistic weights by Adam; ``swaps`` holds the features that each swapped version loses and gains.
 
     Loss: mean log loss + l2 |w|^2 + penalty * mean squared change of the
     log odds over the swapped versions.  The rarer class counts
@@ -117,14 +123,9 @@ def fit(rows: list, labels: np.ndarray, swaps: list[tuple[int, list[int]]], n: i
     size = np.array([len(r) for r in rows], int)
     col = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) else np.empty(0, np.int32)
     at = np.repeat(np.arange(len(rows)), size)
-    dat, dcol, dval = [], [], []
-    for k, (i, other) in enumerate(swaps):
-        a, b = set(map(int, rows[i])), set(map(int, other))
-        for f in a ^ b:
-            dat.append(k)
-            dcol.append(f)
-            dval.append(1.0 if f in a else -1.0)
-    dat, dcol, dval = np.array(dat, int), np.array(dcol, int), np.array(dval)
+    dat = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b in swaps])
+    dcol = np.array([f for a, b in swaps for f in (*a, *b)], int)
+    dval = np.array([x for a, b in swaps for x in (*[1.0] * len(a), *[-1.0] * len(b))])
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
     heavy = np.where(labels == (share < 0.5), np.sqrt(max(share, 1 - share) / min(share, 1 - share)), 1.0)
     heavy /= max(heavy.sum(), 1.0)
@@ -168,14 +169,17 @@ def train(rows: DataFrame, min_rows: int = 3, max_fit_rows: int = 10_000, penalt
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
             own = [sorted(num[f] for f in known & features(_words(t))) for t in texts]
-            swaps = [[sorted(num[f] for f in known & s) for s in swapped(t)] for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(own, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))],
-                                             ["label", "copies", "own", "swaps"])
-
-    got = sample.mapInArrow(run, "label int, copies long, own array<int>, swaps array<array<int>>").toPandas()        # about max_fit_rows rows
+            pairs = [[[sorted(num[f] for f in known & x) for x in s] for s in swapped(t)] for t in texts]
+            lost, gained = ([[s[k] for s in ss] for ss in pairs] for k in (0, 1))
+            kind = pa.list_(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(own, pa.list_(pa.int32())), pa.array(lost, kind), pa.array(gained, kind)],
+                                             ["label", "copies", "own", "lost", "gained"])
+
+    # about max_fit_rows rows; of a swapped version only the features that change
+    got = sample.mapInArrow(run, "label int, copies long, own array<int>, lost array<array<int>>, gained array<array<int>>").toPandas()
     got = got.loc[got.index.repeat(got["copies"])]
     w, bias = fit(list(got["own"]), got["label"].to_numpy(float),
-                  [(i, list(s)) for i, ss in enumerate(got["swaps"]) for s in ss], len(names), penalty)
+                  [x for a, b in zip(got["lost"], got["gained"]) for x in zip(a, b)], len(names), penalty)
     return Classifier({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9}, float(bias))
 
 

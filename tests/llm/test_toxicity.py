@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 
 
 def test_swaps_keep_everything_else():
-    found = T.swapped("The woman spoke. Some idiot spoke to a man.")
-    assert [sorted(f for f in s if f in (b"woman", b"man")) for s in found] == [[b"man"], [b"woman"]]
-    assert all(b"idiot" in s and b"^idio" in s for s in found)
+    found = T.swapped("The woman spoke. Some idiot spoke to a boy. A girl and a boy.")
+    assert found == [({b"woman", b"^woma"}, {b"man"}), (set(), set()), (set(), set()), ({b"girl"}, set())]
+    text = "The woman spoke. Some idiot spoke to a boy. A girl and a boy."
+    for k, (lost, gained) in enumerate(found):                            # the same as swapping in the whole text
+        a, b = [("woman", "man"), ("spoke to a boy", "spoke to a girl"), ("and a boy", "and a girl"), ("A girl", "A boy")][k]
+        assert T.features(T._words(text)) - lost | gained == T.features(T._words(text.replace(a, b)))
     assert T.swapped("") == [] and T.swapped("no group at all") == []
 
 
@@ -18,7 +21,7 @@ def test_penalty_evens_out_identity_terms():
         bad = i % 2
         rows.append(sorted({0} | ({1} if i % 10 < (9 if bad else 3) else {2})) if bad else [1 if i % 10 < 3 else 2])
         labels.append(bad)
-    swaps = [(i, sorted((set(r) - {1, 2}) | ({2} if 1 in r else {1}))) for i, r in enumerate(rows)]
+    swaps = [([1], [2]) if 1 in r else ([2], [1]) for r in rows]
     free, _ = T.fit(rows, np.array(labels, float), swaps, 3, 0.0)
     held, _ = T.fit(rows, np.array(labels, float), swaps, 3, 5.0)
     assert abs(held[1] - held[2]) < 0.2 * abs(free[1] - free[2]) and held[0] > 2
@@ -76,3 +79,10 @@ def test_rare_insult_beside_many_leaning_words(spark):
     rows += [(f"{lean if i % 10 == 0 else 'plain'} other{i}", 0) for i in range(60)]
     model = T.train(spark.createDataFrame(rows, "text string, label int").repartition(3))
     assert model.weights[b"zrk"] > 0 and sum(len(f) == 4 for f in model.weights) >= 5000
+
+
+def test_a_long_labelled_text(spark):
+    text = "The woman went home. " * 20_000                                # a term in each sentence: 20,000 swapped versions
+    rows = [(f"word{i} scumbag", 1) for i in range(20)] + [(f"word{i} fine", 0) for i in range(20)] + [(text, 0)]
+    model = T.train(spark.createDataFrame(rows, "text string, label int").repartition(2))
+    assert model.score("scumbag") > 0.5 > model.score(text)
