@@ -18,10 +18,14 @@ that one changed word costs its own place only, and of its question's and of
 its answer's words half must be there each, so that an item of which the answer
 is missing does not count.
 
-Passages are windows of twice the longest item (64 words at least) that
-advance by half their length, so that any item lies whole in one of them.  The
-pass over the corpus is map-only.  Items beyond ``max_items`` are dealt into
-several indexes, each with a pass of its own.
+Number of items, document frequencies and mean length are counted over all items
+in Spark, and an item's passages depend on its own length class only, so an
+item's scores are the same however many items there are and however they are
+dealt.  Items of up to ``WIDTHS[0]`` words share an index, longer ones the next;
+passages of an index are windows of twice its width that advance by half their
+length, so that any of its items lies whole in one of them, and one long item
+does not widen the passages of the others.  The pass over the corpus is
+map-only.  Items beyond ``max_items`` take further passes.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from loanlens.llm.common import shared_table, small_or_shuffled
+
 K1, B = 1.2, 0.75
 SHINGLE = 3
 MIN_WORDS = 0.5         # share of the question's, and of the answer's, words
@@ -44,7 +50,8 @@ ITEM_BLOCK = 32
 CELLS = 500_000         # most cells of one scoring array
 TOKENS = 200_000        # words of the texts matched at once
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_MATCHES = "array<struct<item_id:bigint,bm25:double,overlap:double,question_overlap:double,answer_overlap:double>>"
+WIDTHS = tuple(64 * 8 ** i for i in range(12))
+_MATCHES = "array<struct<item:bigint,bm25:double,overlap:double,question_overlap:double,answer_overlap:double>>"
 
 
 def words(text: str) -> list[bytes]:
@@ -74,23 +81,28 @@ def covered(wanted: list[tuple[bytes, ...]], there: set[tuple[bytes, ...]]) -> f
 
 
 class ItemIndex:
-    """BM25 impacts of the items by word, with block maxima."""
+    """BM25 impacts of the items by word, with block maxima.
+
+    ``whole`` describes all items if these are some of them: their number,
+    their mean length and the document frequency of each word.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], width: int = 32, whole: tuple[int, float, dict[bytes, int]] | None = None):
         kept = [(i, t, words(t)) for i, t in items if t and words(t)]
         kept.sort(key=lambda x: len(x[2]))
         self.ids = [i for i, _, _ in kept]
         n = len(kept)
         lengths = np.array([len(w) for _, _, w in kept], float)
-        self.stride = max(32, int(lengths.max(initial=0)))
+        self.stride = max(width, int(lengths.max(initial=0)))
         bags = [Counter(w) for _, _, w in kept]
         df = Counter(w for b in bags for w in b)
+        total, mean, df = whole or (n, lengths.mean() if n else 0.0, df)
         self.vocab = {w: k for k, w in enumerate(df)}
-        idf = np.array([np.log(1 + (n - c + 0.5) / (c + 0.5)) for c in df.values()])
+        idf = np.array([np.log(1 + (total - c + 0.5) / (c + 0.5)) for c in df.values()])
         term = np.array([self.vocab[w] for b in bags for w in b], np.int64)
         item = np.repeat(np.arange(n), [len(b) for b in bags])
         tf = np.array([c for b in bags for c in b.values()], float)
-        norm = K1 * (1 - B + B * lengths / lengths.mean()) if n else lengths
+        norm = K1 * (1 - B + B * lengths / mean) if n else lengths
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[item]) if n else tf
         impact = impact / np.bincount(item, impact, n)[item] if n else impact
         order = np.lexsort((item, term))
@@ -103,7 +115,7 @@ class ItemIndex:
         self.block = key[first] % self.blocks
         self.block_start = np.searchsorted(key[first] // self.blocks, np.arange(len(df) + 1))
         self.top = np.maximum.reduceat(self.impact, self.start[:-1]) if n else self.impact
-        self.common = np.array([c > max(4, n / 20) for c in df.values()], bool)
+        self.common = np.array([c > max(4, total / 20) for c in df.values()], bool)
         self.shingles = [shingles(w) for _, _, w in kept]
         parts = [question_answer(t) for _, t, _ in kept]
         self.question, self.answer = [set(words(q)) for q, _ in parts], [set(words(a)) for _, a in parts]
@@ -154,17 +166,16 @@ def overlaps(index: ItemIndex, j: int, passage: list[bytes]) -> tuple[float, flo
     return covered(index.shingles[j], there), _share(index.question[j], set(passage)), _share(index.answer[j], set(passage))
 
 
-def match_documents(index: ItemIndex, texts: list[str], threshold: float, min_overlap: float) -> list[list[dict]]:
+def match_documents(indexes: list[ItemIndex], texts: list[str], threshold: float, min_overlap: float) -> list[list[dict]]:
     """Verified items of each text, best passage each."""
     found: list[list[dict]] = [[] for _ in texts]
-    if not index.ids:
-        return found
     at, size = 0, 0
     group: list[list[bytes]] = []
     for i, t in enumerate([*texts, None]):
         if t is None or size > TOKENS:
-            for k, hits in enumerate(_match_group(index, group, threshold, min_overlap)):
-                found[at + k] = hits
+            for index in indexes:
+                for k, hits in enumerate(_match_group(index, group, threshold, min_overlap) if index.ids else ()):
+                    found[at + k] += hits
             at, size, group = i, 0, []
         if t is not None:
             group.append(words(t))
@@ -197,46 +208,97 @@ def _match_group(index: ItemIndex, docs: list[list[bytes]], threshold: float, mi
         whole, asked, answered = overlaps(index, j, passage)
         if whole >= min_overlap and min(asked, answered) >= MIN_WORDS and found[d].get(j, (0.0,))[0] < x:
             found[d][j] = (x, whole, asked, answered)
-    return [[{"item_id": index.ids[j], "bm25": x, "overlap": w, "question_overlap": a, "answer_overlap": b}
+    return [[{"item": index.ids[j], "bm25": x, "overlap": w, "question_overlap": a, "answer_overlap": b}
              for j, (x, w, a, b) in sorted(f.items())] for f in found]
 
 
-def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+def _known(items: DataFrame) -> DataFrame:
+    """(item, text, n, bag) of the (item, text) with a word: their words and distinct words; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [words(t or "") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(w) for w in found], pa.int64()),
+                                              pa.array([sorted(set(w)) for w in found], pa.list_(pa.binary()))], ["item", "text", "n", "bag"])
+
+    return shared_table(items.mapInArrow(run, "item long, text string, n long, bag array<binary>").filter("n > 0"), "items")
+
+
+def _passes(items: DataFrame, max_items: int) -> Iterator[list[ItemIndex]]:
+    """Indexes of all (item, text), those of one pass together."""
+    known = _known(items)
+    total, mean = known.agg(F.count("*"), F.avg("n")).first()
+    if not total:
+        return
+    df = shared_table(known.select(F.explode("bag").alias("word")).groupBy("word").agg(F.count("*").alias("c")), "item-words")
+    width = F.element_at(F.filter(F.array(*[F.lit(w).cast("long") for w in WIDTHS]), lambda w: w >= F.col("n")), 1)
+    known = known.withColumn("width", width)
+    for w, count in sorted((r["width"], r["count"]) for r in known.groupBy("width").count().collect()):           # a row per width
+        shards = -(-count // max_items)
+        for shard in range(shards):
+            mine = known.filter((F.col("width") == w) & (F.pmod(F.xxhash64("item"), F.lit(shards)) == shard))
+            rows = mine.select("item", "text").collect()                                                          # about max_items rows
+            seen = mine.select(F.explode("bag").alias("word")).distinct().join(df, "word").collect()               # their words
+            yield [ItemIndex(sorted((r["item"], r["text"]) for r in rows), w, (total, mean, {bytes(r["word"]): r["c"] for r in sorted(seen)}))]
+
+
+def _together(passes: Iterator[list[ItemIndex]], max_items: int) -> Iterator[list[ItemIndex]]:
+    """Small indexes share a pass."""
+    held: list[ItemIndex] = []
+    for p in passes:
+        if held and sum(len(x.ids) for x in held) + len(p[0].ids) > max_items:
+            yield held
+            held = []
+        held = held + p
+    if held:
+        yield held
+
+
+def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item", item_text: str = "text",
                  threshold: float = 0.6, min_overlap: float = 0.8, max_items: int = 50_000, out: str = "__matches") -> DataFrame:
-    """``docs`` plus the array of verified items of each whole text.
+    """``docs`` plus the array of verified items of each whole text; ``item_id`` is an integer column.
 
     Null and empty texts match nothing, nor do items without a word.  Repeated
     items and rows each count on their own.  With no items all arrays are
-    empty.
+    empty.  Texts of any length are cut into passages.  ``out`` must not be a
+    column of ``docs``; other names do not matter.
     """
     spark, at = docs.sparkSession, docs.columns.index(text_col)
-    items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
-    shards = max(1, -(-items.count() // max_items))
-    base = list(docs.schema.fields)
-    result = docs
-    for shard in range(shards):
-        rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == shard).collect()     # about max_items rows
-        index = spark.sparkContext.broadcast(ItemIndex(sorted(((r["i"], r["t"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))))
-        schema = StructType([*result.schema.fields, StructField(f"{out}{shard}", _parse_datatype_string(_MATCHES))])
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), *[(c, pa.float64()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")]]))
-
-        def run(batches: Iterator[pa.RecordBatch], index=index, name=f"{out}{shard}", kind=kind) -> Iterator[pa.RecordBatch]:
+    result, parts = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), []
+    struct = pa.struct([("item", pa.int64()), *[(c, pa.float64()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")]])
+    items = items.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
+    for indexes in _together(_passes(items, max_items), max_items):
+        shared, name = spark.sparkContext.broadcast(indexes), f"m{len(parts)}"
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                hits = match_documents(index.value, [t or "" for t in b.column(at).to_pylist()], threshold, min_overlap)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, kind)], [*b.schema.names, name])
+                hits = match_documents(shared.value, [t or "" for t in b.column(at).to_pylist()], threshold, min_overlap)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, pa.list_(struct))], [*b.schema.names, name])
+
+        result = result.mapInArrow(run, StructType([*result.schema.fields, StructField(name, _parse_datatype_string(_MATCHES))]))
+        parts.append(F.col(name))
+    found = F.concat(*parts) if parts else F.array().cast(_MATCHES)
+    return result.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], found.alias(out))
 
-        result = result.mapInArrow(run, schema)
-    parts = [F.col(f"{out}{i}") for i in range(shards)]
-    return result.select(*[F.col(f"`{f.name}`") for f in base], F.concat(*parts).alias(out))
 
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
+                 item_text: str = "text", max_broadcast: int = 1_000_000, **options) -> DataFrame:
+    """(id, item_id, bm25, overlap, question_overlap, answer_overlap): one row per row of ``docs`` and verified item.
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(id, item_id, bm25, overlap, question_overlap, answer_overlap): one row per row of ``docs`` and verified item."""
+    Ids of documents and items are of any type, also null.
+    """
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return with_matches(slim, items, "__text", **options).select(F.col("__id").alias(id_col), F.explode("__matches").alias("m")).select(
-        id_col, "m.*")
+    numbered = shared_table(items.select(F.col(item_id).alias("__item"), F.col(item_text).alias("text")).withColumn(
+        "item", F.monotonically_increasing_id()), "numbered-items")
+    found = with_matches(slim, numbered, "__text", **options).select("__id", F.explode("__matches").alias("m")).select("__id", "m.*")
+    return found.join(small_or_shuffled(numbered.select("item", "__item"), max_broadcast), "item").select(
+        F.col("__id").alias(id_col), F.col("__item").alias(item_id), "bm25", "overlap", "question_overlap", "answer_overlap")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no verified item, with all their columns."""
-    return with_matches(docs, items, text_col, **options).filter(F.size("__matches") == 0).drop("__matches")
+    out = "__matches"
+    while out in docs.columns:
+        out += "_"
+    slim = items.select(F.lit(0).alias("item"), F.col(item_text).alias("text"))
+    return with_matches(docs, slim, text_col, out=out, **options).filter(F.size(out) == 0).drop(out)

@@ -43,10 +43,14 @@ def test_operator(spark):
              (55, prose(1, 40_000) + " " + its[6][1] + " " + its[7][1])]
     bench = spark.createDataFrame([*its, (90, None), (91, ""), (92, its[8][1])], "item_id bigint, text string")
     df = docs(spark, data).withColumnRenamed("lang", "__text")
+    scores = []
     for per in (50_000, 30):
-        got = sorted((str(r["doc_id"]), r["item_id"]) for r in D.contaminated(df, bench, max_items=per).collect())
+        rows = D.contaminated(df, bench, max_items=per).collect()
+        got = sorted((str(r["doc_id"]), r["item_id"]) for r in rows)
+        scores.append(sorted((str(r["doc_id"]), r["item_id"], round(r["bm25"], 9)) for r in rows))
         want = [(str(i), i) for i in range(30)] + [("8", 92), ("53", 3), ("53", 3), ("None", 4), ("55", 6), ("55", 7)]
         assert got == sorted(want)
+    assert scores[0] == scores[1]                                        # the same scores from one index and from several
     w = its[40][1].split()                                               # one word in ten changed: still the item
     near = docs(spark, [(70, filler + " " + " ".join("other" if i in (9, len(w) - 1) else x for i, x in enumerate(w)) + " " + filler)])
     assert [r["item_id"] for r in D.contaminated(near, bench).collect()] == [40]
@@ -66,3 +70,17 @@ def test_one_inner_word_changed_in_a_short_item(spark):
         rows.append((at, filler + " " + " ".join([*w[:at], "other", *w[at + 1:]]) + " " + filler))
     rows.append((30, filler + " " + " ".join(sorted(its[30][1].split())) + " " + filler))      # the item's words in another order
     assert sorted((r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, rows), bench).collect()) == [(3, 3), (7, 7), (10, 10)]
+
+
+def test_scores_do_not_depend_on_the_number_of_indexes_or_on_long_items(spark):
+    its = [(f"item {i}", prose(i, 20 + i % 30, WORDS) + ". " + prose(i + 1000, 6, WORDS) + ".") for i in range(60)]
+    cut = [(i, " ".join(w for k, w in enumerate(t.split()) if k % 9 != 4)) for i, (_, t) in enumerate(its)]     # every ninth word is gone
+    long = ("long", prose(77, 3000, WORDS) + ". " + prose(78, 20, WORDS) + ".")
+    df = docs(spark, [*cut, (100, prose(5, 50) + " " + long[1] + " " + prose(6, 5000)), (101, long[1][:4000])]).selectExpr("*", "1 as `a.b`", "2 as __matches")
+    bench = spark.createDataFrame([*its, long], "item_id string, text string")
+    found = [sorted((r["doc_id"], r["item_id"], round(r["bm25"], 9)) for r in D.contaminated(df, bench, max_items=n, threshold=0.4, min_overlap=0.4).collect())
+             for n in (50_000, 9)]
+    assert found[0] == found[1] and (100, "long") in [x[:2] for x in found[0]] and (101, "long") not in [x[:2] for x in found[0]]
+    assert {i for i, _, _ in found[0]} >= set(range(60))
+    kept = D.drop_contaminated(df, bench)
+    assert kept.columns == df.columns and 100 not in [r["doc_id"] for r in kept.collect()]
