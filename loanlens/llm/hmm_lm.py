@@ -6,12 +6,13 @@ three bytes), and a class symbol is spelled out by the word's smoothed
 share of its class.  The vocabulary counts cover every training text and are
 joined, never broadcast; only the ``listed`` most frequent words are.
 
-Baum-Welch: each task runs scaled forward-backward over its sequences and
-returns expected counts, Spark sums them by symbol, and the driver normalises
-(states x symbols numbers).  The first rounds, which only have to break the
-symmetry, each take a different shard of the corpus; the last rounds take all
-of it.  Training cuts texts into segments; scoring runs the scaled forward
-recursion over each whole text, so its likelihood is exact.
+Baum-Welch: in every round each task runs scaled forward-backward over its whole
+texts and returns expected counts, Spark sums them by symbol, and the driver
+normalises (states x symbols numbers).  All rounds take all training rows; they
+end when the likelihood settles.  Texts of more than ``TOKENS`` tokens are passed
+in segments that hand the state on in both directions, so nothing is cut and
+memory stays bounded.  Scoring runs the scaled forward recursion over each whole
+text, so its likelihood is exact.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from loanlens.llm.common import shared_table, top_rows
 
 CLASSES = 128
 TAIL = 3                # bytes of a word that decide its class
-TOKENS = 200_000        # tokens of one numpy pass
+TOKENS = 250_000        # tokens of one numpy pass
+PRIOR = 10.0            # tokens of the unigram distribution that every state's emissions count besides their own
 ROWS = 1000             # texts split into words at once
 
 
@@ -124,7 +126,7 @@ class Model:
 def first_model(counts: np.ndarray, states: int, seed: int) -> Model:
     r = np.random.default_rng(seed)
     emit = (counts + 0.1)[:, None] * np.exp(r.normal(0, 1, (len(counts), states)))
-    move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
+    move = np.full((states, states), 0.02 / states) + 0.98 * np.eye(states)       # states first part texts by topic or language
     return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
 
 
@@ -134,42 +136,71 @@ def _by_time(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(t, kind="stable"), np.bincount(t)
 
 
-def forward(m: Model, tokens: np.ndarray, live: np.ndarray, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled forward recursion; ln likelihood of each sequence and the scale of each token.  ``keep`` receives the states."""
-    total, scale = np.zeros(live[0]), np.empty(len(tokens))
+def forward(m: Model, tokens: np.ndarray, live: np.ndarray, keep: np.ndarray | None = None, first: np.ndarray | None = None,
+            seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scaled forward recursion; ln likelihood of each sequence, the scale of each token, the last states.
+
+    Arrays of states stand state by state (states x tokens), so that every
+    step is a few passes over long rows.  ``keep`` receives the states of all
+    tokens, ``first`` stands for the start distribution, ``seen`` is the
+    emission of each token if it is known already.
+    """
+    total, scale, onward = np.zeros(live[0]), np.empty(len(tokens)), np.ascontiguousarray(m.move.T)
+    seen = m.emit.T[:, tokens] if seen is None else seen
     alpha, at = None, 0
     for n in live.tolist():
-        prior = m.start if alpha is None else alpha[:n] @ m.move
-        alpha = prior * m.emit[tokens[at:at + n]]
-        c = alpha.sum(1)
-        alpha /= c[:, None]
-        total[:n] += np.log(c)
+        prior = (m.start[:, None] if first is None else first) if alpha is None else onward @ alpha[:, :n]
+        alpha = prior * seen[:, at:at + n]
+        c = alpha.sum(0)
+        alpha /= c
         scale[at:at + n] = c
         if keep is not None:
-            keep[at:at + n] = alpha
+            keep[:, at:at + n] = alpha
         at += n
-    return total, scale
+    at = 0
+    logs = np.log(scale)
+    for n in live.tolist():
+        total[:n] += logs[at:at + n]
+        at += n
+    return total, scale, alpha
+
 
+def expected_counts(m: Model, tokens: np.ndarray, live: np.ndarray, first: np.ndarray | None = None,
+                    ahead: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray]:
+    """Forward-backward: expected first states, moves and emissions, the ln likelihood, and what the first token hands back.
 
-def expected_counts(m: Model, tokens: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Forward-backward: expected starts, moves and emissions, and the ln likelihood."""
+    ``first`` and ``ahead`` (states x 1) continue a sequence that stands in several segments.
+    """
     k = len(m.start)
-    alpha = np.empty((len(tokens), k))
-    total, scale = forward(m, tokens, live, alpha)
-    moves, beta = np.zeros((k, k)), np.ones((0, k))
-    end = len(tokens)
-    ahead = np.empty((0, k))
+    alpha, seen = np.empty((k, len(tokens))), m.emit.T[:, tokens]
+    total, scale, _ = forward(m, tokens, live, alpha, first, seen)
+    seen /= scale
+    moves, end = np.zeros((k, k)), len(tokens)
     for n in live[::-1].tolist():
         at = end - n
-        beta = np.ones((n, k))
-        if len(ahead):
-            moves += alpha[at:at + len(ahead)].T @ ahead
-            beta[:len(ahead)] = ahead @ m.move.T
-        ahead = m.emit[tokens[at:end]] * beta / scale[at:end, None]
-        alpha[at:end] *= beta
-        end = at
-    emits = np.stack([np.bincount(tokens, alpha[:, i], len(m.emit)) for i in range(k)], 1)
-    return alpha[:live[0]].sum(0), moves * m.move, emits, float(total.sum())
+        mine, back = alpha[:, at:end], seen[:, at:end]
+        if ahead is not None:
+            some = ahead.shape[1]
+            moves += mine[:, :some] @ ahead.T
+            beta = m.move @ ahead
+            mine[:, :some] *= beta
+            back[:, :some] *= beta
+        ahead, end = back, at
+    emits = np.stack([np.bincount(tokens, alpha[i], len(m.emit)) for i in range(k)], 1)
+    return alpha[:, :live[0]].sum(1), moves * m.move, emits, float(total.sum()), ahead
+
+
+def long_counts(m: Model, tokens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """:func:`expected_counts` of one long sequence, ``size`` tokens held at once."""
+    parts = [tokens[a:a + size] for a in range(0, len(tokens), size)]
+    firsts: list[np.ndarray | None] = [None]
+    for p in parts[:-1]:
+        firsts.append(m.move.T @ forward(m, p, np.ones(len(p), int), first=firsts[-1])[2])
+    moves, emits, total, ahead = np.zeros_like(m.move), np.zeros_like(m.emit), 0.0, None
+    for p, first in zip(parts[::-1], firsts[::-1]):
+        starts, mv, e, x, ahead = expected_counts(m, p, np.ones(len(p), int), first, ahead)
+        moves, emits, total = moves + mv, emits + e, total + x
+    return starts, moves, emits, total
 
 
 def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -184,25 +215,28 @@ def _gather(flat: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> np.ndar
     return flat[np.arange(lengths.sum()) + np.repeat(start - np.cumsum(lengths) + lengths, lengths)]
 
 
-def baum_welch_round(encoded: DataFrame, m: Model, segment: int) -> tuple[Model, float]:
-    """One round over all rows of ``encoded``: counts by task, summed by Spark, normalised here."""
+def baum_welch_round(encoded: DataFrame, m: Model, unigram: np.ndarray) -> tuple[Model, float, float]:
+    """One round over all rows of ``encoded``: counts by task, summed by Spark, normalised here.
+
+    The new model, the ln likelihood of the rows under the old one, and their tokens.
+    """
     k, shared = len(m.start), encoded.sparkSession.sparkContext.broadcast(m)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        emits, moves, starts, ll = np.zeros((len(m.emit), k)), np.zeros((k, k)), np.zeros(k), 0.0
+        emits, moves, starts, ll, n = np.zeros((len(m.emit), k)), np.zeros((k, k)), np.zeros(k), 0.0, 0
         for b in batches:
             col = b.column(0)
             flat, size = col.flatten().to_numpy(zero_copy_only=False), col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = -(-size // segment)
-            offset = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            start = np.repeat(np.cumsum(size) - size, parts) + offset * segment
-            length = np.minimum(segment, np.repeat(size, parts) - offset * segment)
-            for g in _groups(length):
-                order, live = _by_time(length[g])
-                s, mv, e, x = expected_counts(m, _gather(flat, start[g], length[g])[order], live)
+            start, n = np.cumsum(size) - size, n + len(flat)
+            found = [long_counts(m, flat[start[i]:start[i] + size[i]], TOKENS) for i in np.nonzero(size > TOKENS)[0]]
+            rest = np.nonzero(size <= TOKENS)[0]
+            for g in _groups(size[rest]):
+                order, live = _by_time(size[rest[g]])
+                found.append(expected_counts(m, _gather(flat, start[rest[g]], size[rest[g]])[order], live)[:4])
+            for s, mv, e, x in found:
                 starts, moves, emits, ll = starts + s, moves + mv, emits + e, ll + x
-        rows = np.concatenate([emits, moves, starts[None], np.r_[ll, np.zeros(k - 1)][None]])
+        rows = np.concatenate([emits, moves, starts[None], np.r_[ll, n, np.zeros(k - 2)][None]])
         some = np.nonzero(rows.any(1))[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(rows[some, i]) for i in range(k)]], ["row", *[f"s{i}" for i in range(k)]])
 
@@ -213,27 +247,35 @@ def baum_welch_round(encoded: DataFrame, m: Model, segment: int) -> tuple[Model,
     for r in summed:
         table[r["row"]] = [r[c] for c in cols]
     v = len(m.emit)
-    emits, moves, starts = table[:v] + 0.01, table[v:v + k] + 0.1, table[v + k] + 0.1
-    return Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0)), float(table[v + k + 1, 0])
-
-
-def train(encoded: DataFrame, counts: np.ndarray, states: int, warm_rounds: int, rounds: int, segment: int, seed: int) -> Model:
-    m = first_model(counts, states, seed)
-    for i in range(warm_rounds):
-        m, _ = baum_welch_round(encoded.filter(F.pmod(F.xxhash64("rid"), F.lit(2 * warm_rounds)) == i), m, segment)
-    for _ in range(rounds):
-        m, _ = baum_welch_round(encoded, m, segment)
+    ll, n = float(table[v + k + 1, 0]), float(table[v + k + 1, 1])
+    if not n:
+        return m, 0.0, 0.0
+    emits, moves, starts = table[:v] + PRIOR * unigram[:, None], table[v:v + k] + 0.1, table[v + k] + 0.1
+    return Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0)), ll, n
+
+
+def train(encoded: DataFrame, counts: np.ndarray, states: int, max_rounds: int, tolerance: float, seed: int) -> Model:
+    """Rounds over all rows until one gains at most ``tolerance`` ln a token, ``max_rounds`` at most."""
+    m, last = first_model(counts, states, seed), None
+    unigram = (counts + 0.1) / (counts + 0.1).sum()
+    for _ in range(max_rounds):
+        m, ll, n = baum_welch_round(encoded, m, unigram)
+        if not n or (last is not None and ll - last <= tolerance * n):
+            break
+        last = ll
     return m
 
 
 def score_lm(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id", text_col: str = "text", listed: int = 100_000,
-             top: int = 4096, states: int = 8, warm_rounds: int = 8, rounds: int = 2, segment: int = 256, seed: int = 7) -> DataFrame:
+             top: int | None = None, states: int = 8, max_rounds: int = 12, tolerance: float = 0.015, seed: int = 7) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Learns from the rows whose ``held_out`` is false and scores all.
     ``base_score`` is the unigram log10 probability with half a count added
     (one further type stands for all unseen words); ``score`` is the log10
-    probability under the hidden Markov model.  A null text is the empty text:
+    probability under the hidden Markov model.  The ``top`` most frequent words
+    are symbols of their own: by default one in 256 distinct training words, at
+    least 1024 and at most ``listed``.  At least two states.  A null text is the empty text:
     one token, the end.  Repeated rows each count and keep their row.  With
     no training row all words are unseen.  An empty table gives an empty
     result.
@@ -246,7 +288,7 @@ def score_lm(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id"
     floor = n + 0.5 * (v + 1)
     head = sorted(top_rows(counts, F.col("c"), listed).collect(), key=lambda r: (-r["c"], r["word"]))      # at most ``listed`` rows
     names, freq = [bytes(r["word"]) for r in head], np.array([r["c"] for r in head], float)
-    top = min(top, len(names))
+    top = min(max(1024, v // 256) if top is None else top, len(names))
 
     classed = counts.withColumn("class", (F.crc32(F.substring("word", -TAIL, TAIL)) % CLASSES).cast("int"))
     sizes = np.zeros((CLASSES, 2))
@@ -262,7 +304,7 @@ def score_lm(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id"
                        float(np.log10((ends + 0.5) / floor)))
     encoded = shared_table(encode(docs, vocab), "hmm-symbols")
     totals = np.concatenate([freq[:top], sizes[:, 0], [ends]])
-    m = train(encoded.filter("not held_out"), totals, states, warm_rounds, rounds, segment, seed)
+    m = train(encoded.filter("not held_out"), totals, states, max_rounds, tolerance, seed)
 
     # The other words: joined to the counts of the whole vocabulary.
     floors = F.array(*[F.lit(float(x)) for x in class_floor])
@@ -283,7 +325,7 @@ def score_lm(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id"
             start, ln = np.cumsum(size) - size, np.zeros(len(size))
             for g in _groups(size):
                 order, live = _by_time(size[g])
-                ln[g], _ = forward(shared.value, _gather(flat, start[g], size[g])[order], live)
+                ln[g], _, _ = forward(shared.value, _gather(flat, start[g], size[g])[order], live)
             yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(size), pa.array(ln / np.log(10))],
                                              ["rid", "id", "held_out", "n_listed", "base", "within", "n_tokens", "ln"])
 

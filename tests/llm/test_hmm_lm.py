@@ -24,14 +24,14 @@ def test_forward_is_exact():
     seqs.sort(key=len, reverse=True)
     size = np.array([len(s) for s in seqs])
     order, live = H._by_time(size)
-    got, _ = H.forward(m, np.concatenate(seqs)[order], live)
+    got, _, _ = H.forward(m, np.concatenate(seqs)[order], live)
     assert np.allclose(got, [math.log(brute(m, s)) for s in seqs])
 
 
 def test_expected_counts_meet_brute_force():
     m, seq = model(), [0, 3, 1, 2]
     order, live = H._by_time(np.array([4]))
-    starts, moves, emits, ll = H.expected_counts(m, np.array(seq)[order], live)
+    starts, moves, emits, ll, _ = H.expected_counts(m, np.array(seq)[order], live)
     total, s, mv, e = 0.0, np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
     for p in itertools.product(range(3), repeat=4):
         x = m.start[p[0]] * m.emit[seq[0], p[0]] * math.prod(m.move[a, b] * m.emit[o, b] for a, b, o in zip(p, p[1:], seq[1:]))
@@ -54,7 +54,7 @@ def test_scores(spark):
     rows = data()
     held = {5, 202, 10, 11, 203}
     df = docs(spark, rows).withColumn("held_out", F.coalesce(F.col("doc_id").isin(*held), F.lit(False))).withColumnRenamed("lang", "base")
-    got = H.score_lm(df, listed=6, top=4, states=2, warm_rounds=2, rounds=3, segment=16).collect()
+    got = H.score_lm(df, listed=6, top=4, states=2, max_rounds=5, tolerance=0.0).collect()
     assert len(got) == len(rows)
     tok = lambda t: [*(t or "").encode().lower().split(), None]                  # noqa: E731
     c = Counter(w for i, t, *_ in rows if i not in held for w in tok(t))
@@ -69,6 +69,60 @@ def test_scores(spark):
 
 def test_empty_and_untrained(spark):
     none = docs(spark, [], parts=1).withColumn("held_out", F.lit(False))
-    assert H.score_lm(none, states=2, warm_rounds=0, rounds=1).count() == 0
-    got = H.score_lm(docs(spark, [(1, "a b")]).withColumn("held_out", F.lit(True)), states=2, warm_rounds=0, rounds=1).first()
+    assert H.score_lm(none, states=2, max_rounds=1).count() == 0
+    got = H.score_lm(docs(spark, [(1, "a b")]).withColumn("held_out", F.lit(True)), states=2, max_rounds=1).first()
     assert (got["n_known"], got["train_tokens"], got["n_tokens"]) == (0, 0, 3) and math.isfinite(got["score"])
+
+
+def test_a_long_text_in_segments():
+    m, seq = model(4, 9, 3), np.random.default_rng(4).integers(0, 9, 200)
+    whole = H.expected_counts(m, seq, np.ones(200, int))
+    for size in (1, 7, 64, 200, 500):
+        for a, b in zip(H.long_counts(m, seq, size), whole[:4]):
+            assert np.allclose(a, b)
+
+
+def plain_rounds(m, seqs, unigram, rounds):
+    """Baum-Welch with every expectation from scratch, one text after the other."""
+    k, v = len(m.start), len(m.emit)
+    for _ in range(rounds):
+        s, mv, e = np.full(k, 0.1), np.full((k, k), 0.1), H.PRIOR * np.repeat(unigram[:, None], k, 1)
+        for q in seqs:
+            a, b = [m.start * m.emit[q[0]]], [np.ones(k)]
+            for x in q[1:]:
+                a.append(a[-1] @ m.move * m.emit[x])
+            for x in q[:0:-1]:
+                b.append(m.move @ (m.emit[x] * b[-1]))
+            b, total = b[::-1], a[-1].sum()
+            s += a[0] * b[0] / total
+            for t, x in enumerate(q):
+                e[x] += a[t] * b[t] / total
+                if t:
+                    mv += a[t - 1][:, None] * m.move * (m.emit[x] * b[t])[None] / total
+        m = H.Model(s / s.sum(), mv / mv.sum(1, keepdims=True), e / e.sum(0))
+    return m
+
+
+def test_training_meets_plain_baum_welch(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    seqs = [r.integers(0, 6, r.integers(1, 25)).tolist() for _ in range(40)]
+    counts = np.bincount([x for q in seqs for x in q], minlength=6).astype(float)
+    want = plain_rounds(H.first_model(counts, 3, 7), seqs, (counts + 0.1) / (counts + 0.1).sum(), 4)
+    for parts, tokens in ((1, 400_000), (7, 9)):               # in several partitions, and with texts longer than one pass
+        monkeypatch.setattr(H, "TOKENS", tokens)
+        encoded = spark.createDataFrame([(q,) for q in seqs], "symbols array<int>").repartition(parts)
+        got = H.train(encoded, counts, 3, 4, -1e9, 7)
+        assert np.allclose(got.start, want.start) and np.allclose(got.move, want.move) and np.allclose(got.emit, want.emit)
+
+
+def test_small_tables_keep_their_states_apart(spark, monkeypatch):
+    kept = {}
+    whole = H.train
+    monkeypatch.setattr(H, "train", lambda *a: kept.setdefault("m", whole(*a)))
+    for n in (4, 12, 60):
+        kept.clear()
+        rows = [(i, prose(i, 20, ["ka", "lo", "mi", "ne"] if i % 2 else ["su", "ta", "ri", "vo"])) for i in range(n)]
+        got = H.score_lm(docs(spark, rows, parts=1).withColumn("held_out", F.lit(False)), states=4).collect()
+        e = kept["m"].emit
+        assert max(np.abs(e[:, a] - e[:, b]).sum() for a in range(4) for b in range(a)) > 0.5      # there are two kinds of texts
+        assert sum(r["score"] > r["base_score"] for r in got) > 0.9 * n
