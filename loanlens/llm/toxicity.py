@@ -117,8 +117,7 @@ def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]]
     """Logistic weights by Adam; ``swaps`` holds the features that each swapped version loses and gains.
 
     Loss: mean log loss + l2 |w|^2 + penalty * mean squared change of the
-    log odds over the swapped versions.  The rarer class counts
-    sqrt(frequent / rare) times.
+    log odds over the swapped versions.  Both classes count the same.
     """
     size = np.array([len(r) for r in rows], int)
     col = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) else np.empty(0, np.int32)
@@ -127,7 +126,7 @@ def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]]
     dcol = np.array([f for a, b in swaps for f in (*a, *b)], int)
     dval = np.array([x for a, b in swaps for x in (*[1.0] * len(a), *[-1.0] * len(b))])
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
-    heavy = np.where(labels == (share < 0.5), np.sqrt(max(share, 1 - share) / min(share, 1 - share)), 1.0)
+    heavy = np.where(labels == (share < 0.5), max(share, 1 - share) / min(share, 1 - share), 1.0)
     heavy /= max(heavy.sum(), 1.0)
     w, bias = np.zeros(n), float(np.log(share / (1 - share)))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
