@@ -309,12 +309,17 @@ def _monitored(spark, sf_dir):
 
 @register("retrain_loop")
 def retrain_loop(spark, sf_dir):
-    """I16: the windows' verdict against the stored profile, and if one asks for it a
-    candidate trained with those windows, tested and registered; the steps done."""
+    """I16: the windows' verdict against the stored profile, one of them shifted, and a candidate
+    trained with the windows that ask for it, tested and registered; the steps done."""
     from loanlens.operators.retrain import retrain
     model, base = fitted_prep(spark, sf_dir), scratch_path(spark, f"retraining-{uuid.uuid4().hex}")
-    verdict = pr.monitor_against(_faulty(spark, sf_dir, model), _profile(spark, sf_dir, model), _WINDOWS,
-                                 _window_approval(spark, sf_dir, model, _WINDOWS), binary=_binary(model))
+    late = F.col("split") == "drift_2000"
+    rows = prepared(spark, sf_dir, model)
+    for c, move in (("sub_grade_encoded", 12.0), ("dti_capped", 15.0), ("revol_util_capped", 20.0)):           # riskier applications in one window
+        rows = rows.withColumn(c, F.col(c) + F.when(late, move).otherwise(0.0))
+    approval = rows.where(F.col("split").isin(*_WINDOWS)).select("split", CHAMPION.probability().alias("p")).groupBy(F.col("split").alias("window")).agg(
+        round_ratio(F.count_if(F.col("p") < CHAMPION_THRESHOLD), F.count(F.lit(1)), 4).alias("approval_rate"))
+    verdict = pr.monitor_against(rows, _profile(spark, sf_dir, model), _WINDOWS, approval, binary=_binary(model))
     val = prepared(spark, sf_dir, model).where(F.col("split") == "val")
     return retrain(spark, base, "run", verdict, lambda windows: _learned(spark, sf_dir, "logistic", ("train", *windows)),
                    lambda m: ev.auc(ml.score(m, val)).first()["auc"], f"{base}/registry", "logistic")
