@@ -44,6 +44,7 @@ from loanlens.llm.simhash import _forest, components
 REGISTERS, BAND = 160, 5
 BASE, RATE, TOP = 1.1, 20.0, 255
 SLICE = 100_000          # elements sketched at once
+ROWS = 1000              # texts turned into sets at once
 TILE = 512               # sets of one bucket in a tile
 PAIRS = 30_000           # pairs judged at once
 MARGIN = 14.0            # log-likelihood by which a pair must fall short of its best value to be ruled out
@@ -299,7 +300,7 @@ def with_sketches(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             sets = [shingle_set(t.as_py(), shingle, known) for t in b.column("__text")]
             yield pa.RecordBatch.from_arrays([
                 b.column("__id"), b.column("__key"), pa.array([len(s) for s in sets], pa.int64()),
