@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from loanlens.llm.common import shared_table
+from loanlens.llm.common import shared_table, small_or_shuffled
 
 BLOCK = 512          # side of one exclusive-or block
 SMALL = 64           # units up to this size are compared together, lag by lag
@@ -262,22 +262,29 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                         max_distance: int = 2) -> DataFrame:
+                         max_distance: int = 2, max_broadcast: int = 1_000_000) -> DataFrame:
     """Keep one row of each component, with all columns of ``docs``.
 
     The row with the smallest id stays (null ids last).  If that id is carried
     by several rows of the component, one of those with the smallest
-    fingerprint stays.
+    fingerprint stays.  Null and empty texts have fingerprint zero, so one of
+    them stays; texts of any length are fingerprinted whole.  Columns of any
+    name are kept as they are; an empty table gives an empty result.
+
+    Only ids, fingerprints and row numbers are shuffled.  The numbers of the
+    rows that go meet the texts by a broadcast, or, if there are more than
+    ``max_broadcast`` of them, by a shuffle.
     """
-    marked = shared_table(with_fingerprint(docs, text_col, shingle), "simhash-documents")
-    comp = near_duplicates(marked.select(id_col, "__fp"), id_col, "__fp", max_distance)
-    slim = marked.select(F.col(id_col).alias("__id"), "__fp").join(
-        comp.select(F.col("fp").alias("__fp"), "root", "component_id"), "__fp")
-    first = slim.filter(F.col("__id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("__fp").alias("__fp"), F.count("*").alias("__times"), F.min("__id").alias("__keep"))
-    first = shared_table(first, "simhash-kept")
-    kept = marked.join(first.drop("root").withColumnRenamed("__fp", "__key"),
-                       (F.col("__fp") == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__keep")))
-    once = kept.filter("__times = 1")
-    again = kept.filter("__times > 1").dropDuplicates(["__fp"])
-    return once.unionByName(again).select(*docs.columns)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own_id, own_text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    marked = shared_table(with_fingerprint(plain, own_text, shingle, "fp").withColumn("row", F.monotonically_increasing_id()),
+                          "simhash-documents")
+    comp = near_duplicates(marked.select(own_id, "fp"), own_id, "fp", max_distance)
+    several = comp.groupBy("root").agg(F.sum("n").alias("rows")).filter("rows > 1").select("root")
+    groups = comp.join(several, "root").select("fp", "root", "component_id")
+    copies = shared_table(marked.select("row", F.col(own_id).alias("id"), "fp").join(groups, "fp"), "simhash-copies")
+    stay = copies.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min(F.struct("fp", "row")).alias("least")).select("least.row")
+    gone = shared_table(copies.select("row").join(stay, "row", "left_anti"), "simhash-dropped")
+    kept = marked.join(small_or_shuffled(gone, max_broadcast), "row", "left_anti")
+    return kept.select(*plain.columns).toDF(*docs.columns)

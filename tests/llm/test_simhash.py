@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 from helpers import docs, prose
 from loanlens.llm import simhash as S
 
@@ -80,3 +81,18 @@ def test_operator_and_edge_cases(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(v) for v in low.values())
     assert S.simhash_components(docs(spark, [], parts=1)).count() == 0
     assert S.drop_near_duplicates(docs(spark, [], parts=1)).count() == 0
+
+
+def test_dropped_rows_meet_the_texts_by_broadcast_and_by_shuffle(spark):
+    a, b = prose(21, 200), prose(22, 200)
+    data = [(7, a), (3, a), (3, a), (3, a + " tail"), (9, b), (None, b), (None, prose(23, 90)), (None, prose(23, 90)), (11, None), (12, ""),
+            (30, prose(24, 20_000)), (31, prose(24, 20_000))]
+    df = docs(spark, data).withColumnsRenamed({"lang": "row", "source": "fp", "n_chars": "__times"}).withColumn("c0", F.lit("x"))
+    for most in (1_000_000, 0):
+        kept = S.drop_near_duplicates(df, max_broadcast=most)
+        assert kept.columns == df.columns
+        assert sorted((str(r["doc_id"]), (r["text"] or "")[:200]) for r in kept.collect()) == sorted(
+            [("3", min((a, a + " tail"), key=lambda t: np.int64(np.uint64(fingerprint(t))))[:200]), ("9", b[:200]),
+             ("None", prose(23, 90)[:200]), ("11", ""), ("30", prose(24, 20_000)[:200])])
+    plan = S.drop_near_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan      # texts stay where they are
