@@ -20,3 +20,15 @@ def test_site_relative_frequency(spark):
 
 def test_empty_table(spark):
     assert drop_boilerplate(docs(spark, [], parts=1)).count() == 0
+
+
+def test_lists_by_broadcast_and_by_cut_hosts(spark):
+    rows = [(i, f"Header of hot\nown line {i}\nsecond own {i}", "en", "hot") for i in range(400)]
+    rows += [(1000 + i, f"Header of {i % 20}\nown line {i}", "en", f"h{i % 20}" if i % 20 else None) for i in range(200)]
+    rows += [(5, rows[5][1], "en", "hot")] * 10 + [(None, None, None, "hot"), (3000, "Header of hot\n" + "x y\n" * 20_000, "en", "hot")]
+    df = docs(spark, rows).withColumnRenamed("lang", "host").withColumnRenamed("n_chars", "keys")
+    got = [sorted(map(str, drop_boilerplate(df, max_broadcast=m).collect())) for m in (10_000, 0)]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    done = drop_boilerplate(df, max_broadcast=0)
+    assert done.columns == [*df.columns, "n_lines", "n_dropped"]
+    assert {r["n_dropped"] for r in done.collect()} == {0, 1} and done.filter("n_dropped = 0").count() == 1
