@@ -296,7 +296,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no verified item, with all their columns."""
+    """The rows of ``docs`` that hold no verified item, with all their columns, whatever their names (``__matches`` too)."""
     out = "__matches"
     while out in docs.columns:
         out += "_"

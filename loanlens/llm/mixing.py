@@ -72,7 +72,9 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
     running sum meets the rest gives only the words up to there.  Rows with
     equal id and text have equal keys; if the sum meets the rest among them,
     each gives the same share of its words, rounded down.  A source
-    without words has target 0.  An empty table gives an empty result.
+    without words has target 0.  An empty table gives an empty result.  Texts
+    of any length are counted whole; one that the sum meets is cut like any
+    other.  Other columns of ``docs`` are not read, whatever their names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = shared_table(docs.select(

@@ -1,6 +1,7 @@
 import math
 import re
 
+from pyspark.sql import functions as F
 from helpers import docs, prose
 from loanlens.llm.mixing import mix, source_targets
 
@@ -54,3 +55,15 @@ def test_mix(spark):
 
 def test_empty(spark):
     assert mix(docs(spark, [], parts=1)).count() == 0
+
+
+def test_long_texts_and_clashing_names(spark):
+    data = [(i, "w " * (40_000 if i == 3 else 5), "en", f"s{i % 2}") for i in range(12)]
+    df = docs(spark, data)
+    odd = df.withColumnsRenamed({"lang": "key", "n_chars": "target"}).withColumn("taken", F.lit("x"))
+    got = {r["doc_id"]: r for r in mix(odd).collect()}
+    assert sorted(map(str, got.values())) == sorted(map(str, mix(df).collect()))
+    assert got[3]["size"] == 40_000 and got[3]["taken"] <= 120_000
+    for s in (0, 1):
+        mine = [r for i, r in got.items() if i % 2 == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 1
