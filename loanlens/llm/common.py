@@ -70,32 +70,29 @@ def top_rows(df: DataFrame, score: Column, n: int) -> DataFrame:
     return df.filter(F.col("__bucket") >= F.lit(cut)).drop("__bucket")
 
 
-def fair_shares(sizes: dict, max_rows: int) -> dict:
-    """How many rows one taken row stands for, by label: ``max_rows`` are shared evenly, and what a small label leaves goes to the others."""
-    out, left = {}, max_rows
-    for i, (label, n) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
-        out[label] = -(-n // max(1, left // (len(sizes) - i)))
-        left -= -(-n // out[label])
-    return out
+def one_in(sizes: dict, max_rows: int) -> dict:
+    """Of how many rows one is taken, by label: of all labels alike, but of a rare one (under a tenth of an even share) more, up to all."""
+    alike = max(1, -(-sum(sizes.values()) // max_rows))
+    least = max(1, max_rows // (10 * max(1, len(sizes))))
+    return {label: min(alike, -(-n // least)) for label, n in sizes.items()}
 
 
 def even_sample(rows: DataFrame, text_col: str, label_col: str, max_rows: int, tag: str) -> DataFrame:
     """Distinct (text, label) of ``rows`` plus ``copies``, which sum to about ``max_rows`` at most (all rows if there are fewer).
 
-    Labels have even shares, and a label with fewer rows than its share is
-    taken whole, so a rare label is there.  Of the copies of a text every
-    ``one_in``-th is taken, the remainder by hash, so that a text has the share
-    of the sample that it has of its label's rows and not all or nothing.  No
-    row keys: the sample is the same however the rows are dealt.  Only keys and
-    counts are shuffled, and of the chosen texts one row of each task.
+    Of the copies of a text every :func:`one_in`-th is taken, the remainder by
+    hash, so that a text has the share of the sample that it has of the rows
+    and not all or nothing, and a rare label is there.  No row keys: the sample
+    is the same however the rows are dealt.  Only keys and counts are shuffled,
+    and of the chosen texts one row of each task.
     """
     key = F.xxhash64(text_col)
     groups = shared_table(rows.groupBy(key.alias("__key"), F.col(label_col).alias("__label")).agg(F.count("*").alias("n")), f"{tag}-groups")
     sizes = {r["__label"]: r["rows"] for r in groups.groupBy("__label").agg(F.sum("n").alias("rows")).collect()}       # a row per label
-    one_in = rows.sparkSession.createDataFrame(
-        list(fair_shares(sizes, max_rows).items()), StructType([StructField("l", groups.schema["__label"].dataType), StructField("one_in", LongType())]))
+    parts = rows.sparkSession.createDataFrame(
+        list(one_in(sizes, max_rows).items()), StructType([StructField("l", groups.schema["__label"].dataType), StructField("one_in", LongType())]))
     taken = F.floor((F.col("n") + F.pmod(F.xxhash64("__key", F.lit(1)), F.col("one_in"))) / F.col("one_in"))
-    chosen = shared_table(groups.join(F.broadcast(one_in), F.col("__label").eqNullSafe(F.col("l"))).select(
+    chosen = shared_table(groups.join(F.broadcast(parts), F.col("__label").eqNullSafe(F.col("l"))).select(
         "__key", "__label", taken.cast("long").alias("copies")).filter("copies > 0"), f"{tag}-chosen")
     chosen = small_or_shuffled(chosen, 2 * max_rows)
     found = rows.select(text_col, F.col(label_col).alias("__label"), key.alias("__key")).join(chosen, ["__key", "__label"])

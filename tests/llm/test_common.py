@@ -1,13 +1,13 @@
 from helpers import docs, prose
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import even_sample, fair_shares
+from loanlens.llm.common import even_sample, one_in
 
 
-def test_fair_shares():
-    assert fair_shares({"a": 10, "b": 20}, 100) == {"a": 1, "b": 1}
-    assert fair_shares({"rare": 3, "b": 1000, "c": 100_000}, 103) == {"rare": 1, "b": 20, "c": 2000}
-    assert fair_shares({}, 5) == {} and set(fair_shares({i: 10 for i in range(50)}, 5).values()) == {10}
+def test_one_in():
+    assert one_in({"a": 10, "b": 20}, 100) == {"a": 1, "b": 1}
+    assert one_in({"rare": 3, "few": 40, "c": 9957}, 300) == {"rare": 1, "few": 4, "c": 34}
+    assert one_in({}, 5) == {} and set(one_in({i: 10 for i in range(50)}, 5).values()) == {10}
 
 
 def test_rare_labels_and_copies_have_their_share(spark):
