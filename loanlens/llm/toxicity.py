@@ -113,20 +113,23 @@ class Classifier:
 
 
 def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]], n: int, penalty: float,
-        l2: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
+        copies: np.ndarray | None = None, times: np.ndarray | None = None, l2: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
     """Logistic weights by Adam; ``swaps`` holds the features that each swapped version loses and gains.
 
     Loss: mean log loss + l2 |w|^2 + penalty * mean squared change of the
-    log odds over the swapped versions.  Both classes count the same.
+    log odds over the swapped versions.  Both classes count the same.  A row
+    stands for ``copies`` rows and a swap for ``times`` swaps (else for one).
     """
+    copies = np.ones(len(rows)) if copies is None else copies
+    times = np.ones(len(swaps)) if times is None else times
     size = np.array([len(r) for r in rows], int)
     col = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) else np.empty(0, np.int32)
     at = np.repeat(np.arange(len(rows)), size)
     dat = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b in swaps])
     dcol = np.array([f for a, b in swaps for f in (*a, *b)], int)
     dval = np.array([x for a, b in swaps for x in (*[1.0] * len(a), *[-1.0] * len(b))])
-    share = np.clip(labels.mean(), 1e-3, 1 - 1e-3) if len(labels) else 0.5
-    heavy = np.where(labels == (share < 0.5), max(share, 1 - share) / min(share, 1 - share), 1.0)
+    share = np.clip(np.average(labels, weights=copies), 1e-3, 1 - 1e-3) if len(labels) else 0.5
+    heavy = np.where(labels == (share < 0.5), max(share, 1 - share) / min(share, 1 - share), 1.0) * copies
     heavy /= max(heavy.sum(), 1.0)
     w, bias = np.zeros(n), float(np.log(share / (1 - share)))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
@@ -135,8 +138,8 @@ def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]]
         r = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) * heavy
         g = np.bincount(col, r[at], n) + 2 * l2 * w
         if len(swaps):
-            change = np.bincount(dat, dval * w[dcol], len(swaps))
-            g += 2 * penalty / len(swaps) * np.bincount(dcol, dval * change[dat], n)
+            change = np.bincount(dat, dval * w[dcol], len(swaps)) * times
+            g += 2 * penalty / times.sum() * np.bincount(dcol, dval * change[dat], n)
         g = np.r_[g, r.sum()]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -168,17 +171,18 @@ def train(rows: DataFrame, min_rows: int = 3, max_fit_rows: int = 10_000, penalt
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
             own = [sorted(num[f] for f in known & features(_words(t))) for t in texts]
-            pairs = [[[sorted(num[f] for f in known & x) for x in s] for s in swapped(t)] for t in texts]
-            lost, gained = ([[s[k] for s in ss] for ss in pairs] for k in (0, 1))
-            kind = pa.list_(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(own, pa.list_(pa.int32())), pa.array(lost, kind), pa.array(gained, kind)],
-                                             ["label", "copies", "own", "lost", "gained"])
-
-    # about max_fit_rows rows; of a swapped version only the features that change
-    got = sample.mapInArrow(run, "label int, copies long, own array<int>, lost array<array<int>>, gained array<array<int>>").toPandas()
-    got = got.loc[got.index.repeat(got["copies"])]
+            # lost features count from 1, gained ones from -1 downwards
+            swaps = [[sorted([num[f] + 1 for f in known & lost] + [-num[f] - 1 for f in known & gained]) for lost, gained in swapped(t)] for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(own, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))],
+                                             ["label", "copies", "own", "swaps"])
+
+    numbers = shared_table(sample.mapInArrow(run, "label int, copies long, own array<int>, swaps array<array<int>>"), "toxicity-numbers")
+    got = numbers.select("label", "copies", "own").toPandas()                  # about max_fit_rows rows
+    # Versions that change the same features count together: a row per kind of change, however many sentences have it.
+    kinds = numbers.select("copies", F.explode("swaps").alias("swap")).groupBy("swap").agg(F.sum("copies").alias("times")).toPandas()
     w, bias = fit(list(got["own"]), got["label"].to_numpy(float),
-                  [x for a, b in zip(got["lost"], got["gained"]) for x in zip(a, b)], len(names), penalty)
+                  [([f - 1 for f in x if f > 0], [-f - 1 for f in x if f < 0]) for x in kinds["swap"]], len(names), penalty,
+                  got["copies"].to_numpy(float), kinds["times"].to_numpy(float))
     return Classifier({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9}, float(bias))
 
 

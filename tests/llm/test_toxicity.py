@@ -86,3 +86,13 @@ def test_a_long_labelled_text(spark):
     rows = [(f"word{i} scumbag", 1) for i in range(20)] + [(f"word{i} fine", 0) for i in range(20)] + [(text, 0)]
     model = T.train(spark.createDataFrame(rows, "text string, label int").repartition(2))
     assert model.score("scumbag") > 0.5 > model.score(text)
+
+
+def test_copies_and_like_swaps_count_together():
+    rows, labels = [[0, 1], [0], [2], [1, 2]], [1, 1, 0, 0]
+    swaps = [([0], [2]), ([1], []), ([], [])]
+    copies, times = [3, 1, 2, 1], [4, 1, 2]
+    short = T.fit(rows, np.array(labels, float), swaps, 3, 2.0, np.array(copies, float), np.array(times, float))
+    long = T.fit([r for r, c in zip(rows, copies) for _ in range(c)], np.repeat(np.array(labels, float), copies),
+                 [x for x, t in zip(swaps, times) for _ in range(t)], 3, 2.0)
+    assert np.allclose(short[0], long[0], atol=1e-6) and abs(short[1] - long[1]) < 1e-6
