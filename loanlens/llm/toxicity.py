@@ -113,18 +113,22 @@ class Classifier:
 
 
 def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]], n: int, penalty: float,
-        copies: np.ndarray | None = None, times: np.ndarray | None = None, l2: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
+        copies: np.ndarray | None = None, times: np.ndarray | None = None, l2: float = 2e-5, steps: int = 500,
+        part: int = 500_000) -> tuple[np.ndarray, float]:
     """Logistic weights by Adam; ``swaps`` holds the features that each swapped version loses and gains.
 
     Loss: mean log loss + l2 |w|^2 + penalty * mean squared change of the
     log odds over the swapped versions.  Both classes count the same.  A row
     stands for ``copies`` rows and a swap for ``times`` swaps (else for one).
+    Each step goes through the rows in parts of about ``part`` feature numbers.
     """
     copies = np.ones(len(rows)) if copies is None else copies
     times = np.ones(len(swaps)) if times is None else times
     size = np.array([len(r) for r in rows], int)
     col = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) else np.empty(0, np.int32)
-    at = np.repeat(np.arange(len(rows)), size)
+    first = np.r_[0, np.cumsum(size)]
+    cuts = np.unique(np.r_[np.searchsorted(first, np.arange(0, first[-1], part)), len(rows)])
+    parts = [(slice(a, b), slice(first[a], first[b])) for a, b in zip(cuts, cuts[1:])]
     dat = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b in swaps])
     dcol = np.array([f for a, b in swaps for f in (*a, *b)], int)
     dval = np.array([x for a, b in swaps for x in (*[1.0] * len(a), *[-1.0] * len(b))])
@@ -134,9 +138,13 @@ def fit(rows: list, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]]
     w, bias = np.zeros(n), float(np.log(share / (1 - share)))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for t in range(1, steps + 1) if len(rows) else ():
-        z = bias + np.bincount(at, w[col], len(rows))
+        z = np.full(len(rows), bias)
+        for of, place in parts:
+            z[of] += np.bincount(np.repeat(np.arange(of.stop - of.start), size[of]), w[col[place]], of.stop - of.start)
         r = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) * heavy
-        g = np.bincount(col, r[at], n) + 2 * l2 * w
+        g = 2 * l2 * w
+        for of, place in parts:
+            g += np.bincount(col[place], np.repeat(r[of], size[of]), n)
         if len(swaps):
             change = np.bincount(dat, dval * w[dcol], len(swaps)) * times
             g += 2 * penalty / times.sum() * np.bincount(dcol, dval * change[dat], n)

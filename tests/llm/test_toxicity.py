@@ -96,3 +96,14 @@ def test_copies_and_like_swaps_count_together():
     long = T.fit([r for r, c in zip(rows, copies) for _ in range(c)], np.repeat(np.array(labels, float), copies),
                  [x for x, t in zip(swaps, times) for _ in range(t)], 3, 2.0)
     assert np.allclose(short[0], long[0], atol=1e-6) and abs(short[1] - long[1]) < 1e-6
+
+
+def test_parts_of_the_rows_sum_to_the_whole():
+    g = np.random.default_rng(5)
+    rows = [sorted(set(g.integers(0, 30, g.integers(0, 9)).tolist())) for _ in range(80)] + [[], []]      # some rows hold nothing
+    labels = g.integers(0, 2, len(rows)).astype(float)
+    whole = T.fit(rows, labels, [([0], [1])], 30, 1.0)
+    for part in (1, 10):
+        w, bias = T.fit(rows, labels, [([0], [1])], 30, 1.0, part=part)
+        assert np.allclose(whole[0], w, atol=1e-6) and abs(whole[1] - bias) < 1e-6
+    assert len(T.fit([[], []], np.array([0.0, 1.0]), [], 3, 1.0)[0]) == 3
