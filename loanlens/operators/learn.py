@@ -119,7 +119,8 @@ def with_donors(df: DataFrame, key: str, features: Sequence[str], repeats: int,
 
     Rows stand in the order of md5(key); in repeat r a row's donor is the row
     a hash-drawn number of places further on, round the end.  One global sort
-    serves all repeats.
+    serves all repeats.  The join is a merge join, whatever the written rows
+    weigh: equal values make a file far smaller than its rows in memory.
     """
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
     placed = shared_table(numbered(df.withColumn("_h", h), [F.col("_h"), F.col(key)], "permutation").drop("_h"), "permuted-rows")
@@ -130,7 +131,7 @@ def with_donors(df: DataFrame, key: str, features: Sequence[str], repeats: int,
     moved = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), ((F.col("_number") - s + n) % n).alias("to")) for r, s in enumerate(shifts)]))
     donors = placed.select(F.array(*[F.col(_q(c)).cast("double") for c in features]).alias("donor"), moved.alias("m")).select(
         "donor", "m.r", F.col("m.to").alias("_number"))
-    return placed.join(donors, "_number").drop("_number")
+    return placed.hint("merge").join(donors.hint("merge"), "_number").drop("_number")
 
 
 def permutation_importance(margins, df: DataFrame, features: Sequence[str], key: str = "app_id",

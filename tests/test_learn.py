@@ -112,6 +112,13 @@ def test_search_is_seeded_and_halves(planted):
     assert [f["depth"] for f in again] == [f["depth"] for f in found] and [f["auc"] for f in again] == pytest.approx([f["auc"] for f in found])
 
 
+def test_donors_are_never_broadcast(planted):
+    rows = ml.with_donors(planted.select("app_id", *FEATS), "app_id", FEATS, 2, 5)        # few and small: Spark would broadcast them
+    assert rows.count() == 6000
+    plan = rows._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_permutation_importance_meets_brute_force(planted):
     val = planted.where("split = 'val'").limit(200)
     margin = lambda d: d.withColumn("p", F.round(0.7 * F.col("x_a") + 0.2 * F.col("x_b"), 4))     # noqa: E731
