@@ -11,9 +11,9 @@ Counting covers all training rows: each task counts its n-grams in numpy and
 Spark sums the counts.  No n-gram is dropped.  Beyond ``max_ngrams`` counts the
 model is cut into shards by the two middle characters of the 4-gram; all that
 a character needs, from its 4-gram down to the bigram, lies in one shard, so
-each shard scores its own characters exactly and the sums are added.  The
-labelled sample that calibrates scores and rejection is bounded
-(``calibration_rows``).
+each shard scores its own characters exactly and the sums are added.  Scores
+and rejection are calibrated on all labelled rows: tasks sum the likelihood of
+each sharpness, and the limits are exact quantiles by language.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 ORDER = 4
 SPACE = 32
-CHUNK = 2_000_000       # characters per numpy pass
+CHUNK = 250_000         # characters per numpy pass
+ROWS = 1000             # texts of a batch in Python at once
+SHARPNESS = 2.0 ** np.arange(-2, 9, 0.5)
 MIDDLES = 1 << 32       # values of the two middle characters of a 4-gram
 _LETTER: np.ndarray | None = None
 
@@ -93,7 +95,7 @@ def count_grams(rows: DataFrame, text_col: str, lang_col: str, flush: int = 1_00
                                                  ["lang", "gram", "n"])
             held.clear()
 
-        for b in batches:
+        for b in _few(batches):
             texts: dict[str, list[str]] = {}
             for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if t:
@@ -111,6 +113,11 @@ def count_grams(rows: DataFrame, text_col: str, lang_col: str, flush: int = 1_00
         F.sum("n").alias("n"))
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ROWS rows."""
+    return (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
+
+
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
@@ -241,57 +248,53 @@ def kneser_ney(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarr
     return LanguageModels(langs, keys, logp, contexts, backoff, unseen.astype(np.float32))
 
 
-def calibrate(model: LanguageModels, h: np.ndarray, size: np.ndarray, lang: list[str], share: float = 0.001,
-              slack: float = 1.5) -> None:
+def calibrate(model: LanguageModels, scored: DataFrame, share: float = 0.001, slack: float = 1.5) -> None:
     """Set the sharpness of scores and, by language, the bits beyond which a text is rejected.
 
-    The sharpness is the one under which the labelled rows are likeliest.  All
-    but ``share`` of a language's rows lie under its limit, to which ``slack``
-    bits and, for short texts, 4 / sqrt(characters) bits are added: a text of
-    the language with odd matter in it stays, one of other letters goes.
+    ``scored`` is a written table (lang, size, h) of all labelled rows.  The
+    sharpness is the one under which they are likeliest.  All but ``share`` of
+    a language's rows lie under its limit, to which ``slack`` bits and, for
+    short texts, 4 / sqrt(characters) bits are added: a text of the language
+    with odd matter in it stays, one of other letters goes.
     """
-    where = {x: i for i, x in enumerate(model.langs)}
-    rows = np.array([i for i, x in enumerate(lang) if x in where and size[i] > 0], int)
-    y = np.array([where[lang[i]] for i in rows], int)
-    h, size = h[rows], size[rows]
-    model.limit = np.full(len(model.langs), np.inf)
-    if not len(rows):
-        return
-    gap = h.min(1, keepdims=True) - h
-    best = None
-    for s in 2.0 ** np.arange(-2, 9, 0.5):
-        z = gap * s
-        nll = float((np.log(np.exp(z).sum(1)) - z[np.arange(len(y)), y]).mean())
-        if best is None or nll < best:
-            best, model.sharpness = nll, float(s)
-    top = h.argmin(1)
-    over = h.min(1) - 4 / np.sqrt(size)
-    for i in range(len(model.langs)):
-        mine = over[(top == i) & (y == i)]
-        if len(mine):
-            model.limit[i] = np.quantile(mine, 1 - share) + slack
-
-
-def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", max_ngrams: int = 1_000_000,
-          calibration_rows: int = 10_000) -> LanguageModels:
+    from loanlens.plans.prefix import quantiles_of_counts
+    where, width = {x: i for i, x in enumerate(model.langs)}, len(model.langs)
+    model.limit = np.full(width, np.inf)
+    scored = scored.filter("size > 0")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nll = np.zeros(len(SHARPNESS))
+        for b in batches:
+            h = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            gap = h.min(1, keepdims=True) - h
+            mine = gap[np.arange(len(gap)), [where[x] for x in b.column(0).to_pylist()]] if len(gap) else np.zeros(0)
+            nll += [(np.log(np.exp(gap * k).sum(1)) - mine * k).sum() for k in SHARPNESS]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(nll)), pa.int32()), pa.array(nll)], ["k", "nll"])
+
+    sums = scored.select("lang", "h").mapInArrow(run, "k int, nll double").groupBy("k").agg(F.sum("nll").alias("nll")).collect()      # a row per sharpness
+    if sums:
+        model.sharpness = float(SHARPNESS[min(sums, key=lambda r: (r["nll"], r["k"]))["k"]])
+    low = F.array_min("h")
+    top = F.get(F.array(*[F.lit(x) for x in model.langs]), (F.array_position("h", low) - 1).cast("int"))
+    over = scored.select("lang", (low - 4 / F.sqrt("size")).alias("over"), top.alias("top")).filter("top = lang")
+    counts = over.groupBy("lang", "over").agg(F.count("*").alias("n"))
+    for r in quantiles_of_counts(counts, ["lang"], "over", "n", [1 - share]).collect():                # a row per language
+        model.limit[where[r["lang"]]] = r["quantiles"][0] + slack
+
+
+def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", max_ngrams: int = 1_000_000) -> LanguageModels:
     """Models of all languages of ``rows`` (rows without text or language are left out).
 
     ``max_ngrams`` bounds the 4-gram counts of one shard: beyond it there are
-    more shards (one pair of middle characters is never parted).
-    ``calibration_rows`` bounds the labelled sample behind scores and limits;
-    copies of a text have their share of it.
+    more shards (one pair of middle characters is never parted).  Scores and
+    limits are calibrated on all of ``rows``.
     """
-    from loanlens.llm.common import even_sample, shared_table
+    from loanlens.llm.common import shared_table
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     counts = shared_table(count_grams(rows, "text", "lang"), "langid-grams")
     model = _sharded(counts, max_ngrams) if counts.count() > max_ngrams else _whole(counts)
-    langs = model.langs
-    if not langs:
-        return model
-    sample = even_sample(rows, "text", "lang", calibration_rows, "langid")
-    scored = _scored(sample, model, "text").select("lang", "copies", "size", "h").toPandas()       # about calibration_rows rows
-    scored = scored.loc[scored.index.repeat(scored["copies"])]
-    calibrate(model, np.array(scored["h"].tolist(), float).reshape(-1, len(langs)), scored["size"].to_numpy(), scored["lang"].tolist())
+    if model.langs:
+        calibrate(model, shared_table(_scored(rows, model, "text").select("lang", "size", "h"), "langid-labelled"))
     return model
 
 
@@ -349,7 +352,7 @@ def _sharded(counts: DataFrame, max_ngrams: int) -> LanguageModels:
 
 def _entropies(model, part: int, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _few(batches):
             h, size = model.value.cross_entropy([t or "" for t in b.column(text_at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns[:text_at], *b.columns[text_at + 1:], pa.array([part] * len(size), pa.int32()),
                                               pa.array(size.astype(np.int64)), pa.array(h.tolist(), pa.list_(pa.float64()))],
@@ -403,7 +406,7 @@ def identify(docs: DataFrame, model: LanguageModels, text_col: str = "text", pre
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in _few(batches):
             texts = [t or "" for t in b.column(at).to_pylist()]
             if not m.langs:
                 cols = [["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [0] * len(texts), [1] * len(texts)]

@@ -121,3 +121,20 @@ def test_shards_score_as_the_whole_model(spark, corpus):
     for x, y in zip(a, b):
         assert x[:3] == y[:3] and (x[3] is None) == (y[3] is None) and (x[3] is None or abs(x[3] - y[3]) < 1e-4)
     assert [r[1] for r in b if r[0] in (503, 2000)] == ["vi"] * 3
+
+
+def test_limits_come_from_all_labelled_rows(spark):
+    """10,400 rows, 13 of them (over one in a thousand) with odd letters: a sample of 10,000 rows takes another limit."""
+    odd = "qx jhz wv "
+    rows = [(i, prose(i, 4, SETS["xx"]) + (odd * (1 + i // 800) if i % 800 == 0 else ""), "xx") for i in range(10_400)]
+    rows += [(20_000 + i, prose(i, 6, SETS["yy"]), "yy") for i in range(50)]
+    df = docs(spark, rows)
+    model = L.train(df)
+    h, size = model.cross_entropy([r[1] for r in rows])
+    y = np.array([model.langs.index(r[2]) for r in rows])
+    gap = h.min(1, keepdims=True) - h
+    nll = [(np.log(np.exp(gap * s).sum(1)) - gap[np.arange(len(y)), y] * s).sum() for s in L.SHARPNESS]
+    assert model.sharpness == L.SHARPNESS[int(np.argmin(nll))]
+    for i in range(len(model.langs)):
+        mine = (h.min(1) - 4 / np.sqrt(size))[(h.argmin(1) == i) & (y == i)]
+        assert abs(model.limit[i] - (np.quantile(mine, 0.999) + 1.5)) < 1e-9
