@@ -260,12 +260,14 @@ class Booster:
         prob = 1 / (1 + F.exp(-F.col("_m")))
         spread = F.greatest(prob * (1 - prob), F.lit(MIN_SPREAD))
         in_fit = ~F.col("_val") & (F.pmod(F.xxhash64("_row", F.lit(p.seed), F.lit(r)), F.lit(10_000)) < int(p.subsample * 10_000))
-        fit = sliced.where(in_fit).select("_s", ((F.col("_y") - prob) / spread).alias("_z"), (F.col("_w") * spread).alias("_h"))
+        # Kept for the tree: its fit and its leaf sums pass over these rows several times.
+        fit = sliced.where(in_fit).select("_s", ((F.col("_y") - prob) / spread).alias("_z"), (F.col("_w") * spread).alias("_h")).persist()
         least = min(0.49, p.min_child_weight / self._weight) if self._weight > 0 else 0.0
         tree = DecisionTreeRegressor(featuresCol="_s", labelCol="_z", weightCol="_h", predictionCol="_p", leafCol="_leaf", maxDepth=p.depth,
                                      maxBins=p.bins, minInstancesPerNode=p.min_instances, minWeightFractionPerNode=least, seed=p.seed + r).fit(fit)
         sums = {int(x["_leaf"]): (x["g"], x["h"], x["n"]) for x in tree.transform(fit).groupBy("_leaf").agg(
             F.sum(F.col("_h") * F.col("_z")).alias("g"), F.sum("_h").alias("h"), F.count(F.lit(1)).alias("n")).collect()}        # a row per leaf
+        fit.unpersist()
         self._weight = sum(x[1] for x in sums.values())
         kept, values = build_tree(tree.toDebugString, at, sums, p)
         self.trees.append(kept)
