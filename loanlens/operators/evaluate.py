@@ -19,6 +19,7 @@ from loanlens.functions.columns import (
     round_ratio, safe_ratio, threshold_bucket, units, wide,
 )
 from loanlens.plans.prefix import prefix_sums
+from loanlens.session import shared_table
 
 
 def _i(c: Column) -> Column:
@@ -42,10 +43,15 @@ def threshold_sweep(scored: DataFrame, p: str = "p", y: str = "default",
     grid gives every threshold's confusion counts.
     """
     grid = list(grid)
-    spark = scored.sparkSession
     counts = (scored.select(threshold_bucket(F.col(p), grid).alias("b"), F.col(y).alias("y"))
               .groupBy("b").agg(F.count(F.lit(1)).alias("n"), _i(F.col("y") == 1).alias("pos")))
-    thresholds = spark.createDataFrame(
+    return sweep_of_counts(counts, grid, cost_fn, cost_fp)
+
+
+def sweep_of_counts(counts: DataFrame, grid: Sequence[float] = THRESHOLD_GRID, cost_fn: float = COST_FALSE_NEGATIVE,
+                    cost_fp: float = COST_FALSE_POSITIVE) -> DataFrame:
+    """D27 from (b, n, pos): rows and positives by the number of thresholds that are at most p."""
+    thresholds = counts.sparkSession.createDataFrame(
         [(j, grid[j - 1] if j else None, round(grid[j - 1], 2) if j else None)
          for j in range(0, len(grid) + 1)],
         "b int, t_exact double, threshold double")
@@ -104,10 +110,15 @@ def reuse_or_select_threshold(scored: DataFrame, current: float, p: str = "p",
                               y: str = "default", band: tuple[float, float] = (0.40, 0.70),
                               min_approval: float = 0.55) -> DataFrame:
     """Keep ``current`` if the approval there is inside ``band``, else the
-    constrained threshold (D29, falling back to 0.50).  One row."""
-    sel = optimal_threshold(threshold_sweep(scored, p, y), min_approval, infeasible="0.5")
+    constrained threshold (D29, falling back to 0.50).  One row.
+
+    One pass: rows are counted by grid bucket and side of ``current``."""
+    grid, at = list(THRESHOLD_GRID), "_below"
+    counts = shared_table(scored.groupBy(threshold_bucket(F.col(p), grid).alias("b"), (F.col(p) < F.lit(current)).alias(at)).agg(
+        F.count(F.lit(1)).alias("n"), _i(F.col(y) == 1).alias("pos")), "threshold-counts")
+    sel = optimal_threshold(sweep_of_counts(counts.groupBy("b").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")), grid), min_approval, infeasible="0.5")
     lo, hi = band
-    r = scored.agg(round_ratio(_i(F.col(p) < F.lit(current)), F.count(F.lit(1)), 6).alias("approval_at_current"))
+    r = counts.agg(round_ratio(F.sum(F.when(F.col(at), F.col("n")).when(~F.col(at), 0)), F.sum("n"), 6).alias("approval_at_current"))
     in_band = (F.col("approval_at_current") >= lo) & (F.col("approval_at_current") <= hi)
     return r.select("approval_at_current", in_band.alias("reuse_current"),
                     F.when(in_band, F.lit(float(current)))
