@@ -1132,14 +1132,15 @@ def stream_batch_checks(spark, sf_dir):
     raw = staged_loan_applications(spark, sf_dir).withColumn("_y", F.substring("issue_d", 5, 4).cast("int"))
     folder = scratch_path(spark, f"loan-batches-{_uuid.uuid4().hex}")
     years = DRIVER_SPLITS.labelled_years()
-    for label, ys in years:
-        if label != "train":
-            amount = F.col("loan_amnt") * (1000.0 if label == "test" else 1.0)
-            raw.where(F.col("_y").isin(*ys)).withColumn("loan_amnt", amount).drop("_y").coalesce(1).write.mode("append").parquet(folder)
     train = qa.profile(raw.where(F.col("_y").isin(*dict(years)["train"])).withColumn("split", F.lit("train")), _CHECK_FIELDS)
     ranges = {r["feature"]: r["max"] - r["min"] for r in train.where("min is not null").collect()}          # a row per field
-    stream = sj.file_stream(spark, folder, "*.parquet", raw.drop("_y").schema, max_files=1)
-    marks = sj.scoring_job(stream, fitted_prep(spark, sf_dir), scratch_path(spark, f"scoring-{_uuid.uuid4().hex}"), _CHECK_FIELDS, ranges)
+    base = scratch_path(spark, f"scoring-{_uuid.uuid4().hex}")
+    for label, ys in years:
+        if label != "train":            # a window's files, as many as its tasks write, are the next micro-batch of the job
+            amount = F.col("loan_amnt") * (1000.0 if label == "test" else 1.0)
+            raw.where(F.col("_y").isin(*ys)).withColumn("loan_amnt", amount).drop("_y").write.mode("append").parquet(folder)
+            stream = sj.file_stream(spark, folder, "*.parquet", raw.drop("_y").schema)
+            marks = sj.scoring_job(stream, fitted_prep(spark, sf_dir), base, _CHECK_FIELDS, ranges)
     label = F.element_at(F.array(*[F.lit(w) for w in _WINDOWS]), (F.col("batch") + 1).cast("int"))
     return marks.select(label.alias("window"), "n", "status", "fields")
 

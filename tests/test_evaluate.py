@@ -67,3 +67,11 @@ def test_ab_statistics_published_counts(spark):
     z = xp.ztest(st).first()["z_statistic"]
     c = xp.chi_square_2x2(st).first()["chi2_statistic"]
     assert abs(z - 9.7036) < 2e-3 and abs(c - 94.057) < 0.05
+
+
+def test_reused_threshold_reads_the_scores_once(spark, tmp_path):
+    path = str(tmp_path / "scored")
+    spark.range(400).selectExpr("round(id / 400, 4) as p", "int(id % 5 = 0) as `default`").write.parquet(path)
+    got = ev.reuse_or_select_threshold(spark.read.parquet(path), 0.47)
+    assert not any(path in f for f in got.inputFiles())              # what is left to run reads counts only
+    assert got.first().asDict() == {"approval_at_current": 0.47, "reuse_current": True, "threshold": 0.47}

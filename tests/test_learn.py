@@ -218,3 +218,10 @@ def test_score_is_a_probability(planted):
     s = ml.score(ml.logistic_pipeline(FEATS, max_iter=20, weight_sum=train.count()).fit(ml.class_weights(train)), train)
     assert s.where("p < 0 or p > 1").count() == 0 and ev.auc(s).first()["auc"] > 0.9
     assert json.dumps(s.first()["decision"]) in ('"DENY"', '"APPROVE"')
+
+
+def test_rows_of_a_tree_are_kept_while_it_is_fitted(planted, monkeypatch):
+    seen, fit = [], bo.DecisionTreeRegressor.fit
+    monkeypatch.setattr(bo.DecisionTreeRegressor, "fit", lambda self, df: (seen.append((df, df.is_cached)), fit(self, df))[1])
+    bo.boost(flagged(planted), FEATS, replace(SMALL, max_rounds=2))
+    assert [cached for _, cached in seen] == [True, True] and not any(df.is_cached for df, _ in seen)

@@ -179,3 +179,29 @@ def test_monitoring_at_an_interval(spark, tmp_path):
     spark.createDataFrame([("c",)], "window string").write.mode("append").parquet(folder)
     sj.monitoring_job(sj.file_stream(spark, folder, "*.parquet", "window string"), judge, log)          # goes on after the stop
     assert seen == [["a"], ["b"], ["c"]] and sorted(r["window"] for r in spark.read.parquet(log).collect()) == ["a", "b", "c"]
+
+
+def test_windows_of_several_files_are_a_batch_each(spark, tmp_path):
+    from loanlens.operators.clean import DRIVER_SPLITS, clean, temporal_split
+    from loanlens.operators.prep import LoanPrep
+    model = LoanPrep().fit(temporal_split(clean(raw_batch(spark, 60, 0).withColumn("issue_d", F.lit("Jan-1995"))), DRIVER_SPLITS))
+    folder, base = str(tmp_path / "in"), str(tmp_path / "job")
+    for first, n, scale in ((100, 40, 1.0), (200, 30, 1000.0), (300, 20, 1.0)):
+        raw_batch(spark, n, first, scale).repartition(3).write.mode("append").parquet(folder)
+        stream = sj.file_stream(spark, folder, "*.parquet", spark.read.parquet(folder).schema)
+        marks = sj.scoring_job(stream, model, base, ["loan_amnt"], {"loan_amnt": 60.0})
+    assert sorted((r["batch"], r["n"], r["status"]) for r in marks.collect()) == [(0, 40, "ok"), (1, 30, "critical"), (2, 20, "ok")]
+
+
+def test_requests_are_not_written_by_one_task(spark, tmp_path):
+    """Parts of several files, a run of the job each: the same decisions as one client's events in order."""
+    from loanlens.plans import queries as q
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, i % 7, base + dt.timedelta(minutes=13 * i)) for i in range(900)]
+    sf = str(tmp_path / "sf")
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp").repartition(5).write.parquet(f"{sf}/events.parquet")
+    parts = q._request_parts(spark, sf)
+    assert len(parts) == 4 and sum(p.count() for p in parts) == 900 and max(p.rdd.getNumPartitions() for p in parts) > 1
+    us = {i: int(t.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6) for i, _, t in rows}
+    got = q.request_rate_accepted(spark, sf).collect()
+    assert {r["event_id"]: r["status"] == "accepted" for r in got} == brute([(i, u, us[i]) for i, u, _ in rows], 3, 86400 * 10 ** 6)
