@@ -1090,26 +1090,26 @@ r as (select event_id, user_id, rn, 'accepted' as status, [us] as acc from o whe
 select event_id, user_id, status from r""")
 def request_rate_accepted(spark, sf_dir):
     """ST3 in the state store: at most 3 accepted events per client in the
-    trailing day; rejected events are not counted.  The requests come as files
-    in the order of time, a micro-batch each, so later batches meet the state
-    of earlier ones."""
-    path, schema = _request_files(spark, sf_dir)
-    stream = sj.file_stream(spark, path, "*.parquet", schema, max_files=1)
-    with sj.rocks_state(spark):
-        return sj.run_available_now(sj.rate_limit_stream(stream, _RATE_LIMIT, _RATE_WIDTH), "rate-limit")
-
-
-def _request_files(spark, sf_dir, files: int = 4):
-    """The event table as ``files`` files that follow each other in time."""
+    trailing day; rejected events are not counted.  The requests come in parts
+    in the order of time, each of as many files as its tasks write and a
+    micro-batch of the job, so later batches meet the state of earlier ones."""
+    path, base = (scratch_path(spark, f"{x}-{_uuid.uuid4().hex}") for x in ("requests", "stream-rate-limit"))
+    with sj.rocks_state(spark, idle_batches=False):
+        for part in _request_parts(spark, sf_dir):
+            part.write.mode("append").parquet(path)
+            stream = sj.file_stream(spark, path, "*.parquet", part.schema)
+            decided = sj.run_available_now(sj.rate_limit_stream(stream, _RATE_LIMIT, _RATE_WIDTH), "rate-limit", base=base)
+    return decided
+
+
+def _request_parts(spark, sf_dir, parts: int = 4):
+    """The event table in ``parts`` parts that follow each other in time."""
     from loanlens.sources.tables import read_table
     ev = read_table(spark, sf_dir, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = ev.agg(F.min(us), F.max(us)).first()
-    path = scratch_path(spark, f"requests-{_uuid.uuid4().hex}")
-    place = F.least(F.floor((us - low) * files / (high - low + 1)), F.lit(files - 1))
-    for i in range(files):
-        ev.where(place == i).coalesce(1).write.mode("append").parquet(path)
-    return path, ev.schema
+    place = F.least(F.floor((us - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    return [ev.where(place == i) for i in range(parts)]
 
 
 _CHECK_FIELDS = NUMERIC_FEATURES

@@ -13,10 +13,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType
@@ -270,33 +269,43 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class _ClientLimiter(StatefulProcessor):
-    """One client's accepted times as list state; a timer clears them when they can no longer count."""
+    """One client's accepted times as one value; a timer clears them when they can no longer count.
+
+    Every call to the state store costs more than deciding a client's events,
+    so there are three of them at most: the value, its update and a timer.  A
+    timer that later events have overtaken clears nothing.
+    """
 
     def __init__(self, limit: int, width_us: int):
         self.limit, self.width_us = limit, width_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.accepted = handle.getListState("accepted", "us long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = [r[0] for r in self.accepted.get()]
-        batch = pd.concat(list(rows)).sort_values(["us", "event_id"], kind="stable")
-        status = []
-        for us in batch["us"].tolist():
-            held = [a for a in held if a > us - self.width_us]
+        self.accepted = handle.getValueState("accepted", "us array<long>")
+
+    def _end(self, held: list[int]) -> int:
+        return (max(held) + self.width_us) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.accepted.get()
+        held = before = list(known[0]) if known else []
+        out = []
+        for r in sorted(rows, key=lambda r: (r["us"], r["event_id"] is None, r["event_id"] or 0)):
+            held = [a for a in held if a > r["us"] - self.width_us]
             ok = len(held) < self.limit
             if ok:
-                held.append(us)
-            status.append("accepted" if ok else "rejected")
-        self.accepted.put([(a,) for a in held])
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer((max(held) + self.width_us) // 1000 + 1)
-        yield pd.DataFrame({"event_id": batch["event_id"], "user_id": batch["user_id"], "status": status})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.accepted.clear()
+                held.append(r["us"])
+            out.append(Row(event_id=r["event_id"], user_id=r["user_id"], status="accepted" if ok else "rejected"))
+        if held != before:
+            self.accepted.update((held,))
+            if not before or self._end(held) != self._end(before):
+                self.handle.registerTimer(self._end(held))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.accepted.get()
+        if known and self._end(known[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.accepted.clear()
         return iter(())
 
     def close(self) -> None:
@@ -317,21 +326,27 @@ def rate_limit_stream(events: DataFrame, limit: int = 100, width_s: int = 60, la
     e = events.select(F.col("event_id").cast("long").alias("event_id"), F.col("user_id").cast("long").alias("user_id"),
                       F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", late)
     e = e.withColumns({"us": F.unix_micros("ts"), "client": F.coalesce(F.col("user_id").cast("string"), F.lit(""))})
-    return e.groupBy("client").transformWithStateInPandas(
+    return e.groupBy("client").transformWithState(
         statefulProcessor=_ClientLimiter(limit, width_s * 10 ** 6), outputStructType="event_id long, user_id long, status string",
         outputMode="append", timeMode="EventTime")
 
 
 @contextmanager
-def rocks_state(spark: SparkSession):
-    """Streams started inside keep their state in RocksDB, which list state and timers need."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKS)
+def rocks_state(spark: SparkSession, idle_batches: bool = True):
+    """Streams started inside keep their state in RocksDB, which typed state and timers need.
+
+    Without ``idle_batches`` a run ends with its last rows: timers that have
+    expired by then clear their state in the next run.
+    """
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower()}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
 
 
 # ---------------------------------------------------------------- ST4
