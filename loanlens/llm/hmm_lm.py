@@ -35,6 +35,7 @@ TAIL = 3                # bytes of a word that decide its class
 TOKENS = 250_000        # tokens of one numpy pass
 PRIOR = 10.0            # tokens of the unigram distribution that every state's emissions count besides their own
 ROWS = 1000             # texts split into words at once
+SCALED = 4              # steps of the recursion between two scalings; an emission and a move stay above 1e-70
 
 
 def word_class(word: bytes) -> int:
@@ -79,7 +80,7 @@ def count_words(docs: DataFrame, text_col: str, flush: int = 200_000) -> DataFra
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(id, held_out, text) rows to symbols, sums over listed words, and the other words with their counts."""
+    """(id, held_out, text) rows to symbols (bytes of 32-bit numbers), sums over listed words, and the other words with their counts."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,21 +102,27 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                 sums.append((len(listed), v.base[listed].sum() + v.end_base, v.within[listed].sum()))
                 rare.append(list(c))
                 times.append(list(c.values()))
-            lengths = np.array([0, *map(len, symbols)], np.int64).cumsum()
-            flat = np.concatenate(symbols) if symbols else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(1), b.column(2),
-                pa.ListArray.from_arrays(pa.array(lengths.astype(np.int32)), pa.array(flat)),
+                pa.array([s.tobytes() for s in symbols], pa.binary()),
                 pa.array([x[0] for x in sums], pa.int64()), pa.array([x[1] for x in sums], pa.float64()),
                 pa.array([x[2] for x in sums], pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
                 ["rid", "id", "held_out", "symbols", "n_listed", "base", "within", "rare", "times"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.withColumn("rid", F.monotonically_increasing_id()).select("rid", "id", "held_out", "text").mapInArrow(
-        run, f"rid long, id {kind}, held_out boolean, symbols array<int>, n_listed long, base double, within double, "
+        run, f"rid long, id {kind}, held_out boolean, symbols binary, n_listed long, base double, within double, "
              "rare array<binary>, times array<long>")
 
 
+def unpacked(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All symbols of a column in a row, and how many each text has; of bytes as :func:`encode` writes them, or of lists."""
+    if pa.types.is_list(col.type):
+        return col.flatten().to_numpy(zero_copy_only=False), col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    texts = col.to_pylist()
+    return np.frombuffer(b"".join(texts), np.int32), np.array([len(x) // 4 for x in texts], np.int64)
+
+
 @dataclass
 class Model:
     start: np.ndarray
@@ -132,62 +139,69 @@ def first_model(counts: np.ndarray, states: int, seed: int) -> Model:
 
 def _by_time(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For sequences sorted by falling length: tokens in order of time, and how many sequences live at each time."""
-    t = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return np.argsort(t, kind="stable"), np.bincount(t)
+    n = int(lengths.sum())
+    t = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    live = np.bincount(t)
+    order = np.empty(n, np.int64)
+    order[(np.cumsum(live) - live)[t] + np.repeat(np.arange(len(lengths)), lengths)] = np.arange(n)
+    return order, live
 
 
-def forward(m: Model, tokens: np.ndarray, live: np.ndarray, keep: np.ndarray | None = None, first: np.ndarray | None = None,
+def forward(m: Model, tokens: np.ndarray, live: np.ndarray, first: np.ndarray | None = None,
             seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward recursion; ln likelihood of each sequence, the scale of each token, the last states.
+    """Scaled forward recursion; ln likelihood of each sequence, the states of all tokens, the last states.
 
-    Arrays of states stand state by state (states x tokens), so that every
-    step is a few passes over long rows.  ``keep`` receives the states of all
-    tokens, ``first`` stands for the start distribution, ``seen`` is the
-    emission of each token if it is known already.
+    Arrays of states stand token by token (tokens x states), so that every step
+    works on one unbroken block.  States are scaled to sum 1 at every
+    ``SCALED``-th token and at the last of each sequence.  ``first`` stands for
+    the start distribution, ``seen`` is the emission of each token if it is
+    known already; it is divided by the scales.
     """
-    total, scale, onward = np.zeros(live[0]), np.empty(len(tokens)), np.ascontiguousarray(m.move.T)
-    seen = m.emit.T[:, tokens] if seen is None else seen
-    alpha, at = None, 0
-    for n in live.tolist():
-        prior = (m.start[:, None] if first is None else first) if alpha is None else onward @ alpha[:, :n]
-        alpha = prior * seen[:, at:at + n]
-        c = alpha.sum(0)
-        alpha /= c
-        scale[at:at + n] = c
-        if keep is not None:
-            keep[:, at:at + n] = alpha
-        at += n
-    at = 0
-    logs = np.log(scale)
-    for n in live.tolist():
-        total[:n] += logs[at:at + n]
+    k = len(m.start)
+    total, states, ones = np.zeros(live[0]), np.empty((len(tokens), k)), np.ones((k, k))
+    seen = m.emit.take(tokens, 0) if seen is None else seen
+    at, alpha = 0, None
+    for t, n in enumerate(live.tolist()):
+        prior = (m.start[None] if first is None else first) if alpha is None else alpha[:n] @ m.move
+        here = seen[at:at + n]
+        alpha = np.multiply(prior, here, out=states[at:at + n])
+        if t % SCALED == SCALED - 1:
+            c = alpha @ ones                # the sum, in every column
+            alpha /= c
+            here /= c
+            total[:n] += np.log(c[:, 0])
         at += n
-    return total, scale, alpha
+    last = np.repeat(np.arange(len(live)), live - np.r_[live[1:], 0])[::-1]         # the time at which each sequence ends
+    ends = (np.cumsum(live) - live)[last] + np.arange(live[0])
+    c = states[ends].sum(1, keepdims=True)
+    states[ends] /= c
+    seen[ends] /= c
+    return total + np.log(c[:, 0]), states, alpha
 
 
 def expected_counts(m: Model, tokens: np.ndarray, live: np.ndarray, first: np.ndarray | None = None,
                     ahead: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray]:
     """Forward-backward: expected first states, moves and emissions, the ln likelihood, and what the first token hands back.
 
-    ``first`` and ``ahead`` (states x 1) continue a sequence that stands in several segments.
+    ``first`` and ``ahead`` (1 x states) continue a sequence that stands in several segments.
     """
     k = len(m.start)
-    alpha, seen = np.empty((k, len(tokens))), m.emit.T[:, tokens]
-    total, scale, _ = forward(m, tokens, live, alpha, first, seen)
-    seen /= scale
+    seen, onward = m.emit.take(tokens, 0), np.ascontiguousarray(m.move.T)
+    total, alpha, _ = forward(m, tokens, live, first, seen)
     moves, end = np.zeros((k, k)), len(tokens)
     for n in live[::-1].tolist():
         at = end - n
-        mine, back = alpha[:, at:end], seen[:, at:end]
+        mine, back = alpha[at:end], seen[at:end]
         if ahead is not None:
-            some = ahead.shape[1]
-            moves += mine[:, :some] @ ahead.T
-            beta = m.move @ ahead
-            mine[:, :some] *= beta
-            back[:, :some] *= beta
+            some = len(ahead)
+            moves += mine[:some].T @ ahead
+            beta = ahead @ onward
+            mine[:some] *= beta
+            back[:some] *= beta
         ahead, end = back, at
-    emits = np.stack([np.bincount(tokens, alpha[i], len(m.emit)) for i in range(k)], 1)
-    return alpha[:, :live[0]].sum(1), moves * m.move, emits, float(total.sum()), ahead
+    cells = tokens.astype(np.int64)[:, None] * k + np.arange(k)
+    emits = np.bincount(cells.ravel(), alpha.ravel(), m.emit.size).reshape(m.emit.shape)
+    return alpha[:live[0]].sum(0), moves * m.move, emits, float(total.sum()), ahead
 
 
 def long_counts(m: Model, tokens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -195,7 +209,7 @@ def long_counts(m: Model, tokens: np.ndarray, size: int) -> tuple[np.ndarray, np
     parts = [tokens[a:a + size] for a in range(0, len(tokens), size)]
     firsts: list[np.ndarray | None] = [None]
     for p in parts[:-1]:
-        firsts.append(m.move.T @ forward(m, p, np.ones(len(p), int), first=firsts[-1])[2])
+        firsts.append(forward(m, p, np.ones(len(p), int), first=firsts[-1])[2] @ m.move)
     moves, emits, total, ahead = np.zeros_like(m.move), np.zeros_like(m.emit), 0.0, None
     for p, first in zip(parts[::-1], firsts[::-1]):
         starts, mv, e, x, ahead = expected_counts(m, p, np.ones(len(p), int), first, ahead)
@@ -203,6 +217,15 @@ def long_counts(m: Model, tokens: np.ndarray, size: int) -> tuple[np.ndarray, np
     return starts, moves, emits, total
 
 
+def long_likelihood(m: Model, tokens: np.ndarray, size: int) -> float:
+    """ln likelihood of one long sequence, ``size`` tokens held at once."""
+    total, first = 0.0, None
+    for a in range(0, len(tokens), size):
+        ll, _, last = forward(m, tokens[a:a + size], np.ones(len(tokens[a:a + size]), int), first)
+        total, first = total + float(ll[0]), last @ m.move
+    return total
+
+
 def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
     """Sequences by falling length, in groups of about TOKENS tokens."""
     order = np.argsort(-lengths, kind="stable")
@@ -218,30 +241,40 @@ def _gather(flat: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> np.ndar
 def baum_welch_round(encoded: DataFrame, m: Model, unigram: np.ndarray) -> tuple[Model, float, float]:
     """One round over all rows of ``encoded``: counts by task, summed by Spark, normalised here.
 
+    A task returns a row of each symbol it meets, so the round has as many
+    tasks as run at once, not one per piece of the input: the rows then grow
+    with the symbols alone.
+
     The new model, the ln likelihood of the rows under the old one, and their tokens.
     """
-    k, shared = len(m.start), encoded.sparkSession.sparkContext.broadcast(m)
+    context = encoded.sparkSession.sparkContext
+    k, shared = len(m.start), context.broadcast(m)
+
+    def counted(m: Model, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+        for i in np.nonzero(size > TOKENS)[0]:
+            yield long_counts(m, flat[start[i]:start[i] + size[i]], TOKENS)
+        rest = np.nonzero(size <= TOKENS)[0]
+        for g in _groups(size[rest]):
+            order, live = _by_time(size[rest[g]])
+            yield expected_counts(m, _gather(flat, start[rest[g]], size[rest[g]])[order], live)[:4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         emits, moves, starts, ll, n = np.zeros((len(m.emit), k)), np.zeros((k, k)), np.zeros(k), 0.0, 0
         for b in batches:
-            col = b.column(0)
-            flat, size = col.flatten().to_numpy(zero_copy_only=False), col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, size = unpacked(b.column(0))
             start, n = np.cumsum(size) - size, n + len(flat)
-            found = [long_counts(m, flat[start[i]:start[i] + size[i]], TOKENS) for i in np.nonzero(size > TOKENS)[0]]
-            rest = np.nonzero(size <= TOKENS)[0]
-            for g in _groups(size[rest]):
-                order, live = _by_time(size[rest[g]])
-                found.append(expected_counts(m, _gather(flat, start[rest[g]], size[rest[g]])[order], live)[:4])
-            for s, mv, e, x in found:
-                starts, moves, emits, ll = starts + s, moves + mv, emits + e, ll + x
+            for s, mv, e, x in counted(m, flat, start, size):
+                starts += s
+                moves += mv
+                emits += e
+                ll += x
         rows = np.concatenate([emits, moves, starts[None], np.r_[ll, n, np.zeros(k - 2)][None]])
         some = np.nonzero(rows.any(1))[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(rows[some, i]) for i in range(k)]], ["row", *[f"s{i}" for i in range(k)]])
 
     cols = [f"s{i}" for i in range(k)]
-    summed = encoded.select("symbols").mapInArrow(run, "row long, " + ", ".join(f"{c} double" for c in cols)).groupBy("row").agg(
+    summed = encoded.select("symbols").coalesce(max(1, context.defaultParallelism)).mapInArrow(run, "row long, " + ", ".join(f"{c} double" for c in cols)).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in cols]).collect()                       # symbols + states + 2 rows
     table = np.zeros((len(m.emit) + k + 2, k))
     for r in summed:
@@ -320,10 +353,13 @@ def score_lm(docs: DataFrame, held_out: str = "held_out", id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            col = b.column(6)
-            flat, size = col.flatten().to_numpy(zero_copy_only=False), col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, size = unpacked(b.column(6))
             start, ln = np.cumsum(size) - size, np.zeros(len(size))
-            for g in _groups(size):
+            for i in np.nonzero(size > TOKENS)[0]:
+                ln[i] = long_likelihood(shared.value, flat[start[i]:start[i] + size[i]], TOKENS)
+            rest = np.nonzero(size <= TOKENS)[0]
+            for g in _groups(size[rest]):
+                g = rest[g]
                 order, live = _by_time(size[g])
                 ln[g], _, _ = forward(shared.value, _gather(flat, start[g], size[g])[order], live)
             yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(size), pa.array(ln / np.log(10))],

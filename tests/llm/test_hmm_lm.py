@@ -126,3 +126,30 @@ def test_small_tables_keep_their_states_apart(spark, monkeypatch):
         e = kept["m"].emit
         assert max(np.abs(e[:, a] - e[:, b]).sum() for a in range(4) for b in range(a)) > 0.5      # there are two kinds of texts
         assert sum(r["score"] > r["base_score"] for r in got) > 0.9 * n
+
+
+def test_a_round_has_no_more_tasks_than_run_at_once(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    encoded = spark.createDataFrame([(r.integers(0, 6, 9).tolist(),) for _ in range(200)], "symbols array<int>").repartition(40)
+    tasks, whole = [], type(encoded).mapInArrow
+    monkeypatch.setattr(type(encoded), "mapInArrow", lambda df, *a, **k: tasks.append(df.rdd.getNumPartitions()) or whole(df, *a, **k))
+    _, _, n = H.baum_welch_round(encoded, model(3, 6), np.full(6, 1 / 6))
+    assert n == 1800 and tasks == [spark.sparkContext.defaultParallelism]
+
+
+def test_a_long_text_is_scored_in_segments():
+    m, seq = model(4, 9, 3), np.random.default_rng(4).integers(0, 9, 200)
+    whole = H.forward(m, seq, np.ones(200, int))[0][0]
+    for size in (1, 3, 64, 200, 500):
+        assert math.isclose(H.long_likelihood(m, seq, size), whole, rel_tol=1e-12)
+
+
+def test_improbable_tokens_do_not_underflow():
+    m = model(3, 5)
+    m.emit[4] = 1e-60
+    seqs = [[4] * 11, [4] * 9, [0, 4, 4, 4, 4], [4]]
+    order, live = H._by_time(np.array([len(s) for s in seqs]))
+    starts, moves, emits, ll, _ = H.expected_counts(m, np.concatenate(seqs)[order], live)
+    got = H.forward(m, np.concatenate(seqs)[order], live)[0]
+    assert math.isclose(starts.sum(), 4) and math.isclose(moves.sum(), 22) and math.isclose(emits.sum(), 26) and math.isclose(ll, got.sum())
+    assert np.allclose(got[[0, 1, 3]], [n * math.log(1e-60) for n in (11, 9, 1)])
