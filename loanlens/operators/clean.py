@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanlens.plans.prefix import exact_quantiles
 
-from loanlens.functions.columns import names_with_prefix
+from loanlens.functions.columns import literal_map, names_with_prefix
 
 # Fixed values from the reference's cleaning rules.
 RESOLVED_STATUSES = ("Fully Paid", "Charged Off")
@@ -60,7 +60,7 @@ def parse_issue_date(df: DataFrame, col: str = ISSUE_D) -> DataFrame:
     if col not in df.columns:
         return df
     parsed = F.try_to_date(F.col(col), ISSUE_DATE_FORMAT)
-    return df.withColumn(col, parsed).withColumn(ISSUE_YEAR, F.year(parsed))
+    return df.withColumn(col, parsed).withColumn(ISSUE_YEAR, F.year(col))
 
 
 def drop_leakage(df: DataFrame) -> DataFrame:
@@ -80,12 +80,16 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def split_label(year: Column, spec: SplitSpec) -> Column:
-    """Year → split label, NULL when the year is in no window."""
-    expr = None
+    """Year → split label (the first that lists it), NULL when the year is in no window.
+
+    One look-up, so ``year`` is worked out once where a filter repeats the
+    label's expression, not once per window: it stands for a parsed date.
+    """
+    labels: dict[int, str] = {}
     for label, years in spec.labelled_years():
-        cond = year.isin(*years)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(None).cast("string"))
+        for y in years:
+            labels.setdefault(y, label)
+    return F.try_element_at(literal_map(labels), year)
 
 
 def temporal_split(df: DataFrame, spec: SplitSpec = DRIVER_SPLITS,

@@ -47,9 +47,9 @@ def value_counts(df: DataFrame, features: Sequence[str], windows: Sequence[str],
                  binary: Sequence[str] = ()) -> DataFrame:
     """(feature number, value, n_ref, n_0, n_1, ...): how often each value occurs in the reference and each window.
 
-    Columns listed as ``binary`` hold 0 and 1 only (anything else raises), so
-    their counts come from one aggregate without any stacking; the other
-    columns are stacked inside the map stage and aggregated by (number, value).
+    Columns are stacked inside the map stage and aggregated by (number, value).
+    Those listed as ``binary`` hold 0 and 1 only (anything else raises): they are
+    stacked by themselves, where the map side keeps two rows a column and window.
     Without a reference ``n_ref`` is 0.
     """
     names = [*([] if reference is None else [reference]), *windows]
@@ -66,14 +66,15 @@ def value_counts(df: DataFrame, features: Sequence[str], windows: Sequence[str],
         parts.append(df.select(F.col(by), F.explode(F.array(*items)).alias("s")).where(F.col("s.value").isNotNull())
                      .groupBy("s.feature", "s.value").agg(*[F.count_if(is_in(w)).alias(c) for w, c in zip(names, cols)]))
     if flags:
-        v = {f: F.col(f"`{f}`").cast("double") for f in flags}
-        one = df.agg(*[F.count_if(is_in(w) & (v[f] == x)).alias(f"_{number[f]}_{x}_{i}")
-                       for f in flags for x in (0, 1) for i, w in enumerate(names)],
-                     *[F.count_if(~v[f].isin(0.0, 1.0)).alias(f"_bad{number[f]}") for f in flags])
-        check = {f: F.when(F.col(f"_bad{number[f]}") > 0, F.raise_error(F.lit(f"{f} holds other values than 0 and 1"))) for f in flags}
-        rows = [F.struct(F.lit(number[f]).alias("feature"), F.coalesce(check[f].cast("double"), F.lit(float(x))).alias("value"),
-                         *[F.col(f"_{number[f]}_{x}_{i}").alias(c) for i, c in enumerate(cols)]) for f in flags for x in (0, 1)]
-        parts.append(one.select(F.explode(F.array(*rows)).alias("s")).select("s.*").where(" + ".join(cols) + " > 0"))
+        found = df.select(F.col(by).alias("_by"), F.posexplode(F.array(*[F.col(f"`{f}`").cast("double") for f in flags])).alias("_at", "value")).where(
+            F.col("value").isNotNull()).groupBy("_by", "_at", "value").agg(F.count(F.lit(1)).alias("n"))        # windows x flags x 2 rows
+        name = F.element_at(F.array(*[F.lit(f) for f in flags]), F.col("_at") + 1)
+        value = F.when(F.col("value").isin(0.0, 1.0), F.col("value")).otherwise(
+            F.raise_error(F.concat(name, F.lit(" holds other values than 0 and 1"))).cast("double"))
+        place = F.element_at(F.array(*[F.lit(number[f]) for f in flags]), F.col("_at") + 1)
+        has = lambda w: F.col("_by") == w if w is not None else F.lit(False)         # noqa: E731
+        parts.append(found.groupBy(place.alias("feature"), value.alias("value")).agg(
+            *[F.sum(F.when(has(w), F.col("n")).otherwise(F.lit(0).cast("long"))).alias(c) for w, c in zip(names, cols)]))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 

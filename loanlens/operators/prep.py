@@ -157,12 +157,22 @@ class LoanPrepModel(Model):
             out.setdefault(c, filled[c])
         return out
 
+    def always_numbers(self) -> set[str]:
+        """Columns whose expression is a number in every row: indicators, flags, and values filled with a median."""
+        p = self.params_doc
+        filled = {c for c, med in p["imputation"].items() if med is not None and med == med}
+        return ({f"{c}_{v}" for c, vals in p["categories"].items() for v in vals} | {f"{c}_was_missing" for c in p["imputation"]}
+                | {"sub_grade_encoded"} | filled | {f"{c}_capped" for c in p["caps"] if c in filled})
+
     def _transform(self, df: DataFrame) -> DataFrame:
         self.check_width()
         exprs = self.feature_expressions(df.columns)
         cols = self.feature_columns
-        # Absent configured columns become 0; every value coerced to double
-        select = [number_or_zero(exprs[c] if c in exprs else F.lit(0)).alias(c) for c in cols]
+        # Absent configured columns become 0; every value coerced to double.  What is a number anyway
+        # only takes the type: the one projection must stay short enough for its code to be compiled.
+        sure = self.always_numbers()
+        select = [(exprs[c].cast("double") if c in exprs and c in sure else number_or_zero(exprs[c] if c in exprs else F.lit(0))).alias(c)
+                  for c in cols]
         keep = [c for c in df.columns if c in PASS_THROUGH or c in self.extra_columns]
         return df.select(*keep, *select)
 

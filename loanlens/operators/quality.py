@@ -1,8 +1,8 @@
 """Data-quality operators.
 
-All column statistics for all windows come from ONE ``groupBy(window)``
-aggregate (``profile``), stacked to long form only after aggregation (the
-result has windows × features rows).  The duplicate share is one extra
+All column statistics for all windows come from ONE pass (``profile``) that
+stacks the columns in the map stage and aggregates by (window, column); the
+result has windows × features rows.  The duplicate share is one extra
 ``groupBy(window, row hash)`` whose map-side partial aggregation collapses
 repeated rows before the shuffle, so hot duplicate groups stay cheap.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from loanlens.functions.columns import round_ratio
+from loanlens.session import shared_table
 
 # Fixed thresholds of the reference's monitoring configuration.
 MAX_NULL_RATE = 0.40
@@ -31,21 +32,20 @@ def numeric_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def profile(df: DataFrame, cols: Sequence[str], by: str = "split") -> DataFrame:
-    """(window, feature, n, n_null, min, max) for every column, one pass."""
+    """(window, feature, n, n_null, min, max) for every column, one pass.
+
+    Columns are stacked in the map stage: an aggregate of three functions, not
+    three a column, whose generated code is too long to be compiled.
+    """
     nums = set(numeric_columns(df, cols))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        v = F.col(f"`{c}`")
-        aggs.append(F.count_if(v.isNull()).alias(f"_z{i}"))
-        if c in nums:
-            aggs += [F.min(v.cast("double")).alias(f"_lo{i}"), F.max(v.cast("double")).alias(f"_hi{i}")]
-    wide = df.groupBy(by).agg(*aggs)
-    items = [F.struct(F.lit(c).alias("feature"), F.col(f"_z{i}").alias("n_null"),
-                      (F.col(f"_lo{i}") if c in nums else F.lit(None).cast("double")).alias("min"),
-                      (F.col(f"_hi{i}") if c in nums else F.lit(None).cast("double")).alias("max"))
-             for i, c in enumerate(cols)]
-    return (wide.select(F.col(by).alias("window"), F.col("_n").alias("n"), F.explode(F.array(*items)).alias("s"))
-                .select("window", "s.feature", "n", "s.n_null", "s.min", "s.max"))
+    values = [F.col(f"`{c}`").cast("double") if c in nums else F.when(F.col(f"`{c}`").isNotNull(), F.lit(0.0)) for c in cols]
+    tall = df.select(F.col(by).alias("window"), F.posexplode(F.array(*values)).alias("_at", "_v"))
+    found = tall.groupBy("window", "_at").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_v").isNull()).alias("n_null"),
+                                              F.min("_v").alias("min"), F.max("_v").alias("max"))
+    at = F.col("_at") + 1
+    ranged = F.element_at(F.array(*[F.lit(c in nums) for c in cols]), at)           # others have no minimum and maximum
+    return found.select("window", F.element_at(F.array(*[F.lit(c) for c in cols]), at).alias("feature"), "n", "n_null",
+                        *[F.when(ranged, F.col(m)).alias(m) for m in ("min", "max")])
 
 
 def null_rates(prof: DataFrame, max_null_rate: float = MAX_NULL_RATE) -> DataFrame:
@@ -76,7 +76,7 @@ def duplicate_share(df: DataFrame, cols: Sequence[str], by: str = "split",
     row; two different rows meet with probability n² / 2^129.
     """
     v = [F.col(f"`{c}`") for c in cols]
-    nulls = F.concat(*[x.isNull().cast("int").cast("string") for x in v])        # hashes skip NULLs
+    nulls = F.array(*[x.isNull() for x in v])        # hashes skip NULLs
     groups = df.groupBy(by, F.xxhash64(nulls, *v).alias("_h1"), F.xxhash64(*v[::-1], nulls, F.lit("second")).alias("_h2")).count()
     r = groups.groupBy(by).agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("n_distinct"))
     rate = F.lit(1.0) - F.col("n_distinct") / F.col("n")
@@ -123,6 +123,7 @@ def quality_gate(current: DataFrame, reference_cols: Sequence[str], by: str = "s
     prof = profile(base.select(by, *quoted), shared, by)
     if reference_ranges is not None:
         prof = prof.unionByName(reference_ranges.where(F.col("feature").isin(*shared)).withColumn("window", F.lit(reference)))
+    prof = shared_table(prof, "column-profile")          # windows x features rows, read by both checks
     rng = range_check(prof, reference, multiplier).where("anomalous").select("window", "feature")
     nul = null_rates(prof, max_null_rate).where("flagged").select("window", "feature")
     dup = duplicate_share(current.select(by, *quoted), shared, by, max_dup_rate)

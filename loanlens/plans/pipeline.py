@@ -7,12 +7,15 @@ bounded parameter aggregate of ``LoanPrep.fit``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators.clean import DRIVER_SPLITS, SplitSpec, clean, temporal_split
 from loanlens.operators.prep import LoanPrep, LoanPrepModel
 from loanlens.operators.scoring import CHAMPION, CHALLENGER, Card
+from loanlens.session import scratch_path
 from loanlens.sources.tables import input_key, staged_loan_applications
 
 CHAMPION_THRESHOLD = 0.47
@@ -45,6 +48,24 @@ def prepared(spark: SparkSession, sf_dir: str, model: LoanPrepModel | None = Non
     return model.transform(resolved_loans(spark, sf_dir))
 
 
+_PREPARED: dict[tuple, str] = {}
+
+
+def stored_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`prepared` rows of the fitted preparation, written once per session and input.
+
+    For queries that pass over the prepared rows many times: dates are parsed
+    and features made once, later passes read the columns they need.
+    """
+    key = input_key(spark, sf_dir)
+    rows = prepared(spark, sf_dir)
+    if key not in _PREPARED:
+        path = scratch_path(spark, f"prepared-{uuid.uuid4().hex}")
+        rows.write.parquet(path)
+        _PREPARED[key] = path
+    return spark.read.schema(rows.schema).parquet(_PREPARED[key])
+
+
 def scored(spark: SparkSession, sf_dir: str, card: Card = CHAMPION,
            model: LoanPrepModel | None = None) -> DataFrame:
     """Prepared rows + ``p`` from a fixed scorecard; keeps id, split, label, amount."""

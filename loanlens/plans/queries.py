@@ -1160,21 +1160,23 @@ _BOOSTED = {k: replace(p, max_rounds=12, patience=4, block=6) for k, p in (("gbt
 _BOOSTED["gbt_small"] = bo.BoostParams(max_rounds=6, depth=3, step=0.3, min_gain=0.0, block=6)           # without validation rows: all six trees
 
 
-def _train_frame(spark, sf_dir, splits=("train",)):
+def _train_frame(spark, sf_dir, splits=("train",), rows=None):
     model = fitted_prep(spark, sf_dir)
-    df = prepared(spark, sf_dir, model).where(F.col("split").isin(*splits))
+    df = (rows if rows is not None else prepared(spark, sf_dir, model)).where(F.col("split").isin(*splits))
     return model, df
 
 
-def _learned(spark, sf_dir, kind: str, splits=("train",)):
+def _learned(spark, sf_dir, kind: str, splits=("train",), rows=None):
+    """The session's fitted learner; ``rows`` may give the prepared rows if they are stored already."""
     from loanlens.sources.tables import input_key
     key = (*input_key(spark, sf_dir), kind, splits)
     if key not in _MODELS:
         boosted = kind != "logistic"
-        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if kind in ("gbt", "gbt2") else ()))
+        prep, df = _train_frame(spark, sf_dir, splits + (("val",) if kind in ("gbt", "gbt2") else ()), rows)
         feats = prep.feature_columns
-        # Prepared once in the shared folder: fitting passes over it many times.
-        df = shared_table(df.select("split", "default", *[F.col(f"`{c}`") for c in feats]), "train-rows")
+        df = df.select("split", "default", *[F.col(f"`{c}`") for c in feats])
+        if rows is None:        # prepared once in the shared folder: fitting passes over it many times
+            df = shared_table(df, "train-rows")
         if boosted:
             rows = ml.class_weights(df, mode="ratio").withColumn("is_val", F.col("split") == "val")
             _MODELS[key] = bo.boost(rows, feats, _BOOSTED[kind])

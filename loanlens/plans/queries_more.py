@@ -18,7 +18,7 @@ from loanlens.operators import quality as qa
 from loanlens.operators.prep import NUMERIC_FEATURES, RAW_FIELDS
 from loanlens.operators.scoring import CHAMPION, ScorecardModel
 from loanlens.plans import oracle as O
-from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored, scored_both
+from loanlens.plans.pipeline import CHAMPION_THRESHOLD, fitted_prep, prepared, resolved_loans, scored, scored_both, stored_prepared
 from loanlens.plans.queries import (
     _ANOVA_COLS, _FIXED_FEATURES, _FS_EXTRA, _MONITOR_BODY, _MONITOR_EXTRA, _WINDOWS, _binary, _faulty, _fs, _learned, register,
 )
@@ -276,16 +276,19 @@ def _profile(spark, sf_dir, model):
     key = input_key(spark, sf_dir)
     if key not in _PROFILES:
         path = scratch_path(spark, f"profile-{uuid.uuid4().hex}")
-        base = _window_approval(spark, sf_dir, model, ["train"]).first()["approval_rate"]
-        rows = prepared(spark, sf_dir, model).where(F.col("split") == "train")
+        rows = stored_prepared(spark, sf_dir).where(F.col("split") == "train")
+        base = _approval_rates(rows.select("split", CHAMPION.probability().alias("p"))).first()["approval_rate"]
         pr.save_profile(spark, pr.reference_profile(rows, model.feature_columns, _binary(model), base), path)
         _PROFILES[key] = path
     return pr.load_profile(spark, _PROFILES[key])
 
 
 def _window_approval(spark, sf_dir, model, windows):
-    s = scored(spark, sf_dir, model=model).where(F.col("split").isin(*windows))
-    return s.groupBy(F.col("split").alias("window")).agg(
+    return _approval_rates(scored(spark, sf_dir, model=model).where(F.col("split").isin(*windows)))
+
+
+def _approval_rates(scores):
+    return scores.groupBy(F.col("split").alias("window")).agg(
         round_ratio(F.count_if(F.col("p") < CHAMPION_THRESHOLD), F.count(F.lit(1)), 4).alias("approval_rate"))
 
 
@@ -314,14 +317,14 @@ def retrain_loop(spark, sf_dir):
     from loanlens.operators.retrain import retrain
     model, base = fitted_prep(spark, sf_dir), scratch_path(spark, f"retraining-{uuid.uuid4().hex}")
     late = F.col("split") == "drift_2000"
-    rows = prepared(spark, sf_dir, model)
+    stored = stored_prepared(spark, sf_dir)
+    rows = stored
     for c, move in (("sub_grade_encoded", 12.0), ("dti_capped", 15.0), ("revol_util_capped", 20.0)):           # riskier applications in one window
         rows = rows.withColumn(c, F.col(c) + F.when(late, move).otherwise(0.0))
-    approval = rows.where(F.col("split").isin(*_WINDOWS)).select("split", CHAMPION.probability().alias("p")).groupBy(F.col("split").alias("window")).agg(
-        round_ratio(F.count_if(F.col("p") < CHAMPION_THRESHOLD), F.count(F.lit(1)), 4).alias("approval_rate"))
+    approval = _approval_rates(rows.where(F.col("split").isin(*_WINDOWS)).select("split", CHAMPION.probability().alias("p")))
     verdict = pr.monitor_against(rows, _profile(spark, sf_dir, model), _WINDOWS, approval, binary=_binary(model))
-    val = prepared(spark, sf_dir, model).where(F.col("split") == "val")
-    return retrain(spark, base, "run", verdict, lambda windows: _learned(spark, sf_dir, "logistic", ("train", *windows)),
+    val = stored.where(F.col("split") == "val")
+    return retrain(spark, base, "run", verdict, lambda windows: _learned(spark, sf_dir, "logistic", ("train", *windows), stored),
                    lambda m: ev.auc(ml.score(m, val)).first()["auc"], f"{base}/registry", "logistic")
 
 
