@@ -19,6 +19,7 @@ import json
 import math
 import random
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from loanlens.operators.evaluate import auc_of_counts
-from loanlens.session import shared_table
+from loanlens.session import scratch_path, shared_table
 
 MIN_SPREAD = 1e-6       # least p(1 - p) of a row
 
@@ -52,7 +53,7 @@ class BoostParams:
     leaf_l2: float = 1.0
     max_leaves: int = 1 << 30
     patience: int = 40
-    block: int = 10
+    block: int = 6                      # the code that applies more than 8 pending trees is over 8000 bytes, which the JVM interprets
     bins: int = 64
     seed: int = 42
 
@@ -231,6 +232,7 @@ class Booster:
         self.trees: list[Tree] = []
         self.history: list[float] = []
         self.best_round, self.best_auc, self.finished = 0, -1.0, False
+        self._folders = [scratch_path(rows.sparkSession, f"boosting-margins-{uuid.uuid4().hex}") for _ in range(2)]
 
     def advance(self, rounds: int) -> Booster:
         """At most ``rounds`` more rounds, in blocks."""
@@ -240,7 +242,7 @@ class Booster:
             state = self.state.withColumn("_path", F.array().cast("array<double>"))
             for _ in range(n):
                 state = self._add_tree(state)
-            state = shared_table(state, "boosting-margins")
+            state = self._stored(state)
             for a in self._aucs(state, n):
                 self.history.append(a)
                 if a > self.best_auc:
@@ -252,6 +254,14 @@ class Booster:
             self.finished = self.finished or len(self.trees) >= p.max_rounds
         return self
 
+    def _stored(self, state: DataFrame) -> DataFrame:
+        """``state`` written and read back.  Two folders take turns: a block reads the one and writes the other, so the
+        disk holds two states, however many rounds there are."""
+        path = self._folders[0]
+        self._folders.reverse()
+        state.write.mode("overwrite").parquet(path)
+        return state.sparkSession.read.schema(state.schema).parquet(path)
+
     def _add_tree(self, state: DataFrame) -> DataFrame:
         p, r = self.params, len(self.trees)
         drawn = random.Random(f"{p.seed}|{r}").sample(range(len(self.features)), max(1, round(p.feature_fraction * len(self.features))))
@@ -262,6 +272,7 @@ class Booster:
         in_fit = ~F.col("_val") & (F.pmod(F.xxhash64("_row", F.lit(p.seed), F.lit(r)), F.lit(10_000)) < int(p.subsample * 10_000))
         # Kept for the tree: its fit and its leaf sums pass over these rows several times.
         fit = sliced.where(in_fit).select("_s", ((F.col("_y") - prob) / spread).alias("_z"), (F.col("_w") * spread).alias("_h")).persist()
+        fit.count()         # all tasks fill the store; the tree's own first look at its rows is one task, which would fill a part alone
         least = min(0.49, p.min_child_weight / self._weight) if self._weight > 0 else 0.0
         tree = DecisionTreeRegressor(featuresCol="_s", labelCol="_z", weightCol="_h", predictionCol="_p", leafCol="_leaf", maxDepth=p.depth,
                                      maxBins=p.bins, minInstancesPerNode=p.min_instances, minWeightFractionPerNode=least, seed=p.seed + r).fit(fit)

@@ -1147,7 +1147,6 @@ def stream_batch_checks(spark, sf_dir):
 
 # ------------------------------------------------------------------ step 8: learners
 import uuid as _uuid  # noqa: E402
-from dataclasses import replace  # noqa: E402
 from loanlens.operators import boosting as bo  # noqa: E402
 from loanlens.operators import learn as ml  # noqa: E402
 from loanlens.session import scratch_path, shared_table  # noqa: E402
@@ -1155,8 +1154,8 @@ from loanlens.session import scratch_path, shared_table  # noqa: E402
 _MODELS: dict[tuple, object] = {}
 
 
-#: The driver labels carry no signal: few rounds and little patience, all else as by default.
-_BOOSTED = {k: replace(p, max_rounds=12, patience=4, block=6) for k, p in (("gbt", bo.BoostParams()), ("gbt2", bo.SECOND))}
+#: The reference's settings: its bound on the rounds and its patience too.
+_BOOSTED = {"gbt": bo.BoostParams(), "gbt2": bo.SECOND}
 _BOOSTED["gbt_small"] = bo.BoostParams(max_rounds=6, depth=3, step=0.3, min_gain=0.0, block=6)           # without validation rows: all six trees
 
 
